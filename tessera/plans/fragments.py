@@ -76,3 +76,40 @@ def dist(metric: str, a: str, b: str) -> str:
     else:
         raise ValueError(metric)
     return f"round({e}, 6)"
+
+
+# Response routing over RESP (DuckDB's json_valid rejects trailing text,
+# like the reference's parser).
+ROUTED = """
+routed AS (
+  SELECT screen_id, run_id, raw_output,
+    CASE WHEN NOT ok THEN 'malformed'
+         WHEN jt <> 'OBJECT' THEN 'not_an_object'
+         WHEN ct IS NULL THEN 'valid'
+         WHEN ct = 'NULL' THEN 'confidence_type'
+         WHEN ct IN ('OBJECT', 'ARRAY') THEN 'confidence_type'
+         WHEN ct = 'VARCHAR' AND TRY_CAST(json_extract_string(raw_output, '$.confidence') AS DOUBLE) IS NULL
+              THEN 'confidence_value'
+         ELSE 'valid' END AS route,
+    CASE WHEN ok AND jt = 'OBJECT' THEN
+      CASE WHEN ct IS NULL THEN 0.0::DOUBLE
+           WHEN ct = 'BOOLEAN' THEN CASE WHEN json_extract_string(raw_output, '$.confidence') = 'true'
+                                         THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+           WHEN ct = 'VARCHAR' THEN TRY_CAST(json_extract_string(raw_output, '$.confidence') AS DOUBLE)
+           WHEN ct IN ('DOUBLE', 'UBIGINT', 'BIGINT') THEN json_extract(raw_output, '$.confidence')::DOUBLE
+      END END AS conf,
+    CASE WHEN ok AND jt = 'OBJECT' THEN json_extract_string(raw_output, '$.title') END AS title0,
+    CASE WHEN ok AND jt = 'OBJECT' THEN
+      coalesce(CAST(json_array_length(raw_output, '$.elements') AS BIGINT), 0) END AS n_el
+  FROM (SELECT *, CASE WHEN ok THEN json_type(raw_output) END AS jt,
+               CASE WHEN ok AND json_type(raw_output) = 'OBJECT' THEN json_type(raw_output, '$.confidence') END AS ct
+        FROM (SELECT *, coalesce(json_valid(raw_output), false) AS ok FROM resp))),
+review AS (
+  SELECT screen_id, run_id,
+         CASE WHEN route IN ('malformed', 'confidence_value') THEN 'JSONDecodeError' ELSE 'OllamaError' END
+           || ': ' || route AS reason,
+         left(raw_output, 2000) AS raw_output
+  FROM routed WHERE route <> 'valid'),
+valid AS (
+  SELECT screen_id, run_id, title0 AS title, n_el AS n_elements, conf AS confidence, 'v1' AS prompt_version
+  FROM routed WHERE route = 'valid')"""
