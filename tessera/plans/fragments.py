@@ -27,6 +27,34 @@ emb AS (
   SELECT vec_id, 'hash-image', 'v1', 'image', embedding[1:48], 'run' || (vec_id % 3), sha256('image:' || vec_id)
   FROM embeddings)"""
 
+def emb_zero(label: int) -> str:
+    """EMB with the image vectors of one embeddings label set to zero."""
+    return f"""
+emb AS (
+  SELECT vec_id AS screen_id, 'hash-text' AS model_name, 'v1' AS model_version, 'text' AS embedding_kind,
+         embedding AS vector, 'run' || (vec_id % 3) AS run_id, sha256('text:' || vec_id) AS source_fingerprint
+  FROM embeddings
+  UNION ALL
+  SELECT vec_id, 'hash-image', 'v1', 'image',
+         CASE WHEN label = {label} THEN list_transform(range(48), lambda i: 0.0::FLOAT) ELSE embedding[1:48] END,
+         'run' || (vec_id % 3), sha256('image:' || vec_id)
+  FROM embeddings)"""
+
+
+META_RERUNS = """
+meta_r AS (
+  SELECT * FROM meta
+  UNION ALL
+  SELECT screen_id, app_package, category, png_path, hierarchy_json_path, extraction_payload, prompt_version,
+         confidence, 'rerun' AS run_id, source_fingerprint FROM meta WHERE prompt_version IS NOT NULL)"""
+
+EMB_RERUNS = """
+emb_r AS (
+  SELECT * FROM emb
+  UNION ALL
+  SELECT screen_id, model_name, model_version, embedding_kind, vector, 'rerun' AS run_id, source_fingerprint
+  FROM emb WHERE screen_id IN (SELECT doc_id FROM labels))"""
+
 RUNS = """
 runs AS (
   SELECT 'run' || user_id AS run_id, 'dag-' || user_id AS dag_run_id,

@@ -64,8 +64,10 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+def emb(spark: SparkSession, sf_dir: str, zero_image_label: int | None = None) -> DataFrame:
+    """``zero_image_label``: fault injection — image vectors of that
+    embeddings label are replaced by zero vectors."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
 
     def kind(name, model, vec):
         return e.select(
@@ -78,8 +80,47 @@ def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sha2(F.concat(F.lit(name + ":"), F.col("vec_id").cast("string")), 256).alias("source_fingerprint"),
         )
 
-    return kind("text", TEXT_MODEL, F.col("embedding")).unionByName(
-        kind("image", IMAGE_MODEL, F.slice(F.col("embedding"), 1, IMAGE_DIMS)))
+    image = F.slice(F.col("embedding"), 1, IMAGE_DIMS)
+    if zero_image_label is not None:
+        image = F.when(F.col("label") == zero_image_label,
+                       F.array_repeat(F.lit(0.0).cast("float"), IMAGE_DIMS)).otherwise(image)
+    return kind("text", TEXT_MODEL, F.col("embedding")).unionByName(kind("image", IMAGE_MODEL, image))
+
+
+def meta_with_reruns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """META plus a second copy of every labelled row, as a re-run without
+    the conflict clause would leave it (duplicate ``screen_id``)."""
+    m = meta(spark, sf_dir)
+    again = m.where(F.col("prompt_version").isNotNull()).withColumn("run_id", F.lit("rerun"))
+    return m.unionByName(again)
+
+
+def emb_with_reruns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EMB plus a second copy of the rows whose screen has a label
+    (duplicate composite key)."""
+    e = emb(spark, sf_dir)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("screen_id"))
+    again = e.join(labels, "screen_id", "left_semi").withColumn("run_id", F.lit("rerun"))
+    return e.unionByName(again)
+
+
+def emb_with_bad_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EMB plus rows of a kind outside the CHECK list (label 9 as 'audio')."""
+    e = table(spark, sf_dir, "embeddings").where(F.col("label") == 9)
+    bad = e.select(F.col("vec_id").alias("screen_id"), F.lit("hash-audio").alias("model_name"),
+                   F.lit("v1").alias("model_version"), F.lit("audio").alias("embedding_kind"),
+                   F.col("embedding").alias("vector"), run_of(F.col("vec_id")).alias("run_id"),
+                   F.sha2(F.concat(F.lit("audio:"), F.col("vec_id").cast("string")), 256).alias("source_fingerprint"))
+    return emb(spark, sf_dir).unionByName(bad)
+
+
+def runs_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run table with repeated run ids: one row per (user, event type),
+    the run id taken from the user only."""
+    ev = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    g = ev.groupBy("user_id", "event_type").agg(F.min("ts").alias("started_at"))
+    return g.select(F.concat(F.lit("run"), F.col("user_id").cast("string")).alias("run_id"), "event_type",
+                    F.col("started_at").cast("timestamp_ntz").alias("started_at"))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
