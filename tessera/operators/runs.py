@@ -53,7 +53,7 @@ def close_runs(runs: DataFrame, outcome: DataFrame) -> DataFrame:
 
 def elapsed_seconds(start: Column, end: Column) -> Column:
     """Seconds between two naive (UTC) timestamps, microsecond exact."""
-    return F.timestampdiff("MICROSECOND", start, end) / F.lit(1_000_000.0)
+    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000.0)
 
 
 def duration(runs: DataFrame, now: dt.datetime | None = None) -> Column:
@@ -66,8 +66,10 @@ def duration(runs: DataFrame, now: dt.datetime | None = None) -> Column:
 
 def lookup_runs(ids: DataFrame, runs: DataFrame, key: str = "run_id") -> DataFrame:
     """Scalar lookup of run rows by id; absent → status unknown."""
-    return (ids.select(key).join(runs, key, "left")
-            .withColumn("status", F.coalesce(F.col("status"), F.lit(STATUS_UNKNOWN))))
+    out = ids.select(key).join(runs, key, "left")
+    if "status" in runs.columns:
+        out = out.withColumn("status", F.coalesce(F.col("status"), F.lit(STATUS_UNKNOWN)))
+    return out
 
 
 def status_ladder(meta: Column, image: Column, text: Column, total_meta: Column, total_image: Column,

@@ -1,4 +1,4 @@
 """Query catalogue: importing this package registers every query."""
 
-from tessera.plans import extract_plans, quality_plans, search_plans  # noqa: F401
+from tessera.plans import extract_plans, quality_plans, run_plans, search_plans  # noqa: F401
 from tessera.plans.registry import ORACLES, QUERIES  # noqa: F401
