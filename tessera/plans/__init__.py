@@ -1,4 +1,11 @@
 """Query catalogue: importing this package registers every query."""
 
-from tessera.plans import extract_plans, hierarchy_plans, quality_plans, run_plans, search_plans  # noqa: F401
+from tessera.plans import (  # noqa: F401
+    extract_plans,
+    hierarchy_plans,
+    quality_plans,
+    run_plans,
+    search_plans,
+    table_plans,
+)
 from tessera.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -29,7 +29,7 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     skipped, unique (A3).  Non-integer lines are dropped (``try_cast``)."""
     lines = spark.read.text(path)
     v = F.trim(F.col("value"))
-    return (lines.where((v != "") & ~v.startswith("#"))
+    return (lines.where((v != "") & ~F.col("value").startswith("#"))
             .select(v.try_cast("long").alias("id"))
             .where(F.col("id").isNotNull())
             .distinct())
