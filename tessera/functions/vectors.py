@@ -65,9 +65,14 @@ def distance(metric: str, a, b) -> Column:
 
 
 def l2_normalize(v) -> Column:
-    """Unit-length copy; a zero vector stays zero (no 0/0)."""
-    n = norm(v)
-    return F.when(n > 0, F.transform(_c(v), lambda x: (x.cast("double") / n).cast("float"))).otherwise(_c(v))
+    """Unit-length ``array<float>`` copy; a zero vector stays zero (no 0/0).
+
+    The squared norm is accumulated once and handed to the ``finish``
+    lambda, so it is not recomputed per element."""
+    return F.aggregate(
+        _c(v), F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"),
+        lambda ss: F.transform(_c(v), lambda x: F.when(ss > 0, x.cast("double") / F.sqrt(ss))
+                               .otherwise(x.cast("double")).cast("float")))
 
 
 def dims(v) -> Column:
