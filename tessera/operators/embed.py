@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import fingerprint
+from tessera.session import spread
 
 # Fixed values of the built-in encoders (must equal the oracle SQL).
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -92,7 +93,7 @@ def nibble_histogram_vectors(payload: Column) -> Column:
 def embed_text(df: DataFrame, text_col: str, run_id: str, key: str = "screen_id", dim: int = TEXT_DIMS,
                model: tuple[str, str] = TEXT_MODEL) -> DataFrame:
     """Embedding-table rows for texts (fingerprint = SHA-256 of the text)."""
-    return df.select(
+    return spread(df).select(
         F.col(key).alias("screen_id"), F.lit(model[0]).alias("model_name"), F.lit(model[1]).alias("model_version"),
         F.lit("text").alias("embedding_kind"), hash_text_vectors(F.col(text_col), dim).alias("vector"),
         F.lit(run_id).alias("run_id"), fingerprint(F.col(text_col)).alias("source_fingerprint"))
@@ -102,7 +103,7 @@ def embed_binary(df: DataFrame, bytes_col: str, run_id: str, key: str = "screen_
                  model: tuple[str, str] = BYTES_MODEL) -> DataFrame:
     """Embedding-table rows for payload bytes (fingerprint of the bytes)."""
     # counts first, as a column: the normalisation reads them twice
-    counted = df.withColumn("_counts", nibble_counts(F.col(bytes_col)))
+    counted = spread(df).withColumn("_counts", nibble_counts(F.col(bytes_col)))
     return counted.select(
         F.col(key).alias("screen_id"), F.lit(model[0]).alias("model_name"), F.lit(model[1]).alias("model_version"),
         F.lit("image").alias("embedding_kind"), unit(F.col("_counts")).alias("vector"),
@@ -129,4 +130,4 @@ def embed_with(df: DataFrame, input_col: str, make_encoder: Callable[[], Callabl
                 m = np.divide(m, n, out=np.zeros_like(m), where=n > 0)
             yield pd.DataFrame({key: pdf[key].to_numpy(), "vector": list(m.astype(np.float32))})
 
-    return df.select(key, input_col).mapInPandas(run, schema)
+    return spread(df.select(key, input_col)).mapInPandas(run, schema)

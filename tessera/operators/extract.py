@@ -25,9 +25,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import json
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.session import spread
 
 # Fixed values (must equal the reference's).
 PLACEHOLDER = "{hierarchy_text}"
@@ -81,56 +87,132 @@ def call_model(df: DataFrame, model: Callable[[list[str]], list[str]], prompt_co
     return df.select(*keys, prompt_col).mapInPandas(run, schema)
 
 
-def _route_columns(raw: Column) -> dict[str, Column]:
-    # '[' raw ']' parsed as one value: rejects trailing text and "{..}{..}"
-    wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
-    arr = F.try_variant_get(wrapped, "$", "array<variant>")
-    single = F.coalesce(F.size(arr) == 1, F.lit(False))
+def _bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable.
+
+    Catalyst inlines aliases (and pushes filters below projections), so a
+    parsed value referenced by several derived columns would be parsed again
+    for each reference; a lambda variable is evaluated exactly once."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _derive(arr: Column) -> Column:
     v = F.element_at(arr, 1)
+    single = F.coalesce(F.size(arr) == 1, F.lit(False))
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    conf = F.try_variant_get(v, "$.confidence", "variant")
-    ctype = F.schema_of_variant(conf)
-    as_text = F.try_variant_get(conf, "$", "string")
-    conf_value = (F.when(ctype == "BOOLEAN", F.when(F.try_variant_get(conf, "$", "boolean"), 1.0).otherwise(0.0))
-                  .when(ctype == "STRING", as_text.try_cast("double"))
-                  .otherwise(F.try_variant_get(conf, "$", "double")))
-    route = (F.when(~single, F.lit("malformed"))
-             .when(~is_obj, F.lit("not_an_object"))
-             .when(conf.isNull(), F.lit("valid"))
-             .when(F.is_variant_null(conf), F.lit("confidence_type"))
-             .when(ctype.startswith("OBJECT") | ctype.startswith("ARRAY"), F.lit("confidence_type"))
-             .when(conf_value.isNull(), F.lit("confidence_value"))
-             .otherwise(F.lit("valid")))
+
+    def with_conf(conf: Column) -> Column:
+        ctype = F.schema_of_variant(conf)
+        cval = (F.when(ctype == "BOOLEAN", F.when(F.try_variant_get(conf, "$", "boolean"), 1.0).otherwise(0.0))
+                .when(ctype == "STRING", F.try_variant_get(conf, "$", "string").try_cast("double"))
+                .otherwise(F.try_variant_get(conf, "$", "double")))
+        route = (F.when(~single, F.lit("malformed"))
+                 .when(~is_obj, F.lit("not_an_object"))
+                 .when(conf.isNull(), F.lit("valid"))
+                 .when(F.is_variant_null(conf), F.lit("confidence_type"))
+                 .when(ctype.startswith("OBJECT") | ctype.startswith("ARRAY"), F.lit("confidence_type"))
+                 .when(cval.isNull(), F.lit("confidence_value"))
+                 .otherwise(F.lit("valid")))
+        return F.struct(route.alias("route"), F.coalesce(cval, F.lit(DEFAULT_CONFIDENCE)).alias("confidence"))
+
+    rc = _bind(F.try_variant_get(v, "$.confidence", "variant"), with_conf)
+    return F.struct(rc["route"].alias("route"), rc["confidence"].alias("confidence"), v.alias("v"))
+
+
+def _classify_sql(df: DataFrame, raw_col: str = "raw_output", error_col: str | None = None) -> DataFrame:
+    """Pure-SQL routing over VARIANT (see ``classify``).
+
+    The text is parsed once per row ('[' raw ']' parsed as one value rejects
+    trailing text and "{..}{..}"); every derived field reads the bound
+    parsed value.  A call error (``error_col`` not null) routes to
+    ``call_error`` (second handler), like a failed HTTP call."""
+    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col(raw_col), F.lit("]")))
+    r = _bind(F.try_variant_get(wrapped, "$", "array<variant>"), _derive)
+    out = df.withColumn("_r", r)
+    route = F.col("_r.route")
+    if error_col is not None:
+        route = F.when(F.col(error_col).isNotNull(), F.lit("call_error")).otherwise(route)
+    valid = route == "valid"
+    # title / elements / body only for valid rows, from the parsed value
+    v = F.col("_r.v")
     body = F.to_json(F.map_filter(F.try_variant_get(v, "$", "map<string,variant>"),
                                   lambda k, _: k != F.lit("confidence")))
-    return {
-        "route": route,
-        "confidence": F.when(conf.isNull(), F.lit(DEFAULT_CONFIDENCE)).otherwise(conf_value),
-        "title": F.try_variant_get(v, "$.title", "string"),
-        "n_elements": F.coalesce(F.size(F.try_variant_get(v, "$.elements", "array<variant>")), F.lit(0)).cast("long"),
-        "body": body,
-    }
-
-
-def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None = None) -> DataFrame:
+    return (out.withColumn("route", route)
+            .withColumn("confidence", F.when(valid, F.col("_r.confidence")))
+            .withColumn("title", F.when(valid, F.try_variant_get(v, "$.title", "string")))
+            .withColumn("n_elements", F.when(valid, F.coalesce(
+                F.size(F.try_variant_get(v, "$.elements", "array<variant>")), F.lit(0)).cast("long")))
+            .withColumn("body", F.when(valid, body))
+            .drop("_r"))
+
+
+ROUTE_SCHEMA = T.StructType([
+    T.StructField("route", T.StringType()), T.StructField("confidence", T.DoubleType()),
+    T.StructField("title", T.StringType()), T.StructField("n_elements", T.LongType()),
+    T.StructField("body", T.StringType()),
+])
+
+
+def route_one(raw) -> tuple:
+    """Route one response exactly as the reference's handlers would
+    (Python's own parser and ``float``).  Returns
+    (route, confidence, title, n_elements, body)."""
+    if not isinstance(raw, str):
+        return ("malformed", None, None, None, None)
+    try:
+        payload = json.loads(raw)
+    except (ValueError, RecursionError):
+        return ("malformed", None, None, None, None)
+    if not isinstance(payload, dict):
+        return ("not_an_object", None, None, None, None)
+    if "confidence" in payload:
+        try:
+            conf = float(payload["confidence"])
+        except ValueError:
+            return ("confidence_value", None, None, None, None)
+        except TypeError:
+            return ("confidence_type", None, None, None, None)
+    else:
+        conf = DEFAULT_CONFIDENCE
+    body = {k: v for k, v in payload.items() if k != "confidence"}
+    title = payload.get("title")
+    if title is not None and not isinstance(title, str):
+        title = json.dumps(title)
+    els = payload.get("elements")
+    try:
+        body_text = json.dumps(body)
+    except ValueError:
+        body_text = None
+    return ("valid", conf if not (isinstance(conf, float) and math.isnan(conf)) else float("nan"), title,
+            len(els) if isinstance(els, list) else 0, body_text)
+
+
+@F.pandas_udf(ROUTE_SCHEMA)
+def _route_udf(raw: pd.Series) -> pd.DataFrame:
+    rows = [route_one(x) for x in raw.tolist()]
+    return pd.DataFrame(rows, columns=["route", "confidence", "title", "n_elements", "body"])
+
+
+def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None = None,
+             engine: str = "python") -> DataFrame:
     """Add ``route`` / ``confidence`` / ``title`` / ``n_elements`` / ``body``.
 
-    A call error (``error_col`` not null) routes to ``call_error`` (second
-    handler), like a failed HTTP call in the reference."""
-    cols = _route_columns(F.col(raw_col))
-    out = df
-    for name, c in cols.items():
-        out = out.withColumn(f"_{name}", c)
-    route = F.col("_route")
+    ``engine="python"`` (default) parses with Python's ``json`` inside an
+    Arrow-batched pandas UDF: exactly the reference's acceptance rules (NaN
+    literals, duplicate keys, ``float`` on text) and one parse per row.
+    ``engine="sql"`` is the pure-SQL variant over VARIANT (no Python
+    worker; NaN and duplicate keys count as malformed there).  A call error
+    (``error_col`` not null) routes to ``call_error`` (second handler)."""
+    if engine == "sql":
+        return _classify_sql(df, raw_col, error_col)
+    out = spread(df).withColumn("_r", _route_udf(F.col(raw_col)))
+    route = F.col("_r.route")
     if error_col is not None:
         route = F.when(F.col(error_col).isNotNull(), F.lit("call_error")).otherwise(route)
-    out = out.withColumn("route", route)
-    valid = F.col("route") == "valid"
-    return (out.withColumn("confidence", F.when(valid, F.col("_confidence")))
-            .withColumn("title", F.when(valid, F.col("_title")))
-            .withColumn("n_elements", F.when(valid, F.col("_n_elements")))
-            .withColumn("body", F.when(valid, F.col("_body")))
-            .drop("_route", "_confidence", "_title", "_n_elements", "_body"))
+    return (out.withColumn("route", route)
+            .withColumn("confidence", F.col("_r.confidence")).withColumn("title", F.col("_r.title"))
+            .withColumn("n_elements", F.col("_r.n_elements")).withColumn("body", F.col("_r.body"))
+            .drop("_r"))
 
 
 def handler_of(route: Column) -> Column:

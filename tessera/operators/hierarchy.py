@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import spread
+
 ELEMENT_SCHEMA = ("screen_id long, pos long, depth long, path array<int>, element_type string, text string, "
                   "x1 long, y1 long, x2 long, y2 long")
 STATUS_SCHEMA = "screen_id long, ok boolean, error string, n_elements long"
@@ -113,7 +115,7 @@ def elements(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarch
             yield pd.DataFrame(rows, columns=["screen_id", "pos", "depth", "path", "element_type", "text",
                                               "x1", "y1", "x2", "y2"])
 
-    return trees.select(F.col(key).cast("long").alias(key), json_col).mapInPandas(run, ELEMENT_SCHEMA)
+    return spread(trees.select(F.col(key).cast("long").alias(key), json_col)).mapInPandas(run, ELEMENT_SCHEMA)
 
 
 def tree_status(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarchy_json") -> DataFrame:

@@ -141,6 +141,8 @@ def emb_quality(emb: DataFrame) -> DataFrame:
     kind = F.col("embedding_kind")
     return emb.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("emb_count"),
+        F.count_if(kind == "image").alias("image_count"),
+        F.count_if(kind == "text").alias("text_count"),
         F.coalesce(F.avg(F.when(kind == "image", V.dims("vector"))), F.lit(0.0)).alias("image_vector_dims"),
         F.coalesce(F.avg(F.when(kind == "text", V.dims("vector"))), F.lit(0.0)).alias("text_vector_dims"),
         F.count_if(V.is_zero_vector("vector")).alias("zero_count"),

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import METRICS
+from tessera.session import spread
 
 PARTIAL_SCHEMA = "query_id long, id long, distance double, cls int"
 RESULT_SCHEMA = "query_id long, id long, distance double, rank long"
@@ -193,7 +194,7 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
                     yield _local_topk(metric, k, bq, bm, pdf["id"].to_numpy(dtype=np.int64), pdf["vector"],
                                       chunk, dim)
 
-        partial = vec.mapInPandas(scan, PARTIAL_SCHEMA)
+        partial = spread(vec).mapInPandas(scan, PARTIAL_SCHEMA)
         return _final_rank(partial, k)
 
     # blocked path: bounded co-groups, never all pairs as rows

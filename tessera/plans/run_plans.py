@@ -20,30 +20,34 @@ SUMMARY_FORMAT = ("this_run: meta=%d img=%d txt=%d extracted=%d review=%d | "
 
 
 def run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One wide row per run: counts, totals, quality, duration, status."""
+    """One wide row per run: counts, totals, quality, duration, status.
+
+    One aggregate per child table (partial + final, grouped by run); the
+    whole-table totals are scalar subqueries over those per-run aggregates
+    (a handful of rows), so no table is scanned twice for them."""
     meta = standins.meta(spark, sf_dir)
     emb = standins.emb(spark, sf_dir)
-    counts = QL.run_counts(meta, emb, review_frame(spark, sf_dir))
-    per = counts.where(F.col("is_total") == 0).drop("is_total")
-    tot = counts.where(F.col("is_total") == 1)
-    t_meta = tot.select("meta_count").scalar()
-    t_img = tot.select("image_count").scalar()
-    t_txt = tot.select("text_count").scalar()
-    mq = QL.meta_quality(meta).drop("meta_count")
+    mq = QL.meta_quality(meta)
     eq = QL.emb_quality(emb)
+    rq = review_frame(spark, sf_dir).groupBy("run_id").agg(F.count(F.lit(1)).alias("review_count"))
+    t_meta = mq.agg(F.sum("meta_count")).scalar()
+    t_emb = eq.agg(F.struct(F.sum("image_count").alias("i"), F.sum("text_count").alias("t"))).scalar()
+    t_img, t_txt = t_emb["i"], t_emb["t"]
     runs = standins.runs(spark, sf_dir)
-    w = runs.join(per, "run_id", "left").join(mq, "run_id", "left").join(eq, "run_id", "left")
-    zero_cols = ["meta_count", "image_count", "text_count", "review_count", "extracted_count", "payload_count",
+    w = runs.join(mq, "run_id", "left").join(eq, "run_id", "left").join(rq, "run_id", "left")
+    zero_cols = ["meta_count", "image_count", "text_count", "review_count", "payload_count",
                  "confident_count", "distinct_app_package_count", "distinct_category_count", "emb_count",
                  "zero_count"]
     for c in zero_cols:
         w = w.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("long"))
     for c in ("image_vector_dims", "text_vector_dims"):
         w = w.withColumn(c, F.coalesce(F.col(c), F.lit(0.0)))
+    w = w.withColumn("extracted_count", F.col("payload_count"))
     status, reason = R.status_ladder(F.col("meta_count"), F.col("image_count"), F.col("text_count"),
                                      t_meta, t_img, t_txt, F.col("limit_param"))
     n = F.col("meta_count")
-    return (w.withColumn("total_meta", t_meta).withColumn("total_image", t_img).withColumn("total_text", t_txt)
+    return (w.withColumn("total_meta", t_meta.cast("long")).withColumn("total_image", t_img.cast("long"))
+            .withColumn("total_text", t_txt.cast("long"))
             .withColumn("status", status).withColumn("reason", reason)
             .withColumn("total_run_duration_seconds", R.elapsed_seconds(F.col("started_at"), F.col("ended_at")))
             .withColumn("final_run_status", R.status_flag(F.col("status")))

@@ -87,3 +87,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     base = spark.conf.get("spark.checkpoint.dir", None)
     sc.setCheckpointDir(base or tempfile.mkdtemp(prefix="tessera-ckpt-"))
+
+
+def spread(df, min_partitions: int | None = None):
+    """Spread CPU-heavy per-row work over the cluster's cores.
+
+    Only when the input has fewer partitions than the default parallelism
+    (a small table in one file / row group) is it round-robin repartitioned;
+    a large input, already split into many partitions, is left untouched —
+    no extra shuffle at scale."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 — e.g. Spark Connect: leave as is
+        return df
+    return df.repartition(target) if n < target else df
