@@ -41,7 +41,7 @@ BYTES_MODEL = ("nibble-hist", "v1")
 
 def token_buckets(text: Column, dim: int = TEXT_DIMS) -> Column:
     """``array<int>`` of hash buckets of the tokens of a text."""
-    toks = F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != "")
+    toks = F.array_remove(F.split(F.lower(text), TOKEN_SPLIT), "")
     return F.transform(toks, lambda t: F.pmod(
         F.conv(F.substring(F.md5(t), 1, HASH_HEX_DIGITS), 16, 10).cast("long"), F.lit(dim)).cast("int"))
 
@@ -49,15 +49,17 @@ def token_buckets(text: Column, dim: int = TEXT_DIMS) -> Column:
 def _bincount_udf(dim: int):
     @F.pandas_udf(T.ArrayType(T.FloatType(), containsNull=False))
     def unit_counts(buckets: pd.Series) -> pd.Series:
-        out = []
-        for b in buckets:
-            if b is None:
-                out.append(None)
-                continue
-            c = np.bincount(np.asarray(b, dtype=np.int64), minlength=dim).astype(np.float64)
-            n = np.sqrt((c * c).sum())
-            out.append((c / n if n > 0 else c).astype(np.float32))
-        return pd.Series(out)
+        # one bincount for the whole Arrow batch: index = row * dim + bucket
+        n = len(buckets)
+        present = buckets.notna().to_numpy()
+        lens = np.array([len(b) if ok else 0 for b, ok in zip(buckets, present)], dtype=np.int64)
+        flat = (np.concatenate([np.asarray(b, dtype=np.int64) for b, ok in zip(buckets, present) if ok])
+                if lens.sum() else np.zeros(0, dtype=np.int64))
+        rows = np.repeat(np.arange(n, dtype=np.int64), lens)
+        m = np.bincount(rows * dim + flat, minlength=n * dim).reshape(n, dim).astype(np.float64)
+        nrm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+        m = np.divide(m, nrm, out=m, where=nrm > 0).astype(np.float32)
+        return pd.Series([m[i] if present[i] else None for i in range(n)])
 
     return unit_counts
 

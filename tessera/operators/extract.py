@@ -97,7 +97,7 @@ def _bind(value: Column, fn) -> Column:
 
 
 def _derive(arr: Column) -> Column:
-    v = F.element_at(arr, 1)
+    v = F.try_element_at(arr, F.lit(1))
     single = F.coalesce(F.size(arr) == 1, F.lit(False))
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 

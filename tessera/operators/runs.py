@@ -93,7 +93,7 @@ def status_ladder(meta: Column, image: Column, text: Column, total_meta: Column,
 
 def status_symbol(status: Column) -> Column:
     m = F.create_map(*[F.lit(x) for kv in STATUS_SYMBOLS.items() for x in kv])
-    return F.coalesce(F.element_at(m, status), F.lit(DEFAULT_SYMBOL))
+    return F.coalesce(F.try_element_at(m, status), F.lit(DEFAULT_SYMBOL))
 
 
 def status_flag(status: Column) -> Column:

@@ -113,7 +113,7 @@ def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = V.l2_normalize(scaled)
     return e.select(F.col("vec_id").alias("screen_id"), F.round(V.norm(scaled), 6).alias("norm_before"),
                     F.round(V.norm(u), 6).alias("norm_after"),
-                    F.round(F.element_at(u, 1).cast("double"), 6).alias("first_after"))
+                    F.round(F.try_element_at(u, F.lit(1)).cast("double"), 6).alias("first_after"))
 
 
 def _text_vectors(spark, sf_dir):
