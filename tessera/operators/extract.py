@@ -187,10 +187,14 @@ def route_one(raw) -> tuple:
             len(els) if isinstance(els, list) else 0, body_text)
 
 
-@F.pandas_udf(ROUTE_SCHEMA)
-def _route_udf(raw: pd.Series) -> pd.DataFrame:
-    rows = [route_one(x) for x in raw.tolist()]
-    return pd.DataFrame(rows, columns=["route", "confidence", "title", "n_elements", "body"])
+def _route_batches(raw_col: str):
+    def run(batches):
+        for pdf in batches:
+            routed = pd.DataFrame([route_one(x) for x in pdf[raw_col].tolist()],
+                                  columns=[f.name for f in ROUTE_SCHEMA.fields], index=pdf.index)
+            yield pd.concat([pdf, routed], axis=1)
+
+    return run
 
 
 def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None = None,
@@ -205,14 +209,14 @@ def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None =
     (``error_col`` not null) routes to ``call_error`` (second handler)."""
     if engine == "sql":
         return _classify_sql(df, raw_col, error_col)
-    out = spread(df).withColumn("_r", _route_udf(F.col(raw_col)))
-    route = F.col("_r.route")
+    # mapInPandas, not a scalar UDF: a later filter on the route cannot be
+    # pushed below it, so each response is parsed exactly once
+    schema = T.StructType(list(df.schema.fields) + list(ROUTE_SCHEMA.fields))
+    out = spread(df).mapInPandas(_route_batches(raw_col), schema)
     if error_col is not None:
-        route = F.when(F.col(error_col).isNotNull(), F.lit("call_error")).otherwise(route)
-    return (out.withColumn("route", route)
-            .withColumn("confidence", F.col("_r.confidence")).withColumn("title", F.col("_r.title"))
-            .withColumn("n_elements", F.col("_r.n_elements")).withColumn("body", F.col("_r.body"))
-            .drop("_r"))
+        out = out.withColumn("route", F.when(F.col(error_col).isNotNull(), F.lit("call_error"))
+                             .otherwise(F.col("route")))
+    return out
 
 
 def handler_of(route: Column) -> Column:
