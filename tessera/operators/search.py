@@ -86,43 +86,88 @@ def _distances(metric: str, q: np.ndarray, v: np.ndarray) -> np.ndarray:
     raise ValueError(f"unknown metric {metric!r}; expected one of {METRICS}")
 
 
-def _local_topk(metric: str, k: int, qids: np.ndarray, q: np.ndarray, ids: np.ndarray, vecs: pd.Series,
-                chunk_rows: int, dim: int | None) -> pd.DataFrame:
-    """Top-k per query of ``q`` against one bunch of vectors; ties by id."""
-    out = []
-    n = len(ids)
-    for start in range(0, n, chunk_rows):
+DIST_BUDGET = 4 * 1024 * 1024      # distance entries per block (32 MB of float64)
+_COMPOSITE_LIMIT = 1e8             # |distance| below this: exact integer (distance, id) key
+
+
+def _empty_best(nq: int):
+    z = np.zeros((nq, 0))
+    return z.astype(np.int8), z.astype(np.float64), z.astype(np.int64)
+
+
+def _merge(best, cand, k: int):
+    """Keep the k smallest (class, distance, id) per query row."""
+    cls = np.concatenate([best[0], cand[0]], axis=1)
+    dist = np.concatenate([best[1], cand[1]], axis=1)
+    ids = np.concatenate([best[2], cand[2]], axis=1)
+    key = np.where(cls == 0, dist, 0.0)
+    order = np.lexsort((ids, key, cls), axis=1)[:, :k]
+    return (np.take_along_axis(cls, order, 1), np.take_along_axis(dist, order, 1),
+            np.take_along_axis(ids, order, 1))
+
+
+def _block_topk(d: np.ndarray, vid: np.ndarray, kk: int):
+    """Exact top-kk of one distance block by (class, distance, id).
+
+    ``vid`` is sorted, so the column index orders ties by id.  Distances are
+    rounded to 6 decimals, hence ``rint(d·1e6)·m + column`` is an exact
+    integer key and ``argpartition`` needs no tie handling."""
+    nan = np.isnan(d)
+    m = d.shape[1]
+    finite = np.where(nan, 0.0, d)
+    if not d.size or np.abs(finite).max() < _COMPOSITE_LIMIT:
+        base = np.rint(finite * 1e6).astype(np.int64)
+        base[nan] = (np.iinfo(np.int64).max // (2 * m)) - 1
+        comp = base * m + np.arange(m, dtype=np.int64)[None, :]
+        idx = np.argpartition(comp, kk - 1, axis=1)[:, :kk] if kk < m else np.broadcast_to(
+            np.arange(m), comp.shape).copy()
+        idx = np.take_along_axis(idx, np.argsort(np.take_along_axis(comp, idx, 1), axis=1), 1)
+    else:  # huge magnitudes: stable sort on the float key (still exact)
+        idx = np.argsort(np.where(nan, np.inf, d), axis=1, kind="stable")[:, :kk]
+    return (np.take_along_axis(nan, idx, 1).astype(np.int8), np.take_along_axis(d, idx, 1), vid[idx])
+
+
+def _local_topk(metric: str, k: int, q: np.ndarray, ids: np.ndarray, vecs: pd.Series, chunk_rows: int,
+                dim: int | None, best=None):
+    """Running top-k of every query row of ``q`` against a bunch of vectors.
+
+    Memory stays bounded whatever the sizes: vectors in chunks, queries in
+    sub-blocks so a distance block has at most ``DIST_BUDGET`` entries, and
+    only k candidates per query are carried between chunks."""
+    nq = q.shape[0]
+    best = best if best is not None else _empty_best(nq)
+    if nq == 0 or len(ids) == 0:
+        return best
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    vecs = vecs.iloc[order]
+    for start in range(0, len(ids), chunk_rows):
         c_ids = ids[start:start + chunk_rows]
         mat, valid, _ = _stack(vecs.iloc[start:start + chunk_rows], dim)
-        nq = len(qids)
-        if valid.any() and nq:
-            if metric == "l2":
-                # keep the (q, v, d) cube under ~64 MB
-                step = max(1, (8 * 1024 * 1024) // max(1, mat.shape[0] * max(1, mat.shape[1])))
-                d = np.vstack([_distances(metric, q[i:i + step], mat) for i in range(0, nq, step)])
-            else:
-                d = _distances(metric, q, mat)
-            d = np.round(d, ROUND)
-            vid = c_ids[valid]
-            cls = np.where(np.isnan(d), 1, 0)
-            key = np.where(np.isnan(d), np.inf, d)
-            kk = min(k, key.shape[1])
-            thr = np.partition(key, kk - 1, axis=1)[:, kk - 1:kk]
-            qi, vi = np.nonzero(key <= thr)
-            out.append(pd.DataFrame({"query_id": qids[qi], "id": vid[vi], "distance": d[qi, vi],
-                                     "cls": cls[qi, vi].astype(np.int32)}))
-        if (~valid).any() and nq:
+        vid = c_ids[valid]
+        m = len(vid)
+        if m:
+            kk = min(k, m)
+            width = m * (mat.shape[1] if metric == "l2" else 1)
+            step = max(1, DIST_BUDGET // max(1, width))
+            parts = [_block_topk(np.round(_distances(metric, q[i:i + step], mat), ROUND), vid, kk)
+                     for i in range(0, nq, step)]
+            cand = tuple(np.concatenate([p[j] for p in parts], axis=0) for j in range(3))
+            best = _merge(best, cand, k)
+        if (~valid).any():
             # null vectors rank after everything; only the k smallest ids can matter
-            nid = np.sort(c_ids[~valid])[:k]
-            out.append(pd.DataFrame({"query_id": np.repeat(qids, len(nid)), "id": np.tile(nid, nq),
-                                     "distance": np.full(nq * len(nid), np.nan),
-                                     "cls": np.full(nq * len(nid), 2, dtype=np.int32)}))
-    if not out:
-        return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "id": pd.Series([], dtype="int64"),
-                             "distance": pd.Series([], dtype="float64"), "cls": pd.Series([], dtype="int32")})
-    res = pd.concat(out, ignore_index=True)
-    res = res.sort_values(["query_id", "cls", "distance", "id"], na_position="last", kind="mergesort")
-    return res.groupby("query_id", sort=False).head(k)
+            nid = c_ids[~valid][:k]
+            cand = (np.full((nq, len(nid)), 2, dtype=np.int8), np.full((nq, len(nid)), np.nan),
+                    np.broadcast_to(nid, (nq, len(nid))).copy())
+            best = _merge(best, cand, k)
+    return best
+
+
+def _best_frame(qids: np.ndarray, best) -> pd.DataFrame:
+    cls, dist, ids = best
+    n = cls.shape[1]
+    return pd.DataFrame({"query_id": np.repeat(qids, n), "id": ids.reshape(-1),
+                         "distance": dist.reshape(-1), "cls": cls.reshape(-1).astype(np.int32)})
 
 
 def _final_rank(partial: DataFrame, k: int) -> DataFrame:
@@ -189,10 +234,13 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
 
         def scan(batches):
             bq, bm = fetch()
+            best = None
             for pdf in batches:
                 if len(pdf) and len(bq):
-                    yield _local_topk(metric, k, bq, bm, pdf["id"].to_numpy(dtype=np.int64), pdf["vector"],
-                                      chunk, dim)
+                    best = _local_topk(metric, k, bm, pdf["id"].to_numpy(dtype=np.int64), pdf["vector"],
+                                       chunk, dim, best)
+            if best is not None:
+                yield _best_frame(bq, best)
 
         partial = spread(vec).mapInPandas(scan, PARTIAL_SCHEMA)
         return _final_rank(partial, k)
@@ -212,11 +260,11 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
 
     def block(qpdf: pd.DataFrame, vpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(vpdf) == 0:
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "id": pd.Series([], dtype="int64"),
-                                 "distance": pd.Series([], dtype="float64"), "cls": pd.Series([], dtype="int32")})
+            return _best_frame(np.zeros(0, dtype=np.int64), _empty_best(0))
         qm, _, dim = _stack(qpdf["qv"], None)
-        return _local_topk(metric, k, qpdf["qid"].to_numpy(dtype=np.int64), qm,
-                           vpdf["id"].to_numpy(dtype=np.int64), vpdf["vector"], chunk, dim)
+        qids = qpdf["qid"].to_numpy(dtype=np.int64)
+        best = _local_topk(metric, k, qm, vpdf["id"].to_numpy(dtype=np.int64), vpdf["vector"], chunk, dim)
+        return _best_frame(qids, best)
 
     partial = qs.groupBy("qb", "vb").cogroup(vs.groupBy("qb", "vb")).applyInPandas(block, PARTIAL_SCHEMA)
     return _final_rank(partial, k)

@@ -81,3 +81,28 @@ def test_vectors_without_metadata_do_not_use_up_k(spark):
     meta = spark.createDataFrame([(1, "a"), (3, "c")], "screen_id long, app string")
     got = sorted(search(qs, vs, 2, "cosine", metadata=meta).collect(), key=lambda r: r.rank)
     assert [r.screen_id for r in got] == [1, 3]
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "ip"])
+def test_kernel_budget_chunks_and_ties(monkeypatch, metric):
+    import pandas as pd
+
+    from tessera.operators import search as S
+
+    monkeypatch.setattr(S, "DIST_BUDGET", 7)          # force many query sub-blocks
+    rng = np.random.default_rng(3)
+    q = rng.integers(-2, 3, size=(9, 3)).astype(float)
+    q[0] = 0.0                                          # zero query -> all NaN for cosine
+    vecs = [rng.integers(-2, 3, size=3).astype(float) for _ in range(40)]
+    vecs[5] = np.zeros(3)
+    ids = rng.permutation(np.arange(100, 140))
+    series = pd.Series([None if i % 13 == 0 else v for i, v in enumerate(vecs)])
+    best = S._local_topk(metric, 4, q, ids.astype(np.int64), series, chunk_rows=6, dim=3)
+    got = S._best_frame(np.arange(9), best)
+    want = brute({i: q[i] for i in range(9)},
+                 {int(ids[j]): (None if j % 13 == 0 else vecs[j]) for j in range(40)}, 4, metric)
+    for qi in range(9):
+        rows = got[got.query_id == qi]
+        nonnull = [int(x) for x, c in zip(rows.id, rows.cls) if c != 2]
+        assert nonnull == want[qi][:len(nonnull)]
+        assert len(rows) == 4
