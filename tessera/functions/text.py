@@ -23,6 +23,12 @@ def strip_all(c) -> Column:
     return F.regexp_replace(F.coalesce(_c(c), F.lit("")), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
 
+def is_blank(c) -> Column:
+    """Null, empty or only whitespace — stops at the first visible character
+    instead of stripping the whole text."""
+    return F.coalesce(~F.regexp_like(_c(c), F.lit(r"[^\s\p{Z}]")), F.lit(True))
+
+
 def class_name(c) -> Column:
     """Last dotted part of a class name ('' stays '')."""
     return F.substring_index(_c(c), ".", -1)

@@ -42,14 +42,19 @@ RAW_OUTPUT_LIMIT = 2000
 FIRST_HANDLER = "JSONDecodeError"
 SECOND_HANDLER = "OllamaError"
 DEFAULT_CONFIDENCE = 0.0
+LOW_CONFIDENCE_HANDLER = "LowConfidence"   # extension, not a reference value
 
 ROUTES_FIRST = ("malformed", "confidence_value")
 ROUTES_SECOND = ("not_an_object", "confidence_type")
 
 
 def render_prompts(df: DataFrame, template: str, text_col: str = "text") -> DataFrame:
-    """Literal (not regex) replacement of the placeholder by the row's text."""
-    return df.withColumn("prompt", F.replace(F.lit(template), F.lit(PLACEHOLDER), F.col(text_col)))
+    """Literal (not regex) replacement of the placeholder by the row's text.
+
+    Extension: ``prompt_sha256`` pins the template by hash (lineage) instead
+    of a hand-written version label."""
+    return (df.withColumn("prompt", F.replace(F.lit(template), F.lit(PLACEHOLDER), F.col(text_col)))
+            .withColumn("prompt_sha256", F.sha2(F.lit(template), 256)))
 
 
 def call_model(df: DataFrame, model: Callable[[list[str]], list[str]], prompt_col: str = "prompt",
@@ -198,7 +203,7 @@ def _route_batches(raw_col: str):
 
 
 def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None = None,
-             engine: str = "python") -> DataFrame:
+             engine: str = "python", min_confidence: float | None = None) -> DataFrame:
     """Add ``route`` / ``confidence`` / ``title`` / ``n_elements`` / ``body``.
 
     ``engine="python"`` (default) parses with Python's ``json`` inside an
@@ -208,7 +213,7 @@ def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None =
     worker; NaN and duplicate keys count as malformed there).  A call error
     (``error_col`` not null) routes to ``call_error`` (second handler)."""
     if engine == "sql":
-        return _classify_sql(df, raw_col, error_col)
+        return _low_confidence(_classify_sql(df, raw_col, error_col), min_confidence)
     # mapInPandas, not a scalar UDF: a later filter on the route cannot be
     # pushed below it, so each response is parsed exactly once
     schema = T.StructType(list(df.schema.fields) + list(ROUTE_SCHEMA.fields))
@@ -216,11 +221,21 @@ def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None =
     if error_col is not None:
         out = out.withColumn("route", F.when(F.col(error_col).isNotNull(), F.lit("call_error"))
                              .otherwise(F.col("route")))
-    return out
+    return _low_confidence(out, min_confidence)
+
+
+def _low_confidence(out: DataFrame, min_confidence: float | None) -> DataFrame:
+    """Extension (off by default): valid rows under the threshold go to
+    review as ``low_confidence``."""
+    if min_confidence is None:
+        return out
+    low = (F.col("route") == "valid") & (F.col("confidence") < F.lit(float(min_confidence)))
+    return out.withColumn("route", F.when(low, F.lit("low_confidence")).otherwise(F.col("route")))
 
 
 def handler_of(route: Column) -> Column:
     return (F.when(route.isin(*ROUTES_FIRST), F.lit(FIRST_HANDLER))
+            .when(route == "low_confidence", F.lit(LOW_CONFIDENCE_HANDLER))
             .when(route == "valid", F.lit(None).cast("string"))
             .otherwise(F.lit(SECOND_HANDLER)))
 

@@ -302,3 +302,20 @@ def top1_side_by_side(left: DataFrame, right: DataFrame, left_name: str, right_n
                                                  F.col("distance").alias(f"{right_name}_distance"))
     out = lt.join(rt, key, "full_outer")
     return out.withColumn("agree", F.coalesce(F.col(f"{left_name}_id") == F.col(f"{right_name}_id"), F.lit(False)))
+
+
+RRF_C = 60
+
+
+def reciprocal_rank_fusion(ranked: list[DataFrame], k: int, c: int = RRF_C) -> DataFrame:
+    """Extension — combine several top-k lists per query: score =
+    Σ 1 / (c + rank); top-k by score, then id.  One aggregate over the
+    (small) union of ranked lists, then the same bounded window top-k."""
+    u = ranked[0].select("query_id", "id", "rank")
+    for r in ranked[1:]:
+        u = u.unionByName(r.select("query_id", "id", "rank"))
+    fused = u.groupBy("query_id", "id").agg(F.sum(F.lit(1.0) / (F.lit(c) + F.col("rank"))).alias("score"))
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
+    return (fused.withColumn("rank", F.row_number().over(w).cast("long"))
+            .where(F.col("rank") <= k)
+            .select("query_id", "id", F.round("score", 9).alias("score"), "rank"))

@@ -51,6 +51,23 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys, order_col: str
     return target.unionByName(delta.select(*target.columns)), delta
 
 
+def upsert_latest(target: DataFrame, source: DataFrame, keys, order_col: str | None = None):
+    """Extension — ``ON CONFLICT DO UPDATE``: the last source row per key
+    replaces the target row; other target rows stay.  Returns (new table,
+    changed rows)."""
+    keys = list(keys)
+    cols = [c for c in target.columns]
+    if order_col:
+        rest = [c for c in cols if c not in keys]
+        latest = (source.groupBy(*keys)
+                  .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_r"))
+                  .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
+    else:
+        latest = first_per_key(source.select(*cols), keys)
+    kept = target.join(latest.select(*keys), keys, "left_anti")
+    return kept.unionByName(latest.select(*cols)), latest.select(*cols)
+
+
 def conflicts(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """Source rows whose key already exists (a strict insert would fail)."""
     return source.join(target.select(*keys).distinct(), list(keys), "left_semi")

@@ -157,7 +157,7 @@ def recall_self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     index with its own vector; denominator = screens tested."""
     v = _text_vectors(spark, sf_dir)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("screen_id"), "text")
-    q = (v.join(docs, "screen_id").where(T.strip_all("text") != "")
+    q = (v.join(docs, "screen_id").where(~T.is_blank("text"))
          .select(F.col("screen_id").alias("query_id"), F.col("screen_id").alias("expected_id"),
                  F.col("vector").alias("query_vector")))
     return EV.recall(EV.hits(q, v, K_RECALL))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.search import knn, search, top1_side_by_side
+from tessera.operators.search import knn, reciprocal_rank_fusion, search, top1_side_by_side
 from tessera.plans import fragments as Q
 from tessera.plans.registry import register
 from tessera.sources import standins
@@ -124,3 +124,28 @@ def multimodal_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standins.emb(spark, sf_dir).select(
         "screen_id", "embedding_kind", "model_name", "model_version", F.size("vector").cast("long").alias("dims"),
         "run_id", "source_fingerprint")
+
+
+@register("retriever_fusion", f"""
+WITH {Q.EMB},
+{Q.centroids('text', 'ct')}, {Q.centroids('image', 'ci')},
+dt AS (SELECT ct.query_id, e.screen_id, {Q.dist('cosine', 'ct.qv', 'e.vector::DOUBLE[]')} AS distance
+       FROM ct, emb e WHERE e.embedding_kind = 'text'),
+di AS (SELECT ci.query_id, e.screen_id, {Q.dist('cosine', 'ci.qv', 'e.vector::DOUBLE[]')} AS distance
+       FROM ci, emb e WHERE e.embedding_kind = 'image'),
+rt AS (SELECT * FROM (SELECT query_id, screen_id,
+         row_number() OVER (PARTITION BY query_id ORDER BY distance, screen_id) AS rank FROM dt) WHERE rank <= {K}),
+ri AS (SELECT * FROM (SELECT query_id, screen_id,
+         row_number() OVER (PARTITION BY query_id ORDER BY distance, screen_id) AS rank FROM di) WHERE rank <= {K}),
+f AS (SELECT query_id, screen_id, sum(1.0::DOUBLE / (60 + rank)) AS score
+      FROM (SELECT * FROM rt UNION ALL SELECT * FROM ri) GROUP BY query_id, screen_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, screen_id) AS rank FROM f)
+SELECT query_id, screen_id, round(score, 9) AS score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= {K}""")
+def retriever_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extension: reciprocal-rank fusion of the text and image retrievers'
+    top-5 lists per label centroid."""
+    t = knn(label_centroids(spark, sf_dir, "text"), vectors_of(spark, sf_dir, "text"), K, "cosine",
+            vec_id="screen_id")
+    i = knn(label_centroids(spark, sf_dir, "image"), vectors_of(spark, sf_dir, "image"), K, "cosine",
+            vec_id="screen_id")
+    return reciprocal_rank_fusion([t, i], K).select("query_id", F.col("id").alias("screen_id"), "score", "rank")

@@ -217,3 +217,22 @@ def text_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", T.preview("text").alias("preview"),
                     T.cut(T.fingerprint("text"), T.FINGERPRINT_PREFIX).alias("fingerprint_prefix"),
                     T.cut("text", 2000).alias("raw_cut"))
+
+
+@register("upsert_latest", f"""
+WITH {Q.META}
+SELECT screen_id, upper(category) AS category, 'rerun' AS run_id FROM meta
+WHERE screen_id IN (SELECT doc_id FROM labels)
+UNION ALL
+SELECT screen_id, category, run_id FROM meta WHERE screen_id NOT IN (SELECT doc_id FROM labels)""")
+def upsert_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extension — ON CONFLICT DO UPDATE: re-ingested labelled screens (two
+    arrivals, the later one wins) replace their rows; the rest stay."""
+    meta = standins.meta(spark, sf_dir).select("screen_id", "category", "run_id")
+    again = meta.join(_labelled(spark, sf_dir), "screen_id", "left_semi")
+    src = (again.withColumn("category", F.lower("category")).withColumn("run_id", F.lit("early"))
+           .withColumn("arrival", F.lit(1))
+           .unionByName(again.withColumn("category", F.upper("category")).withColumn("run_id", F.lit("rerun"))
+                        .withColumn("arrival", F.lit(2))))
+    table_, _ = TB.upsert_latest(meta, src, ["screen_id"], order_col="arrival")
+    return table_

@@ -81,3 +81,14 @@ def test_render_prompts_is_literal(spark):
     df = spark.createDataFrame([("a$1\\b",)], "text string")
     p = X.render_prompts(df, "<{hierarchy_text}>").collect()[0].prompt
     assert p == "<a$1\\b>"
+
+
+@pytest.mark.parametrize("engine", ["python", "sql"])
+def test_low_confidence_route_is_opt_in(spark, engine):
+    df = spark.createDataFrame([(1, "r", '{"confidence": 0.2}'), (2, "r", '{"confidence": 0.9}')],
+                               "screen_id long, run_id string, raw_output string")
+    off = {r.screen_id: r.route for r in X.classify(df, engine=engine).collect()}
+    assert off == {1: "valid", 2: "valid"}
+    on = X.classify(df, engine=engine, min_confidence=0.5)
+    assert {r.screen_id: r.route for r in on.collect()} == {1: "low_confidence", 2: "valid"}
+    assert X.review_rows(on).collect()[0].reason == "LowConfidence: low_confidence"

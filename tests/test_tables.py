@@ -68,3 +68,11 @@ def test_bronze_defaults_only_for_absent_fields(spark):
     assert b[2].png_path == "screens/2.png" and b[2].hierarchy_json_path == "screens/2.json"
     src2 = spark.createDataFrame([(3, None, b"")], "screenId long, app_package_name string, image binary")
     assert I.to_bronze(src2, "run").collect()[0].app_package is None  # present null stays null
+
+
+def test_upsert_latest_replaces_and_keeps(spark):
+    target = df(spark, [(1, "old", 0), (2, "keep", 0)]).drop("arrival")
+    src = df(spark, [(1, "a", 1), (1, "b", 2), (3, "c", 1)])
+    table_, changed = TB.upsert_latest(target, src, ["screen_id"], order_col="arrival")
+    assert {r.screen_id: r.v for r in table_.collect()} == {1: "b", 2: "keep", 3: "c"}
+    assert changed.count() == 2
