@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
+from tessera.session import broadcast_if_small
 
 # Fixed values (must equal the reference's).
 AUDIT_NAME = "duplicate_key_check"
@@ -96,10 +97,17 @@ def null_counts(df: DataFrame, required, table_name: str) -> DataFrame:
             .withColumn("table", F.lit(table_name)))
 
 
-def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose key has no parent row (referential check)."""
+def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None,
+            max_broadcast_keys: int = 1_000_000) -> DataFrame:
+    """Child rows whose key has no parent row (referential check).
+
+    The parent key set (e.g. run ids) is broadcast when its size is checked
+    small, so a child key holding a third of the rows is never sorted into
+    one task; a large key set falls back to a shuffled anti join (AQE splits
+    skewed partitions)."""
     pk = parent_key or key
-    return child.join(parent.select(F.col(pk).alias(key)).distinct(), key, "left_anti")
+    keys = parent.select(F.col(pk).alias(key)).distinct()
+    return child.join(broadcast_if_small(keys, max_broadcast_keys), key, "left_anti")
 
 
 def run_counts(meta: DataFrame, emb: DataFrame, review: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import broadcast_if_small
+
 
 class InsertConflict(RuntimeError):
     """Strict insert found keys that already exist."""
@@ -116,7 +118,7 @@ def touch(target: DataFrame, keys_df: DataFrame, keys, ts_col: str, ts_value) ->
 
 def cascade_delete(children: dict[str, DataFrame], deleted_runs: DataFrame, key: str = "run_id") -> dict:
     """Remove every child row of the deleted runs (ON DELETE CASCADE)."""
-    gone = deleted_runs.select(key).distinct()
+    gone = broadcast_if_small(deleted_runs.select(key).distinct())
     return {name: df.join(gone, key, "left_anti") for name, df in children.items()}
 
 

@@ -103,3 +103,13 @@ def spread(df, min_partitions: int | None = None):
     except Exception:  # noqa: BLE001 — e.g. Spark Connect: leave as is
         return df
     return df.repartition(target) if n < target else df
+
+
+def broadcast_if_small(df, max_rows: int = 1_000_000):
+    """Broadcast hint only behind a checked bound: counts at most
+    ``max_rows + 1`` rows of ``df`` (a small key set such as run ids); a
+    larger side is returned unchanged and the planner/AQE decide."""
+    from pyspark.sql import functions as F
+
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -1,12 +1,14 @@
 """Incremental, idempotent ingest with Structured Streaming.
 
-file source → de-duplication on the key → ``foreachBatch`` insert-if-absent
-(anti-join against what the target already holds) → append.
+file source → de-duplication on the key (streaming state) → ``foreachBatch``
+writing each micro-batch once.
 
-Exactly-once comes from two layers: the checkpoint (offsets + dedup state)
-makes a restarted query resume where it stopped, and the anti-join makes a
-re-executed micro-batch a no-op even if state was lost.  Each append is one
-job-level commit, so a failed batch leaves nothing half-written.
+Exactly-once: the checkpoint (offsets + dedup state) makes a restarted query
+resume where it stopped, and every micro-batch is written to its own
+``batch_id=<epoch>`` folder with overwrite, so a re-executed epoch replaces
+its own output instead of appending twice (no scan of the target).  Each
+write is one job-level commit.  ``check_target=True`` adds an anti-join
+against the target for sources whose repeats can outlive the dedup state.
 
 State: ``dropDuplicates(key)`` keeps every key seen; for unbounded sources
 pass ``watermark=(event_time_col, delay)`` to use
@@ -17,6 +19,7 @@ the anti-join for older repeats.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -27,18 +30,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def insert_batch(spark: SparkSession, batch: DataFrame, key: list[str], target: str) -> None:
-    """One micro-batch: first row per key, minus keys already in target."""
+def insert_batch(spark: SparkSession, batch: DataFrame, key: list[str], target: str, epoch_id: int,
+                 check_target: bool = False) -> None:
+    """One micro-batch: first row per key (minus keys already in the target
+    when ``check_target``), written idempotently under its epoch."""
     rows = batch.dropDuplicates(key)
-    if _exists(spark, target):
-        have = spark.read.parquet(target).select(*key)
+    if check_target and _exists(spark, target):
+        # other epochs only: a re-executed epoch must not hide its own rows
+        have = spark.read.parquet(target).where(F.col("batch_id") != int(epoch_id)).select(*key)
         rows = rows.join(have, key, "left_anti")
-    rows.write.mode("append").parquet(target)
+    rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={int(epoch_id)}")
 
 
 def run_dedup_ingest(spark: SparkSession, source_dir: str, schema: StructType, key: list[str], target: str,
                      checkpoint: str, watermark: tuple[str, str] | None = None,
-                     max_files_per_trigger: int | None = None) -> None:
+                     max_files_per_trigger: int | None = None, check_target: bool = False) -> None:
     """Process every file available now, then stop (``availableNow``)."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -51,7 +57,7 @@ def run_dedup_ingest(spark: SparkSession, source_dir: str, schema: StructType, k
         stream = stream.dropDuplicates(key)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        insert_batch(batch.sparkSession, batch, key, target)
+        insert_batch(batch.sparkSession, batch, key, target, epoch_id, check_target or bool(watermark))
 
     q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint)

@@ -40,3 +40,17 @@ def test_stream_ingest_is_idempotent(spark):
     out = spark.read.parquet(f"{base}/t")
     assert out.count() == 50 and out.select("event_id").distinct().count() == 50
     assert np.isclose(sum(r.value for r in out.collect()), sum(v for _, v in rows))
+
+
+def test_stream_ingest_with_watermark_and_target_check(spark):
+    import datetime as dt
+
+    base = work_dir(spark, "stream-wm")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i % 20, t0 + dt.timedelta(minutes=i)) for i in range(40)]   # every key twice, 20 min apart
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp")
+    df.write.mode("append").parquet(f"{base}/src")
+    run_dedup_ingest(spark, f"{base}/src", df.schema, ["event_id"], f"{base}/t", f"{base}/ck",
+                     watermark=("ts", "5 minutes"))
+    out = spark.read.parquet(f"{base}/t")
+    assert out.select("event_id").distinct().count() == 20 and out.count() == 20
