@@ -64,6 +64,38 @@ def _bincount_udf(dim: int):
     return unit_counts
 
 
+def with_hash_vectors(df: DataFrame, text_col: str, out_col: str = "vector", dim: int = TEXT_DIMS) -> DataFrame:
+    """Add the unit-length hashed bag of tokens of ``text_col`` as ``out_col``.
+
+    Tokens and buckets are built-in expressions; the counting runs in
+    ``mapInArrow`` on the flat Arrow buffers of each batch — one ``bincount``
+    over (row · dim + bucket), no per-row Python objects."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    staged = spread(df).withColumn("_buckets", token_buckets(F.col(text_col), dim))
+    keep = [f for f in staged.schema.fields if f.name != "_buckets"]
+    schema = T.StructType(keep + [T.StructField(out_col, T.ArrayType(T.FloatType(), containsNull=False))])
+    names = [f.name for f in keep]
+
+    def run(batches):
+        for rb in batches:
+            b = rb.column(rb.schema.get_field_index("_buckets"))
+            n = rb.num_rows
+            lens = pc.fill_null(pc.list_value_length(b), 0).to_numpy().astype(np.int64)
+            flat = pc.list_flatten(b).to_numpy(zero_copy_only=False).astype(np.int64)
+            rows = np.repeat(np.arange(n, dtype=np.int64), lens)
+            m = np.bincount(rows * dim + flat, minlength=n * dim).reshape(n, dim).astype(np.float64)
+            nrm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+            m = np.divide(m, nrm, out=m, where=nrm > 0).astype(np.float32)
+            offsets = pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32))
+            vec = pa.ListArray.from_arrays(offsets, pa.array(m.reshape(-1)), mask=b.is_null())
+            cols = [rb.column(rb.schema.get_field_index(c)) for c in names] + [vec]
+            yield pa.RecordBatch.from_arrays(cols, names=names + [out_col])
+
+    return staged.mapInArrow(run, schema)
+
+
 def hash_text_vectors(text: Column, dim: int = TEXT_DIMS) -> Column:
     """Unit-length hashed bag of tokens (zero vector for a text without tokens)."""
     return _bincount_udf(dim)(token_buckets(text, dim))
@@ -95,10 +127,12 @@ def nibble_histogram_vectors(payload: Column) -> Column:
 def embed_text(df: DataFrame, text_col: str, run_id: str, key: str = "screen_id", dim: int = TEXT_DIMS,
                model: tuple[str, str] = TEXT_MODEL) -> DataFrame:
     """Embedding-table rows for texts (fingerprint = SHA-256 of the text)."""
-    return spread(df).select(
-        F.col(key).alias("screen_id"), F.lit(model[0]).alias("model_name"), F.lit(model[1]).alias("model_version"),
-        F.lit("text").alias("embedding_kind"), hash_text_vectors(F.col(text_col), dim).alias("vector"),
-        F.lit(run_id).alias("run_id"), fingerprint(F.col(text_col)).alias("source_fingerprint"))
+    v = with_hash_vectors(df.select(F.col(key).alias("screen_id"), F.col(text_col).alias("_text")), "_text",
+                          "vector", dim)
+    return v.select(
+        "screen_id", F.lit(model[0]).alias("model_name"), F.lit(model[1]).alias("model_version"),
+        F.lit("text").alias("embedding_kind"), "vector",
+        F.lit(run_id).alias("run_id"), fingerprint(F.col("_text")).alias("source_fingerprint"))
 
 
 def embed_binary(df: DataFrame, bytes_col: str, run_id: str, key: str = "screen_id",

@@ -90,9 +90,9 @@ def text_query_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages encoded with the same encoder as the documents,
     top-3 documents per passage (cosine), joined to document metadata."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    dv = docs.select("doc_id", E.hash_text_vectors(F.col("text")).alias("vector"))
-    qv = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"),
-                                                   E.hash_text_vectors(F.col("text")).alias("query_vector"))
+    dv = E.with_hash_vectors(docs.select("doc_id", "text"), "text", "vector").select("doc_id", "vector")
+    qv = E.with_hash_vectors(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text"),
+                             "text", "query_vector").select("query_id", "query_vector")
     hits = knn(qv, dv, K_SEARCH, "cosine", vec_id="doc_id").withColumnRenamed("id", "doc_id")
     return hits.join(docs.select("doc_id", "source", "lang"), "doc_id").select(
         "query_id", "rank", "doc_id", "distance", "source", "lang")
