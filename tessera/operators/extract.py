@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import spread
+from tessera.session import materialize, spread
 
 # Fixed values (must equal the reference's).
 PLACEHOLDER = "{hierarchy_text}"
@@ -254,3 +254,16 @@ def review_rows(classified: DataFrame, raw_col: str = "raw_output", error_col: s
     return (classified.where(F.col("route") != "valid")
             .withColumn("reason", F.concat(handler_of(F.col("route")), F.lit(": "), F.col("route")))
             .withColumn("raw_output", F.left(raw, F.lit(RAW_OUTPUT_LIMIT))))
+
+
+def extract_job(prompts: DataFrame, model: Callable[[list[str]], list[str]], *,
+                key_cols: tuple[str, ...] = ("screen_id", "run_id"), min_confidence: float | None = None):
+    """End-to-end extraction: call the model once per prompt, persist the raw
+    responses (materialised, so neither route nor a retry calls the model
+    again), then route.  Returns (valid rows, review rows, route counts)."""
+    raw = materialize(call_model(prompts, model, key_cols=key_cols), "responses")
+    routed = classify(raw, error_col="error", min_confidence=min_confidence)
+    valid = valid_rows(routed).select(*key_cols, "confidence", "title", "n_elements", "body", "prompt_version")
+    review = review_rows(routed, error_col="error").select(*key_cols, "reason", "raw_output")
+    counts = routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+    return valid, review, counts

@@ -113,3 +113,39 @@ def broadcast_if_small(df, max_rows: int = 1_000_000):
 
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once to the shared work folder and read it back.
+
+    Cuts the lineage: later readers (several routes of one result, retries
+    after a lost executor) read the files instead of recomputing — which
+    matters when the upstream calls an external model.  Unlike ``cache`` it
+    survives executor loss; ``localCheckpoint`` is never used."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
+def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a cluster run, derived from the input size.
+
+    Shuffle partitions so that one partition is about ``partition_bytes``
+    before AQE coalesces small ones; scan splits of the same size; skew-join
+    splitting on; Arrow batches bounded for the Python stages (memory per
+    batch, not per partition).  Apply them when building the cluster session."""
+    parts = max(2 * total_cores, int(input_bytes // partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.python.worker.reuse": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -68,3 +68,22 @@ def test_nibble_histogram_against_python(spark):
     got = {r.id: np.array(r.c) for r in df.select("id", E.nibble_counts(F.col("b")).alias("c")).collect()}
     for i, p in enumerate(payloads):
         assert got[i].tolist() == np.bincount([x & 0x0F for x in p], minlength=16).tolist()
+
+
+def test_pluggable_encoder_built_once_per_task(spark):
+    from tessera.operators import embed as E
+
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(10)], "screen_id long, text string").repartition(2)
+
+    def make():
+        state = {"calls": 0}
+
+        def enc(texts):
+            state["calls"] += 1
+            return np.array([[len(t), 1.0, 0.0] for t in texts])
+        return enc
+
+    out = {r.screen_id: r.vector for r in E.embed_with(df, "text", make).collect()}
+    assert len(out) == 10
+    v = np.array(out[3])
+    assert np.isclose(np.linalg.norm(v), 1.0) and np.allclose(v, np.array([2, 1, 0]) / np.sqrt(5), atol=1e-6)

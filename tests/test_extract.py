@@ -92,3 +92,24 @@ def test_low_confidence_route_is_opt_in(spark, engine):
     on = X.classify(df, engine=engine, min_confidence=0.5)
     assert {r.screen_id: r.route for r in on.collect()} == {1: "low_confidence", 2: "valid"}
     assert X.review_rows(on).collect()[0].reason == "LowConfidence: low_confidence"
+
+
+def test_extract_job_calls_model_once_per_prompt(spark):
+    from tessera.session import work_dir
+
+    marker = work_dir(spark, "calls")
+    df = spark.createDataFrame([(i, "r", f"p{i}") for i in range(6)], "screen_id long, run_id string, prompt string")
+
+    def model(prompts):
+        import os
+        os.makedirs(marker, exist_ok=True)
+        for p in prompts:
+            open(os.path.join(marker, p), "a").write("x")
+        return ['{"confidence": 0.9}' if p != "p3" else "nope" for p in prompts]
+
+    valid, review, counts = X.extract_job(df, model)
+    assert valid.count() == 5 and review.count() == 1
+    assert {r.route: r.n for r in counts.collect()} == {"valid": 5, "malformed": 1}
+    import os
+    assert sorted(os.listdir(marker)) == [f"p{i}" for i in range(6)]
+    assert all(open(os.path.join(marker, f)).read() == "x" for f in os.listdir(marker))

@@ -30,3 +30,15 @@ def test_binary_listing_and_id_list(spark):
     spark.createDataFrame([("# comment",), ("",), (" 7 ",), ("3",), ("7",), ("x",)], "value string") \
         .coalesce(1).write.text(ids)
     assert sorted(r.id for r in read_id_list(spark, ids).collect()) == [3, 7]
+
+
+def test_scale_settings_and_materialize(spark):
+    from tessera.session import materialize, scale_settings
+
+    s = scale_settings(100 * 1024 ** 4, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) >= 400_000
+    assert scale_settings(10, 8)["spark.sql.shuffle.partitions"] == "16"
+    df = spark.range(5).selectExpr("id", "id * 2 AS v")
+    m = materialize(df, "t")
+    assert sorted(r.v for r in m.collect()) == [0, 2, 4, 6, 8]
+    assert "parquet" in m._jdf.queryExecution().executedPlan().toString().lower()
