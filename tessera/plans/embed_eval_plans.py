@@ -151,7 +151,7 @@ q AS (SELECT t.screen_id AS query_id, t.v FROM t JOIN documents d ON d.doc_id =
       WHERE regexp_replace(d.text, '^\\s+|\\s+$', '', 'g') <> ''),
 {_ranked_sql(K_RECALL)}
 SELECT coalesce(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END), 0.0) AS recall, count(*) AS tested,
-       count_if(hit) AS hits FROM h""")
+       CAST(count_if(hit) AS BIGINT) AS hits FROM h""")
 def recall_self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """recall@5: every screen with non-blank text queries the whole text
     index with its own vector; denominator = screens tested."""
@@ -166,7 +166,7 @@ def recall_self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("recall_holdout", f"""
 WITH {HOLDOUT_SQL}, {_ranked_sql(1)}
 SELECT coalesce(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END), 0.0) AS recall, count(*) AS tested,
-       count_if(hit) AS hits FROM h""")
+       CAST(count_if(hit) AS BIGINT) AS hits FROM h""")
 def recall_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Disjoint holdout, k = 1: screen i is queried with the vector of the
     next screen in id order ((i + 1) mod n)."""

@@ -85,7 +85,7 @@ def centroids(kind: str, name: str = "cent") -> str:
     vec = "embedding" if kind == "text" else "embedding[1:48]"
     return f"""
 {name} AS (
-  SELECT label AS query_id, list(x ORDER BY pos) AS qv
+  SELECT CAST(label AS BIGINT) AS query_id, list(x ORDER BY pos) AS qv
   FROM (SELECT label, pos, avg(x) AS x
         FROM (SELECT label, unnest(generate_series(1, len({vec}))) AS pos, unnest({vec}) AS x FROM embeddings)
         GROUP BY label, pos)

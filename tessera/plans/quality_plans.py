@@ -72,7 +72,7 @@ def extraction_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("zero_norm_pct", f"""
 WITH {Q.emb_zero(ZERO_LABEL)}
-SELECT run_id, count(*) AS emb_count, count_if(list_dot_product(vector, vector) = 0) AS zero_count,
+SELECT run_id, count(*) AS emb_count, CAST(count_if(list_dot_product(vector, vector) = 0) AS BIGINT) AS zero_count,
        {pct_sql("count_if(list_dot_product(vector, vector) = 0)", "count(*)")} AS zero_norm_vector_pct
 FROM emb GROUP BY run_id""")
 def zero_norm_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +203,8 @@ EMB_REQUIRED = ("screen_id", "model_name", "model_version", "embedding_kind", "v
 
 def _nulls_sql(cte: str, table: str, cols) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{table}' AS \"table\", '{c}' AS column_name, count_if({c} IS NULL) AS null_count FROM {cte}"
+        f"SELECT '{table}' AS \"table\", '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count "
+        f"FROM {cte}"
         for c in cols)
 
 

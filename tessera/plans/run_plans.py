@@ -99,7 +99,7 @@ w AS (SELECT *,
              WHEN image_count = 0 AND total_image = 0 THEN 'no image embeddings found'
              WHEN text_count = 0 AND total_text = 0 THEN 'no text embeddings found'
              ELSE 'all checks passed' END AS reason,
-        (epoch_us(ended_at) - epoch_us(started_at)) / 1000000.0 AS total_run_duration_seconds
+        (epoch_us(ended_at) - epoch_us(started_at)) / 1000000.0::DOUBLE AS total_run_duration_seconds
       FROM w0)"""
 
 
@@ -108,7 +108,7 @@ WITH {Q.META}, {Q.META_RERUNS}, {Q.RUNS},
 ids AS (SELECT run_id FROM runs UNION SELECT run_id FROM meta_r)
 SELECT ids.run_id, r.run_id IS NOT NULL AS found,
        CASE WHEN r.started_at IS NULL THEN 0.0
-            ELSE (epoch_us(r.ended_at) - epoch_us(r.started_at)) / 1000000.0 END AS duration_seconds
+            ELSE (epoch_us(r.ended_at) - epoch_us(r.started_at)) / 1000000.0::DOUBLE END AS duration_seconds
 FROM ids LEFT JOIN runs r USING (run_id)""")
 def run_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run lookup by id for every run and every child row's run (absent →
@@ -125,7 +125,7 @@ def run_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {STATE_SQL}
 SELECT run_id, CAST(meta_count AS BIGINT) AS meta_count, CAST(image_count AS BIGINT) AS image_count,
        CAST(text_count AS BIGINT) AS text_count, status, reason,
-       CASE WHEN status = 'success' THEN 1.0 ELSE 0.0 END AS final_run_status FROM w""")
+       CASE WHEN status = 'success' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS final_run_status FROM w""")
 def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load step's decision ladder for every run."""
     s = run_state(spark, sf_dir)

@@ -31,8 +31,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, duck, name):
-    sp = queries()[name](spark, SF_SMALL).toPandas()
-    od = duck.execute(oracle_sql()[name]).df()
+    sa = queries()[name](spark, SF_SMALL).toArrow()
+    oa = duck.sql(oracle_sql()[name]).to_arrow_table()
+    assert {f.name: str(f.type) for f in sa.schema} == {f.name: str(f.type) for f in oa.schema}
+    sp, od = sa.to_pandas(), oa.to_pandas()
     sc, sr = rows_of(sp)
     oc, orr = rows_of(od)
     assert sc == oc
