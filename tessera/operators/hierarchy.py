@@ -29,7 +29,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import spread
@@ -143,3 +143,10 @@ def reading_order_text(elems: DataFrame, key: str = "screen_id") -> DataFrame:
     g = elems.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("s"))
     return g.select(key, F.size("s").cast("long").alias("n_elements"),
                     F.array_join(F.transform("s", lambda e: e["text"]), " ").alias("text_rep"))
+
+
+def first_elements(elems: DataFrame, n: int = 10, key: str = "screen_id") -> DataFrame:
+    """Preview: the first ``n`` elements of every tree in pre-order
+    (``row_number`` per tree, planned as a group limit — no global sort)."""
+    w = Window.partitionBy(key).orderBy("pos")
+    return elems.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

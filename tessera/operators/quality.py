@@ -54,7 +54,8 @@ def findings(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def audit_result(found: DataFrame, order_keys, cap: int = DETAILS_CAP, audit_name: str = AUDIT_NAME) -> DataFrame:
+def audit_result(found: DataFrame, order_keys, cap: int = DETAILS_CAP, audit_name: str = AUDIT_NAME,
+                 pretty: bool = False) -> DataFrame:
     """One row: ``audit_name, passed, n_findings, n_listed, details``.
 
     The count is exact (one aggregate).  Only the first ``cap`` findings
@@ -69,7 +70,8 @@ def audit_result(found: DataFrame, order_keys, cap: int = DETAILS_CAP, audit_nam
         (n_col == 0).alias("passed"),
         n_col.alias("n_findings"),
         F.size("dup").cast("long").alias("n_listed"),
-        F.to_json(F.struct(F.col("dup").alias("duplicate_keys"), n_col.alias("count"))).alias("details"),
+        F.to_json(F.struct(F.col("dup").alias("duplicate_keys"), n_col.alias("count")),
+                  {"pretty": "true"} if pretty else None).alias("details"),
     )
 
 

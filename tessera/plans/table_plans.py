@@ -208,15 +208,18 @@ def payload_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id,
        CASE WHEN length(text) <= 80 THEN text ELSE left(text, 77) || '...' END AS preview,
        left(sha256(text), 16) AS fingerprint_prefix,
-       left(text, 2000) AS raw_cut
+       left(text, 2000) AS raw_cut,
+       CASE WHEN length(text) > 1500 THEN left(text, 1500) || chr(10) || '... (truncated)' ELSE text END
+         AS message_cut
 FROM documents""")
 def text_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Display truncations: 80-char preview with dots, 16-char fingerprint
-    prefix, 2000-char raw-output cut."""
+    prefix, 2000-char raw-output cut, 1500-char message cut with a marker."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select("doc_id", T.preview("text").alias("preview"),
                     T.cut(T.fingerprint("text"), T.FINGERPRINT_PREFIX).alias("fingerprint_prefix"),
-                    T.cut("text", 2000).alias("raw_cut"))
+                    T.cut("text", 2000).alias("raw_cut"),
+                    T.cut("text", T.DETAILS_CHARS, T.TRUNCATED_MARKER).alias("message_cut"))
 
 
 @register("upsert_latest", f"""

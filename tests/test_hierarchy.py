@@ -107,3 +107,14 @@ def test_tree_without_text_gives_empty_string(spark):
     df = spark.createDataFrame([(1, json.dumps(node("a.B", "")))], "screen_id long, hierarchy_json string")
     r = H.reading_order_text(H.elements(df)).collect()[0]
     assert r.text_rep == "" and r.n_elements == 0
+
+
+def test_first_elements_preview(spark):
+    tree = node("r.R", "root", children=[node("t.T", str(i)) for i in range(15)])
+    df = spark.createDataFrame([(1, json.dumps(tree)), (2, json.dumps(node("a.B", "x")))],
+                               "screen_id long, hierarchy_json string")
+    got = H.first_elements(H.elements(df), 10).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.screen_id, []).append(r.pos)
+    assert sorted(by[1]) == list(range(10)) and by[2] == [0]

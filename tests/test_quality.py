@@ -78,3 +78,13 @@ def test_latest_per_key(spark):
                                  ("r", "m", 3.0, dt.datetime(2024, 1, 2), 3)],
                                 "run_id string, metric_name string, v double, ts timestamp_ntz, seq int")
     assert QL.latest_per_key(log, ["run_id", "metric_name"], "v", "ts", tie="seq").collect()[0].v == 3.0
+
+
+def test_audit_details_json_pretty(spark):
+    import json
+
+    dup = spark.createDataFrame([(1,), (1,)], "screen_id long")
+    found = QL.duplicate_keys(dup, ["screen_id"], "m")
+    d = QL.audit_result(found, ["screen_id"], pretty=True).collect()[0].details
+    assert "\n" in d and json.loads(d)["count"] == 1
+    assert json.loads(d)["duplicate_keys"][0]["screen_id"] == 1
