@@ -50,7 +50,9 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys, order_col: str
     """(new table, delta).  ``delta.count()`` is the inserted-row count
     (0 on an idempotent re-run)."""
     delta = new_rows(target, source, keys, order_col)
-    return target.unionByName(delta.select(*target.columns)), delta
+    cols = [c for c in target.columns if c in delta.columns]
+    # columns the source does not carry (e.g. a payload filled later) stay null
+    return target.unionByName(delta.select(*cols), allowMissingColumns=True), delta
 
 
 def upsert_latest(target: DataFrame, source: DataFrame, keys, order_col: str | None = None):
