@@ -124,6 +124,21 @@ def cascade_delete(children: dict[str, DataFrame], deleted_runs: DataFrame, key:
     return {name: df.join(gone, key, "left_anti") for name, df in children.items()}
 
 
+def cascade_report(children: dict[str, DataFrame], deleted_runs: DataFrame, key: str = "run_id") -> DataFrame:
+    """``table, rows_before, rows_after`` of a cascade delete, one scan per
+    child table: the children's key columns are unioned, marked by a left
+    join to the (checked-size) deleted key set and counted in one aggregate
+    — the "after" side is not re-read."""
+    gone = broadcast_if_small(deleted_runs.select(key).distinct().withColumn("_gone", F.lit(True)))
+    tagged = None
+    for name, df in children.items():
+        part = df.select(F.lit(name).alias("table"), key)
+        tagged = part if tagged is None else tagged.unionByName(part)
+    marked = tagged.join(gone, key, "left")
+    return marked.groupBy("table").agg(F.count(F.lit(1)).alias("rows_before"),
+                                       F.count_if(F.col("_gone").isNull()).alias("rows_after"))
+
+
 def truncate(df: DataFrame) -> DataFrame:
     """Delete all rows, keep the schema."""
     return df.where(F.lit(False))

@@ -42,7 +42,7 @@ def id_list_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("value"))
     header = spark.createDataFrame([("# chosen ids",), ("",)], "value string")
     header.unionByName(ids).unionByName(ids.select(F.concat(F.lit(" "), "value").alias("value"))) \
-        .coalesce(1).write.mode("errorifexists").text(path)
+        .write.mode("errorifexists").text(path)
     wanted = read_id_list(spark, path)
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
     return docs.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
@@ -170,19 +170,14 @@ UNION ALL SELECT 'screens_review_queue', count(*), count(*) FILTER (WHERE run_id
 UNION ALL SELECT 'pipeline_runs', count(*), count(*) FILTER (WHERE run_id NOT IN (SELECT run_id FROM gone)) FROM runs""")
 def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retention: delete runs started before a cutoff and, by cascade, every
-    child row of those runs (anti-joins)."""
+    child row of those runs.  ``TB.cascade_delete`` gives the remaining
+    tables (anti-joins); this report counts before / after in one pass per
+    table."""
     runs = standins.runs(spark, sf_dir)
     gone = runs.where(F.col("started_at") < F.lit(RETENTION_CUTOFF).cast("timestamp_ntz")).select("run_id")
     before = {"screens_metadata": standins.meta(spark, sf_dir), "screens_embeddings": standins.emb(spark, sf_dir),
               "screens_review_queue": review_frame(spark, sf_dir), "pipeline_runs": runs}
-    after = TB.cascade_delete(before, gone)
-    out = None
-    for name, df in before.items():
-        row = (df.agg(F.count(F.lit(1)).alias("rows_before"))
-               .select(F.lit(name).alias("table"), "rows_before",
-                       after[name].agg(F.count(F.lit(1))).scalar().alias("rows_after")))
-        out = row if out is None else out.unionByName(row)
-    return out
+    return TB.cascade_report(before, gone)
 
 
 @register("fingerprint", """
