@@ -43,11 +43,27 @@ class SearchLimits:
 
     max_broadcast_queries: int = 50_000
     max_broadcast_bytes: int = 256 * 1024 * 1024
-    query_block_rows: int = 4_096
-    vector_block_rows: int = 65_536
+    query_block_rows: int = 32_768
+    vector_block_rows: int = 32_768
     chunk_rows: int = 8_192
 
 
+def block_grid(nq: int, nv: int, max_q: int, max_v: int, parallelism: int) -> tuple[int, int]:
+    """Number of query and vector blocks for the co-grouped path.
+
+    Every query row is copied once per vector block and every vector once
+    per query block, so the shuffle carries ``nq·bv + nv·bq`` rows.  Blocks
+    are as large as the bounds allow; the grid has at least ``parallelism``
+    cells (one task per cell), split in the ratio that minimises the copies
+    (``bq / bv = nq / nv``)."""
+    bq0 = max(1, math.ceil(nq / max_q))
+    bv0 = max(1, math.ceil(nv / max_v))
+    cells = max(bq0 * bv0, min(parallelism, max(1, nq) * max(1, nv)))
+    bq = max(bq0, min(max(1, nq), round(math.sqrt(cells * max(1, nq) / max(1, nv)))))
+    bv = max(bv0, math.ceil(cells / bq))
+    return bq, bv
+
+
 def _stack(series: pd.Series, dim: int | None):
     """Stack a Series of arrays into a float64 matrix.
 
@@ -248,8 +264,8 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
     # blocked path: bounded co-groups, never all pairs as rows
     nq = queries.count()
     nv = vectors.count()
-    bq = max(1, math.ceil(nq / limits.query_block_rows))
-    bv = max(1, math.ceil(nv / limits.vector_block_rows))
+    bq, bv = block_grid(nq, nv, limits.query_block_rows, limits.vector_block_rows,
+                        vectors.sparkSession.sparkContext.defaultParallelism)
     qs = (queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vector).alias("qv"))
           .where(F.col("qv").isNotNull())
           .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(bq)))

@@ -106,3 +106,15 @@ def test_kernel_budget_chunks_and_ties(monkeypatch, metric):
         nonnull = [int(x) for x, c in zip(rows.id, rows.cls) if c != 2]
         assert nonnull == want[qi][:len(nonnull)]
         assert len(rows) == 4
+
+
+@pytest.mark.parametrize("nq,nv,par", [(2000, 2000, 8), (10**6, 10**6, 8000), (100, 10**8, 8000),
+                                       (10**7, 10**5, 8000), (5, 3, 8), (1, 1, 64)])
+def test_block_grid_bounds(nq, nv, par):
+    from tessera.operators.search import block_grid
+
+    bq, bv = block_grid(nq, nv, 32768, 32768, par)
+    assert -(-nq // bq) <= 32768 and -(-nv // bv) <= 32768       # every block within its bound
+    assert bq * bv >= min(par, nq * nv)                           # enough cells for the cluster
+    # never more copies than the unbalanced grid with the same cell count
+    assert nq * bv + nv * bq <= nq * (bq * bv) + nv
