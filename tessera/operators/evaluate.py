@@ -84,3 +84,20 @@ def recall(per_query: DataFrame) -> DataFrame:
         F.coalesce(F.avg(F.col("hit").cast("double")), F.lit(0.0)).alias("recall"),
         F.count(F.lit(1)).alias("tested"),
         F.count_if(F.col("hit")).alias("hits"))
+
+
+def eval_metric_rows(result: DataFrame, run_id: str, k: int, model: tuple[str, str] | None = None) -> DataFrame:
+    """The evaluation's rows for the metrics log: ``eval_recall_at_<k>`` and
+    ``eval_screens_tested`` (long format, appended like the other metrics).
+
+    With ``model`` = (name, version) of the searched index the rows carry
+    ``model_name`` / ``model_version``, so appended runs form a recall
+    history per model version."""
+    names = [f"eval_recall_at_{k}", "eval_screens_tested"]
+    wide = result.select(F.col("recall").cast("double").alias(names[0]),
+                         F.col("tested").cast("double").alias(names[1]))
+    rows = wide.unpivot([], names, "metric_name", "metric_value")
+    cols = [F.lit(run_id).alias("run_id"), "metric_name", "metric_value"]
+    if model is not None:
+        cols += [F.lit(model[0]).alias("model_name"), F.lit(model[1]).alias("model_version")]
+    return rows.select(*cols)

@@ -145,16 +145,15 @@ h AS (SELECT query_id, coalesce(bool_or(screen_id = query_id), false) AS hit,
       FROM r WHERE rn <= {k} GROUP BY query_id)"""
 
 
-@register("recall_self_test", f"""
-WITH {TEXT_VECS_SQL},
+SELF_TEST_SQL = f"""{TEXT_VECS_SQL},
 q AS (SELECT t.screen_id AS query_id, t.v FROM t JOIN documents d ON d.doc_id = t.screen_id
       WHERE regexp_replace(d.text, '^\\s+|\\s+$', '', 'g') <> ''),
-{_ranked_sql(K_RECALL)}
-SELECT coalesce(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END), 0.0) AS recall, count(*) AS tested,
-       CAST(count_if(hit) AS BIGINT) AS hits FROM h""")
-def recall_self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """recall@5: every screen with non-blank text queries the whole text
-    index with its own vector; denominator = screens tested."""
+{_ranked_sql(K_RECALL)},
+res AS (SELECT coalesce(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END), 0.0) AS recall, count(*) AS tested,
+               CAST(count_if(hit) AS BIGINT) AS hits FROM h)"""
+
+
+def _self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _text_vectors(spark, sf_dir)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("screen_id"), "text")
     q = (v.join(docs, "screen_id").where(~T.is_blank("text"))
@@ -163,6 +162,31 @@ def recall_self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return EV.recall(EV.hits(q, v, K_RECALL))
 
 
+@register("recall_self_test", f"""
+WITH {SELF_TEST_SQL}
+SELECT recall, tested, hits FROM res""")
+def recall_self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """recall@5: every screen with non-blank text queries the whole text
+    index with its own vector; denominator = screens tested."""
+    return _self_test(spark, sf_dir)
+
+
+EVAL_RUN = "run-eval"
+
+
+@register("eval_metrics", f"""
+WITH {SELF_TEST_SQL}
+SELECT '{EVAL_RUN}' AS run_id, 'eval_recall_at_{K_RECALL}' AS metric_name, CAST(recall AS DOUBLE) AS metric_value,
+       '{standins.TEXT_MODEL[0]}' AS model_name, '{standins.TEXT_MODEL[1]}' AS model_version FROM res
+UNION ALL
+SELECT '{EVAL_RUN}', 'eval_screens_tested', CAST(tested AS DOUBLE), '{standins.TEXT_MODEL[0]}',
+       '{standins.TEXT_MODEL[1]}' FROM res""")
+def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The self-test's two metric rows (recall@5, screens tested) as appended
+    to the metrics log, tagged with the index's model and version."""
+    return EV.eval_metric_rows(_self_test(spark, sf_dir), EVAL_RUN, K_RECALL, standins.TEXT_MODEL)
+
+
 @register("recall_holdout", f"""
 WITH {HOLDOUT_SQL}, {_ranked_sql(1)}
 SELECT coalesce(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END), 0.0) AS recall, count(*) AS tested,

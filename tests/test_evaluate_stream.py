@@ -54,3 +54,13 @@ def test_stream_ingest_with_watermark_and_target_check(spark):
                      watermark=("ts", "5 minutes"))
     out = spark.read.parquet(f"{base}/t")
     assert out.select("event_id").distinct().count() == 20 and out.count() == 20
+
+
+def test_eval_metric_rows_long_format(spark):
+    res = spark.createDataFrame([(0.75, 4, 3)], "recall double, tested long, hits long")
+    rows = {r.metric_name: r for r in EV.eval_metric_rows(res, "run-x", 5, ("m", "v2")).collect()}
+    assert set(rows) == {"eval_recall_at_5", "eval_screens_tested"}
+    assert rows["eval_recall_at_5"].metric_value == 0.75 and rows["eval_screens_tested"].metric_value == 4.0
+    assert rows["eval_screens_tested"].model_version == "v2" and rows["eval_recall_at_5"].run_id == "run-x"
+    plain = EV.eval_metric_rows(res, "run-x", 5)
+    assert plain.columns == ["run_id", "metric_name", "metric_value"]

@@ -76,3 +76,18 @@ def test_upsert_latest_replaces_and_keeps(spark):
     table_, changed = TB.upsert_latest(target, src, ["screen_id"], order_col="arrival")
     assert {r.screen_id: r.v for r in table_.collect()} == {1: "b", 2: "keep", 3: "c"}
     assert changed.count() == 2
+
+
+def test_touch_sets_only_the_timestamp_and_cascade_report(spark):
+    import datetime as dt
+
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    target = spark.createDataFrame([(1, "r1", "a", t0), (2, "r1", "b", t0), (3, "r2", "c", t0)],
+                                   "screen_id long, run_id string, v string, updated_at timestamp_ntz")
+    keys = spark.createDataFrame([(2,), (2,), (9,)], "screen_id long")
+    got = {r.screen_id: (r.v, r.updated_at) for r in TB.touch(target, keys, ["screen_id"], "updated_at", t1).collect()}
+    assert got == {1: ("a", t0), 2: ("b", t1), 3: ("c", t0)}          # repeats and unknown keys are harmless
+    gone = spark.createDataFrame([("r1",), ("r1",)], "run_id string")
+    rep = {r.table: (r.rows_before, r.rows_after) for r in
+           TB.cascade_report({"t": target, "u": target.where("run_id = 'r2'")}, gone).collect()}
+    assert rep == {"t": (3, 1), "u": (1, 1)}
