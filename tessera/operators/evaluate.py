@@ -61,29 +61,35 @@ def ranked(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine
 
 
 def hits(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine", *,
-         vec_id: str = "screen_id", vector: str = "vector") -> DataFrame:
+         vec_id: str = "screen_id", vector: str = "vector", group=None) -> DataFrame:
     """Per query: ``query_id, expected_id, hit, ranked_ids``.
 
     ``queries`` = (query_id, expected_id, query_vector).  Membership is a
     left-semi style test on (query, expected id); the ranked list is one
-    bounded (k rows) group per query."""
-    top = knn(queries.select("query_id", "query_vector"), vectors, k, metric, vec_id=vec_id, vector=vector)
-    exp = queries.select("query_id", "expected_id")
-    g = top.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("r"))
-    j = exp.join(g, "query_id", "left")
+    bounded (k rows) group per query.  With ``group`` (columns of both
+    inputs, e.g. kind / model / version) every query searches its own
+    group's index and the group columns lead the result."""
+    group = list(group or [])
+    top = knn(queries.select(*group, "query_id", "query_vector"), vectors, k, metric, vec_id=vec_id,
+              vector=vector, group=group)
+    exp = queries.select(*group, "query_id", "expected_id")
+    g = top.groupBy(*group, "query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("r"))
+    j = exp.join(g, [*group, "query_id"], "left")
     ids = F.transform(F.coalesce(F.col("r"), F.array().cast("array<struct<rank:bigint,id:bigint>>")),
                       lambda e: e["id"])
-    return j.select("query_id", "expected_id", F.coalesce(F.array_contains(ids, F.col("expected_id")),
-                                                          F.lit(False)).alias("hit"),
+    return j.select(*group, "query_id", "expected_id",
+                    F.coalesce(F.array_contains(ids, F.col("expected_id")), F.lit(False)).alias("hit"),
                     F.array_join(F.transform(ids, lambda x: x.cast("string")), ",").alias("ranked_ids"))
 
 
-def recall(per_query: DataFrame) -> DataFrame:
-    """``recall, tested, hits``; recall is 0.0 when nothing was tested."""
-    return per_query.agg(
-        F.coalesce(F.avg(F.col("hit").cast("double")), F.lit(0.0)).alias("recall"),
-        F.count(F.lit(1)).alias("tested"),
-        F.count_if(F.col("hit")).alias("hits"))
+def recall(per_query: DataFrame, by=None) -> DataFrame:
+    """``recall, tested, hits`` (per ``by`` group when given); recall is 0.0
+    when nothing was tested."""
+    cols = [F.coalesce(F.avg(F.col("hit").cast("double")), F.lit(0.0)).alias("recall"),
+            F.count(F.lit(1)).alias("tested"),
+            F.count_if(F.col("hit")).alias("hits")]
+    by = list(by or [])
+    return per_query.groupBy(*by).agg(*cols) if by else per_query.agg(*cols)
 
 
 def eval_metric_rows(result: DataFrame, run_id: str, k: int, model: tuple[str, str] | None = None) -> DataFrame:

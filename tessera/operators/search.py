@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tessera.functions.vectors import METRICS
 from tessera.session import spread
 
-PARTIAL_SCHEMA = "query_id long, id long, distance double, cls int"
+PARTIAL_SCHEMA = "g string, query_id long, id long, distance double, cls int"
 RESULT_SCHEMA = "query_id long, id long, distance double, rank long"
 ROUND = 6
 
@@ -179,54 +179,73 @@ def _local_topk(metric: str, k: int, q: np.ndarray, ids: np.ndarray, vecs: pd.Se
     return best
 
 
-def _best_frame(qids: np.ndarray, best) -> pd.DataFrame:
+def _best_frame(qids: np.ndarray, best, g: str = "") -> pd.DataFrame:
     cls, dist, ids = best
     n = cls.shape[1]
-    return pd.DataFrame({"query_id": np.repeat(qids, n), "id": ids.reshape(-1),
+    return pd.DataFrame({"g": g, "query_id": np.repeat(qids, n), "id": ids.reshape(-1),
                          "distance": dist.reshape(-1), "cls": cls.reshape(-1).astype(np.int32)})
 
 
 def _final_rank(partial: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.col("cls"), F.col("distance").asc_nulls_last(), F.col("id"))
+    w = Window.partitionBy("g", "query_id").orderBy(F.col("cls"), F.col("distance").asc_nulls_last(), F.col("id"))
     # Arrow turns NaN into null on the way back: restore it from the class
     dist = (F.when(F.col("cls") == 1, F.lit(float("nan")))
             .when(F.col("cls") == 2, F.lit(None).cast("double"))
             .otherwise(F.col("distance")))
     return (partial.withColumn("rank", F.row_number().over(w).cast("long"))
             .where(F.col("rank") <= k)
-            .select("query_id", "id", dist.alias("distance"), "rank"))
+            .select("g", "query_id", "id", dist.alias("distance"), "rank"))
+
+
+def _group_key(group) -> F.Column:
+    """One string per group (JSON of the group columns; "" without groups)."""
+    return F.to_json(F.struct(*group)) if group else F.lit("")
 
 
 def _bounded_queries(queries: DataFrame, qid: str, qvec: str, limits: SearchLimits):
-    """Pull the query set to the driver only if it is provably small."""
-    probe = queries.select(F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("qv"))
+    """Pull the query set to the driver only if it is provably small:
+    ``{group: (query ids, query matrix, dim)}``."""
+    probe = queries.select("g", F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("qv"))
     probe = probe.where(F.col("qv").isNotNull()).limit(limits.max_broadcast_queries + 1)
     tbl = probe.toArrow()
     if tbl.num_rows > limits.max_broadcast_queries:
         return None
     pdf = tbl.to_pandas()
-    q, _, dim = _stack(pdf["qv"], None)
-    if q.nbytes > limits.max_broadcast_bytes:
-        return None
-    return pdf["qid"].to_numpy(dtype=np.int64), q, dim
+    out, size = {}, 0
+    for g, part in pdf.groupby("g", sort=True):
+        q, _, dim = _stack(part["qv"].reset_index(drop=True), None)
+        size += q.nbytes
+        if size > limits.max_broadcast_bytes:
+            return None
+        out[g] = (part["qid"].to_numpy(dtype=np.int64), q, dim)
+    return out
 
 
 def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine", *,
         query_id: str = "query_id", query_vector: str = "query_vector",
         vec_id: str = "id", vector: str = "vector", limits: SearchLimits | None = None,
-        strategy: str = "auto") -> DataFrame:
+        strategy: str = "auto", group=None) -> DataFrame:
     """Exact top-k of every query against every vector.
 
     Returns ``query_id long, id long, distance double, rank long`` with at
     most k rows per query (fewer when the table is smaller than k).
     ``strategy``: "auto" | "broadcast" | "blocked".
+
+    ``group``: column names present in both inputs (e.g. embedding kind,
+    model, version).  Each query then searches only the vectors of its own
+    group — every index in one plan, dimensions may differ between groups —
+    and the result starts with the group columns; a query is identified by
+    (group, query_id).
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; expected one of {METRICS}")
     if k <= 0:
         raise ValueError("k must be positive")
     limits = limits or SearchLimits()
-    vec = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector"))
+    group = list(group or [])
+    vec = vectors.select(_group_key(group).alias("g"), F.col(vec_id).cast("long").alias("id"),
+                         F.col(vector).alias("vector"))
+    queries = queries.select(_group_key(group).alias("g"), query_id, query_vector)
 
     pulled = None
     if strategy in ("auto", "broadcast"):
@@ -234,39 +253,43 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
         if pulled is None and strategy == "broadcast":
             raise ValueError("query set exceeds the broadcast bounds")
     if pulled is not None:
-        qids, q, dim = pulled
         spark = vectors.sparkSession
         try:
-            handle = spark.sparkContext.broadcast((qids, q))
+            handle = spark.sparkContext.broadcast(pulled)
 
             def fetch():
                 return handle.value
-        except Exception:  # Spark Connect: ship the bounded matrix in the closure
-            payload = (qids, q)
+        except Exception:  # Spark Connect: ship the bounded matrices in the closure
+            payload = pulled
 
             def fetch():
                 return payload
         chunk = limits.chunk_rows
 
         def scan(batches):
-            bq, bm = fetch()
-            best = None
+            by_group = fetch()
+            best = {}
             for pdf in batches:
-                if len(pdf) and len(bq):
-                    best = _local_topk(metric, k, bm, pdf["id"].to_numpy(dtype=np.int64), pdf["vector"],
-                                       chunk, dim, best)
-            if best is not None:
-                yield _best_frame(bq, best)
+                if not len(pdf):
+                    continue
+                for g, part in pdf.groupby("g", sort=False):
+                    if g not in by_group:
+                        continue
+                    _, bm, dim = by_group[g]
+                    best[g] = _local_topk(metric, k, bm, part["id"].to_numpy(dtype=np.int64),
+                                          part["vector"].reset_index(drop=True), chunk, dim, best.get(g))
+            for g, b in best.items():
+                yield _best_frame(by_group[g][0], b, g)
 
         partial = spread(vec).mapInPandas(scan, PARTIAL_SCHEMA)
-        return _final_rank(partial, k)
+        return _with_group(_final_rank(partial, k), group, vectors)
 
     # blocked path: bounded co-groups, never all pairs as rows
     nq = queries.count()
     nv = vectors.count()
     bq, bv = block_grid(nq, nv, limits.query_block_rows, limits.vector_block_rows,
                         vectors.sparkSession.sparkContext.defaultParallelism)
-    qs = (queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vector).alias("qv"))
+    qs = (queries.select("g", F.col(query_id).cast("long").alias("qid"), F.col(query_vector).alias("qv"))
           .where(F.col("qv").isNotNull())
           .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(bq)))
           .withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(bv - 1)).cast("array<long>"))))
@@ -280,10 +303,20 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
         qm, _, dim = _stack(qpdf["qv"], None)
         qids = qpdf["qid"].to_numpy(dtype=np.int64)
         best = _local_topk(metric, k, qm, vpdf["id"].to_numpy(dtype=np.int64), vpdf["vector"], chunk, dim)
-        return _best_frame(qids, best)
+        return _best_frame(qids, best, qpdf["g"].iloc[0])
+
+    keys = ["g", "qb", "vb"]
+    partial = qs.groupBy(*keys).cogroup(vs.groupBy(*keys)).applyInPandas(block, PARTIAL_SCHEMA)
+    return _with_group(_final_rank(partial, k), group, vectors)
+
 
-    partial = qs.groupBy("qb", "vb").cogroup(vs.groupBy("qb", "vb")).applyInPandas(block, PARTIAL_SCHEMA)
-    return _final_rank(partial, k)
+def _with_group(ranked: DataFrame, group, vectors: DataFrame) -> DataFrame:
+    """Group columns back from their JSON key (typed as in ``vectors``)."""
+    if not group:
+        return ranked.drop("g")
+    schema = vectors.select(*group).schema
+    parsed = F.from_json(F.col("g"), schema)
+    return ranked.select(*[parsed[c].alias(c) for c in group], "query_id", "id", "distance", "rank")
 
 
 def search(queries: DataFrame, vectors: DataFrame, k: int, metric: str, *, metadata: DataFrame | None = None,

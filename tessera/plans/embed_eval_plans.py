@@ -171,6 +171,36 @@ def recall_self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _self_test(spark, sf_dir)
 
 
+INDEX_KEY = ["embedding_kind", "model_name", "model_version"]
+
+
+@register("recall_by_model", f"""
+WITH {Q.EMB},
+t AS (SELECT embedding_kind, model_name, model_version, screen_id, vector::DOUBLE[] AS v FROM emb),
+q AS (SELECT t.* FROM t JOIN documents d ON d.doc_id = t.screen_id
+      WHERE regexp_replace(d.text, '^\\s+|\\s+$', '', 'g') <> ''),
+d AS (SELECT q.embedding_kind, q.model_name, q.model_version, q.screen_id AS query_id, t.screen_id,
+             {Q.dist('cosine', 'q.v', 't.v')} AS distance
+      FROM q JOIN t USING (embedding_kind, model_name, model_version)),
+r AS (SELECT *, row_number() OVER (PARTITION BY embedding_kind, model_name, model_version, query_id
+                                   ORDER BY distance, screen_id) AS rn FROM d),
+h AS (SELECT embedding_kind, model_name, model_version, query_id, coalesce(bool_or(screen_id = query_id), false) AS hit
+      FROM r WHERE rn <= {K_RECALL} GROUP BY embedding_kind, model_name, model_version, query_id)
+SELECT embedding_kind, model_name, model_version, coalesce(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END), 0.0) AS recall,
+       count(*) AS tested, CAST(count_if(hit) AS BIGINT) AS hits
+FROM h GROUP BY embedding_kind, model_name, model_version""")
+def recall_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """recall@5 self-test of every index — (kind, model, version) of the
+    embedding table, 64-d text and 48-d image — in one plan: each vector
+    searches only its own index; one result row per index."""
+    e = standins.emb(spark, sf_dir).select(*INDEX_KEY, "screen_id", "vector")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("screen_id"), "text")
+    q = (e.join(docs, "screen_id").where(~T.is_blank("text"))
+         .select(*INDEX_KEY, F.col("screen_id").alias("query_id"), F.col("screen_id").alias("expected_id"),
+                 F.col("vector").alias("query_vector")))
+    return EV.recall(EV.hits(q, e, K_RECALL, group=INDEX_KEY), by=INDEX_KEY)
+
+
 EVAL_RUN = "run-eval"
 
 

@@ -118,3 +118,27 @@ def test_block_grid_bounds(nq, nv, par):
     assert bq * bv >= min(par, nq * nv)                           # enough cells for the cluster
     # never more copies than the unbalanced grid with the same cell count
     assert nq * bv + nv * bq <= nq * (bq * bv) + nv
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "blocked"])
+def test_grouped_knn_searches_each_index_alone(spark, strategy):
+    """Two indexes with different dimensions, queries sharing ids across
+    groups: each query must only see its own group's vectors."""
+    rng = np.random.default_rng(11)
+    groups = {("text", "v1"): 6, ("image", "v2"): 3}
+    qrows, vrows, want = [], [], {}
+    for (kind, ver), dim in groups.items():
+        q = {i: rng.normal(size=dim).round(3).tolist() for i in range(7)}
+        v = {i: rng.normal(size=dim).round(3).tolist() for i in range(50, 90)}
+        qrows += [(kind, ver, i, x) for i, x in q.items()]
+        vrows += [(kind, ver, i, x) for i, x in v.items()]
+        want.update({(kind, ver, qi): ids for qi, ids in brute(q, v, 4, "l2").items()})
+    qs = spark.createDataFrame(qrows, "kind string, ver string, query_id long, query_vector array<double>")
+    vs = spark.createDataFrame(vrows, "kind string, ver string, id long, vector array<double>")
+    lim = SearchLimits(query_block_rows=3, vector_block_rows=16, chunk_rows=5)
+    got = knn(qs, vs, 4, "l2", limits=lim, strategy=strategy, group=["kind", "ver"])
+    assert got.columns == ["kind", "ver", "query_id", "id", "distance", "rank"]
+    by = {}
+    for r in sorted(got.collect(), key=lambda r: (r.kind, r.ver, r.query_id, r.rank)):
+        by.setdefault((r.kind, r.ver, r.query_id), []).append(r.id)
+    assert by == want
