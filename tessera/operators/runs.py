@@ -22,6 +22,26 @@ STATUS_SYMBOLS = {"success": ":white_check_mark:", "failed": ":x:", "audit_faile
 DEFAULT_SYMBOL = ":question:"
 CHECK_YES = "✓"
 CHECK_NO = "✗"
+RULE_WIDTH = 51
+STARTED_FORMAT = ":rocket: *Pipeline run started*\n  run_id: `%s`\n  LIMIT: %d\n  trigger: %s"
+FINISHED_FORMAT = "%s *Pipeline run finished*\n  run_id: `%s`\n  status: *%s*\n  duration: %.1fs\n  summary: %s"
+REPORT_FORMAT = (
+    "\n" + "=" * RULE_WIDTH + "\n"
+    "PIPELINE RUN SUMMARY  run_id=%s\n" + "=" * RULE_WIDTH + "\n"
+    "STATUS          %s\n"
+    "DURATION        %.1fs\n" + "-" * RULE_WIDTH + "\n"
+    "DATA QUALITY\n"
+    "  metadata rows        %d\n"
+    "  extraction non-null  %.1f%%\n"
+    "  confidence >= 0.5    %.1f%%\n"
+    "  review queue         %.1f%%\n"
+    "  embeddings rows      %d\n"
+    "  image dims           %d  %s\n"
+    "  text dims            %d  %s\n"
+    "  zero-norm vectors    %.1f%%\n" + "-" * RULE_WIDTH + "\n"
+    "SANITY\n"
+    "  distinct apps        %d\n"
+    "  distinct categories  %d\n" + "=" * RULE_WIDTH)
 
 RUNS_SCHEMA = ("run_id string, dag_run_id string, started_at timestamp_ntz, ended_at timestamp_ntz, "
                "status string, limit_param int, git_sha string, clip_version string, sbert_version string, "

@@ -197,3 +197,59 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("text_vector_dims") == QL.EXPECTED_TEXT_DIMS, F.lit(R.CHECK_YES))
         .otherwise(F.lit(R.CHECK_NO)).alias("text_check"),
         (F.col("emb_count") == 2 * F.col("meta_count")).alias("emb_ratio_ok"))
+
+
+def _report_sql() -> str:
+    fmt = R.REPORT_FORMAT.replace("'", "''")
+    dims = "CASE WHEN {c} = {n} THEN '{y}' ELSE '{x}' END"
+    return f"""
+SELECT w.run_id,
+       printf('{R.STARTED_FORMAT}', w.run_id, w.limit_param, 'manual') AS started_message,
+       printf('{R.FINISHED_FORMAT}',
+              CASE w.status WHEN 'success' THEN ':white_check_mark:' WHEN 'failed' THEN ':x:'
+                            WHEN 'audit_failed' THEN ':rotating_light:' ELSE ':question:' END,
+              w.run_id, w.status, round(w.total_run_duration_seconds, 1),
+              printf('{SUMMARY_FORMAT}', w.meta_count, w.image_count, w.text_count, w.extracted_count,
+                     w.review_count, w.total_meta, w.total_image, w.total_text)) AS finished_message,
+       printf('{fmt}', w.run_id, CASE WHEN m.final_run_status = 1.0 THEN 'success' ELSE 'failed' END,
+              round(m.total_run_duration_seconds, 1), CAST(m.metadata_row_count AS BIGINT),
+              m.extraction_payload_non_null_pct, m.confidence_above_threshold_pct, m.review_queue_pct,
+              CAST(m.embeddings_row_count AS BIGINT),
+              CAST(trunc(m.image_vector_dims) AS BIGINT),
+              {dims.format(c='m.image_vector_dims', n=QL.EXPECTED_IMAGE_DIMS, y=R.CHECK_YES, x=R.CHECK_NO)},
+              CAST(trunc(m.text_vector_dims) AS BIGINT),
+              {dims.format(c='m.text_vector_dims', n=QL.EXPECTED_TEXT_DIMS, y=R.CHECK_YES, x=R.CHECK_NO)},
+              m.zero_norm_vector_pct, CAST(m.distinct_app_package_count AS BIGINT),
+              CAST(m.distinct_category_count AS BIGINT)) AS summary_block
+FROM w JOIN m USING (run_id)"""
+
+
+@register("run_report", f"""
+WITH {STATE_SQL}, {_unpivot_sql()}
+{_report_sql()}""")
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per run, the texts a notifier would send (started / finished
+    messages) and the metrics summary block — built with ``format_string``
+    on the JVM side; delivery itself is out of scope.  Durations are
+    rounded half-up to 1 decimal before formatting (both engines agree)."""
+    s = run_state(spark, sf_dir)
+    dur = F.round("total_run_duration_seconds", 1)
+
+    def check(c, n):
+        return F.when(F.col(c) == n, F.lit(R.CHECK_YES)).otherwise(F.lit(R.CHECK_NO))
+
+    line = F.format_string(SUMMARY_FORMAT, "meta_count", "image_count", "text_count", "extracted_count",
+                           "review_count", "total_meta", "total_image", "total_text")
+    flag = F.when(F.col("final_run_status") == 1.0, F.lit(R.STATUS_SUCCESS)).otherwise(F.lit(R.STATUS_FAILED))
+    return s.select(
+        "run_id",
+        F.format_string(R.STARTED_FORMAT, "run_id", "limit_param", F.lit("manual")).alias("started_message"),
+        F.format_string(R.FINISHED_FORMAT, R.status_symbol(F.col("status")), "run_id", "status", dur,
+                        line).alias("finished_message"),
+        F.format_string(R.REPORT_FORMAT, "run_id", flag, dur, F.col("metadata_row_count").cast("long"),
+                        "extraction_payload_non_null_pct", "confidence_above_threshold_pct", "review_queue_pct",
+                        F.col("embeddings_row_count").cast("long"), F.col("image_vector_dims").cast("long"),
+                        check("image_vector_dims", QL.EXPECTED_IMAGE_DIMS),
+                        F.col("text_vector_dims").cast("long"), check("text_vector_dims", QL.EXPECTED_TEXT_DIMS),
+                        "zero_norm_vector_pct", F.col("distinct_app_package_count").cast("long"),
+                        F.col("distinct_category_count").cast("long")).alias("summary_block"))
