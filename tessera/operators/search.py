@@ -42,7 +42,8 @@ class SearchLimits:
     """Size guards.  The broadcast path is used only below both bounds."""
 
     max_broadcast_queries: int = 50_000
-    max_broadcast_bytes: int = 256 * 1024 * 1024
+    # every Python worker of an executor holds its own copy: keep it small
+    max_broadcast_bytes: int = 64 * 1024 * 1024
     query_block_rows: int = 32_768
     vector_block_rows: int = 32_768
     chunk_rows: int = 8_192
