@@ -38,6 +38,7 @@ ELEMENT_SCHEMA = ("screen_id long, pos long, depth long, path array<int>, elemen
                   "x1 long, y1 long, x2 long, y2 long")
 STATUS_SCHEMA = "screen_id long, ok boolean, error string, n_elements long"
 ZERO_BOUNDS = (0, 0, 0, 0)
+FLUSH_ROWS = 65_536
 
 
 def _as_text(v) -> str:
@@ -103,17 +104,22 @@ def elements(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarch
     """One row per kept node: ``screen_id, pos, depth, path, element_type,
     text, x1, y1, x2, y2`` (``pos`` = pre-order index among kept nodes)."""
 
+    cols = ["screen_id", "pos", "depth", "path", "element_type", "text", "x1", "y1", "x2", "y2"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = []
         for pdf in batches:
-            rows = []
             for sid, raw in zip(pdf[key].tolist(), pdf[json_col].tolist()):
                 tree, err = _parse(raw)
                 if err:
                     continue
                 for pos, (path, depth, etype, text, b) in enumerate(walk(tree)):
                     rows.append((sid, pos, depth, path, etype, text, b[0], b[1], b[2], b[3]))
-            yield pd.DataFrame(rows, columns=["screen_id", "pos", "depth", "path", "element_type", "text",
-                                              "x1", "y1", "x2", "y2"])
+                if len(rows) >= FLUSH_ROWS:   # big trees: bounded output batches, not one per input batch
+                    yield pd.DataFrame(rows, columns=cols)
+                    rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=cols)
 
     return spread(trees.select(F.col(key).cast("long").alias(key), json_col)).mapInPandas(run, ELEMENT_SCHEMA)
 
