@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.search import knn
+from tessera.session import materialize
 
 
 def next_in_order(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
@@ -70,6 +71,10 @@ def hits(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
     inputs, e.g. kind / model / version) every query searches its own
     group's index and the group columns lead the result."""
     group = list(group or [])
+    # the query side (often a join with the full text, e.g. the blank-text
+    # filter) is read by the size check, the search and the membership join:
+    # evaluate it once, into the shared work folder
+    queries = materialize(queries.select(*group, "query_id", "expected_id", "query_vector"), "eval-queries")
     top = knn(queries.select(*group, "query_id", "query_vector"), vectors, k, metric, vec_id=vec_id,
               vector=vector, group=group)
     exp = queries.select(*group, "query_id", "expected_id")
