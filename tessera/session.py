@@ -92,14 +92,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def spread(df, min_partitions: int | None = None):
     """Spread CPU-heavy per-row work over the cluster's cores.
 
-    Only when the input has fewer partitions than the default parallelism
-    (a small table in one file / row group) is it round-robin repartitioned;
-    a large input, already split into many partitions, is left untouched —
-    no extra shuffle at scale."""
+    Only when a scan-only input has fewer partitions than the default
+    parallelism (a small table in one file / row group) is it round-robin
+    repartitioned; a large input, already split into many partitions, and
+    any input that comes out of a shuffle are left untouched — no extra
+    shuffle at scale, and no stage is executed just to count partitions."""
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     try:
-        n = df.rdd.getNumPartitions()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if "Exchange" in plan or "Subquery" in plan:
+            # partitioned by a shuffle already (sized by the shuffle settings);
+            # asking the RDD for its partition count would make adaptive
+            # execution run those shuffle stages once more, only to count
+            return df
+        n = df.rdd.getNumPartitions()          # scan-only plan: file splits, no job
     except Exception:  # noqa: BLE001 — e.g. Spark Connect: leave as is
         return df
     return df.repartition(target) if n < target else df

@@ -42,3 +42,19 @@ def test_scale_settings_and_materialize(spark):
     m = materialize(df, "t")
     assert sorted(r.v for r in m.collect()) == [0, 2, 4, 6, 8]
     assert "parquet" in m._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_spread_runs_no_job_and_keeps_shuffled_inputs(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.session import spread
+
+    sc = spark.sparkContext
+    sc.setJobGroup("spread-check", "spread must not execute anything")
+    agg = spark.range(0, 1000, numPartitions=2).groupBy((F.col("id") % 7).alias("k")).count()
+    out = spread(agg)
+    assert out is agg                                              # shuffled input: untouched
+    one = spread(spark.range(0, 1000, numPartitions=1))             # scan-only, one split: spread out
+    assert sc.statusTracker().getJobIdsForGroup("spread-check") == []
+    sc.setJobGroup("", "")
+    assert "RoundRobinPartitioning" in one._jdf.queryExecution().executedPlan().toString()
