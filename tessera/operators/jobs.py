@@ -93,6 +93,14 @@ def audit(metadata: DataFrame, embeddings: DataFrame, cap: int = QL.DETAILS_CAP)
     return QL.run_audit(found.select("table", *QL.EMBEDDING_KEY, "count"), ["table", *QL.EMBEDDING_KEY], cap)
 
 
+def close_run(runs: DataFrame, run_id: str, status: str, ended_at) -> DataFrame:
+    """Close one run: status (the load step's, or ``audit_failed`` when the
+    caller caught ``AuditFailed``) and end time, both fixed on the driver."""
+    spark = runs.sparkSession
+    outcome = spark.createDataFrame([(run_id, status, ended_at)], "run_id string, status string, ended_at timestamp_ntz")
+    return R.close_runs(runs, outcome)
+
+
 def evaluate(texts: DataFrame, embeddings: DataFrame, k: int = 5, dim: int = E.TEXT_DIMS) -> DataFrame:
     """recall@k self-test: each screen with non-blank text is encoded with
     the text encoder and searched (cosine) in the text index."""

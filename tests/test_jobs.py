@@ -48,8 +48,15 @@ def test_full_run_and_idempotent_rerun(spark):
     st = J.load(meta_b, emb, review.select("screen_id", "run_id"), "runB", n).collect()[0]
     assert st.status == "success" and st.reason.startswith("idempotent re-run")
     # a duplicated key trips the breaker
+    import datetime as dt
+
+    from tessera.operators import runs as R
+
+    runs = R.new_run(spark, "dag-1", 100, run_id="runB", started_at=dt.datetime(2024, 1, 1))
     try:
         J.audit(meta_b.unionByName(meta_b.limit(1)), emb)
         raise AssertionError("expected AuditFailed")
     except QL.AuditFailed:
-        pass
+        runs = J.close_run(runs, "runB", "audit_failed", dt.datetime(2024, 1, 1, 0, 5))
+    row = runs.select("status", R.status_symbol(F.col("status")).alias("sym"), "ended_at").collect()[0]
+    assert (row.status, row.sym, row.ended_at) == ("audit_failed", ":rotating_light:", dt.datetime(2024, 1, 1, 0, 5))
