@@ -63,8 +63,11 @@ def upsert_latest(target: DataFrame, source: DataFrame, keys, order_col: str | N
     cols = [c for c in target.columns]
     if order_col:
         rest = [c for c in cols if c not in keys]
+        # ties on the arrival column broken by the row itself: a recomputed
+        # task (lost executor) must pick the same row
+        order = F.struct(F.col(order_col), *[F.col(c) for c in rest])
         latest = (source.groupBy(*keys)
-                  .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_r"))
+                  .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_r"))
                   .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
     else:
         latest = first_per_key(source.select(*cols), keys)
