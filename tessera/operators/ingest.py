@@ -53,7 +53,7 @@ def to_bronze(src: DataFrame, run_id: str, *, id_col: str = "screenId", payload_
     if arrival_col:
         rest = [c for c in rows.columns if c not in ("screen_id", "_arrival")]
         rows = (rows.groupBy("screen_id")
-                .agg(F.max_by(F.struct(*rest), F.col("_arrival")).alias("_r"))
+                .agg(F.max_by(F.struct(*rest), F.struct("_arrival", *rest)).alias("_r"))   # ties: by row
                 .select("screen_id", *[F.col("_r")[c].alias(c) for c in rest]))
     else:
         rows = first_per_key(rows, ["screen_id"])
