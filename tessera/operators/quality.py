@@ -169,5 +169,6 @@ def latest_per_key(log: DataFrame, keys, value: str, ts: str, tie: str | None =
     """Newest value per key (re-runs append; the last write wins).
 
     ``max_by`` is a plain aggregate: partial per task, no sort, no window."""
-    order = F.struct(F.col(ts), F.col(tie)) if tie else F.col(ts)
+    # without a tie column, equal timestamps are broken by the value itself (deterministic on recomputation)
+    order = F.struct(F.col(ts), F.col(tie)) if tie else F.struct(F.col(ts), F.col(value))
     return log.groupBy(*keys).agg(F.max_by(F.col(value), order).alias(value), F.max(ts).alias(ts))

@@ -99,7 +99,8 @@ def update_by_key(target: DataFrame, updates: DataFrame, keys, columns, order_co
     cols = list(columns)
     if order_col:
         u = (updates.groupBy(*keys)
-             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("_u"))
+             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]),
+                           F.struct(F.col(order_col), *[F.col(c) for c in cols])).alias("_u"))   # ties: by row
              .select(*keys, *[F.col("_u")[c].alias(f"_new_{c}") for c in cols]))
     else:
         u = first_per_key(updates.select(*keys, *cols), keys).select(
