@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.session import prepare
+from tessera.session import prepare, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,7 @@ def register(name: str, oracle: str | None = None):
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             prepare(spark)
+            ship_package(spark)
             return fn(spark, sf_dir)
 
         run.__name__ = fn.__name__

@@ -156,3 +156,41 @@ def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 25
         "spark.python.worker.reuse": "true",
         "spark.sql.session.timeZone": "UTC",
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in the executors' Python workers.
+
+    The Python stages (``mapInPandas`` and friends) refer to this package's
+    functions by module name.  A cluster normally ships it with
+    ``--py-files``; when it was not shipped, the package is zipped once per
+    application and added with ``addPyFile`` (Spark distributes the file).
+    Nothing happens when the workers can already import it from their
+    working directory (tests, the bench)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — Spark Connect: code is shipped as artifacts by the client
+        return
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    if os.path.abspath(os.getcwd()) == root:
+        return
+    import zipfile
+
+    # a code artifact built on the driver and handed to Spark's file server
+    # (not data: nothing is read back from this folder by any task)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="tessera-code-"), "tessera.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)

@@ -89,3 +89,18 @@ def test_pluggable_encoder_built_once_per_task(spark):
     assert len(out) == 10
     v = np.array(out[3])
     assert np.isclose(np.linalg.norm(v), 1.0) and np.allclose(v, np.array([2, 1, 0]) / np.sqrt(5), atol=1e-6)
+
+
+def test_entry_runs_from_another_directory(tmp_path):
+    """Executors import the package by name: it must be shipped when the
+    caller's working directory is not the repository."""
+    import subprocess
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "import __spark_entry__ as E\n"
+            "print('ROWS', len(E.entry(s).collect()))\n" % repo)
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert "ROWS 50" in out.stdout, out.stderr[-2000:]
