@@ -10,6 +10,11 @@ its own output instead of appending twice (no scan of the target).  Each
 write is one job-level commit.  ``check_target=True`` adds an anti-join
 against the target for sources whose repeats can outlive the dedup state.
 
+Repeats of a key are taken to be re-deliveries of the same record (the
+file-drop overlap case).  When two copies differ, which one wins inside a
+single micro-batch is not defined by the stream; feed such sources through
+``tables.insert_if_absent`` with an arrival column for first-writer rules.
+
 State: ``dropDuplicates(key)`` keeps every key seen; for unbounded sources
 pass ``watermark=(event_time_col, delay)`` to use
 ``dropDuplicatesWithinWatermark`` (state bounded by the delay) and rely on
