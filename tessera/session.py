@@ -112,14 +112,19 @@ def spread(df, min_partitions: int | None = None):
     return df.repartition(target) if n < target else df
 
 
-def broadcast_if_small(df, max_rows: int = 1_000_000):
-    """Broadcast hint only behind a checked bound: counts at most
-    ``max_rows + 1`` rows of ``df`` (a small key set such as run ids); a
-    larger side is returned unchanged and the planner/AQE decide."""
+def broadcast_if_small(df, max_rows: int = 1_000_000, max_bytes: int = 32 * 1024 * 1024):
+    """Broadcast hint only behind a checked bound: one job over at most
+    ``max_rows + 1`` rows of ``df`` (a small key set such as run ids) counts
+    them and sums their size (JSON text of each row, a close upper bound of
+    the broadcast payload).  A side over either bound is returned unchanged
+    and the planner / AQE decide."""
     from pyspark.sql import functions as F
 
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("b"))
+    row = probe.first()
+    return F.broadcast(df) if row["n"] <= max_rows and row["b"] <= max_bytes else df
 
 
 def materialize(df, name: str = "stage"):

@@ -58,3 +58,17 @@ def test_spread_runs_no_job_and_keeps_shuffled_inputs(spark):
     assert sc.statusTracker().getJobIdsForGroup("spread-check") == []
     sc.setJobGroup("", "")
     assert "RoundRobinPartitioning" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_broadcast_if_small_checks_rows_and_bytes(spark):
+    from tessera.session import broadcast_if_small
+
+    keys = spark.range(0, 100).selectExpr("concat('run-', id) AS run_id")
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(broadcast_if_small(keys))
+    assert not hinted(broadcast_if_small(keys, max_rows=50))        # too many rows
+    assert not hinted(broadcast_if_small(keys, max_bytes=100))      # too many bytes
+    assert hinted(broadcast_if_small(keys.where("false")))          # empty side: fine
