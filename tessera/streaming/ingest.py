@@ -5,7 +5,7 @@ writing each micro-batch once.
 
 Exactly-once: the checkpoint (offsets + dedup state) makes a restarted query
 resume where it stopped, and every micro-batch is written to its own
-``batch_id=<epoch>`` folder with overwrite, so a re-executed epoch replaces
+``stream=<query>/batch_id=<epoch>`` folder with overwrite, so a re-executed epoch replaces
 its own output instead of appending twice (no scan of the target).  Each
 write is one job-level commit.  ``check_target=True`` adds an anti-join
 against the target for sources whose repeats can outlive the dedup state.
@@ -23,10 +23,14 @@ the anti-join for older repeats.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tessera.session import broadcast_if_small
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
@@ -35,16 +39,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def stream_tag(checkpoint: str) -> str:
+    """Stable name of one streaming query (its checkpoint): restarts keep
+    it, another query writing the same target gets its own."""
+    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
 def insert_batch(spark: SparkSession, batch: DataFrame, key: list[str], target: str, epoch_id: int,
-                 check_target: bool = False) -> None:
+                 check_target: bool = False, tag: str = "s") -> None:
     """One micro-batch: first row per key (minus keys already in the target
-    when ``check_target``), written idempotently under its epoch."""
+    when ``check_target``), written idempotently under
+    ``stream=<tag>/batch_id=<epoch>``."""
     rows = batch.dropDuplicates(key)
+    cached = None
     if check_target and _exists(spark, target):
-        # other epochs only: a re-executed epoch must not hide its own rows
-        have = spark.read.parquet(target).where(F.col("batch_id") != int(epoch_id)).select(*key)
-        rows = rows.join(have, key, "left_anti")
-    rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={int(epoch_id)}")
+        # other epochs only: a re-executed epoch must not hide its own rows.
+        # The batch's keys (checked small) probe the target's key column, so
+        # the growing target is scanned, never shuffled; only the few keys
+        # found there are then removed from the batch.
+        cached = rows = rows.persist()
+        probe = broadcast_if_small(rows.select(*key))
+        mine = (F.col("stream") == tag) & (F.col("batch_id") == int(epoch_id))
+        have = (spark.read.parquet(target).where(~mine).select(*key)
+                .join(probe, key, "left_semi"))
+        rows = rows.join(broadcast_if_small(have), key, "left_anti")
+    rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/stream={tag}/batch_id={int(epoch_id)}")
+    if cached is not None:
+        cached.unpersist()
 
 
 def run_dedup_ingest(spark: SparkSession, source_dir: str, schema: StructType, key: list[str], target: str,
@@ -61,8 +82,10 @@ def run_dedup_ingest(spark: SparkSession, source_dir: str, schema: StructType, k
     else:
         stream = stream.dropDuplicates(key)
 
+    tag = stream_tag(checkpoint)
+
     def each(batch: DataFrame, epoch_id: int) -> None:
-        insert_batch(batch.sparkSession, batch, key, target, epoch_id, check_target or bool(watermark))
+        insert_batch(batch.sparkSession, batch, key, target, epoch_id, check_target or bool(watermark), tag)
 
     q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint)

@@ -64,3 +64,15 @@ def test_eval_metric_rows_long_format(spark):
     assert rows["eval_screens_tested"].model_version == "v2" and rows["eval_recall_at_5"].run_id == "run-x"
     plain = EV.eval_metric_rows(res, "run-x", 5)
     assert plain.columns == ["run_id", "metric_name", "metric_value"]
+
+
+def test_stream_target_check_skips_keys_already_written(spark):
+    base = work_dir(spark, "stream-check")
+    df = spark.createDataFrame([(i, float(i)) for i in range(30)], "event_id long, value double")
+    df.where("event_id < 20").write.mode("append").parquet(f"{base}/src")
+    run_dedup_ingest(spark, f"{base}/src", df.schema, ["event_id"], f"{base}/t", f"{base}/ck", check_target=True)
+    # a new query (fresh checkpoint, no dedup state) over an overlapping drop: the target check alone dedups
+    df.where("event_id >= 10").write.mode("append").parquet(f"{base}/src2")
+    run_dedup_ingest(spark, f"{base}/src2", df.schema, ["event_id"], f"{base}/t", f"{base}/ck2", check_target=True)
+    out = spark.read.parquet(f"{base}/t")
+    assert out.count() == 30 and out.select("event_id").distinct().count() == 30
