@@ -57,14 +57,34 @@ def render_prompts(df: DataFrame, template: str, text_col: str = "text") -> Data
             .withColumn("prompt_sha256", F.sha2(F.lit(template), 256)))
 
 
+def _within(seconds: float | None, fn, arg):
+    """``fn(arg)``, raising ``TimeoutError`` after ``seconds`` (None: no
+    limit).  A call that overruns is abandoned, not killed: its thread ends
+    when the model returns."""
+    if seconds is None:
+        return fn(arg)
+    import concurrent.futures as cf
+
+    pool = cf.ThreadPoolExecutor(max_workers=1)
+    try:
+        return pool.submit(fn, arg).result(timeout=seconds)
+    except cf.TimeoutError:
+        raise TimeoutError(f"model call exceeded {seconds:g} s") from None
+    finally:
+        pool.shutdown(wait=False, cancel_futures=True)
+
+
 def call_model(df: DataFrame, model: Callable[[list[str]], list[str]], prompt_col: str = "prompt",
-               key_cols: tuple[str, ...] = ("screen_id", "run_id")) -> DataFrame:
+               key_cols: tuple[str, ...] = ("screen_id", "run_id"), timeout_s: float | None = None) -> DataFrame:
     """Apply a user model to every prompt, one Arrow batch at a time.
 
-    ``model(prompts) -> outputs`` is built by the caller (e.g. an HTTP client
-    with its own timeout).  Errors are captured per row as ``error`` instead
-    of failing the task, so they route to the review queue.  Persist the
-    result before routing: a lazy plan read twice would call the model twice.
+    ``model(prompts) -> outputs`` is built by the caller (e.g. an HTTP
+    client).  ``timeout_s`` bounds each prompt's call (a batch gets
+    ``timeout_s`` per prompt; on overrun every prompt is retried alone with
+    its own limit).  Errors and timeouts are captured per row as ``error``
+    instead of failing the task, so they route to the review queue.  Persist
+    the result before routing: a lazy plan read twice would call the model
+    twice.
     """
     keys = list(key_cols)
     fields = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -74,12 +94,13 @@ def call_model(df: DataFrame, model: Callable[[list[str]], list[str]], prompt_co
         for pdf in batches:
             prompts = pdf[prompt_col].fillna("").tolist()
             try:
-                outs, errs = list(model(prompts)), [None] * len(prompts)
+                limit = None if timeout_s is None else timeout_s * max(1, len(prompts))
+                outs, errs = list(_within(limit, model, prompts)), [None] * len(prompts)
             except Exception:  # noqa: BLE001 — fall back to row by row to pin the failure
                 outs, errs = [], []
                 for p in prompts:
                     try:
-                        outs.append(model([p])[0])
+                        outs.append(_within(timeout_s, model, [p])[0])
                         errs.append(None)
                     except Exception as exc:  # noqa: BLE001
                         outs.append(None)
@@ -257,11 +278,12 @@ def review_rows(classified: DataFrame, raw_col: str = "raw_output", error_col: s
 
 
 def extract_job(prompts: DataFrame, model: Callable[[list[str]], list[str]], *,
-                key_cols: tuple[str, ...] = ("screen_id", "run_id"), min_confidence: float | None = None):
+                key_cols: tuple[str, ...] = ("screen_id", "run_id"), min_confidence: float | None = None,
+                timeout_s: float | None = None):
     """End-to-end extraction: call the model once per prompt, persist the raw
     responses (materialised, so neither route nor a retry calls the model
     again), then route.  Returns (valid rows, review rows, route counts)."""
-    raw = materialize(call_model(prompts, model, key_cols=key_cols), "responses")
+    raw = materialize(call_model(prompts, model, key_cols=key_cols, timeout_s=timeout_s), "responses")
     routed = classify(raw, error_col="error", min_confidence=min_confidence)
     valid = valid_rows(routed).select(*key_cols, "confidence", "title", "n_elements", "body", "prompt_version")
     review = review_rows(routed, error_col="error").select(*key_cols, "reason", "raw_output")

@@ -57,12 +57,12 @@ def embed(texts: DataFrame, bronze: DataFrame, embeddings: DataFrame, run_id: st
 
 
 def extract(texts: DataFrame, metadata: DataFrame, template: str, model: Callable[[list[str]], list[str]],
-            *, min_confidence: float | None = None):
+            *, min_confidence: float | None = None, timeout_s: float | None = None):
     """Prompts → model (called once per prompt, responses materialised) →
     keyed update of the valid rows, review rows for the rest.  Returns
     (metadata, review, route counts)."""
     prompts = X.render_prompts(texts, template, "text_rep")
-    valid, review, counts = X.extract_job(prompts, model, min_confidence=min_confidence)
+    valid, review, counts = X.extract_job(prompts, model, min_confidence=min_confidence, timeout_s=timeout_s)
     upd = valid.select("screen_id", "run_id", F.col("body").alias("extraction_payload"), "prompt_version",
                        "confidence")
     new_meta = TB.update_by_key(metadata, upd, ["screen_id", "run_id"],

@@ -113,3 +113,22 @@ def test_extract_job_calls_model_once_per_prompt(spark):
     import os
     assert sorted(os.listdir(marker)) == [f"p{i}" for i in range(6)]
     assert all(open(os.path.join(marker, f)).read() == "x" for f in os.listdir(marker))
+
+
+def test_call_model_timeout_routes_only_the_slow_prompt(spark):
+    import time
+
+    df = spark.createDataFrame([(1, "r", "fast"), (2, "r", "slow"), (3, "r", "fast")],
+                               "screen_id long, run_id string, prompt string").coalesce(1)
+
+    def model(prompts):
+        if "slow" in prompts:
+            time.sleep(3)
+        return ['{"confidence": 0.5}' for _ in prompts]
+
+    out = X.call_model(df, model, timeout_s=0.5)
+    rows = {r.screen_id: r for r in out.collect()}
+    assert rows[1].error is None and rows[3].error is None
+    assert rows[2].error.startswith("TimeoutError") and rows[2].raw_output is None
+    c = {r.screen_id: r.route for r in X.classify(out, error_col="error").collect()}
+    assert c == {1: "valid", 2: "call_error", 3: "valid"}
