@@ -33,7 +33,6 @@ from tessera.functions.vectors import METRICS
 from tessera.session import spread
 
 PARTIAL_SCHEMA = "g string, query_id long, id long, distance double, cls int"
-RESULT_SCHEMA = "query_id long, id long, distance double, rank long"
 ROUND = 6
 
 
