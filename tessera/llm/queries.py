@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, tokenstore
+from tessera.llm import bpe, quality, tokenstore
 from tessera.llm.common import documents
 from tessera.session import work_dir
 
@@ -29,8 +29,14 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.read_checksums(spark, folder)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.measure(docs, quality.references(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op9_token_output": op9_token_output,
+    "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}
