@@ -11,12 +11,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, quality, tokenstore
+from tessera.llm import bpe, mixing, quality, tokenstore
 from tessera.llm.common import documents
 from tessera.session import work_dir
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+MIX_WEIGHTS = [5.0, 2.0, 1.0]
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,9 +35,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(docs, quality.references(docs))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir), MIX_WEIGHTS, share=1.5, repetitions=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op9_token_output": op9_token_output,
     "op10_quality": op10_quality,
+    "op4_mixing": op4_mixing,
 }
 ORACLES: dict[str, str] = {}
