@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, mixing, quality, sharding, tokenstore
+from tessera.llm import bpe, mixing, quality, sharding, simhash, tokenstore
 from tessera.llm.common import documents
 from tessera.session import work_dir
 
@@ -44,11 +44,16 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir), sharding.even_tree(8))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, distance=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op9_token_output": op9_token_output,
     "op10_quality": op10_quality,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
+    "op3_simhash": op3_simhash,
 }
 ORACLES: dict[str, str] = {}
