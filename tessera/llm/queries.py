@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, mixing, quality, sharding, simhash, tokenstore
+from tessera.llm import bpe, linededup, mixing, quality, sharding, simhash, tokenstore
 from tessera.llm.common import documents
 from tessera.session import work_dir
 
@@ -48,6 +48,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, distance=4)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op9_token_output": op9_token_output,
@@ -55,5 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op3_simhash": op3_simhash,
+    "op8_line_dedup": op8_line_dedup,
+}
+ORACLES: dict[str, str] = {
+    "op8_line_dedup": linededup.REPORT_SQL,
 }
-ORACLES: dict[str, str] = {}
