@@ -10,10 +10,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import bpe, linededup, mixing, quality, sharding, simhash, tokenstore
+from tessera.llm import ann, bpe, linededup, mixing, quality, sharding, simhash, tokenstore
 from tessera.llm.common import documents
-from tessera.session import work_dir
+from tessera.session import ship_package, work_dir
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +53,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(documents(spark, sf_dir))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ann.search(vectors, F.pmod(vectors["vec_id"], F.lit(100)) == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op9_token_output": op9_token_output,
@@ -60,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op3_simhash": op3_simhash,
     "op8_line_dedup": op8_line_dedup,
+    "op7_ann": op7_ann,
 }
 ORACLES: dict[str, str] = {
     "op8_line_dedup": linededup.REPORT_SQL,
