@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, bpe, linededup, mixing, quality, sharding, simhash, tokenstore
+from tessera.llm import ann, bpe, linededup, mixing, ppm, quality, sharding, simhash, tokenstore
 from tessera.llm.common import documents
 from tessera.session import ship_package, work_dir
 
@@ -59,6 +59,12 @@ def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(vectors, F.pmod(vectors["vec_id"], F.lit(100)) == 0, k=10)
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 7 == 2
+    return ppm.score(docs, held_out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op9_token_output": op9_token_output,
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op8_line_dedup": op8_line_dedup,
     "op7_ann": op7_ann,
+    "op2_lm_score": op2_lm_score,
 }
 ORACLES: dict[str, str] = {
     "op8_line_dedup": linededup.REPORT_SQL,
