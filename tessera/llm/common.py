@@ -27,14 +27,14 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "lz4_raw") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage so that later jobs, and tasks repeated after a lost
     executor, read files instead of computing the stage again."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -260,7 +260,7 @@ def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: st
             found = np.array([fingerprint(t, shingle) for t in utf8(batch.column(text_col))], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], [*batch.schema.names, "__fp"])
 
-    marked = stored(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])), "marked")
+    marked = stored(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])), "marked", "zstd")
     found = _by_fingerprint(marked.select(F.col(id_col).alias("doc_id"), F.col("__fp").alias("fp")), distance)
     # among a component's fingerprints whose smallest id is the component's, the smallest fingerprint
     kept = found.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min(F.struct("fp", "least")).alias("k")).select("k.fp", "k.least")
