@@ -32,16 +32,16 @@ BUCKETS = 1024
 SEED = 42
 
 
-def targets(sizes: dict, weights: list[float], share: float = 1.5, cap: float = 2.0) -> dict:
+def targets(sizes: dict, weights: list[float], share: float = 1.5, cap: float = 2.0, total: float | None = None) -> dict:
     """Words asked for by each source: ``share`` of all words dealt by weight; a source never
     asks for more than ``cap`` times its size, the excess is dealt again among the others.
 
-    ``sizes``: source → words, in the order in which ``weights`` repeat."""
+    ``sizes``: source → words, in the order in which ``weights`` repeat.  ``total``: all words, if
+    sources overlap (else the sum of the sizes)."""
     weight = {s: weights[k % len(weights)] for k, s in enumerate(sizes)}
-    open_, rest, out = set(sizes), share * sum(sizes.values()), {}
+    open_, rest, out = set(sizes), share * (sum(sizes.values()) if total is None else total), {}
     while open_:
-        total = sum(weight[s] for s in open_)
-        ask = {s: rest * weight[s] / total for s in open_}
+        ask = {s: rest * weight[s] / sum(weight[o] for o in open_) for s in open_}
         full = {s for s in open_ if ask[s] > cap * sizes[s]}
         for s in full or open_:
             out[s] = cap * sizes[s] if full else ask[s]
@@ -93,28 +93,24 @@ def min_cost_flow(patterns: dict, quota: dict, repetitions: int) -> dict:
     return {(*layer, s): w for s, own in held.items() for layer, w in own.items() if w > eps}
 
 
-def _fill(rows: DataFrame, quota: DataFrame, name: str) -> DataFrame:
-    """``rows`` with boolean ``name``: the documents, in seeded order, whose middle lies within
-    the quota of their pattern.  Candidates are the rows with ``size`` in (0, quota.most]."""
-    open_ = rows.join(F.broadcast(quota), "pattern")  # one row for each pattern, bounded by max_patterns
-    open_ = open_.withColumn("cand", F.when((F.col("size") > 0) & (F.col("size") <= F.col("most")) & F.col("can"), F.col("size")).otherwise(0))
+def _fill(rows: DataFrame, wish: DataFrame) -> DataFrame:
+    """``rows`` after one pass: in each pattern the documents that may change (``in`` is not
+    ``add``, size at most ``most``) change, in seeded order, as long as their middle lies within
+    ``quota`` words of changes.  ``wish`` has one row for each pattern."""
+    may = (F.col("in") != F.col("add")) & (F.col("size") > 0) & (F.col("size") <= F.col("most"))
+    open_ = rows.join(F.broadcast(wish), "pattern").withColumn("cand", F.when(may, F.col("size")).otherwise(0))
     buckets = open_.groupBy("pattern", "bucket").agg(F.sum("cand").alias("words"))
     before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = buckets.select("pattern", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
     within = Window.partitionBy("pattern", "bucket").orderBy("order", "key").rowsBetween(Window.unboundedPreceding, -1)
-    placed = open_.join(starts, ["pattern", "bucket"])
     at = F.col("start") + F.coalesce(F.sum("cand").over(within), F.lit(0))
-    return placed.withColumn(name, (F.col("cand") > 0) & (at + F.col("cand") / 2 <= F.col("quota"))).drop("cand", "start", "quota", "most", "can")
-
-
-def _quota(spark, amounts: dict, most: dict | None = None) -> DataFrame:
-    rows = [(p, float(q), float((most or {}).get(p, float("inf")))) for p, q in amounts.items()]
-    return spark.createDataFrame(rows, "pattern string, quota double, most double").coalesce(1)
+    flip = (F.col("cand") > 0) & (at + F.col("cand") / 2 <= F.col("quota"))
+    return open_.join(starts, ["pattern", "bucket"]).withColumn("in", F.col("in") != flip).select(*rows.columns)
 
 
 def mix(docs: DataFrame, weights: list[float], share: float = 1.5, repetitions: int = 2, seed: int = SEED, corrections: int = 2,
         max_patterns: int = 20_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: doc_id, size, source (of a single membership; else the pattern),
+    """One row per document: doc_id, size, source (of a single membership; else null),
     source_size, target, taken, copies.
 
     ``source_col`` is one source, or an array of the sources that hold the document."""
@@ -126,8 +122,7 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, repetitions:
         F.to_json(F.struct(members.alias("s")), {"ignoreNullFields": "false"}).alias("pattern"), members.alias("sources"),
         F.xxhash64(docs[id_col].cast("string"), F.lit(seed)).alias("order"), F.xxhash64(docs[text_col]).alias("key"),
     ).withColumn("bucket", F.pmod(F.xxhash64("order", "key"), F.lit(BUCKETS)))
-    # the order of buckets is the seeded order: a bucket is the hash's residue, its number the place
-    rows = stored(rows, "mix-sizes")
+    rows = stored(rows, "mix-sizes")  # narrow: the texts are read once
     sums = rows.groupBy("pattern").agg(F.first("sources").alias("sources"), F.sum("size").alias("size")).limit(max_patterns + 1).collect()
     if len(sums) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
@@ -138,33 +133,26 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, repetitions:
         for s in p:
             sizes[s] = sizes.get(s, 0) + w
     sizes = {s: sizes[s] for s in sorted(sizes, key=lambda s: (s is None, s or ""))}
-    quota = targets(sizes, weights, share, float(repetitions))
-    flows = min_cost_flow(patterns, quota, repetitions)
-    taken = rows.withColumn("copies", F.lit(0))
-    for r in range(1, repetitions + 1):
-        amounts = {name[p]: 0.0 for p in patterns}
-        for (p, rep, _), words in flows.items():
-            if rep == r:
-                amounts[name[p]] += words
-        if not any(amounts.values()):
-            break
-        left, most = amounts, None
-        taken = taken.withColumn("in", F.lit(False))
-        for _ in range(1 + corrections):
-            # documents to add where words are missing; to take out where there are too many
-            sign = {p: (1.0 if q >= 0 else -1.0) for p, q in left.items()}
-            want = _quota(spark, {p: abs(q) for p, q in left.items()}, most)
-            wish = spark.createDataFrame([(p, s > 0) for p, s in sign.items()], "pattern string, add boolean").coalesce(1)
-            able = taken.join(F.broadcast(wish), "pattern").withColumn("can", F.col("add") != F.col("in"))
-            taken = stored(_fill(able, want, "flip").withColumn("in", F.col("in") != F.col("flip")).drop("flip", "add"), "mix-step")
-            got = {x.pattern: x.n for x in taken.where("in").groupBy("pattern").agg(F.sum("size").alias("n")).collect()}
-            left = {p: amounts[p] - got.get(p, 0) for p in amounts}
-            most = {p: abs(q) for p, q in left.items()}
-        taken = taken.withColumn("copies", F.col("copies") + F.col("in").cast("int")).drop("in")
+    quota = targets(sizes, weights, share, float(repetitions), sum(w for p, w in patterns.items() if p))
+    words = dict.fromkeys(patterns, 0.0)
+    for (p, _, _), n in min_cost_flow(patterns, quota, repetitions).items():
+        words[p] += n
+    # a pattern's repetitions fill up in order, so at most one of them is in part
+    whole = {p: int(words[p] / w + 1e-9) if w else 0 for p, w in patterns.items()}
+    part = {p: words[p] - whole[p] * w for p, w in patterns.items()}
+    taken, left, most = rows.drop("sources").withColumn("in", F.lit(False)), dict(part), dict.fromkeys(patterns, float("inf"))
+    for _ in range(1 + corrections):
+        wish = spark.createDataFrame([(name[p], abs(q), most[p], q > 0) for p, q in left.items()],
+                                     "pattern string, quota double, most double, add boolean").coalesce(1)
+        taken = stored(_fill(taken, wish), "mix-pass")
+        got = {r.pattern: r.n for r in taken.where("in").groupBy("pattern").agg(F.sum("size").alias("n")).collect()}
+        left = {p: part[p] - got.get(name[p], 0) for p in patterns}
+        most = {p: abs(q) for p, q in left.items()}
     about = spark.createDataFrame(
-        [(name[p], p[0] if len(p) == 1 else None, int(sum(sizes[s] for s in p)), float(sum(quota[s] for s in p))) for p in patterns],
-        "pattern string, source string, source_size long, target double").coalesce(1)
-    return (taken.join(F.broadcast(about), "pattern")
+        [(name[p], p[0] if len(p) == 1 else None, int(sum(sizes[s] for s in p)), float(sum(quota[s] for s in p)), whole[p]) for p in patterns],
+        "pattern string, source string, source_size long, target double, whole int").coalesce(1)
+    copies = F.when(F.col("size") > 0, F.col("whole") + F.col("in").cast("int")).otherwise(0)
+    return (taken.join(F.broadcast(about), "pattern").withColumn("copies", copies)
             .select("doc_id", "size", "source", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "key"))
 
 
@@ -173,6 +161,6 @@ def select_documents(docs: DataFrame, weights: list[float], id_col: str = "doc_i
     mixed = mix(docs, weights, id_col=id_col, text_col=text_col, **kw)
     picked = mixed.where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("copies").alias("__copies"))
     picked = picked.groupBy("__id", "__key").agg(F.max("__copies").alias("__copies"))  # repeated rows have one answer
-    left = docs.withColumn("__text", F.xxhash64(docs[text_col]))
-    joined = left.join(picked, left[id_col].eqNullSafe(F.col("__id")) & (left["__text"] == F.col("__key")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[joined[c] for c in docs.columns])
+    keyed = docs.withColumn("__text", F.xxhash64(docs[text_col]))
+    joined = keyed.join(picked, keyed[id_col].eqNullSafe(F.col("__id")) & (keyed["__text"] == F.col("__key")))
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
