@@ -263,6 +263,7 @@ def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: st
     marked = stored(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])), "marked", "zstd")
     found = _by_fingerprint(marked.select(F.col(id_col).alias("doc_id"), F.col("__fp").alias("fp")), distance)
     # among a component's fingerprints whose smallest id is the component's, the smallest fingerprint
-    kept = found.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min(F.struct("fp", "least")).alias("k")).select("k.fp", "k.least")
-    joined = marked.join(kept, (marked["__fp"] == kept["fp"]) & marked[id_col].eqNullSafe(kept["least"]))
+    kept = (found.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min(F.struct("fp", "least")).alias("k"))
+            .select(F.col("k.fp").alias("__kept"), F.col("k.least").alias("__least")))
+    joined = marked.join(kept, (marked["__fp"] == kept["__kept"]) & marked[id_col].eqNullSafe(kept["__least"]))
     return joined.dropDuplicates(["__fp", id_col]).select(*columns)
