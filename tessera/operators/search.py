@@ -4,8 +4,8 @@ Plan shape — no cross join, no pair rows:
 
 * **broadcast path** (query set of checked, bounded size): the query matrix is
   shipped once to every task; each vector partition is scanned in place
-  (no shuffle of the vector table), distances are a blocked matrix product
-  in numpy, and each task emits only its local top-k per query.  The only
+  (no shuffle of the vector table), candidates come from a blocked matrix
+  product in numpy, and each task emits only its local top-k per query.  The only
   shuffle is those partial top-k rows, ranked again with ``row_number``
   (which Spark plans as ``WindowGroupLimit`` partial + final).
 * **blocked path** (large query sets, e.g. a self-test over the whole
@@ -14,8 +14,11 @@ Plan shape — no cross join, no pair rows:
   group bounded by the block sizes), and again only local top-k rows leave
   the task.
 
-Ranking is deterministic: distances rounded to 6 decimals, then id
-ascending.  Order classes follow the reference store: numbers, then NaN
+Ranking is deterministic: the full double-precision distance, then id
+ascending; only the distance that is shown is rounded.  A matrix product
+proposes candidates with a margin for its rounding; their distances are then
+computed pair by pair in one fixed order of summation, so equal vectors have
+equal distances.  Order classes follow the reference store: numbers, then NaN
 (zero-norm cosine), then null vectors.
 """
 
@@ -33,7 +36,7 @@ from tessera.functions.vectors import METRICS
 from tessera.session import spread
 
 PARTIAL_SCHEMA = "g string, query_id long, id long, distance double, cls int"
-ROUND = 6
+ROUND = 6                           # decimals of the distance shown; ranking uses all of it
 
 
 @dataclass
@@ -43,6 +46,7 @@ class SearchLimits:
     max_broadcast_queries: int = 50_000
     # every Python worker of an executor holds its own copy: keep it small
     max_broadcast_bytes: int = 64 * 1024 * 1024
+    max_partial_rows: int = 1_000_000          # queries x k: rows that one task may emit
     query_block_rows: int = 32_768
     vector_block_rows: int = 32_768
     chunk_rows: int = 8_192
@@ -85,25 +89,40 @@ def _stack(series: pd.Series, dim: int | None):
     return mat, valid, dim
 
 
-def _distances(metric: str, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+def _exact(metric: str, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Distance of every pair along the last axis (broadcast over the others),
+    each summed in the same order."""
+    if metric == "l2":
+        return np.sqrt(((q - v) ** 2).sum(-1))
+    dots = (q * v).sum(-1)
     if metric == "ip":
-        return -(q @ v.T)
+        return -dots
     if metric == "cosine":
-        dots = q @ v.T
-        denom = np.outer(np.sqrt((q * q).sum(1)), np.sqrt((v * v).sum(1)))
+        norms = np.sqrt((q * q).sum(-1)) * np.sqrt((v * v).sum(-1))
         with np.errstate(divide="ignore", invalid="ignore"):
-            d = 1.0 - dots / denom
-        d[denom == 0] = np.nan
-        return d
-    if metric == "l2":
-        # exact per-pair form, chunked by the caller to bound memory
-        diff = q[:, None, :] - v[None, :, :]
-        return np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+            d = 1.0 - dots / norms
+        return np.where(norms == 0, np.nan, d)
     raise ValueError(f"unknown metric {metric!r}; expected one of {METRICS}")
 
 
+def _proposed(metric: str, q: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, margin): a matrix product that orders vectors like the metric
+    up to ``margin`` (a column, one per query); NaN where cosine is undefined."""
+    dots = q @ v.T
+    eps = 8.0 * (q.shape[1] + 8) * np.finfo(np.float64).eps
+    qq, vv = (q * q).sum(1), (v * v).sum(1)
+    if metric == "ip":
+        return -dots, eps * np.sqrt(qq[:, None] * vv.max(initial=0.0))
+    if metric == "l2":
+        return qq[:, None] + vv[None, :] - 2.0 * dots, eps * (qq[:, None] + vv.max(initial=0.0))
+    norms = np.sqrt(qq)[:, None] * np.sqrt(vv)[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        order = 1.0 - dots / norms
+    order[norms == 0] = np.nan
+    return order, np.full((len(q), 1), eps)
+
+
 DIST_BUDGET = 4 * 1024 * 1024      # distance entries per block (32 MB of float64)
-_COMPOSITE_LIMIT = 1e8             # |distance| below this: exact integer (distance, id) key
 
 
 def _empty_best(nq: int):
@@ -122,25 +141,36 @@ def _merge(best, cand, k: int):
             np.take_along_axis(ids, order, 1))
 
 
-def _block_topk(d: np.ndarray, vid: np.ndarray, kk: int):
-    """Exact top-kk of one distance block by (class, distance, id).
-
-    ``vid`` is sorted, so the column index orders ties by id.  Distances are
-    rounded to 6 decimals, hence ``rint(d·1e6)·m + column`` is an exact
-    integer key and ``argpartition`` needs no tie handling."""
-    nan = np.isnan(d)
-    m = d.shape[1]
-    finite = np.where(nan, 0.0, d)
-    if not d.size or np.abs(finite).max() < _COMPOSITE_LIMIT:
-        base = np.rint(finite * 1e6).astype(np.int64)
-        base[nan] = (np.iinfo(np.int64).max // (2 * m)) - 1
-        comp = base * m + np.arange(m, dtype=np.int64)[None, :]
-        idx = np.argpartition(comp, kk - 1, axis=1)[:, :kk] if kk < m else np.broadcast_to(
-            np.arange(m), comp.shape).copy()
-        idx = np.take_along_axis(idx, np.argsort(np.take_along_axis(comp, idx, 1), axis=1), 1)
-    else:  # huge magnitudes: stable sort on the float key (still exact)
-        idx = np.argsort(np.where(nan, np.inf, d), axis=1, kind="stable")[:, :kk]
-    return (np.take_along_axis(nan, idx, 1).astype(np.int8), np.take_along_axis(d, idx, 1), vid[idx])
+def _block_topk(metric: str, q: np.ndarray, mat: np.ndarray, vid: np.ndarray, kk: int):
+    """Top-kk of one block by (class, distance, id) on exact distances.
+
+    ``vid`` is sorted.  A few more than kk rows per query are proposed by
+    the matrix product and measured exactly; a query whose next proposal
+    could still be nearer than its kk-th (ties, rounding, NaN) is measured
+    against the whole block."""
+    m = len(vid)
+    take = min(m, kk + 8)
+    order, margin = _proposed(metric, q, mat)
+    order = np.where(np.isnan(order), np.inf, order)
+    if take < m:
+        idx = np.argpartition(order, take, axis=1)
+        rest = np.take_along_axis(order, idx[:, take:take + 1], 1)[:, 0]      # the best one left out
+        idx = np.sort(idx[:, :take], axis=1)
+    else:
+        idx, rest = np.broadcast_to(np.arange(m), (len(q), m)), np.full(len(q), np.inf)
+    step = max(1, DIST_BUDGET // max(1, take * mat.shape[1]))
+    dist = np.concatenate([_exact(metric, q[a:a + step, None, :], mat[idx[a:a + step]]) for a in range(0, len(q), step)])
+    cls, out, ids = _merge(_empty_best(len(q)), (np.isnan(dist).astype(np.int8), dist, vid[idx]), kk)
+    if take < m:
+        kth = np.sort(np.take_along_axis(order, idx, 1), axis=1)[:, kk - 1]
+        for row in np.flatnonzero(~(rest > kth + 2.0 * margin[:, 0])):        # also where anything is not finite
+            near = np.flatnonzero(~(order[row] > kth[row] + 2.0 * margin[row, 0]))
+            if not len(near) or not np.isfinite(kth[row]):
+                near = np.arange(m)
+            d = np.concatenate([_exact(metric, q[row], mat[near[a:a + 65_536]]) for a in range(0, len(near), 65_536)])
+            one = _merge(_empty_best(1), (np.isnan(d).astype(np.int8)[None], d[None], vid[near][None]), kk)
+            cls[row], out[row], ids[row] = one[0][0], one[1][0], one[2][0]
+    return cls, out, ids
 
 
 def _local_topk(metric: str, k: int, q: np.ndarray, ids: np.ndarray, vecs: pd.Series, chunk_rows: int,
@@ -164,10 +194,8 @@ def _local_topk(metric: str, k: int, q: np.ndarray, ids: np.ndarray, vecs: pd.Se
         m = len(vid)
         if m:
             kk = min(k, m)
-            width = m * (mat.shape[1] if metric == "l2" else 1)
-            step = max(1, DIST_BUDGET // max(1, width))
-            parts = [_block_topk(np.round(_distances(metric, q[i:i + step], mat), ROUND), vid, kk)
-                     for i in range(0, nq, step)]
+            step = max(1, DIST_BUDGET // m)
+            parts = [_block_topk(metric, q[i:i + step], mat, vid, kk) for i in range(0, nq, step)]
             cand = tuple(np.concatenate([p[j] for p in parts], axis=0) for j in range(3))
             best = _merge(best, cand, k)
         if (~valid).any():
@@ -191,7 +219,7 @@ def _final_rank(partial: DataFrame, k: int) -> DataFrame:
     # Arrow turns NaN into null on the way back: restore it from the class
     dist = (F.when(F.col("cls") == 1, F.lit(float("nan")))
             .when(F.col("cls") == 2, F.lit(None).cast("double"))
-            .otherwise(F.col("distance")))
+            .otherwise(F.round("distance", ROUND) + F.lit(0.0)))
     return (partial.withColumn("rank", F.row_number().over(w).cast("long"))
             .where(F.col("rank") <= k)
             .select("g", "query_id", "id", dist.alias("distance"), "rank"))
@@ -202,14 +230,18 @@ def _group_key(group) -> F.Column:
     return F.to_json(F.struct(*group)) if group else F.lit("")
 
 
-def _bounded_queries(queries: DataFrame, qid: str, qvec: str, limits: SearchLimits):
-    """Pull the query set to the driver only if it is provably small:
-    ``{group: (query ids, query matrix, dim)}``."""
+def _bounded_queries(queries: DataFrame, qid: str, qvec: str, limits: SearchLimits, k: int):
+    """Pull the query set to the driver only if it is provably small, in
+    rows, in bytes and in the rows it makes each task emit:
+    ``{group: (query ids, query matrix, dim)}``.  Rows and bytes are counted
+    before any vector is pulled."""
+    most = min(limits.max_broadcast_queries, max(1, limits.max_partial_rows // k))
     probe = queries.select("g", F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("qv"))
-    probe = probe.where(F.col("qv").isNotNull()).limit(limits.max_broadcast_queries + 1)
-    tbl = probe.toArrow()
-    if tbl.num_rows > limits.max_broadcast_queries:
+    probe = probe.where(F.col("qv").isNotNull()).limit(most + 1)
+    size = probe.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("qv")), F.lit(0)).alias("x")).first()
+    if size["n"] > most or 8 * size["x"] > limits.max_broadcast_bytes:
         return None
+    tbl = probe.toArrow()
     pdf = tbl.to_pandas()
     out, size = {}, 0
     for g, part in pdf.groupby("g", sort=True):
@@ -249,7 +281,7 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
 
     pulled = None
     if strategy in ("auto", "broadcast"):
-        pulled = _bounded_queries(queries, query_id, query_vector, limits)
+        pulled = _bounded_queries(queries, query_id, query_vector, limits, k)
         if pulled is None and strategy == "broadcast":
             raise ValueError("query set exceeds the broadcast bounds")
     if pulled is not None:

@@ -74,17 +74,17 @@ qb AS (SELECT id, ('0x' || substr(md5(t), 1, 8))::BIGINT % 384 AS bucket, count(
        FROM qtok WHERE t <> '' GROUP BY id, bucket),
 qn AS (SELECT id, sqrt(sum(c * c)) AS nrm FROM qb GROUP BY id),
 qx AS (SELECT id, bucket, (c / nrm)::FLOAT AS x FROM qb JOIN qn USING (id)),
-dnorm AS (SELECT id, sqrt(sum(x::DOUBLE * x::DOUBLE)) AS nrm FROM x GROUP BY id),
-qnorm AS (SELECT id, sqrt(sum(x::DOUBLE * x::DOUBLE)) AS nrm FROM qx GROUP BY id),
-dots AS (SELECT qx.id AS qid, x.id AS did, sum(qx.x::DOUBLE * x.x::DOUBLE) AS dot
+dnorm AS (SELECT id, sqrt(sum(x::DOUBLE * x::DOUBLE ORDER BY bucket)) AS nrm FROM x GROUP BY id),
+qnorm AS (SELECT id, sqrt(sum(x::DOUBLE * x::DOUBLE ORDER BY bucket)) AS nrm FROM qx GROUP BY id),
+dots AS (SELECT qx.id AS qid, x.id AS did, sum(qx.x::DOUBLE * x.x::DOUBLE ORDER BY bucket) AS dot
          FROM qx JOIN x USING (bucket) GROUP BY qx.id, x.id),
 pairs AS (SELECT b.item_id AS query_id, d.doc_id,
-                 round(1 - coalesce(dots.dot, 0.0) / (qnorm.nrm * dnorm.nrm), 6) AS distance
+                 1 - coalesce(dots.dot, 0.0) / (qnorm.nrm * dnorm.nrm) AS distance
           FROM benchmark b CROSS JOIN documents d
           JOIN qnorm ON qnorm.id = b.item_id JOIN dnorm ON dnorm.id = d.doc_id
           LEFT JOIN dots ON dots.qid = b.item_id AND dots.did = d.doc_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) AS rank FROM pairs)
-SELECT r.query_id, CAST(r.rank AS BIGINT) AS rank, r.doc_id, r.distance, d.source, d.lang
+SELECT r.query_id, CAST(r.rank AS BIGINT) AS rank, r.doc_id, round(r.distance, 6) AS distance, d.source, d.lang
 FROM r JOIN documents d USING (doc_id) WHERE r.rank <= {K_SEARCH}""")
 def text_query_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages encoded with the same encoder as the documents,

@@ -93,7 +93,7 @@ def centroids(kind: str, name: str = "cent") -> str:
 
 
 def dist(metric: str, a: str, b: str) -> str:
-    """Distance between two DOUBLE[] expressions, rounded like the engine."""
+    """Distance between two DOUBLE[] expressions (ranked in full; queries round what they show)."""
     if metric == "cosine":
         e = (f"1 - list_dot_product({a}, {b}) / "
              f"(sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b})))")
@@ -103,7 +103,7 @@ def dist(metric: str, a: str, b: str) -> str:
         e = f"-list_dot_product({a}, {b})"
     else:
         raise ValueError(metric)
-    return f"round({e}, 6)"
+    return e
 
 
 # Response routing over RESP (DuckDB's json_valid rejects trailing text,

@@ -49,7 +49,7 @@ v AS (SELECT screen_id, vector FROM emb WHERE embedding_kind = '{kind}'
 d AS (SELECT cent.query_id, v.screen_id, {Q.dist(metric, 'cent.qv', 'v.vector::DOUBLE[]')} AS distance
       FROM cent, v),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, screen_id) AS rank FROM d)
-SELECT r.query_id, CAST(r.rank AS BIGINT) AS rank, r.screen_id, r.distance, meta.app_package, meta.category
+SELECT r.query_id, CAST(r.rank AS BIGINT) AS rank, r.screen_id, round(r.distance, 6) AS distance, meta.app_package, meta.category
 FROM r JOIN meta USING (screen_id) WHERE r.rank <= {K}"""
 
 
@@ -70,7 +70,7 @@ WITH {Q.centroids('text')}, {Q.EMB},
 d AS (SELECT cent.query_id, e.screen_id, {Q.dist('ip', 'cent.qv', 'e.vector::DOUBLE[]')} AS distance
       FROM cent, emb e WHERE e.embedding_kind = 'text'),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, screen_id) AS rank FROM d)
-SELECT query_id, CAST(rank AS BIGINT) AS rank, screen_id, distance FROM r WHERE rank <= {K}""")
+SELECT query_id, CAST(rank AS BIGINT) AS rank, screen_id, round(distance, 6) AS distance FROM r WHERE rank <= {K}""")
 def vector_search_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Negative inner product search over the whole text table."""
     hits = knn(label_centroids(spark, sf_dir, "text"), vectors_of(spark, sf_dir, "text"), K, "ip",
@@ -83,7 +83,7 @@ WITH {Q.EMB},
 t AS (SELECT screen_id, vector::DOUBLE[] AS v FROM emb WHERE embedding_kind = 'text'),
 d AS (SELECT q.screen_id AS query_id, t.screen_id, {Q.dist('cosine', 'q.v', 't.v')} AS distance FROM t q, t),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, screen_id) AS rank FROM d)
-SELECT query_id, CAST(rank AS BIGINT) AS rank, screen_id, distance FROM r WHERE rank <= {K}""")
+SELECT query_id, CAST(rank AS BIGINT) AS rank, screen_id, round(distance, 6) AS distance FROM r WHERE rank <= {K}""")
 def knn_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text vector queries the whole text table (cosine, k = 5)."""
     v = vectors_of(spark, sf_dir, "text")
@@ -99,9 +99,9 @@ dt AS (SELECT ct.query_id, e.screen_id, {Q.dist('cosine', 'ct.qv', 'e.vector::DO
        FROM ct, emb e WHERE e.embedding_kind = 'text'),
 di AS (SELECT ci.query_id, e.screen_id, {Q.dist('cosine', 'ci.qv', 'e.vector::DOUBLE[]')} AS distance
        FROM ci, emb e WHERE e.embedding_kind = 'image'),
-t1 AS (SELECT query_id, screen_id AS text_id, distance AS text_distance FROM
+t1 AS (SELECT query_id, screen_id AS text_id, round(distance, 6) AS text_distance FROM
        (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, screen_id) AS rn FROM dt) WHERE rn = 1),
-i1 AS (SELECT query_id, screen_id AS image_id, distance AS image_distance FROM
+i1 AS (SELECT query_id, screen_id AS image_id, round(distance, 6) AS image_distance FROM
        (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, screen_id) AS rn FROM di) WHERE rn = 1)
 SELECT coalesce(t1.query_id, i1.query_id) AS query_id, text_id, text_distance, image_id, image_distance,
        coalesce(text_id = image_id, false) AS agree
@@ -149,3 +149,58 @@ def retriever_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = knn(label_centroids(spark, sf_dir, "image"), vectors_of(spark, sf_dir, "image"), K, "cosine",
             vec_id="screen_id")
     return reciprocal_rank_fusion([t, i], K).select("query_id", F.col("id").alias("screen_id"), "score", "rank")
+
+
+# Near copies (first component moved by k · 1e-5) and tiny vectors (scaled by 1e-8): neighbours that
+# any rounding of the distance before ranking would mix up.
+NEAR_SQL = f"""
+b AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+t AS (SELECT vec_id AS screen_id, v FROM b
+      UNION ALL
+      SELECT vec_id + 10000000, list_transform(v, lambda x, i: CASE WHEN i = 1 THEN x + (vec_id % 7 + 1) * 1e-5::DOUBLE ELSE x END) FROM b
+      UNION ALL
+      SELECT vec_id + 20000000,
+             list_transform(v, lambda x, i: CASE WHEN i = 1 THEN (x + (vec_id % 5 + 1) * 2.7e-5::DOUBLE) * 1e-8::DOUBLE ELSE x * 1e-8::DOUBLE END) FROM b),
+f AS (SELECT label, min(vec_id) AS vec_id FROM b GROUP BY label),
+q AS (SELECT CAST(b.label AS BIGINT) AS query_id, b.v FROM b JOIN f USING (vec_id)
+      UNION ALL
+      SELECT 100 + b.label, list_transform(b.v, lambda x: x * 1e-8::DOUBLE) FROM b JOIN f USING (vec_id))"""
+
+
+def _near_oracle(metrics) -> str:
+    each = " UNION ALL ".join(
+        f"""SELECT '{m}' AS metric, query_id, CAST(rank AS BIGINT) AS rank, screen_id FROM
+  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, screen_id) AS rank
+   FROM (SELECT q.query_id, t.screen_id, {Q.dist(m, 'q.v', 't.v')} AS d FROM q, t)) WHERE rank <= {K}""" for m in metrics)
+    return f"WITH {NEAR_SQL}\n{each}"
+
+
+def _near(spark, sf_dir, metrics, strategy) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    tiny = F.transform("v", lambda x: x * F.lit(1e-8))
+    moved = F.transform("v", lambda x, i: F.when(i == 0, x + (F.col("vec_id") % 7 + 1) * F.lit(1e-5)).otherwise(x))
+    tiny_moved = F.transform("v", lambda x, i: F.when(i == 0, (x + (F.col("vec_id") % 5 + 1) * F.lit(2.7e-5)) * F.lit(1e-8)).otherwise(x * F.lit(1e-8)))
+    vectors = (e.select(F.col("vec_id").alias("id"), F.col("v").alias("vector"))
+               .unionByName(e.select((F.col("vec_id") + 10000000).alias("id"), moved.alias("vector")))
+               .unionByName(e.select((F.col("vec_id") + 20000000).alias("id"), tiny_moved.alias("vector"))))
+    firsts = e.groupBy("label").agg(F.min_by("v", "vec_id").alias("v"))       # one vector per label
+    queries = (firsts.select(F.col("label").cast("long").alias("query_id"), F.col("v").alias("query_vector"))
+               .unionByName(firsts.select((F.col("label") + 100).cast("long").alias("query_id"), tiny.alias("query_vector"))))
+    out = None
+    for m in metrics:
+        part = knn(queries, vectors, K, m, strategy=strategy).select(
+            F.lit(m).alias("metric"), "query_id", "rank", F.col("id").alias("screen_id"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("knn_near_broadcast", _near_oracle(("l2", "cosine", "ip")))
+def knn_near_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies and tiny vectors under all three metrics, scan path."""
+    return _near(spark, sf_dir, ("l2", "cosine", "ip"), "broadcast")
+
+
+@register("knn_near_blocked", _near_oracle(("l2", "cosine", "ip")))
+def knn_near_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search with queries and vectors co-grouped in blocks."""
+    return _near(spark, sf_dir, ("l2", "cosine", "ip"), "blocked")

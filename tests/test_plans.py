@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from tessera.plans import QUERIES
 from tests.conftest import SF_SMALL
 
 
@@ -13,9 +13,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pair_joins_and_no_row_udfs(spark, name):
-    p = plan_of(queries()[name](spark, SF_SMALL))
+    p = plan_of(QUERIES[name](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert bad not in p, f"{name}: {bad} in plan"
 
@@ -25,7 +25,7 @@ def read_schemas(p: str, table: str) -> list[str]:
 
 
 def test_counts_read_only_the_columns_they_need(spark):
-    p = plan_of(queries()["load_counts"](spark, SF_SMALL))
+    p = plan_of(QUERIES["load_counts"](spark, SF_SMALL))
     docs = read_schemas(p, "documents")
     assert docs and all("text:" not in s for s in docs)          # the wide text column is pruned
     emb = read_schemas(p, "embeddings")
@@ -33,7 +33,7 @@ def test_counts_read_only_the_columns_they_need(spark):
 
 
 def test_knn_ranks_with_bounded_group_limit(spark):
-    p = plan_of(queries()["knn_batch"](spark, SF_SMALL))
+    p = plan_of(QUERIES["knn_batch"](spark, SF_SMALL))
     assert "WindowGroupLimit" in p and "MapInPandas" in p
     # the vector table is scanned in place: no hash exchange below the local top-k
     below = p[p.index("MapInPandas"):]
@@ -41,5 +41,5 @@ def test_knn_ranks_with_bounded_group_limit(spark):
 
 
 def test_bounded_scan_is_a_top_k_not_a_sort(spark):
-    p = plan_of(queries()["scan_limit"](spark, SF_SMALL))
+    p = plan_of(QUERIES["scan_limit"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p and "Sort [" not in p

@@ -19,7 +19,7 @@ def brute(q, v, k, metric):
             else:
                 den = np.linalg.norm(a) * np.linalg.norm(b)
                 d = float("nan") if den == 0 else float(1 - (a @ b) / den)
-            res.append((1 if np.isnan(d) else 0, round(d, 6) if not np.isnan(d) else 0.0, vi))
+            res.append((1 if np.isnan(d) else 0, d if not np.isnan(d) else 0.0, vi))
         res.sort()
         out[qi] = [r[2] for r in res[:k]]
     return out
@@ -162,3 +162,32 @@ def test_strategies_agree_on_the_embeddings_table(spark):
 
     a = ranked("broadcast")
     assert len(a) == 5 * e.count() and a == ranked("blocked")
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "blocked"])
+@pytest.mark.parametrize("metric,q,v,best", [
+    ("l2", [0.0, 0.0], {1: [9e-8, 0], 2: [5e-8, 0], 3: [1e-8, 0], 4: [0, 0]}, [4, 3]),
+    ("cosine", [1.0, 0.0], {1: [1, 1e-3], 2: [1, 5e-4], 3: [1, 1e-4], 4: [1, 0]}, [4, 3]),
+    ("ip", [1e-4, 0.0], {1: [1e-4, 0], 2: [2e-4, 0], 3: [3e-4, 0], 4: [3e-4, 0]}, [3, 4]),
+])
+def test_neighbours_closer_than_what_is_shown(spark, metric, q, v, best, strategy):
+    qs, vs = frames(spark, {1: q}, v)
+    vs = spark.createDataFrame([(i, [float(x) for x in x_]) for i, x_ in v.items()], "id long, vector array<double>")
+    got = knn(qs, vs, 2, metric, strategy=strategy).orderBy("rank").collect()
+    assert [r.id for r in got] == best
+
+
+def test_many_ties_at_the_cut(spark):
+    v = {i: [1.0, 1.0] for i in range(200)} | {500: [1.0, 1.0 + 1e-12]}
+    qs, _ = frames(spark, {1: [1.0, 1.0 + 1e-12]}, {1: [0.0, 0.0]})
+    vs = spark.createDataFrame([(i, x) for i, x in v.items()], "id long, vector array<double>")
+    for strategy in ("broadcast", "blocked"):
+        got = knn(qs, vs, 4, "l2", strategy=strategy).orderBy("rank").collect()
+        assert [r.id for r in got] == [500, 0, 1, 2]
+
+
+def test_broadcast_bound_counts_partial_rows(spark):
+    qs, vs = frames(spark, {i: [1.0, 2.0] for i in range(30)}, {i: [1.0, float(i)] for i in range(5)})
+    with pytest.raises(ValueError, match="broadcast bounds"):
+        knn(qs, vs, 10, "l2", strategy="broadcast", limits=SearchLimits(max_partial_rows=100))
+    assert knn(qs, vs, 10, "l2", limits=SearchLimits(max_partial_rows=100)).count() == 150
