@@ -12,9 +12,8 @@ gives exactly the tokens that applying the merges in order would give.
 Decoding is a gather: the token strings lie in one blob with an offset table
 (an Arrow string array), ids index it, and a list join makes the texts.
 
-Texts are cut into white-space chunks and then pieces as the vocabulary file
-asks; a bounded memo holds chunks met before, so memory per task does not grow
-with the corpus.
+Texts are cut into pieces as the vocabulary file asks; a bounded memo holds
+pieces met before, so memory per task does not grow with the corpus.
 
 Defined cases: null text is the empty text (no tokens, empty decoded text);
 repeated rows give repeated results; an empty table gives no rows; only the id
@@ -26,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 import ahocorasick
 import numpy as np
@@ -35,7 +35,12 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-MEMO = 150_000  # chunks in one generation of the memo; two generations are held
+MEMO = 300_000  # pieces in one generation of the memo; two generations are held
+# texts of these characters only need no Unicode tables: they are in normal form, and which of
+# them are letters, digits and white space is plain (fixed: ranges of the Unicode standard)
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
+_UNPLAIN = re.compile(f"[^\\x00-\\x1b\\x20-\\x7f{LETTERS}\\xa1-\\xa9\\xab-\\xb1\\xb4\\xb6-\\xb8\\xbb\\xbf\\xd7\\xf7\\u2010-\\u2027\\u2030-\\u205e]")
+_PLAIN_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s{LETTERS}0-9]+")
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed: the vocabulary file's own pattern
 _SPACE = r"\t-\r \x85\xa0  -     　"  # fixed: Unicode White_Space
 _SPACES = regex.compile(f"[{_SPACE}]+")
@@ -51,6 +56,10 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def is_plain(text: str) -> bool:
+    return _UNPLAIN.search(text) is None
+
+
 class Memo(dict):
     """Results of ``make`` by key.  Holds at most two generations of ``limit`` keys; keys
     used lately move to the young one, the old one is forgotten when the young one is full."""
@@ -78,7 +87,7 @@ class Backtracker:
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], word_end: str | None):
         symbols = byte_symbols()
-        self.symbol_of_byte = [chr(b + 1) for b in range(256)]
+        self.own_of_byte = "".join(chr(b + 1) for b in range(256))
         end = word_end or ""
 
         def own(token: str) -> str:  # the token over private symbols: byte + 1, or that + _SHIFT at a word's end
@@ -112,6 +121,7 @@ class Backtracker:
                 self.machine.add_word(own(t), k)
         self.machine.make_automaton()
         self.ends = bool(end)
+        self.fitting = Memo(lambda pair: self.fits(*pair))
 
     def fits(self, a: int, b: int, limit: int | None = None) -> bool:
         """Could the merges leave ``a`` and ``b`` side by side?  Undo the merges of both at
@@ -143,12 +153,12 @@ class Backtracker:
 
     def tokens(self, piece: bytes) -> list[int]:
         """Token numbers of a non-empty piece."""
-        text = "".join(map(self.symbol_of_byte.__getitem__, piece))
+        text = piece.decode("latin-1").translate(self.own_of_byte)
         if self.ends:
-            text = text[:-1] + chr(ord(text[-1]) + _SHIFT)
+            text = text[:-1] + chr(piece[-1] + 1 + _SHIFT)
         n = len(text)
         starts: list[list[int]] = [[] for _ in range(n)]
-        length = self.length
+        length, fitting = self.length, self.fitting
         for last, token in self.machine.iter(text):  # by end, so shortest first at each start
             starts[last + 1 - length[token]].append(token)
         if starts[0] and length[starts[0][-1]] == n:
@@ -161,7 +171,7 @@ class Backtracker:
             here = starts[at]
             while k >= 0:
                 token = here[k]
-                if not closed[at + length[token]] and (not taken or self.fits(taken[-1], token)):
+                if not closed[at + length[token]] and (not taken or fitting[taken[-1], token]):
                     break
                 k -= 1
             if k >= 0:
@@ -192,20 +202,19 @@ class Vocabulary:
         self.library, self.byte_of = Tokenizer.from_file(path), byte_symbols()
         self.pieces = regex.compile(_SPLIT)
         self.special_re = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
+        self.raw_ids = [i.to_bytes(4, "little") for i in self.coder.ids]
         self.piece_memo = Memo(self._piece)
-        self.memo = Memo(self._chunk)
 
-    def _piece(self, piece: bytes) -> bytes:
-        ids = self.coder.ids
-        return np.array([ids[t] for t in self.coder.tokens(piece)], "<u4").tobytes()
+    def _piece(self, piece: str) -> bytes:
+        return b"".join(map(self.raw_ids.__getitem__, self.coder.tokens(piece.encode())))
 
-    def cut(self, part: str) -> list[bytes]:
-        """Pieces of a part in normal form.  Beyond ASCII the library's own normal form and
+    def cut(self, part: str) -> list[str]:
+        """Pieces of a part in normal form.  Beyond plain texts the library's own normal form and
         cutting are used: which characters are letters depends on its Unicode version."""
         if part.isascii():
-            return [p.encode() for p in self.pieces.findall(part.lower())]
+            return self.pieces.findall(part.lower())
         normal = self.library.normalizer.normalize_str(part)
-        return [bytes(map(self.byte_of.__getitem__, p)) for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+        return [bytes(map(self.byte_of.__getitem__, p)).decode() for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids (little-endian, 32 bits) of a text without white space."""
@@ -219,8 +228,10 @@ class Vocabulary:
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
+        if "<|" not in text and is_plain(text):
+            return b"".join(map(self.piece_memo.__getitem__, _PLAIN_SPLIT.findall(text.lower())))
         chunks = [c for c in _SPACES.split(text) if c] if any(c in text for c in _NOT_SPACE) else text.split()
-        return b"".join(map(self.memo.__getitem__, chunks))
+        return b"".join(map(self._chunk, chunks))
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """Texts of several id runs (``offsets`` cut ``ids``): tokens joined by blanks."""
