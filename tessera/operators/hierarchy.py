@@ -1,26 +1,28 @@
 """Widget-tree flattening: nested JSON tree → element rows → reading-order
 text.
 
-``elements`` walks each tree inside ``mapInPandas``: one JSON parse and one
-iterative pre-order pass per row, no shuffle, no per-level job, linear in
-the tree size whatever its depth (a level-by-level recursive query would
-copy every subtree once per level, quadratic on deep chains).  The walk is a
-small per-row helper; the grouping into text is a Spark aggregate.
+Each tree is parsed once inside ``mapInPandas`` and visited in one pass, with
+no shuffle and no per-level job; memory is one tree plus a bounded batch of
+rows.  ``screen_texts`` builds the text in that same pass, so element rows
+are shuffled only when someone asks for them (``reading_order_text``).
 
-Semantics kept from the reference:
+Semantics:
 
 * root = ``activity.root`` when ``activity`` is an object (a present-but-null
   root yields nothing), else the tree itself; a non-object tree → nothing;
-* pre-order, children left to right; non-object nodes skipped; a non-list
-  ``children`` is ignored;
-* text / class stripped of all whitespace; node kept when either is
+* parents before children, children left to right; entries that are not
+  objects are skipped; a ``children`` that is not a list is ignored;
+* text / class stripped of all white space; an element is kept when either is
   non-empty; element type = last dotted part of the class;
 * bounds: 4 entries converted with ``int`` (truncation), else zeros.
 
-Deliberate fixes (documented): malformed JSON yields no elements instead of
-stopping the job (see ``tree_status``); ``activity: null`` falls back to the
-tree; bounds entries that ``int`` cannot convert give zeros; scalar text or
-class is used in its string form, other shapes as empty.
+A tree that is not JSON, or nested deeper than the parser can follow, is a bad
+record: ``bad_records`` lists it with the parser's message, ``strict=True``
+raises instead, and by default the other trees go on.  ``activity: null``
+falls back to the tree; bounds that ``int`` cannot convert (or that do not fit
+64 bits) give zeros; scalar text or class is used in its string form, other
+shapes as empty; characters that UTF-8 cannot hold (lone surrogates) become
+``?``.
 """
 
 from __future__ import annotations
@@ -34,113 +36,134 @@ from pyspark.sql import functions as F
 
 from tessera.session import spread
 
-ELEMENT_SCHEMA = ("screen_id long, pos long, depth long, path array<int>, element_type string, text string, "
-                  "x1 long, y1 long, x2 long, y2 long")
+ELEMENT_COLUMNS = ["screen_id", "pos", "depth", "element_type", "text", "x1", "y1", "x2", "y2"]
+ELEMENT_SCHEMA = "screen_id long, pos long, depth long, element_type string, text string, x1 long, y1 long, x2 long, y2 long"
+TEXT_SCHEMA = "screen_id long, n_elements long, text_rep string"
+BAD_SCHEMA = "screen_id long, error string, hierarchy_json string"
 STATUS_SCHEMA = "screen_id long, ok boolean, error string, n_elements long"
-ZERO_BOUNDS = (0, 0, 0, 0)
 FLUSH_ROWS = 65_536
 
 
-def _as_text(v) -> str:
-    if v is None:
-        return ""
-    if isinstance(v, str):
-        return v.strip()
-    if isinstance(v, bool | int | float):
-        return str(v).strip()
-    return ""
+class BadTree(ValueError):
+    """A tree that cannot be parsed (strict mode)."""
 
 
-def _bounds(raw) -> tuple[int, int, int, int]:
-    if not raw:
-        return ZERO_BOUNDS
-    if not isinstance(raw, list) or len(raw) != 4:
-        return ZERO_BOUNDS
+def _label(value) -> str:
+    """A text or class attribute as stripped text."""
+    if isinstance(value, bool | int | float):
+        value = str(value)
+    return value.strip().encode("utf-8", "replace").decode() if isinstance(value, str) else ""
+
+
+def _box(value) -> list[int]:
+    """Four whole numbers, zeros when they are not there."""
     try:
-        return tuple(int(b) for b in raw)  # type: ignore[return-value]
+        box = [int(v) for v in value] if isinstance(value, list) else []
     except (TypeError, ValueError, OverflowError):
-        return ZERO_BOUNDS
-
-
-def root_of(tree):
-    if not isinstance(tree, dict):
-        return None
-    act = tree.get("activity")
-    if isinstance(act, dict):
-        return act.get("root", tree)
-    return tree
-
-
-def walk(tree) -> list[tuple]:
-    """Pre-order elements of one parsed tree: (path, depth, type, text, bounds)."""
-    out = []
-    stack = [((), root_of(tree))]
-    while stack:
-        path, node = stack.pop()
-        if not isinstance(node, dict):
-            continue
-        text = _as_text(node.get("text"))
-        cls = _as_text(node.get("class"))
-        if text or cls:
-            etype = cls.rsplit(".", 1)[-1] if cls else ""
-            out.append((list(path), len(path), etype, text, _bounds(node.get("bounds"))))
-        children = node.get("children")
-        if isinstance(children, list):
-            for i in range(len(children) - 1, -1, -1):
-                stack.append((path + (i,), children[i]))
-    return out
-
-
-def _parse(raw):
+        box = []
+    return box if len(box) == 4 and all(abs(v) < 1 << 63 for v in box) else [0, 0, 0, 0]
+
+
+def visit(tree) -> Iterator[tuple[int, dict]]:
+    """(depth, node) of every object of a tree, parents first.
+
+    One iterator per open level: the deepest one moves on, and a node with
+    children opens the next level."""
+    entry = tree
+    if isinstance(tree, dict) and isinstance(tree.get("activity"), dict):
+        entry = tree["activity"].get("root", tree)
+    levels = [iter([entry] if isinstance(tree, dict) else [])]
+    while levels:
+        for node in levels[-1]:
+            if isinstance(node, dict):
+                yield len(levels) - 1, node
+                if isinstance(node.get("children"), list):
+                    levels.append(iter(node["children"]))
+                    break
+        else:
+            levels.pop()
+
+
+def walk(tree) -> list[list]:
+    """Kept elements of a parsed tree: [depth, type, text, x1, y1, x2, y2]."""
+    labelled = ((depth, _label(n.get("class")), _label(n.get("text")), n) for depth, n in visit(tree))
+    return [[depth, cls.rpartition(".")[2], text, *_box(n.get("bounds"))] for depth, cls, text, n in labelled if cls or text]
+
+
+def read_tree(raw: str | None):
+    """(tree, None), or (None, why it is a bad record)."""
     if raw is None:
-        return None, "null"
+        return None, "no tree"
     try:
         return json.loads(raw), None
     except (ValueError, RecursionError) as exc:
-        return None, f"{type(exc).__name__}: {exc}"[:200]
-
+        return None, f"{type(exc).__name__}: {exc}"
 
-def elements(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarchy_json") -> DataFrame:
-    """One row per kept node: ``screen_id, pos, depth, path, element_type,
-    text, x1, y1, x2, y2`` (``pos`` = pre-order index among kept nodes)."""
 
-    cols = ["screen_id", "pos", "depth", "path", "element_type", "text", "x1", "y1", "x2", "y2"]
+def _per_tree(trees: DataFrame, key: str, json_col: str, make, columns: list[str], schema: str, strict: bool) -> DataFrame:
+    """``make(id, raw, elements or None, error)`` rows of every tree, in bounded batches."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = []
+        rows: list = []
         for pdf in batches:
-            for sid, raw in zip(pdf[key].tolist(), pdf[json_col].tolist()):
-                tree, err = _parse(raw)
-                if err:
-                    continue
-                for pos, (path, depth, etype, text, b) in enumerate(walk(tree)):
-                    rows.append((sid, pos, depth, path, etype, text, b[0], b[1], b[2], b[3]))
-                if len(rows) >= FLUSH_ROWS:   # big trees: bounded output batches, not one per input batch
-                    yield pd.DataFrame(rows, columns=cols)
+            for sid, raw in zip(pdf["k"].tolist(), pdf["j"].tolist()):
+                tree, error = read_tree(raw)
+                if error and strict:
+                    raise BadTree(f"screen {sid}: {error}")
+                rows.extend(make(sid, raw, None if error else walk(tree), error))
+                if len(rows) >= FLUSH_ROWS:
+                    yield pd.DataFrame(rows, columns=columns)
                     rows = []
         if rows:
-            yield pd.DataFrame(rows, columns=cols)
+            yield pd.DataFrame(rows, columns=columns)
+
+    return spread(trees.select(F.col(key).cast("long").alias("k"), F.col(json_col).alias("j"))).mapInPandas(run, schema)
+
+
+def elements(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarchy_json", strict: bool = False) -> DataFrame:
+    """One row per kept element: ``screen_id, pos, depth, element_type, text,
+    x1, y1, x2, y2`` (``pos`` = place among the tree's kept elements)."""
+
+    def make(sid, raw, found, error):
+        return [[sid, pos, *e] for pos, e in enumerate(found or [])]
+
+    return _per_tree(trees, key, json_col, make, ELEMENT_COLUMNS, ELEMENT_SCHEMA, strict)
+
 
-    return spread(trees.select(F.col(key).cast("long").alias(key), json_col)).mapInPandas(run, ELEMENT_SCHEMA)
+def screen_texts(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarchy_json", strict: bool = False) -> DataFrame:
+    """``screen_id, n_elements, text_rep`` of every parsed tree in one pass: its
+    texts in reading order (top, then left, ties as visited) joined by blanks;
+    ``n_elements`` counts elements with text."""
+
+    def make(sid, raw, found, error):
+        if error:
+            return []
+        texts = [e[2] for e in sorted(found, key=lambda e: (e[4], e[3])) if e[2]]
+        return [[sid, len(texts), " ".join(texts)]]
+
+    return _per_tree(trees, key, json_col, make, ["screen_id", "n_elements", "text_rep"], TEXT_SCHEMA, strict)
+
+
+def bad_records(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarchy_json") -> DataFrame:
+    """Trees that cannot be parsed: ``screen_id, error, hierarchy_json``, whole."""
+
+    def make(sid, raw, found, error):
+        return [[sid, error, raw]] if error else []
+
+    return _per_tree(trees, key, json_col, make, ["screen_id", "error", "hierarchy_json"], BAD_SCHEMA, False)
 
 
 def tree_status(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarchy_json") -> DataFrame:
-    """Per tree: parsed or not (the bad-record frame), and element count."""
+    """Per tree: parsed or not, the parser's message, and the element count."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for sid, raw in zip(pdf[key].tolist(), pdf[json_col].tolist()):
-                tree, err = _parse(raw)
-                rows.append((sid, err is None, err, 0 if err else len(walk(tree))))
-            yield pd.DataFrame(rows, columns=["screen_id", "ok", "error", "n_elements"])
+    def make(sid, raw, found, error):
+        return [[sid, error is None, error, len(found or [])]]
 
-    return trees.select(F.col(key).cast("long").alias(key), json_col).mapInPandas(run, STATUS_SCHEMA)
+    return _per_tree(trees, key, json_col, make, ["screen_id", "ok", "error", "n_elements"], STATUS_SCHEMA, False)
 
 
 def reading_order_text(elems: DataFrame, key: str = "screen_id") -> DataFrame:
-    """Texts in reading order — top y, then left x, then pre-order position
-    (the stable sort of the reference) — joined with single blanks.
+    """The text of stored element rows, in the same order as ``screen_texts``.
 
     One group per tree (bounded by the tree's size); the sort is an
     ``array_sort`` of structs inside the group."""

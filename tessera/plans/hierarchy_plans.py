@@ -74,5 +74,50 @@ SELECT screen_id, count(*) FILTER (WHERE text <> '') AS n_elements,
        coalesce(string_agg(text, ' ' ORDER BY y1, x1, pos) FILTER (WHERE text <> ''), '') AS text_rep
 FROM elements GROUP BY screen_id""")
 def reading_order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visible texts per tree, top-to-bottom then left-to-right (stable)."""
+    """Visible texts per tree, top-to-bottom then left-to-right (stable), built
+    in the pass that parses the tree."""
+    return H.screen_texts(standins.tree(spark, sf_dir))
+
+
+@register("reading_order_regrouped", f"""
+WITH {TREE_ELEMENTS_SQL}
+SELECT screen_id, count(*) FILTER (WHERE text <> '') AS n_elements,
+       coalesce(string_agg(text, ' ' ORDER BY y1, x1, pos) FILTER (WHERE text <> ''), '') AS text_rep
+FROM elements GROUP BY screen_id""")
+def reading_order_regrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same texts regrouped from element rows."""
     return H.reading_order_text(tree_elements(spark, sf_dir))
+
+
+@register("first_elements", f"""
+WITH {TREE_ELEMENTS_SQL}
+SELECT screen_id, pos, element_type, text FROM elements WHERE pos < 10""")
+def first_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preview: the first ten elements of every tree."""
+    return H.first_elements(tree_elements(spark, sf_dir), 10).select("screen_id", "pos", "element_type", "text")
+
+
+LEVELS = 150
+
+
+@register("hierarchy_levels", f"""
+SELECT CAST(floor(c_custkey / {LEVELS}) AS BIGINT) AS screen_id, row_number() OVER w - 1 AS pos, row_number() OVER w - 1 AS depth,
+       c_name AS text, CAST(c_custkey AS BIGINT) AS y1
+FROM customer WINDOW w AS (PARTITION BY floor(c_custkey / {LEVELS}) ORDER BY c_custkey)""")
+def hierarchy_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees of up to 150 levels, one customer a level."""
+    e = H.elements(standins.levels(spark, sf_dir, LEVELS))
+    return e.select("screen_id", "pos", "depth", "text", "y1")
+
+
+@register("tree_bad_records", f"""
+WITH {TREE_ELEMENTS_SQL},
+n AS (SELECT screen_id, count(*) AS n FROM elements GROUP BY screen_id)
+SELECT screen_id, true AS ok, n AS n_elements FROM n
+UNION ALL SELECT screen_id + 100000000, false, 0 FROM n""")
+def tree_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tree and a copy cut short: the copies are bad records, the others go on."""
+    good = standins.tree(spark, sf_dir).select("screen_id", "hierarchy_json")
+    cut = good.select((F.col("screen_id") + 100000000).alias("screen_id"),
+                      F.expr("left(hierarchy_json, length(hierarchy_json) - 1)").alias("hierarchy_json"))
+    return H.tree_status(good.unionByName(cut)).select("screen_id", "ok", "n_elements")

@@ -224,3 +224,12 @@ def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.array_join(F.transform(F.col("nodes"), lambda e: e["open"]), ""),
                     F.repeat(F.lit("]}"), F.size("nodes")))
     return g.select((F.col("conv_id") * 1000 + F.col("seg")).alias("screen_id"), body.alias("hierarchy_json"))
+
+
+def levels(spark: SparkSession, sf_dir: str, per_tree: int) -> DataFrame:
+    """Deep trees: ``per_tree`` customers each, every one the only child of the one before."""
+    c = table(spark, sf_dir, "customer").select((F.col("c_custkey") / per_tree).cast("long").alias("screen_id"), "c_custkey", "c_name")
+    head = F.format_string('{"class": "a.b.Level", "text": "%s", "bounds": [0, %d, 1, 1], "children": [', "c_name", F.col("c_custkey").cast("long"))
+    g = c.groupBy("screen_id").agg(F.array_sort(F.collect_list(F.struct("c_custkey", head.alias("head")))).alias("s"))
+    return g.select("screen_id", F.concat(F.array_join(F.transform("s", lambda x: x["head"]), ""),
+                                          F.repeat(F.lit("]}"), F.size("s"))).alias("hierarchy_json"))

@@ -28,9 +28,9 @@ def test_walk_pure_python_cases():
     assert H.walk([1]) == []
     assert H.walk({"activity": {"root": None}}) == []
     # activity without root -> the tree itself is the root
-    assert [e[2] for e in H.walk({"activity": {}, "class": "a.B"})] == ["B"]
+    assert [e[1] for e in H.walk({"activity": {}, "class": "a.B"})] == ["B"]
     # activity null -> falls back to the tree (documented fix)
-    assert [e[2] for e in H.walk({"activity": None, "class": "x.Y"})] == ["Y"]
+    assert [e[1] for e in H.walk({"activity": None, "class": "x.Y"})] == ["Y"]
 
 
 @pytest.mark.parametrize("cls,expected", [("a.b.C", "C"), ("C", "C"), ("a.", ""), ("", None), (None, None)])
@@ -39,7 +39,7 @@ def test_class_name(cls, expected):
     if expected is None:
         assert els == []
     else:
-        assert els[0][2] == expected
+        assert els[0][1] == expected
 
 
 def test_children_shapes_and_preorder():
@@ -48,8 +48,8 @@ def test_children_shapes_and_preorder():
         None, 5,
         node("b.B", "b", children=[node("c.C", "c"), None]),
     ])
-    assert [e[3] for e in H.walk(tree)] == ["root", "a", "b", "c"]
-    assert [e[0] for e in H.walk(tree)] == [[], [0], [3], [3, 0]]
+    assert [e[2] for e in H.walk(tree)] == ["root", "a", "b", "c"]
+    assert [e[0] for e in H.walk(tree)] == [0, 1, 1, 2]
 
 
 def test_bounds_and_text_rules():
@@ -61,7 +61,7 @@ def test_bounds_and_text_rules():
         node("", "   "),
         node(None, 7),
     ]))
-    by = {e[3]: e[4] for e in els}
+    by = {e[2]: tuple(e[3:]) for e in els}
     assert "pad" in by and by["three"] == (0, 0, 0, 0)
     assert by["dec"] == (1, -2, 3, 4)
     assert by["numtext"] == (10, 20, 30, 40)
@@ -118,3 +118,25 @@ def test_first_elements_preview(spark):
     for r in got:
         by.setdefault(r.screen_id, []).append(r.pos)
     assert sorted(by[1]) == list(range(10)) and by[2] == [0]
+
+
+def test_one_pass_text_equals_regrouped_elements(spark):
+    trees = [json.dumps(node("r.R", "a", [0, 5, 1, 1], [node("t.T", "b", [3, 1, 1, 1]), node("t.T", "c", [1, 1, 1, 1]), node("t.T", "d", [1, 1, 1, 1])])),
+             json.dumps(node("a.B", "")), "{}"]
+    df = spark.createDataFrame(list(enumerate(trees)), "screen_id long, hierarchy_json string")
+    one = {r.screen_id: (r.n_elements, r.text_rep) for r in H.screen_texts(df).collect()}
+    two = {r.screen_id: (r.n_elements, r.text_rep) for r in H.reading_order_text(H.elements(df)).collect()}
+    assert one == two | {2: (0, "")} and one[0] == (4, "c d b a")
+
+
+def test_bad_records_and_strict_mode(spark):
+    deep = '{"children": [' * 20_000 + "]}" * 20_000
+    surrogate = '{"class": "a.B", "text": "x\\ud800y", "bounds": [1e999, 1, 1, 1]}'
+    huge = '{"class": "a.B", "text": "big", "bounds": [1e30, 1, 1, 1]}'
+    df = spark.createDataFrame([(1, "not json"), (2, deep), (3, None), (4, surrogate), (5, huge)], "screen_id long, hierarchy_json string")
+    bad = {r.screen_id: (r.error, r.hierarchy_json) for r in H.bad_records(df).collect()}
+    assert set(bad) == {1, 2, 3} and bad[1][1] == "not json" and len(bad[2][1]) == len(deep) and "JSONDecodeError" in bad[1][0]
+    got = {r.screen_id: (r.text, r.x1) for r in H.elements(df).collect()}
+    assert got == {4: ("x?y", 0), 5: ("big", 0)}
+    with pytest.raises(Exception, match="screen 1"):
+        H.elements(df.where("screen_id = 1"), strict=True).collect()
