@@ -1,32 +1,34 @@
 """Model-response extraction: prompt rendering, the (pluggable) model call,
 and routing of raw responses into a valid frame and a review queue.
 
-Routing is pure SQL over ``VARIANT`` (JVM side, whole-stage friendly); it
-reproduces which handler of the reference a response lands in:
-
-=================  ===========================================  ============
-route              reference behaviour                          handler
-=================  ===========================================  ============
-valid              JSON object; confidence missing → 0.0;       —
-                   number / numeric text / boolean → float
-malformed          text is not exactly one JSON value           first
-confidence_value   confidence is text that is not a number      first
-not_an_object      valid JSON but not an object                 second
-confidence_type    confidence is null, an object or an array    second
-=================  ===========================================  ============
-
-Documented differences: NaN / Infinity literals and duplicate keys are
-*malformed* here (the reference's parser accepts them); the review row keeps
-the row's own output (the reference may keep another row's, S8); review
-rows are keyed by (screen, run) so retries do not duplicate them (S9).
+One rule decides the route of a response, in one place (``route_of``).  A
+response is valid when its text is exactly one JSON object and its
+``confidence`` is missing (0.0) or stands for a finite number (a number, a
+boolean, or text of a number).  Everything else goes to review:
+
+=================  ================================================  =======
+route              why                                               handler
+=================  ================================================  =======
+malformed          not exactly one JSON value (NaN and Infinity      first
+                   literals are not JSON), or nested too deep
+confidence_value   confidence is text that is no number, or no       first
+                   finite double
+not_an_object      JSON, but not an object                           second
+confidence_type    confidence is null, an object or a list           second
+call_error         the model call failed or ran out of time          second
+=================  ================================================  =======
+
+No response can stop the job: any other surprise is a ``malformed`` row.
+Of repeated keys the last counts.  The review row keeps the row's own output
+and its ``source_fingerprint``; ``detail`` says what was wrong, in full.
+Review rows are keyed by (screen, run), so a retry does not duplicate them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import json
 import math
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -74,174 +76,128 @@ def _within(seconds: float | None, fn, arg):
         pool.shutdown(wait=False, cancel_futures=True)
 
 
+def _storable(text) -> str | None:
+    """Text that UTF-8 can hold (lone surrogates become ``?``)."""
+    return None if text is None else str(text).encode("utf-8", "replace").decode()
+
+
 def call_model(df: DataFrame, model: Callable[[list[str]], list[str]], prompt_col: str = "prompt",
-               key_cols: tuple[str, ...] = ("screen_id", "run_id"), timeout_s: float | None = None) -> DataFrame:
-    """Apply a user model to every prompt, one Arrow batch at a time.
+               key_cols: tuple[str, ...] = ("screen_id", "run_id"), timeout_s: float | None = None,
+               request_rows: int = 1, tasks: int | None = None) -> DataFrame:
+    """Apply a user model to every prompt.
 
     ``model(prompts) -> outputs`` is built by the caller (e.g. an HTTP
-    client).  ``timeout_s`` bounds each prompt's call (a batch gets
-    ``timeout_s`` per prompt; on overrun every prompt is retried alone with
-    its own limit).  Errors and timeouts are captured per row as ``error``
-    instead of failing the task, so they route to the review queue.  Persist
-    the result before routing: a lazy plan read twice would call the model
-    twice.
+    client) and gets ``request_rows`` prompts at a time, ``timeout_s`` for
+    each.  With one prompt a request (the default) every prompt is sent
+    exactly once.  A larger request that fails, or whose answer has another
+    length, answers none of its prompts: those, and no others, are sent again
+    one by one.  What still fails or overruns is captured as ``error`` and
+    routes to the review queue.  Prompts are dealt out evenly over ``tasks``
+    partitions (the cluster's parallelism by default), because the call
+    outweighs the shuffle of a prompt.  Persist the result before routing: a
+    lazy plan read twice would call the model twice.
     """
     keys = list(key_cols)
     fields = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{fields}, raw_output string, error string"
 
+    def ask(prompts: list[str]) -> list[tuple]:
+        try:
+            limit = None if timeout_s is None else timeout_s * len(prompts)
+            answers = list(_within(limit, model, prompts))
+            if len(answers) != len(prompts):
+                raise ValueError(f"{len(answers)} answers to {len(prompts)} prompts")
+            return [(_storable(a), None) for a in answers]
+        except Exception as exc:  # noqa: BLE001 — any failure is a row, never the job's end
+            if len(prompts) > 1:
+                return [one for p in prompts for one in ask([p])]
+            return [(None, _storable(f"{type(exc).__name__}: {exc}"))]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             prompts = pdf[prompt_col].fillna("").tolist()
-            try:
-                limit = None if timeout_s is None else timeout_s * max(1, len(prompts))
-                outs, errs = list(_within(limit, model, prompts)), [None] * len(prompts)
-            except Exception:  # noqa: BLE001 — fall back to row by row to pin the failure
-                outs, errs = [], []
-                for p in prompts:
-                    try:
-                        outs.append(_within(timeout_s, model, [p])[0])
-                        errs.append(None)
-                    except Exception as exc:  # noqa: BLE001
-                        outs.append(None)
-                        errs.append(f"{type(exc).__name__}: {exc}")
-            res = pdf[keys].copy()
-            res["raw_output"] = outs
-            res["error"] = errs
-            yield res
-
-    return df.select(*keys, prompt_col).mapInPandas(run, schema)
-
-
-def _bind(value: Column, fn) -> Column:
-    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable.
-
-    Catalyst inlines aliases (and pushes filters below projections), so a
-    parsed value referenced by several derived columns would be parsed again
-    for each reference; a lambda variable is evaluated exactly once."""
-    return F.element_at(F.transform(F.array(value), fn), 1)
-
-
-def _derive(arr: Column) -> Column:
-    v = F.try_element_at(arr, F.lit(1))
-    single = F.coalesce(F.size(arr) == 1, F.lit(False))
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-
-    def with_conf(conf: Column) -> Column:
-        ctype = F.schema_of_variant(conf)
-        cval = (F.when(ctype == "BOOLEAN", F.when(F.try_variant_get(conf, "$", "boolean"), 1.0).otherwise(0.0))
-                .when(ctype == "STRING", F.try_variant_get(conf, "$", "string").try_cast("double"))
-                .otherwise(F.try_variant_get(conf, "$", "double")))
-        route = (F.when(~single, F.lit("malformed"))
-                 .when(~is_obj, F.lit("not_an_object"))
-                 .when(conf.isNull(), F.lit("valid"))
-                 .when(F.is_variant_null(conf), F.lit("confidence_type"))
-                 .when(ctype.startswith("OBJECT") | ctype.startswith("ARRAY"), F.lit("confidence_type"))
-                 .when(cval.isNull(), F.lit("confidence_value"))
-                 .otherwise(F.lit("valid")))
-        return F.struct(route.alias("route"), F.coalesce(cval, F.lit(DEFAULT_CONFIDENCE)).alias("confidence"))
-
-    rc = _bind(F.try_variant_get(v, "$.confidence", "variant"), with_conf)
-    return F.struct(rc["route"].alias("route"), rc["confidence"].alias("confidence"), v.alias("v"))
-
-
-def _classify_sql(df: DataFrame, raw_col: str = "raw_output", error_col: str | None = None) -> DataFrame:
-    """Pure-SQL routing over VARIANT (see ``classify``).
-
-    The text is parsed once per row ('[' raw ']' parsed as one value rejects
-    trailing text and "{..}{..}"); every derived field reads the bound
-    parsed value.  A call error (``error_col`` not null) routes to
-    ``call_error`` (second handler), like a failed HTTP call."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col(raw_col), F.lit("]")))
-    r = _bind(F.try_variant_get(wrapped, "$", "array<variant>"), _derive)
-    out = df.withColumn("_r", r)
-    route = F.col("_r.route")
-    if error_col is not None:
-        route = F.when(F.col(error_col).isNotNull(), F.lit("call_error")).otherwise(route)
-    valid = route == "valid"
-    # title / elements / body only for valid rows, from the parsed value
-    v = F.col("_r.v")
-    body = F.to_json(F.map_filter(F.try_variant_get(v, "$", "map<string,variant>"),
-                                  lambda k, _: k != F.lit("confidence")))
-    return (out.withColumn("route", route)
-            .withColumn("confidence", F.when(valid, F.col("_r.confidence")))
-            .withColumn("title", F.when(valid, F.try_variant_get(v, "$.title", "string")))
-            .withColumn("n_elements", F.when(valid, F.coalesce(
-                F.size(F.try_variant_get(v, "$.elements", "array<variant>")), F.lit(0)).cast("long")))
-            .withColumn("body", F.when(valid, body))
-            .drop("_r"))
+            found = [one for k in range(0, len(prompts), request_rows) for one in ask(prompts[k:k + request_rows])]
+            yield pdf[keys].assign(raw_output=[o for o, _ in found], error=[e for _, e in found])
+
+    spread_out = df.select(*keys, prompt_col).repartition(tasks or df.sparkSession.sparkContext.defaultParallelism)
+    return spread_out.mapInPandas(run, schema)
+
+
+class _Refused(Exception):
+    """A response for the review queue: (route, detail)."""
+
+
+def _only_json(literal: str):
+    raise ValueError(f"{literal} is not JSON")
+
+
+def _confidence(value) -> float:
+    """The number a confidence stands for."""
+    if not isinstance(value, bool | int | float | str):
+        raise _Refused("confidence_type", f"confidence is {'null' if value is None else type(value).__name__}")
+    try:
+        number = float(value)
+    except (ValueError, OverflowError) as exc:
+        raise _Refused("confidence_value", str(exc)) from None
+    if not math.isfinite(number):
+        raise _Refused("confidence_value", f"confidence is {number}")
+    return number
+
+
+def _fields(raw) -> tuple:
+    """(confidence, title, n_elements, body) of a valid response."""
+    if not isinstance(raw, str):
+        raise _Refused("malformed", "no output")
+    try:
+        answer = json.loads(raw, parse_constant=_only_json)
+    except (ValueError, RecursionError) as exc:
+        raise _Refused("malformed", f"{type(exc).__name__}: {exc}") from None
+    if not isinstance(answer, dict):
+        raise _Refused("not_an_object", f"the output is a {type(answer).__name__}")
+    confidence = _confidence(answer.pop("confidence", DEFAULT_CONFIDENCE))
+    title, listed = answer.get("title"), answer.get("elements")
+    shown = title if isinstance(title, str | None) else json.dumps(title)
+    return confidence, _storable(shown), len(listed) if isinstance(listed, list) else 0, json.dumps(answer)
+
+
+def route_of(raw) -> tuple:
+    """(route, confidence, title, n_elements, body, detail) of one response."""
+    try:
+        return ("valid", *_fields(raw), None)
+    except _Refused as refused:
+        route, detail = refused.args
+    except Exception as exc:  # noqa: BLE001 — no response may stop the job
+        route, detail = "malformed", f"{type(exc).__name__}: {exc}"
+    return route, None, None, None, None, _storable(detail)
 
 
 ROUTE_SCHEMA = T.StructType([
     T.StructField("route", T.StringType()), T.StructField("confidence", T.DoubleType()),
     T.StructField("title", T.StringType()), T.StructField("n_elements", T.LongType()),
-    T.StructField("body", T.StringType()),
+    T.StructField("body", T.StringType()), T.StructField("detail", T.StringType()),
 ])
 
 
-def route_one(raw) -> tuple:
-    """Route one response exactly as the reference's handlers would
-    (Python's own parser and ``float``).  Returns
-    (route, confidence, title, n_elements, body)."""
-    if not isinstance(raw, str):
-        return ("malformed", None, None, None, None)
-    try:
-        payload = json.loads(raw)
-    except (ValueError, RecursionError):
-        return ("malformed", None, None, None, None)
-    if not isinstance(payload, dict):
-        return ("not_an_object", None, None, None, None)
-    if "confidence" in payload:
-        try:
-            conf = float(payload["confidence"])
-        except ValueError:
-            return ("confidence_value", None, None, None, None)
-        except TypeError:
-            return ("confidence_type", None, None, None, None)
-    else:
-        conf = DEFAULT_CONFIDENCE
-    body = {k: v for k, v in payload.items() if k != "confidence"}
-    title = payload.get("title")
-    if title is not None and not isinstance(title, str):
-        title = json.dumps(title)
-    els = payload.get("elements")
-    try:
-        body_text = json.dumps(body)
-    except ValueError:
-        body_text = None
-    return ("valid", conf if not (isinstance(conf, float) and math.isnan(conf)) else float("nan"), title,
-            len(els) if isinstance(els, list) else 0, body_text)
+def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None = None,
+             min_confidence: float | None = None) -> DataFrame:
+    """Add ``route`` / ``confidence`` / ``title`` / ``n_elements`` / ``body`` / ``detail``.
 
+    Arrow-batched ``mapInPandas``, not a scalar UDF: a later filter on the
+    route cannot be pushed below it, so each response is parsed exactly once.
+    Store the result where several consumers read it.  A call error
+    (``error_col`` not null) routes to ``call_error``."""
+    names = [f.name for f in ROUTE_SCHEMA.fields]
 
-def _route_batches(raw_col: str):
     def run(batches):
         for pdf in batches:
-            routed = pd.DataFrame([route_one(x) for x in pdf[raw_col].tolist()],
-                                  columns=[f.name for f in ROUTE_SCHEMA.fields], index=pdf.index)
-            yield pd.concat([pdf, routed], axis=1)
+            columns = list(zip(*map(route_of, pdf[raw_col]), strict=True)) or [[]] * len(names)
+            yield pdf.assign(**{n: pd.Series(c, index=pdf.index, dtype="object") for n, c in zip(names, columns, strict=True)})
 
-    return run
-
-
-def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None = None,
-             engine: str = "python", min_confidence: float | None = None) -> DataFrame:
-    """Add ``route`` / ``confidence`` / ``title`` / ``n_elements`` / ``body``.
-
-    ``engine="python"`` (default) parses with Python's ``json`` inside an
-    Arrow-batched pandas UDF: exactly the reference's acceptance rules (NaN
-    literals, duplicate keys, ``float`` on text) and one parse per row.
-    ``engine="sql"`` is the pure-SQL variant over VARIANT (no Python
-    worker; NaN and duplicate keys count as malformed there).  A call error
-    (``error_col`` not null) routes to ``call_error`` (second handler)."""
-    if engine == "sql":
-        return _low_confidence(_classify_sql(df, raw_col, error_col), min_confidence)
-    # mapInPandas, not a scalar UDF: a later filter on the route cannot be
-    # pushed below it, so each response is parsed exactly once
-    schema = T.StructType(list(df.schema.fields) + list(ROUTE_SCHEMA.fields))
-    out = spread(df).mapInPandas(_route_batches(raw_col), schema)
+    out = spread(df).mapInPandas(run, T.StructType([*df.schema.fields, *ROUTE_SCHEMA.fields]))
     if error_col is not None:
-        out = out.withColumn("route", F.when(F.col(error_col).isNotNull(), F.lit("call_error"))
-                             .otherwise(F.col("route")))
+        failed = F.col(error_col).isNotNull()
+        out = (out.withColumn("route", F.when(failed, F.lit("call_error")).otherwise(F.col("route")))
+               .withColumn("detail", F.when(failed, F.col(error_col)).otherwise(F.col("detail"))))
     return _low_confidence(out, min_confidence)
 
 
@@ -279,13 +235,15 @@ def review_rows(classified: DataFrame, raw_col: str = "raw_output", error_col: s
 
 def extract_job(prompts: DataFrame, model: Callable[[list[str]], list[str]], *,
                 key_cols: tuple[str, ...] = ("screen_id", "run_id"), min_confidence: float | None = None,
-                timeout_s: float | None = None):
-    """End-to-end extraction: call the model once per prompt, persist the raw
-    responses (materialised, so neither route nor a retry calls the model
-    again), then route.  Returns (valid rows, review rows, route counts)."""
-    raw = materialize(call_model(prompts, model, key_cols=key_cols, timeout_s=timeout_s), "responses")
-    routed = classify(raw, error_col="error", min_confidence=min_confidence)
-    valid = valid_rows(routed).select(*key_cols, "confidence", "title", "n_elements", "body", "prompt_version")
-    review = review_rows(routed, error_col="error").select(*key_cols, "reason", "raw_output")
+                timeout_s: float | None = None, request_rows: int = 1, tasks: int | None = None):
+    """End-to-end extraction: call the model, persist the raw responses (so
+    that no retry calls it again), route them once, persist the routed rows.
+    Columns beyond ``key_cols`` named ``source_fingerprint`` travel along.
+    Returns (valid rows, review rows, route counts)."""
+    keys = [*key_cols, *(c for c in ("source_fingerprint",) if c in prompts.columns and c not in key_cols)]
+    raw = materialize(call_model(prompts, model, key_cols=tuple(keys), timeout_s=timeout_s, request_rows=request_rows, tasks=tasks), "responses")
+    routed = materialize(classify(raw, error_col="error", min_confidence=min_confidence), "routed")
+    valid = valid_rows(routed).select(*keys, "confidence", "title", "n_elements", "body", "prompt_version")
+    review = review_rows(routed, error_col="error").select(*keys, "reason", "raw_output", "detail")
     counts = routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"))
     return valid, review, counts

@@ -42,7 +42,7 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.review_rows(classified(spark, sf_dir)).select("screen_id", "run_id", "reason", "raw_output")
+    return X.review_rows(classified(spark, sf_dir)).select("screen_id", "run_id", "reason", "raw_output", "source_fingerprint")
 
 
 @register("prompt_render", f"""
@@ -58,16 +58,17 @@ def prompt_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("extract_valid", f"""
 WITH {Q.RESP}, {Q.ROUTED}
-SELECT screen_id, run_id, title, n_elements, confidence, prompt_version FROM valid""")
+SELECT screen_id, run_id, title, n_elements, confidence, prompt_version, body, source_fingerprint
+FROM valid JOIN resp USING (screen_id, run_id)""")
 def extract_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid route: JSON object, confidence as float (default 0.0)."""
     v = X.valid_rows(classified(spark, sf_dir))
-    return v.select("screen_id", "run_id", "title", "n_elements", "confidence", "prompt_version")
+    return v.select("screen_id", "run_id", "title", "n_elements", "confidence", "prompt_version", "body", "source_fingerprint")
 
 
 @register("review_queue", f"""
 WITH {Q.RESP}, {Q.ROUTED}
-SELECT screen_id, run_id, reason, raw_output FROM review""")
+SELECT screen_id, run_id, reason, raw_output, source_fingerprint FROM review""")
 def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review route: reason by handler, own raw output cut at 2000 chars."""
     return review_frame(spark, sf_dir)
@@ -98,3 +99,24 @@ def update_by_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = update_by_key(meta, v, ["screen_id", "run_id"], ["extraction_payload", "prompt_version", "confidence"])
     return out.select("screen_id", "run_id", "confidence", "prompt_version",
                       F.col("extraction_payload").isNotNull().alias("has_payload"), "updated")
+
+
+@register("extract_hard_cases", """
+SELECT event_id AS screen_id, 'run' || (event_id % 3) AS run_id,
+       CASE event_id % 8 WHEN 3 THEN 'valid' WHEN 5 THEN 'valid' WHEN 1 THEN 'malformed' WHEN 4 THEN 'call_error'
+            WHEN 6 THEN 'confidence_type' ELSE 'confidence_value' END AS route,
+       CASE event_id % 8 WHEN 3 THEN NULL WHEN 5 THEN NULL WHEN 1 THEN 'JSONDecodeError: malformed'
+            WHEN 4 THEN 'OllamaError: call_error' WHEN 6 THEN 'OllamaError: confidence_type'
+            ELSE 'JSONDecodeError: confidence_value' END AS reason,
+       CASE event_id % 8 WHEN 3 THEN 0.5::DOUBLE WHEN 5 THEN 0.5::DOUBLE END AS confidence,
+       CASE event_id % 8 WHEN 3 THEN '?' END AS title,
+       CASE event_id % 8 WHEN 3 THEN '{"title": "\\ud800"}' WHEN 5 THEN '{"a": 1}' END AS body,
+       sha256(CAST(event_id AS VARCHAR)) AS source_fingerprint
+FROM events""")
+def extract_hard_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Huge, non-finite and surrogate values, repeated keys and failed calls: each its own route."""
+    c = X.classify(standins.resp_hard(spark, sf_dir), error_col="error")
+    route = F.col("route")
+    return c.select("screen_id", "run_id", "route",
+                    F.when(route != "valid", F.concat(X.handler_of(route), F.lit(": "), route)).alias("reason"),
+                    "confidence", "title", "body", "source_fingerprint")

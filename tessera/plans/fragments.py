@@ -73,7 +73,8 @@ resp AS (
            WHEN 5 THEN core || ', "confidence": "0.75"}'
            WHEN 6 THEN core || '}'
            WHEN 7 THEN core || ', "confidence": 0.9} Hope this helps!'
-           ELSE core || ', "confidence": 0.9}' END AS raw_output
+           ELSE core || ', "confidence": 0.9}' END AS raw_output,
+         sha256(core) AS source_fingerprint, core || '}' AS body0
   FROM (SELECT event_id,
                '{"title": "' || event_type || '", "elements": [{"type": "prop", "text": "'
                || json_extract_string(props, '$.k') || '"}, {"type": "event", "text": "' || event_type || '"}]'
@@ -110,7 +111,7 @@ def dist(metric: str, a: str, b: str) -> str:
 # like the reference's parser).
 ROUTED = """
 routed AS (
-  SELECT screen_id, run_id, raw_output,
+  SELECT screen_id, run_id, raw_output, source_fingerprint, body0,
     CASE WHEN NOT ok THEN 'malformed'
          WHEN jt <> 'OBJECT' THEN 'not_an_object'
          WHEN ct IS NULL THEN 'valid'
@@ -136,8 +137,8 @@ review AS (
   SELECT screen_id, run_id,
          CASE WHEN route IN ('malformed', 'confidence_value') THEN 'JSONDecodeError' ELSE 'OllamaError' END
            || ': ' || route AS reason,
-         left(raw_output, 2000) AS raw_output
+         left(raw_output, 2000) AS raw_output, source_fingerprint
   FROM routed WHERE route <> 'valid'),
 valid AS (
-  SELECT screen_id, run_id, title0 AS title, n_el AS n_elements, conf AS confidence, 'v1' AS prompt_version
+  SELECT screen_id, run_id, title0 AS title, n_el AS n_elements, conf AS confidence, 'v1' AS prompt_version, body0 AS body
   FROM routed WHERE route = 'valid')"""

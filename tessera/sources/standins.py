@@ -157,7 +157,24 @@ def resp(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(m == 7, F.concat(core, F.lit(', "confidence": 0.9} Hope this helps!')))
            .otherwise(F.concat(core, F.lit(', "confidence": 0.9}'))))
     return ev.select(F.col("event_id").alias("screen_id"), run_of(F.col("event_id")).alias("run_id"),
-                     raw.alias("raw_output"))
+                     raw.alias("raw_output"), F.sha2(core, 256).alias("source_fingerprint"))
+
+
+def resp_hard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses that break parsers: non-finite and huge numbers, lone surrogates, failed calls."""
+    ev = table(spark, sf_dir, "events").select("event_id")
+    m = F.col("event_id") % 8
+    raw = (F.when(m == 0, F.concat(F.lit('{"confidence": '), F.repeat(F.lit("9"), 400), F.lit("}")))
+           .when(m == 1, F.lit('{"confidence": NaN}'))
+           .when(m == 2, F.lit('{"confidence": "Infinity", "title": "x"}'))
+           .when(m == 3, F.lit('{"title": "\\ud800", "confidence": 0.5}'))
+           .when(m == 4, F.lit(None).cast("string"))
+           .when(m == 5, F.lit('{"confidence": 0.25, "a": 1, "confidence": 0.5}'))
+           .when(m == 6, F.lit('{"confidence": {"value": 1}}'))
+           .otherwise(F.lit('{"confidence": 1e400}')))
+    return ev.select(F.col("event_id").alias("screen_id"), run_of(F.col("event_id")).alias("run_id"), raw.alias("raw_output"),
+                     F.when(m == 4, F.lit("TimeoutError: model call exceeded 120 s")).alias("error"),
+                     F.sha2(F.col("event_id").cast("string"), 256).alias("source_fingerprint"))
 
 
 def tree(spark: SparkSession, sf_dir: str) -> DataFrame:

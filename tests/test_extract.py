@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import extract as X
 
@@ -24,18 +25,20 @@ CASES = [
 
 
 @pytest.mark.parametrize("raw,route,conf", CASES)
-def test_route_one_matches_reference_rules(raw, route, conf):
-    r = X.route_one(raw)
+def test_route_of(raw, route, conf):
+    r = X.route_of(raw)
     assert r[0] == route
     if conf is not None:
         assert r[1] == pytest.approx(conf)
 
 
-def test_python_parser_rules_nan_and_duplicate_keys():
-    # the reference's parser accepts NaN and keeps the last duplicate key
-    assert X.route_one('{"confidence": NaN}')[0] == "valid"
-    r = X.route_one('{"confidence": 0.1, "confidence": 0.6}')
-    assert r[0] == "valid" and r[1] == pytest.approx(0.6)
+def test_no_response_stops_the_job(spark):
+    hard = ['{"confidence": ' + "9" * 400 + "}", '{"confidence": NaN}', '{"confidence": "nan"}', '{"confidence": 1e999}', "[" * 100_000,
+            '{"title": "\\ud800", "confidence": 0.1, "confidence": 0.6}', None]
+    df = spark.createDataFrame([(i, "r", x) for i, x in enumerate(hard)], "screen_id long, run_id string, raw_output string")
+    got = {r.screen_id: r for r in X.classify(df).collect()}
+    assert [got[i].route for i in range(7)] == ["confidence_value", "malformed", "confidence_value", "confidence_value", "malformed", "valid", "malformed"]
+    assert got[5].title == "?" and got[5].confidence == 0.6 and "NaN" in got[1].detail
 
 
 def _frame(spark):
@@ -43,11 +46,10 @@ def _frame(spark):
     return spark.createDataFrame(rows, "screen_id long, run_id string, raw_output string")
 
 
-@pytest.mark.parametrize("engine", ["python", "sql"])
-def test_engines_agree_on_routes(spark, engine):
-    got = {r.screen_id: (r.route, r.confidence) for r in X.classify(_frame(spark), engine=engine).collect()}
+def test_routes_of_a_frame(spark):
+    got = {r.screen_id: (r.route, r.confidence) for r in X.classify(_frame(spark)).collect()}
     for i, (_, route, conf) in enumerate(CASES):
-        assert got[i][0] == route, (i, engine)
+        assert got[i][0] == route, i
         if conf is not None:
             assert got[i][1] == pytest.approx(conf)
 
@@ -83,13 +85,12 @@ def test_render_prompts_is_literal(spark):
     assert p == "<a$1\\b>"
 
 
-@pytest.mark.parametrize("engine", ["python", "sql"])
-def test_low_confidence_route_is_opt_in(spark, engine):
+def test_low_confidence_route_is_opt_in(spark):
     df = spark.createDataFrame([(1, "r", '{"confidence": 0.2}'), (2, "r", '{"confidence": 0.9}')],
                                "screen_id long, run_id string, raw_output string")
-    off = {r.screen_id: r.route for r in X.classify(df, engine=engine).collect()}
+    off = {r.screen_id: r.route for r in X.classify(df).collect()}
     assert off == {1: "valid", 2: "valid"}
-    on = X.classify(df, engine=engine, min_confidence=0.5)
+    on = X.classify(df, min_confidence=0.5)
     assert {r.screen_id: r.route for r in on.collect()} == {1: "low_confidence", 2: "valid"}
     assert X.review_rows(on).collect()[0].reason == "LowConfidence: low_confidence"
 
@@ -132,3 +133,30 @@ def test_call_model_timeout_routes_only_the_slow_prompt(spark):
     assert rows[2].error.startswith("TimeoutError") and rows[2].raw_output is None
     c = {r.screen_id: r.route for r in X.classify(out, error_col="error").collect()}
     assert c == {1: "valid", 2: "call_error", 3: "valid"}
+
+
+def test_requests_are_small_and_only_failed_ones_are_sent_again(spark):
+    from tessera.session import work_dir
+
+    folder = work_dir(spark, "requests")
+    df = spark.createDataFrame([(i, "r", f"p{i}") for i in range(9)], "screen_id long, run_id string, prompt string")
+
+    def model(prompts):
+        import os
+        import uuid
+        os.makedirs(folder, exist_ok=True)
+        open(os.path.join(folder, uuid.uuid4().hex), "w").write(",".join(prompts))
+        return ["{}"] * (len(prompts) if "p4" not in prompts or len(prompts) == 1 else 1)   # one answer short
+
+    X.call_model(df, model, request_rows=3, tasks=1).write.format("noop").mode("overwrite").save()
+    import os
+    sent = sorted(open(os.path.join(folder, f)).read() for f in os.listdir(folder))
+    assert len([s for s in sent if "," in s]) == 3 and all(len(s.split(",")) <= 3 for s in sent)
+    again = [s for s in sent if "," not in s]
+    assert len(again) == 3 and "p4" in again
+
+
+def test_prompts_are_dealt_over_tasks(spark):
+    df = spark.range(2000).select(F.col("id").alias("screen_id"), F.lit("r").alias("run_id"), F.lit("p").alias("prompt"))
+    out = X.call_model(df.orderBy("screen_id"), lambda p: ["{}"] * len(p)).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert out > 1
