@@ -18,22 +18,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def strip_all(c) -> Column:
-    """Null-safe strip of all (Unicode) whitespace; ``trim`` strips blanks only."""
-    return F.regexp_replace(F.coalesce(_c(c), F.lit("")), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
-
-
 def is_blank(c) -> Column:
     """Null, empty or only whitespace — stops at the first visible character
     instead of stripping the whole text."""
     return F.coalesce(~F.regexp_like(_c(c), F.lit(r"[^\s\p{Z}]")), F.lit(True))
 
 
-def class_name(c) -> Column:
-    """Last dotted part of a class name ('' stays '')."""
-    return F.substring_index(_c(c), ".", -1)
-
-
 def fingerprint(c) -> Column:
     """SHA-256 hex of a string (its UTF-8 bytes) or of binary bytes."""
     return F.sha2(_c(c), 256)
@@ -49,8 +39,3 @@ def cut(c, limit: int, marker: str = "") -> Column:
     if not marker:
         return F.left(_c(c), F.lit(limit))
     return F.when(F.length(_c(c)) > limit, F.concat(F.left(_c(c), F.lit(limit)), F.lit(marker))).otherwise(_c(c))
-
-
-def fill_template(template: str, placeholder: str, value) -> Column:
-    """Literal (not regex) replacement."""
-    return F.replace(F.lit(template), F.lit(placeholder), _c(value))

@@ -3,9 +3,8 @@
 Vectors are ``array<float>``; every product is taken in double so results
 agree with other engines (float32 storage, float64 arithmetic).
 
-These are per-row expressions (norms, normalisation, a distance between two
-columns of the same row).  Many-to-many search does not use them pair by
-pair: see ``tessera.operators.search`` which does blocked matrix products.
+These are per-row expressions (norms, normalisation, zero test).  Distances
+between vectors belong to the search: ``tessera.operators.search``.
 """
 
 from __future__ import annotations
@@ -20,15 +19,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def as_double(v) -> Column:
-    return F.transform(_c(v), lambda x: x.cast("double"))
-
-
-def dot(a, b) -> Column:
-    prods = F.zip_with(_c(a), _c(b), lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(prods, F.lit(0.0).cast("double"), lambda acc, p: acc + p)
-
-
 def sq_norm(v) -> Column:
     return F.aggregate(_c(v), F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x.cast("double"))
 
@@ -37,33 +27,6 @@ def norm(v) -> Column:
     return F.sqrt(sq_norm(v))
 
 
-def l2_distance(a, b) -> Column:
-    diffs = F.zip_with(_c(a), _c(b), lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
-    return F.sqrt(F.aggregate(diffs, F.lit(0.0).cast("double"), lambda acc, p: acc + p))
-
-
-def cosine_distance(a, b) -> Column:
-    """1 - cos(a, b); NaN (sorts last) when either side has zero norm.
-
-    ANSI division by zero would raise, so ``try_divide`` + NaN."""
-    denom = norm(a) * norm(b)
-    return F.lit(1.0) - F.coalesce(F.try_divide(dot(a, b), denom), F.lit(float("nan")))
-
-
-def neg_inner_product(a, b) -> Column:
-    return -dot(a, b)
-
-
-def distance(metric: str, a, b) -> Column:
-    if metric == "l2":
-        return l2_distance(a, b)
-    if metric == "cosine":
-        return cosine_distance(a, b)
-    if metric == "ip":
-        return neg_inner_product(a, b)
-    raise ValueError(f"unknown metric {metric!r}; expected one of {METRICS}")
-
-
 def l2_normalize(v) -> Column:
     """Unit-length ``array<float>`` copy; a zero vector stays zero (no 0/0).
 

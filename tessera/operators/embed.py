@@ -7,17 +7,18 @@ builds the model once per task and encodes one Arrow batch per call).
 Never present the built-ins as semantic quality: they are for plumbing,
 scale and parity tests.
 
-* ``hash_text_vectors`` — feature hashing: tokens = maximal runs of letters
+* ``with_hash_vectors`` — feature hashing: tokens = maximal runs of letters
   and digits of the lower-cased text; bucket = first 8 hex digits of the
   token's MD5 modulo ``dim``; vector = bucket counts scaled to unit length.
-  Tokenising and hashing are built-in expressions; only the bincount runs
-  in an Arrow-batched pandas UDF.
+  Tokenising is a built-in expression; an Arrow stage hashes each distinct
+  token of a batch once and counts with one ``bincount``.
 * ``nibble_histogram_vectors`` — 16 buckets: the low 4 bits of every payload
   byte, counted with string functions on the hex form (all JVM side).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,51 +40,37 @@ TEXT_MODEL = ("hash-text", "v1")
 BYTES_MODEL = ("nibble-hist", "v1")
 
 
-def token_buckets(text: Column, dim: int = TEXT_DIMS) -> Column:
-    """``array<int>`` of hash buckets of the tokens of a text."""
-    toks = F.array_remove(F.split(F.lower(text), TOKEN_SPLIT), "")
-    return F.transform(toks, lambda t: F.pmod(
-        F.conv(F.substring(F.md5(t), 1, HASH_HEX_DIGITS), 16, 10).cast("long"), F.lit(dim)).cast("int"))
+def tokens(text: Column) -> Column:
+    """Tokens of a text, in order."""
+    return F.array_remove(F.split(F.lower(text), TOKEN_SPLIT), "")
 
 
-def _bincount_udf(dim: int):
-    @F.pandas_udf(T.ArrayType(T.FloatType(), containsNull=False))
-    def unit_counts(buckets: pd.Series) -> pd.Series:
-        # one bincount for the whole Arrow batch: index = row * dim + bucket
-        n = len(buckets)
-        present = buckets.notna().to_numpy()
-        lens = np.array([len(b) if ok else 0 for b, ok in zip(buckets, present)], dtype=np.int64)
-        flat = (np.concatenate([np.asarray(b, dtype=np.int64) for b, ok in zip(buckets, present) if ok])
-                if lens.sum() else np.zeros(0, dtype=np.int64))
-        rows = np.repeat(np.arange(n, dtype=np.int64), lens)
-        m = np.bincount(rows * dim + flat, minlength=n * dim).reshape(n, dim).astype(np.float64)
-        nrm = np.sqrt((m * m).sum(axis=1, keepdims=True))
-        m = np.divide(m, nrm, out=m, where=nrm > 0).astype(np.float32)
-        return pd.Series([m[i] if present[i] else None for i in range(n)])
-
-    return unit_counts
+def bucket(token: str, dim: int) -> int:
+    return int(hashlib.md5(token.encode(), usedforsecurity=False).hexdigest()[:HASH_HEX_DIGITS], 16) % dim
 
 
 def with_hash_vectors(df: DataFrame, text_col: str, out_col: str = "vector", dim: int = TEXT_DIMS) -> DataFrame:
     """Add the unit-length hashed bag of tokens of ``text_col`` as ``out_col``.
 
-    Tokens and buckets are built-in expressions; the counting runs in
-    ``mapInArrow`` on the flat Arrow buffers of each batch — one ``bincount``
-    over (row · dim + bucket), no per-row Python objects."""
+    Runs in ``mapInArrow`` on the flat Arrow buffers of each batch: distinct
+    tokens are hashed once, then one ``bincount`` over (row · dim + bucket);
+    no per-row Python objects."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    staged = spread(df).withColumn("_buckets", token_buckets(F.col(text_col), dim))
-    keep = [f for f in staged.schema.fields if f.name != "_buckets"]
+    staged = spread(df).withColumn("_tokens", tokens(F.col(text_col)))
+    keep = [f for f in staged.schema.fields if f.name != "_tokens"]
     schema = T.StructType(keep + [T.StructField(out_col, T.ArrayType(T.FloatType(), containsNull=False))])
     names = [f.name for f in keep]
 
     def run(batches):
         for rb in batches:
-            b = rb.column(rb.schema.get_field_index("_buckets"))
+            b = rb.column(rb.schema.get_field_index("_tokens"))
             n = rb.num_rows
             lens = pc.fill_null(pc.list_value_length(b), 0).to_numpy().astype(np.int64)
-            flat = pc.list_flatten(b).to_numpy(zero_copy_only=False).astype(np.int64)
+            coded = pc.list_flatten(b).dictionary_encode()
+            buckets = np.array([bucket(t, dim) for t in coded.dictionary.to_pylist()], dtype=np.int64)
+            flat = buckets[coded.indices.to_numpy(zero_copy_only=False)] if len(buckets) else np.zeros(0, dtype=np.int64)
             rows = np.repeat(np.arange(n, dtype=np.int64), lens)
             m = np.bincount(rows * dim + flat, minlength=n * dim).reshape(n, dim).astype(np.float64)
             nrm = np.sqrt((m * m).sum(axis=1, keepdims=True))
@@ -96,11 +83,6 @@ def with_hash_vectors(df: DataFrame, text_col: str, out_col: str = "vector", dim
     return staged.mapInArrow(run, schema)
 
 
-def hash_text_vectors(text: Column, dim: int = TEXT_DIMS) -> Column:
-    """Unit-length hashed bag of tokens (zero vector for a text without tokens)."""
-    return _bincount_udf(dim)(token_buckets(text, dim))
-
-
 def nibble_counts(payload: Column) -> Column:
     """``array<long>`` of 16 counts: low nibble of every byte of ``payload``
     (binary, or a string taken as its UTF-8 bytes)."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import fingerprint
-from tessera.operators.tables import first_per_key
+from tessera.operators.tables import one_per_key
 
 # Fixed values (must equal the reference's).
 SOURCE_DEFAULTS = {"app_package_name": "", "category": "", "view_hierarchy": "{}"}
@@ -32,12 +32,14 @@ def object_key(id_col, suffix: str) -> F.Column:
 
 
 def to_bronze(src: DataFrame, run_id: str, *, id_col: str = "screenId", payload_col: str = "image",
-              arrival_col: str | None = None) -> DataFrame:
+              arrival_col: str | None = None, keep: str = "last") -> DataFrame:
     """Bronze rows: keys, payload bytes, tree text, fingerprint of the payload.
 
-    Writing the same key twice overwrites the object: the *last* write of a
-    key wins, done as an aggregate (``max_by`` on arrival) rather than a
-    window, so a hot key is pre-combined per task."""
+    Writing the same key twice overwrites the object, so the *last* arrival
+    of a key wins (``keep="first"`` gives the first one, as a table that
+    ignores existing keys keeps it).  Without an arrival column the order of
+    two writes is unknown: a repeated key is then refused when the rows are
+    read.  Only keys that repeat are reduced; other payloads are not moved."""
     s = with_defaults(src)
     payload = F.col(payload_col)
     if dict(s.dtypes)[payload_col] == "string":
@@ -51,12 +53,9 @@ def to_bronze(src: DataFrame, run_id: str, *, id_col: str = "screenId", payload_
         *([F.col(arrival_col).alias("_arrival")] if arrival_col else []),
     )
     if arrival_col:
-        rest = [c for c in rows.columns if c not in ("screen_id", "_arrival")]
-        rows = (rows.groupBy("screen_id")
-                .agg(F.max_by(F.struct(*rest), F.struct("_arrival", *rest)).alias("_r"))   # ties: by row
-                .select("screen_id", *[F.col("_r")[c].alias(c) for c in rest]))
+        rows = one_per_key(rows, ["screen_id"], "_arrival", last=keep == "last").drop("_arrival")
     else:
-        rows = first_per_key(rows, ["screen_id"])
+        rows = one_per_key(rows, ["screen_id"], repeated="refuse")
     return rows.select(
         "screen_id", "app_package", "category",
         object_key("screen_id", IMAGE_SUFFIX).alias("png_path"),

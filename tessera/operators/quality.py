@@ -2,24 +2,26 @@
 checks, per-run counts, quality metrics and their long format.
 
 Everything is a grouped aggregate (partial + final, so hot keys are
-pre-aggregated before the shuffle) or an anti/semi join.  The audit's
-details list is capped; its count is exact.
+pre-aggregated before the shuffle) or an anti/semi join.  An audit's findings
+are kept as rows, all of them; its result row holds their exact count.
 """
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
-from tessera.session import broadcast_if_small
+from tessera.operators.tables import append
+from tessera.session import broadcast_if_small, materialize
 
 # Fixed values (must equal the reference's).
 AUDIT_NAME = "duplicate_key_check"
 EXPECTED_IMAGE_DIMS = 512
 EXPECTED_TEXT_DIMS = 384
 CONFIDENCE_THRESHOLD = 0.5
-DETAILS_CAP = 100
 METADATA_KEY = ("screen_id",)
 EMBEDDING_KEY = ("screen_id", "model_name", "model_version", "embedding_kind")
 EMBEDDING_KINDS = ("image", "text")
@@ -31,7 +33,12 @@ METRIC_NAMES = (
 
 
 class AuditFailed(RuntimeError):
-    """Raised on the driver when the duplicate audit finds keys."""
+    """Raised on the driver when the duplicate audit finds keys.  ``result``
+    and ``details`` are the audit's row and its findings."""
+
+    def __init__(self, message: str, result: DataFrame | None = None, details: DataFrame | None = None):
+        super().__init__(message)
+        self.result, self.details = result, details
 
 
 def pct(num: Column, den: Column) -> Column:
@@ -54,35 +61,38 @@ def findings(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def audit_result(found: DataFrame, order_keys, cap: int = DETAILS_CAP, audit_name: str = AUDIT_NAME,
-                 pretty: bool = False) -> DataFrame:
-    """One row: ``audit_name, passed, n_findings, n_listed, details``.
-
-    The count is exact (one aggregate).  Only the first ``cap`` findings
-    (ordered, a bounded top-k) are listed in ``details`` JSON.  The scalar
-    subquery keeps it a single row without any join."""
-    listed = (found.orderBy(*order_keys).limit(cap)
-              .agg(F.collect_list(F.struct(*found.columns)).alias("dup")))
-    n = found.agg(F.count(F.lit(1)).alias("n"))
-    n_col = n.scalar()
-    return listed.select(
-        F.lit(audit_name).alias("audit_name"),
-        (n_col == 0).alias("passed"),
-        n_col.alias("n_findings"),
-        F.size("dup").cast("long").alias("n_listed"),
-        F.to_json(F.struct(F.col("dup").alias("duplicate_keys"), n_col.alias("count")),
-                  {"pretty": "true"} if pretty else None).alias("details"),
-    )
+def _stamped(df: DataFrame, run_id: str | None, checked_at) -> DataFrame:
+    return df.withColumn("run_id", F.lit(run_id).cast("string")).withColumn("checked_at", F.lit(checked_at).cast("timestamp_ntz"))
+
+
+def audit_details(found: DataFrame, audit_name: str = AUDIT_NAME, run_id: str | None = None, checked_at=None,
+                  pretty: bool = False) -> DataFrame:
+    """Every finding as a row: ``audit_name, details`` (JSON) ``, run_id, checked_at``."""
+    details = F.to_json(F.struct(*found.columns), {"pretty": "true"} if pretty else None)
+    return _stamped(found.select(F.lit(audit_name).alias("audit_name"), details.alias("details")), run_id, checked_at)
+
+
+def audit_result(found: DataFrame, audit_name: str = AUDIT_NAME, run_id: str | None = None, checked_at=None) -> DataFrame:
+    """One row: ``audit_name, passed, n_findings, run_id, checked_at``."""
+    n = found.agg(F.count(F.lit(1)).alias("n_findings"))
+    return _stamped(n.select(F.lit(audit_name).alias("audit_name"), (F.col("n_findings") == 0).alias("passed"), "n_findings"), run_id, checked_at)
 
 
-def run_audit(found: DataFrame, order_keys, cap: int = DETAILS_CAP) -> DataFrame:
-    """Circuit breaker: returns the result row, raises ``AuditFailed`` if any
-    duplicate exists (after the caller has had the chance to append it)."""
-    res = audit_result(found, order_keys, cap).cache()
-    row = res.select("passed", "n_findings").first()
-    if row is not None and not row["passed"]:
-        raise AuditFailed(f"AUDIT FAILED: {row['n_findings']} duplicate key(s) detected — pipeline halted")
-    return res
+def run_audit(found: DataFrame, log: str | None = None, run_id: str | None = None, checked_at=None) -> DataFrame:
+    """Circuit breaker.  The findings are computed once; the result row and
+    all findings are appended to the tables ``results`` and ``details`` under
+    ``log`` (when given) *before* a failure raises ``AuditFailed``, which
+    carries both frames as well.  Returns the result row."""
+    checked_at = checked_at or datetime.now(UTC).replace(tzinfo=None)
+    kept = materialize(found, "findings")
+    result, details = audit_result(kept, run_id=run_id, checked_at=checked_at), audit_details(kept, run_id=run_id, checked_at=checked_at)
+    if log:
+        append(result, f"{log}/results")
+        append(details, f"{log}/details")
+    n = result.first()["n_findings"]
+    if n:
+        raise AuditFailed(f"AUDIT FAILED: {n} duplicate key(s) detected — pipeline halted", result, details)
+    return result
 
 
 def disallowed_values(df: DataFrame, column: str, allowed, check_name: str) -> DataFrame:

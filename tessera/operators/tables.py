@@ -3,9 +3,9 @@ strict insert, keyed update, cascade delete, snapshot writes.
 
 Idempotency comes from anti-joins on the key, never from a unique index:
 
-* the *source* is first reduced to one row per key with ``min_by`` — a
-  plain aggregate, so a hot key holding a third of the rows is combined
-  inside each task before the shuffle (a window would sort it in one task);
+* the *source* is first reduced to one row per key (``one_per_key``): a
+  narrow count finds the keys that repeat, only their rows are reduced, with
+  a plain aggregate that combines a hot key inside each task;
 * the reduced delta is ``left_anti``-joined against the target's keys;
 * the new table is written as a new snapshot; the path being read is never
   overwritten (single writer per table is assumed — concurrent writers are
@@ -24,16 +24,43 @@ class InsertConflict(RuntimeError):
     """Strict insert found keys that already exist."""
 
 
-def first_per_key(df: DataFrame, keys, order_col: str | None = None) -> DataFrame:
-    """One row per key: the first by ``order_col`` (arrival), ties and
-    missing order broken by the full row so the result is deterministic."""
+def _same(left: DataFrame, right: DataFrame, keys):
+    """Join condition on ``keys``; null keys are equal."""
+    cond = None
+    for k in keys:
+        one = left[k].eqNullSafe(right[f"_k_{k}"])
+        cond = one if cond is None else cond & one
+    return cond
+
+
+def one_per_key(df: DataFrame, keys, order_col: str | None = None, last: bool = False, repeated: str = "pick") -> DataFrame:
+    """One row per key: the first (or last) by ``order_col``, ties broken by
+    the row itself, so a recomputed task picks the same row.
+
+    Only keys that repeat are reduced: a narrow count finds them, and rows of
+    all other keys pass by without being sorted or shuffled — payloads and
+    vectors stay where they are.  ``repeated="refuse"`` makes a repeated key an
+    error at run time."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    order = F.struct(F.col(order_col), *[F.col(c) for c in rest]) if order_col else F.struct(*[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    many_keys = broadcast_if_small(counted.select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
+    single = df.join(many_keys, _same(df, many_keys, keys), "left_anti")
+    many = df.join(many_keys, _same(df, many_keys, keys), "left_semi")
+    if repeated == "refuse":
+        told = F.raise_error(F.concat(F.lit("repeated key without an arrival column: "), F.to_json(F.struct(*keys))))
+        return single.unionByName(many.withColumn(rest[0], told.cast(df.schema[rest[0]].dataType)))
+    row, order = F.struct(*rest), F.struct(*([order_col] if order_col else []), *[c for c in rest if c != order_col])
+    picked = many.groupBy(*keys).agg((F.max_by if last else F.min_by)(row, order).alias("_row"))
+    return single.unionByName(picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]))
+
+
+def first_per_key(df: DataFrame, keys, order_col: str | None = None) -> DataFrame:
+    """One row per key: the first by ``order_col`` (arrival); without it the
+    smallest row."""
+    return one_per_key(df, keys, order_col)
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys, order_col: str | None = None) -> DataFrame:
@@ -62,13 +89,7 @@ def upsert_latest(target: DataFrame, source: DataFrame, keys, order_col: str | N
     keys = list(keys)
     cols = [c for c in target.columns]
     if order_col:
-        rest = [c for c in cols if c not in keys]
-        # ties on the arrival column broken by the row itself: a recomputed
-        # task (lost executor) must pick the same row
-        order = F.struct(F.col(order_col), *[F.col(c) for c in rest])
-        latest = (source.groupBy(*keys)
-                  .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_r"))
-                  .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
+        latest = one_per_key(source.select(*dict.fromkeys([*cols, order_col])), keys, order_col, last=True).select(*cols)
     else:
         latest = first_per_key(source.select(*cols), keys)
     kept = target.join(latest.select(*keys), keys, "left_anti")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from tessera.operators import quality as QL
 from tessera.plans import fragments as Q
 from tessera.plans.extract_plans import review_frame
 from tessera.plans.registry import register
+from tessera.session import work_dir
 from tessera.sources import standins
 
 ZERO_LABEL = 0
@@ -154,12 +158,36 @@ def audit_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("audit_result_row", f"""
 WITH {FINDINGS_SQL}
-SELECT 'duplicate_key_check' AS audit_name, count(*) = 0 AS passed, count(*) AS n_findings,
-       CAST(least(count(*), 100) AS BIGINT) AS n_listed FROM f""")
+SELECT 'duplicate_key_check' AS audit_name, count(*) = 0 AS passed, count(*) AS n_findings FROM f""")
 def audit_result_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The audit's result row: flag, exact count, capped listing."""
-    f = audit_findings_frame(spark, sf_dir)
-    return QL.audit_result(f, ["table", *QL.EMBEDDING_KEY]).select("audit_name", "passed", "n_findings", "n_listed")
+    """The audit's result row: flag and exact count."""
+    return QL.audit_result(audit_findings_frame(spark, sf_dir)).select("audit_name", "passed", "n_findings")
+
+
+@register("audit_details", f"""
+WITH {FINDINGS_SQL}
+SELECT 'duplicate_key_check' AS audit_name,
+       '{{"table":"' || "table" || '","screen_id":' || screen_id
+       || coalesce(',"model_name":"' || model_name || '","model_version":"' || model_version || '","embedding_kind":"' || embedding_kind || '"', '')
+       || ',"count":' || count || '}}' AS details FROM f""")
+def audit_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every finding of the audit as a JSON row, none left out."""
+    return QL.audit_details(audit_findings_frame(spark, sf_dir)).select("audit_name", "details")
+
+
+@register("audit_failure_stored", f"""
+WITH {FINDINGS_SQL}
+SELECT 'duplicate_key_check' AS audit_name, 'run-audit' AS run_id, false AS passed, count(*) AS n_findings,
+       count(*) AS n_details, TIMESTAMP '2024-01-01 00:00:00' AS checked_at FROM f HAVING count(*) > 0""")
+def audit_failure_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A failing audit stops the run, and its row and findings are in the log."""
+    log = work_dir(spark, "audit-log")
+    with contextlib.suppress(QL.AuditFailed):
+        QL.run_audit(audit_findings_frame(spark, sf_dir), log, "run-audit", datetime(2024, 1, 1))
+    results, details = spark.read.parquet(f"{log}/results"), spark.read.parquet(f"{log}/details")
+    n = details.groupBy("run_id", "audit_name").agg(F.count(F.lit(1)).alias("n_details"))
+    return results.where(~F.col("passed")).join(n, ["run_id", "audit_name"]).select(
+        "audit_name", "run_id", "passed", "n_findings", "n_details", "checked_at")
 
 
 @register("failed_audits", f"""

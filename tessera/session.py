@@ -3,13 +3,14 @@ settings, and the shared work folder used to cut lineage.
 
 On a cluster the session is built by the platform; we only *read* its
 settings.  ``work_dir`` follows the rule: use the shared folder named by
-``spark.checkpoint.dir``; only when it is unset (tests, local runs) pick a
-fresh local folder and register it.
+``spark.checkpoint.dir``; only a local master may do without.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -57,36 +58,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_OWN: list[str] = []
+
+
+def _local_folder(spark: SparkSession) -> str:
+    """A folder of this machine, for local runs and tests only; removed at exit."""
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="tessera-work-"))
+        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+    return _OWN[0]
+
+
 def work_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session (the cluster's shared
-    folder).  Only when no folder is configured — tests and local runs —
-    a local one is created and registered, so that ``DataFrame.checkpoint``
-    works too.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        sc = spark.sparkContext
-        current = sc.getCheckpointDir()
-        if current:
-            base = current
-        else:
-            base = tempfile.mkdtemp(prefix="tessera-ckpt-")
-            sc.setCheckpointDir(base)
-            base = sc.getCheckpointDir() or base
-    sub = f"{name or 'work'}-{uuid.uuid4().hex[:12]}"
-    return base.rstrip("/") + "/" + sub
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable: register the shared folder
-    with the context when only the config names it."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(base or tempfile.mkdtemp(prefix="tessera-ckpt-"))
+    The folder is the session's ``spark.checkpoint.dir``, or the one the
+    context was given.  Without either, a local master gets a temporary
+    folder, which is removed at exit; on a cluster that is an error, because
+    executors would write to disks of their own."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or _local_folder(spark)
+    return f"{base.rstrip('/')}/{name or 'work'}-{uuid.uuid4().hex[:12]}"
 
 
 def spread(df, min_partitions: int | None = None):

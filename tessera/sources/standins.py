@@ -53,17 +53,6 @@ def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return docs.select(
-        F.col("doc_id").alias("screen_id"),
-        F.col("source").alias("app_package"),
-        F.col("lang").alias("category"),
-        F.encode(F.col("text"), "UTF-8").alias("payload"),
-        F.col("text").alias("hierarchy_text"),
-    )
-
-
 def emb(spark: SparkSession, sf_dir: str, zero_image_label: int | None = None) -> DataFrame:
     """``zero_image_label``: fault injection — image vectors of that
     embeddings label are replaced by zero vectors."""

@@ -19,20 +19,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     """Id list text file: one integer per line, blank and ``#`` lines
-    skipped, unique (A3).  Non-integer lines are dropped (``try_cast``)."""
-    lines = spark.read.text(path)
+    skipped, unique (A3).  A line that is no integer is an error when the
+    ids are read; ``bad_id_lines`` lists such lines."""
+    v = F.trim(F.col("value"))
+    lines = _id_lines(spark, path)
+    wrong = F.raise_error(F.concat(F.lit("not an integer id: "), F.col("value")))
+    return lines.select(F.coalesce(v.try_cast("long"), wrong.cast("long")).alias("id")).distinct()
+
+
+def bad_id_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of an id list that are no integers."""
+    return _id_lines(spark, path).where(F.trim(F.col("value")).try_cast("long").isNull())
+
+
+def _id_lines(spark: SparkSession, path: str) -> DataFrame:
     v = F.trim(F.col("value"))
-    return (lines.where((v != "") & ~F.col("value").startswith("#"))
-            .select(v.try_cast("long").alias("id"))
-            .where(F.col("id").isNotNull())
-            .distinct())
+    return spark.read.text(path).where((v != "") & ~F.col("value").startswith("#"))
 
 
 def binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

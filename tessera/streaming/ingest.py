@@ -1,24 +1,22 @@
 """Incremental, idempotent ingest with Structured Streaming.
 
-file source → de-duplication on the key (streaming state) → ``foreachBatch``
-writing each micro-batch once.
-
-Exactly-once: the checkpoint (offsets + dedup state) makes a restarted query
-resume where it stopped, and every micro-batch is written to its own
-``stream=<query>/batch_id=<epoch>`` folder with overwrite, so a re-executed epoch replaces
-its own output instead of appending twice (no scan of the target).  Each
-write is one job-level commit.  ``check_target=True`` adds an anti-join
-against the target for sources whose repeats can outlive the dedup state.
-
-Repeats of a key are taken to be re-deliveries of the same record (the
-file-drop overlap case).  When two copies differ, which one wins inside a
-single micro-batch is not defined by the stream; feed such sources through
-``tables.insert_if_absent`` with an arrival column for first-writer rules.
-
-State: ``dropDuplicates(key)`` keeps every key seen; for unbounded sources
-pass ``watermark=(event_time_col, delay)`` to use
-``dropDuplicatesWithinWatermark`` (state bounded by the delay) and rely on
-the anti-join for older repeats.
+file source → ``foreachBatch``: one row per key, minus the keys the target
+holds, written once.
+
+Exactly-once: the checkpoint (offsets) makes a restarted query resume where
+it stopped, and every micro-batch is written to its own
+``stream=<query>/batch_id=<epoch>`` folder with overwrite, so a re-executed
+epoch replaces its own output instead of appending twice.  Each write is one
+job-level commit.
+
+Which keys are known is read from the target, by probing its key column with
+the batch's keys, not kept in streaming state: nothing grows with the number
+of keys ever seen, and a late key that is new is never lost.
+
+Copies of a key inside one micro-batch are reduced to the smallest row, so
+the choice does not depend on the run; feed sources whose copies differ
+through ``tables.insert_if_absent`` with an arrival column for first-writer
+rules.
 """
 
 from __future__ import annotations
@@ -29,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tessera.operators.tables import one_per_key
 from tessera.session import broadcast_if_small
 
 
@@ -45,47 +44,42 @@ def stream_tag(checkpoint: str) -> str:
     return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def insert_batch(spark: SparkSession, batch: DataFrame, key: list[str], target: str, epoch_id: int,
-                 check_target: bool = False, tag: str = "s") -> None:
-    """One micro-batch: first row per key (minus keys already in the target
-    when ``check_target``), written idempotently under
-    ``stream=<tag>/batch_id=<epoch>``."""
-    rows = batch.dropDuplicates(key)
-    cached = None
-    if check_target and _exists(spark, target):
+def insert_batch(spark: SparkSession, batch: DataFrame, key: list[str], target: str, epoch_id: int, tag: str = "s") -> None:
+    """One micro-batch: one row per key (the smallest row, so a re-executed
+    epoch writes the same), minus keys already in the target, written
+    idempotently under ``stream=<tag>/batch_id=<epoch>``."""
+    rows = one_per_key(batch, key)
+    if _exists(spark, target):
         # other epochs only: a re-executed epoch must not hide its own rows.
         # The batch's keys (checked small) probe the target's key column, so
         # the growing target is scanned, never shuffled; only the few keys
         # found there are then removed from the batch.
-        cached = rows = rows.persist()
+        rows = rows.persist()
         probe = broadcast_if_small(rows.select(*key))
         mine = (F.col("stream") == tag) & (F.col("batch_id") == int(epoch_id))
         have = (spark.read.parquet(target).where(~mine).select(*key)
                 .join(probe, key, "left_semi"))
-        rows = rows.join(broadcast_if_small(have), key, "left_anti")
-    rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/stream={tag}/batch_id={int(epoch_id)}")
-    if cached is not None:
-        cached.unpersist()
+        fresh = rows.join(broadcast_if_small(have), key, "left_anti")
+    else:
+        fresh = rows
+    fresh.write.mode("overwrite").parquet(f"{target.rstrip('/')}/stream={tag}/batch_id={int(epoch_id)}")
+    rows.unpersist()
 
 
 def run_dedup_ingest(spark: SparkSession, source_dir: str, schema: StructType, key: list[str], target: str,
-                     checkpoint: str, watermark: tuple[str, str] | None = None,
-                     max_files_per_trigger: int | None = None, check_target: bool = False) -> None:
-    """Process every file available now, then stop (``availableNow``)."""
+                     checkpoint: str, max_files_per_trigger: int | None = None) -> None:
+    """Process every file available now, then stop (``availableNow``).
+
+    The target itself says which keys are known, so the query holds no state
+    that grows with them, and a new key is kept however late it comes."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
-    if watermark:
-        col, delay = watermark
-        stream = stream.withWatermark(col, delay).dropDuplicatesWithinWatermark(key)
-    else:
-        stream = stream.dropDuplicates(key)
-
     tag = stream_tag(checkpoint)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        insert_batch(batch.sparkSession, batch, key, target, epoch_id, check_target or bool(watermark), tag)
+        insert_batch(batch.sparkSession, batch, key, target, epoch_id, tag)
 
     q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint)

@@ -58,13 +58,11 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_hash_encoder_against_python(spark):
-    from pyspark.sql import functions as F
-
     from tessera.operators import embed as E
 
     texts = ["Hello, hello world!", "Ça va? Très bien — 42 fois", "", "   "]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    got = {r.id: np.array(r.v) for r in df.select("id", E.hash_text_vectors(F.col("text")).alias("v")).collect()}
+    got = {r.id: np.array(r.vector) for r in E.with_hash_vectors(df, "text").collect()}
     for i, t in enumerate(texts):
         c = np.zeros(E.TEXT_DIMS)
         for tok in re.split(r"[^\w]+|_", t.lower()):
@@ -76,8 +74,6 @@ def test_hash_encoder_against_python(spark):
 
 
 def test_nibble_histogram_against_python(spark):
-    from pyspark.sql import functions as F
-
     from tessera.operators import embed as E
 
     payloads = [b"\x00\x01\x11\xff", "héllo".encode(), b""]

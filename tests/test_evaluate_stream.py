@@ -42,18 +42,20 @@ def test_stream_ingest_is_idempotent(spark):
     assert np.isclose(sum(r.value for r in out.collect()), sum(v for _, v in rows))
 
 
-def test_stream_ingest_with_watermark_and_target_check(spark):
+def test_stream_keeps_new_keys_however_late(spark):
     import datetime as dt
 
-    base = work_dir(spark, "stream-wm")
+    base = work_dir(spark, "stream-late")
     t0 = dt.datetime(2024, 1, 1)
-    rows = [(i % 20, t0 + dt.timedelta(minutes=i)) for i in range(40)]   # every key twice, 20 min apart
-    df = spark.createDataFrame(rows, "event_id long, ts timestamp")
-    df.write.mode("append").parquet(f"{base}/src")
-    run_dedup_ingest(spark, f"{base}/src", df.schema, ["event_id"], f"{base}/t", f"{base}/ck",
-                     watermark=("ts", "5 minutes"))
-    out = spark.read.parquet(f"{base}/t")
-    assert out.select("event_id").distinct().count() == 20 and out.count() == 20
+    schema = "event_id long, ts timestamp"
+    spark.createDataFrame([(i % 20, t0 + dt.timedelta(minutes=i)) for i in range(40)], schema).write.parquet(f"{base}/src")
+    df = spark.read.parquet(f"{base}/src")
+    run_dedup_ingest(spark, f"{base}/src", df.schema, ["event_id"], f"{base}/t", f"{base}/ck")
+    # a repeat and a new key, both days older than what has been seen
+    spark.createDataFrame([(3, t0 - dt.timedelta(days=9)), (99, t0 - dt.timedelta(days=9))], schema).write.mode("append").parquet(f"{base}/src")
+    run_dedup_ingest(spark, f"{base}/src", df.schema, ["event_id"], f"{base}/t", f"{base}/ck")
+    out = [r.event_id for r in spark.read.parquet(f"{base}/t").collect()]
+    assert sorted(out) == [*range(20), 99]
 
 
 def test_eval_metric_rows_long_format(spark):
@@ -70,9 +72,9 @@ def test_stream_target_check_skips_keys_already_written(spark):
     base = work_dir(spark, "stream-check")
     df = spark.createDataFrame([(i, float(i)) for i in range(30)], "event_id long, value double")
     df.where("event_id < 20").write.mode("append").parquet(f"{base}/src")
-    run_dedup_ingest(spark, f"{base}/src", df.schema, ["event_id"], f"{base}/t", f"{base}/ck", check_target=True)
+    run_dedup_ingest(spark, f"{base}/src", df.schema, ["event_id"], f"{base}/t", f"{base}/ck")
     # a new query (fresh checkpoint, no dedup state) over an overlapping drop: the target check alone dedups
     df.where("event_id >= 10").write.mode("append").parquet(f"{base}/src2")
-    run_dedup_ingest(spark, f"{base}/src2", df.schema, ["event_id"], f"{base}/t", f"{base}/ck2", check_target=True)
+    run_dedup_ingest(spark, f"{base}/src2", df.schema, ["event_id"], f"{base}/t", f"{base}/ck2")
     out = spark.read.parquet(f"{base}/t")
     assert out.count() == 30 and out.select("event_id").distinct().count() == 30

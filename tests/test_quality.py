@@ -16,14 +16,15 @@ def test_pct_zero_guard_and_half_up(spark):
 def test_audit_cases(spark):
     meta = spark.createDataFrame([(1,), (2,)], "screen_id long")
     assert QL.duplicate_keys(meta, ["screen_id"], "m").count() == 0
-    res = QL.run_audit(QL.duplicate_keys(meta, ["screen_id"], "m"), ["screen_id"])
+    res = QL.run_audit(QL.duplicate_keys(meta, ["screen_id"], "m"))
     assert res.collect()[0].passed
     dup = spark.createDataFrame([(i % 150,) for i in range(300)], "screen_id long")
     found = QL.duplicate_keys(dup, ["screen_id"], "m")
-    row = QL.audit_result(found, ["screen_id"], cap=100).collect()[0]
-    assert (row.passed, row.n_findings, row.n_listed) == (False, 150, 100)   # capped list, exact count
-    with pytest.raises(QL.AuditFailed):
-        QL.run_audit(found, ["screen_id"])
+    row = QL.audit_result(found).collect()[0]
+    assert (row.passed, row.n_findings) == (False, 150)
+    with pytest.raises(QL.AuditFailed) as failed:
+        QL.run_audit(found)
+    assert failed.value.details.count() == 150 and not failed.value.result.first().passed
 
 
 def test_composite_only_and_both(spark):
@@ -85,6 +86,5 @@ def test_audit_details_json_pretty(spark):
 
     dup = spark.createDataFrame([(1,), (1,)], "screen_id long")
     found = QL.duplicate_keys(dup, ["screen_id"], "m")
-    d = QL.audit_result(found, ["screen_id"], pretty=True).collect()[0].details
-    assert "\n" in d and json.loads(d)["count"] == 1
-    assert json.loads(d)["duplicate_keys"][0]["screen_id"] == 1
+    d = QL.audit_details(found, pretty=True).collect()[0].details
+    assert "\n" in d and json.loads(d) == {"screen_id": 1, "count": 2, "table": "m"}

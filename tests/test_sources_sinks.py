@@ -1,6 +1,8 @@
+import pytest
+
 from tessera.operators import tables as TB
 from tessera.session import work_dir
-from tessera.sources.tables import binary_files, read_id_list
+from tessera.sources.tables import bad_id_lines, binary_files, read_id_list
 
 
 def test_snapshot_never_overwrites_and_append_partitions(spark):
@@ -27,9 +29,13 @@ def test_binary_listing_and_id_list(spark):
     listing = binary_files(spark, base + "/x", glob="*.txt").select("path", "length").orderBy("path")
     assert listing.count() == 1 and listing.collect()[0].length == 5   # "a\nbb\n"
     ids = work_dir(spark, "ids")
-    spark.createDataFrame([("# comment",), ("",), (" 7 ",), ("3",), ("7",), ("x",)], "value string") \
+    spark.createDataFrame([("# comment",), ("",), (" 7 ",), ("3",), ("7",)], "value string") \
         .coalesce(1).write.text(ids)
     assert sorted(r.id for r in read_id_list(spark, ids).collect()) == [3, 7]
+    spark.createDataFrame([("x",)], "value string").write.mode("append").text(ids)
+    assert [r.value for r in bad_id_lines(spark, ids).collect()] == ["x"]
+    with pytest.raises(Exception, match="not an integer id"):
+        read_id_list(spark, ids).collect()
 
 
 def test_scale_settings_and_materialize(spark):
