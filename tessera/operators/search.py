@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import METRICS
-from tessera.session import spread
+from tessera.session import broadcast_if_small, spread
 
 PARTIAL_SCHEMA = "g string, query_id long, id long, distance double, cls int"
 ROUND = 6                           # decimals of the distance shown; ranking uses all of it
@@ -359,11 +359,13 @@ def search(queries: DataFrame, vectors: DataFrame, k: int, metric: str, *, metad
 
     Vectors without a metadata row must not use up k (the reference joins
     in the same statement as the limit), so they are removed with a
-    ``left_semi`` join first; the k hits are then joined back for display.
+    ``left_semi`` join first: on ids alone, broadcast when their size is
+    checked small, so the vectors are filtered where they lie; the k hits are
+    then joined back for display.
     """
     vecs = vectors
     if metadata is not None:
-        vecs = vectors.join(metadata.select(key).distinct(), key, "left_semi")
+        vecs = vectors.join(broadcast_if_small(metadata.select(key).distinct()), key, "left_semi")
     hits = knn(queries, vecs, k, metric, query_id=query_id, query_vector=query_vector, vec_id=key,
                vector=vector, limits=limits, strategy=strategy)
     hits = hits.withColumnRenamed("id", key)

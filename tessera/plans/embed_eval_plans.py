@@ -191,7 +191,7 @@ SELECT embedding_kind, model_name, model_version, coalesce(avg(CASE WHEN hit THE
 FROM h GROUP BY embedding_kind, model_name, model_version""")
 def recall_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """recall@5 self-test of every index — (kind, model, version) of the
-    embedding table, 64-d text and 48-d image — in one plan: each vector
+    embedding table, 64-d text and 80-d image — in one plan: each vector
     searches only its own index; one result row per index."""
     e = standins.emb(spark, sf_dir).select(*INDEX_KEY, "screen_id", "vector")
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("screen_id"), "text")

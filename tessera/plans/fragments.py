@@ -24,7 +24,7 @@ emb AS (
          embedding AS vector, 'run' || (vec_id % 3) AS run_id, sha256('text:' || vec_id) AS source_fingerprint
   FROM embeddings
   UNION ALL
-  SELECT vec_id, 'hash-image', 'v1', 'image', embedding[1:48], 'run' || (vec_id % 3), sha256('image:' || vec_id)
+  SELECT vec_id, 'hash-image', 'v1', 'image', list_concat(embedding, embedding[1:16]), 'run' || (vec_id % 3), sha256('image:' || vec_id)
   FROM embeddings)"""
 
 def emb_zero(label: int) -> str:
@@ -36,7 +36,7 @@ emb AS (
   FROM embeddings
   UNION ALL
   SELECT vec_id, 'hash-image', 'v1', 'image',
-         CASE WHEN label = {label} THEN list_transform(range(48), lambda i: 0.0::FLOAT) ELSE embedding[1:48] END,
+         CASE WHEN label = {label} THEN list_transform(range(len(embedding) + 16), lambda i: 0.0::FLOAT) ELSE list_concat(embedding, embedding[1:16]) END,
          'run' || (vec_id % 3), sha256('image:' || vec_id)
   FROM embeddings)"""
 
@@ -83,7 +83,7 @@ resp AS (
 
 
 def centroids(kind: str, name: str = "cent") -> str:
-    vec = "embedding" if kind == "text" else "embedding[1:48]"
+    vec = "embedding" if kind == "text" else "list_concat(embedding, embedding[1:16])"
     return f"""
 {name} AS (
   SELECT CAST(label AS BIGINT) AS query_id, list(x ORDER BY pos) AS qv

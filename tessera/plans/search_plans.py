@@ -26,7 +26,7 @@ def label_centroids(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     posexplode → (label, pos) partial/final avg → one bounded collect per
     label (its size is the dimension, not the row count)."""
     e = table(spark, sf_dir, "embeddings").select("label", "embedding")
-    vec = F.col("embedding") if kind == "text" else F.slice("embedding", 1, standins.IMAGE_DIMS)
+    vec = F.col("embedding") if kind == "text" else standins.image_vector()
     parts = e.select("label", F.posexplode(vec).alias("pos", "x"))
     means = parts.groupBy("label", "pos").agg(F.avg("x").alias("x"))
     return (means.groupBy("label")

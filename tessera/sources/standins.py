@@ -3,9 +3,8 @@ the driver tables (no new files, no made-up rows: every stand-in grows with
 its source table).
 
 * META  — ``screens_metadata``   from documents ⟕ labels
-* BRONZE — payload table          from documents (payload = UTF-8 of text)
-* EMB   — ``screens_embeddings`` from embeddings (kind text, and the first
-  48 dims as kind image)
+* EMB   — ``screens_embeddings`` from embeddings (kind text; as kind image
+  the whole vector with its first 16 dims once more, a second space)
 * RUNS  — ``pipeline_runs``      from events grouped by user
 * RESP  — model responses         from events (shape chosen by event_id % 10)
 * TREE  — widget trees            from region → nation → supplier, one tree
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from tessera.sources.tables import table
 
 # Fixed values of the stand-ins (must equal the oracle SQL).
-IMAGE_DIMS = 48
+IMAGE_REPEAT = 16
 SUPPLIER_BLOCK = 64
 CHAIN_SEGMENT = 64
 TEXT_MODEL = ("hash-text", "v1")
@@ -33,6 +32,11 @@ def run_of(key) -> F.Column:
     return F.concat(F.lit("run"), (key % 3).cast("string"))
 
 
+def image_vector() -> F.Column:
+    """The second space: the whole vector and its first dims once more."""
+    return F.concat(F.col("embedding"), F.slice("embedding", 1, IMAGE_REPEAT))
+
+
 def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
@@ -69,10 +73,10 @@ def emb(spark: SparkSession, sf_dir: str, zero_image_label: int | None = None) -
             F.sha2(F.concat(F.lit(name + ":"), F.col("vec_id").cast("string")), 256).alias("source_fingerprint"),
         )
 
-    image = F.slice(F.col("embedding"), 1, IMAGE_DIMS)
+    image = image_vector()
     if zero_image_label is not None:
         image = F.when(F.col("label") == zero_image_label,
-                       F.array_repeat(F.lit(0.0).cast("float"), IMAGE_DIMS)).otherwise(image)
+                       F.transform(image, lambda x: F.lit(0.0).cast("float"))).otherwise(image)
     return kind("text", TEXT_MODEL, F.col("embedding")).unionByName(kind("image", IMAGE_MODEL, image))
 
 
