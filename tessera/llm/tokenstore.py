@@ -38,16 +38,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm.bpe import MEMO, _slices
+from tessera.llm.bpe import LETTERS, Memo, _slices, byte_symbols, is_plain
 
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES, LEVEL = 500, 8_000, 64 << 10, 3
+SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES, LEVEL = 500, 8_000, 64 << 10, 1
 SEGMENT_BYTES = 1 << 20
-# the byte-level pattern always cuts before a blank that a non-blank follows
-_BLANK = re.compile(r" (?=\S)")
+PIECES = 700_000  # in one generation of a worker's memo: about 150 MB for each of two
+# fixed: the byte-level pattern of the vocabulary, for plain texts
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, word by word through a bounded memo."""
+    """Ids of whole texts by the tokenizers library.
+
+    A plain text is cut as the byte-level pattern cuts it, and the library's model encodes each
+    piece once for a bounded memo; any other text goes through the library as a whole."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -55,24 +59,23 @@ class Encoder:
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
-        self.old: dict[str, bytes] = {}
-        self.memo: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Serialised ids of each text."""
-        cut = [[t] if any(s in t for s in self.special) else _BLANK.split(t) for t in texts]
-        heads = self._whole([c[0] for c in cut])
-        words = {w for c in cut for w in c[1:]}
-        if len(self.memo) > MEMO:
-            self.old, self.memo = self.memo, {}
-        known = {w: v for w in words if (v := self.memo.get(w) or self.old.get(w)) is not None}
-        missing = [w for w in words if w not in known]
-        known.update(zip(missing, self._whole([" " + w for w in missing]), strict=True))
-        self.memo.update(known)
-        return [head + b"".join(map(known.__getitem__, c[1:])) for head, c in zip(heads, cut, strict=True)]
+        width = np.dtype(self.dtype).itemsize
+        symbol = {b: c for c, b in byte_symbols().items()}
+        table, model = "".join(symbol[b] for b in range(256)), self.library.model
+
+        raw = [i.to_bytes(width, "little") for i in range(self.library.get_vocab_size())]
+
+        def piece(text: str) -> bytes:
+            name = text.replace(" ", table[32]) if text.isascii() and text.isprintable() else text.encode().decode("latin-1").translate(table)
+            return b"".join([raw[t.id] for t in model.tokenize(name)])
+
+        self.memo = Memo(piece, PIECES)
+
+    def encode(self, text: str) -> bytes:
+        """Serialised ids of a text."""
+        if is_plain(text) and not any(s in text for s in self.special):
+            return b"".join(map(self.memo.__getitem__, _PIECES.findall(text)))
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -88,7 +91,7 @@ def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """Dictionary bytes from the bounded sample; empty if there is too little to learn from."""
     sample = (docs.where(F.col("text").isNotNull()).select(F.substring("text", 1, SAMPLE_CHARS).alias("t"), F.xxhash64("doc_id").alias("h"))
               .orderBy("h", "t").limit(SAMPLE_DOCS).collect())
-    runs = [r for r in encoder(path).encode([s.t for s in sample]) if r]
+    runs = [r for s in sample if (r := encoder(path).encode(s.t))]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, runs, level=LEVEL).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few samples: their own bytes serve as the dictionary
@@ -127,7 +130,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "d
         for batch in batches:
             id_type = batch.column("doc_id").type
             for piece in _slices(batch):
-                runs = coder.encode([t or "" for t in piece.column("text").to_pylist()])
+                runs = [coder.encode(t or "") for t in piece.column("text").to_pylist()]
                 for doc, run_ids in zip(piece.column("doc_id").to_pylist(), runs, strict=True):
                     frame = press.compress(run_ids + end)
                     ids.append(doc)
