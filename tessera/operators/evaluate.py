@@ -44,7 +44,8 @@ def next_in_order(df: DataFrame, key: str, partitions: int | None = None) -> Dat
         if prev is not None:
             yield pd.DataFrame({"k": [prev], "next_k": [None], "pid": [pid], "first_k": [first], "last": [True]})
 
-    p = ids.mapInPandas(pairs, "k long, next_k long, pid int, first_k long, last boolean")
+    # both readers below must see one and the same range partitioning: write it once
+    p = materialize(ids.mapInPandas(pairs, "k long, next_k long, pid int, first_k long, last boolean"), "next-in-order")
     # one row per non-empty partition: its first key; the next partition's
     # first key closes each partition's last pair (wrap to the global first)
     heads = p.where("last").select("pid", "first_k")
