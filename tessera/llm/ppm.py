@@ -12,7 +12,7 @@ its bytes, the end included: a pretrained code length.
 
 The trie grows with the corpus and is never held in one place:
 
-* documents are packed into blocks of about 8 MB, written once;
+* documents are packed into blocks of about 6 MB, written once;
 * a block asks for what it needs: its distinct 6-byte strings with their training
   counts, and its distinct words likewise, cut by hash into buckets;
 * a bucket adds up the counts of all blocks (a context is in one bucket, with all
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import stored, utf8
 
 ORDER = 5
-BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 16
+BLOCK_BYTES, BLOCK_DOCS = 6 << 20, 1 << 16
 END = b"\n"
 _PAD = END * ORDER  # the context at a document's start
 
@@ -97,30 +97,50 @@ class Block:
         """(string, run of it, document, times): the sorted distinct strings, and for every
         (string, document) that occurs the string's index, the document and the count."""
         a = np.frombuffer(self.raw, np.uint8)
-        key = a.astype(np.uint64)
-        for j in range(1, ORDER + 1):
-            key[j:] |= a[:-j].astype(np.uint64) << np.uint64(8 * j)
+        key = np.zeros(len(a), np.uint64)
+        for j in range(ORDER, -1, -1):  # the byte itself comes last, so in the lowest place
+            key <<= np.uint64(8)
+            np.bitwise_or(key[j:], a[: len(a) - j], out=key[j:])
         key <<= np.uint64(16)
-        key |= np.repeat(np.arange(len(self.ids), dtype=np.uint64), self.lengths)
-        ends = np.cumsum(self.lengths)
+        np.bitwise_or(key, np.repeat(np.arange(len(self.ids), dtype=np.uint16), self.lengths), out=key)
         real = np.ones(len(a), bool)
+        starts = np.cumsum(self.lengths) - self.lengths
         for j in range(ORDER):
-            real[ends - self.lengths + j] = False
+            real[starts + j] = False
         key = key[real]
         key.sort()
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        times = np.diff(np.append(first, len(key)))
+        times = np.diff(first, append=len(key)).astype(np.int32)
         key = key[first]
-        document = (key & np.uint64(0xFFFF)).astype(np.int64)
+        del first, real
+        document = (key & np.uint64(0xFFFF)).astype(np.uint16)
         key >>= np.uint64(16)
         new = np.concatenate([[True], key[1:] != key[:-1]])
-        return key[new], np.cumsum(new) - 1, document, times
+        return key[new], np.cumsum(new, dtype=np.int32) - 1, document, times
 
     def documents(self) -> list[list[bytes]]:
         ends = np.cumsum(self.lengths)
         return [self.raw[a:b].split() for a, b in zip((ends - self.lengths).tolist(), ends.tolist(), strict=True)]
 
 
+def pack(a: np.ndarray) -> bytes:
+    """An array's bytes, the first of all its elements first, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes())
+
+
+def unpack(raw: bytes, dtype) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def pack_sorted(a: np.ndarray) -> bytes:
+    return pack(np.diff(a, prepend=a.dtype.type(0)))
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw, np.uint64), dtype=np.uint64)
+
+
 def word_key(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
@@ -141,10 +161,12 @@ def requests(packed: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                b = Block(row)
+            for k in range(batch.num_rows):
+                b = Block(batch.slice(k, 1).to_pylist()[0])
                 strings, at, document, times = b.strings()
-                trained = np.bincount(at, weights=np.where(b.held[document], 0, times), minlength=len(strings)).astype(np.uint32)
+                times[b.held[document]] = 0
+                trained = np.bincount(at, weights=times, minlength=len(strings)).astype(np.uint32)
+                del at, document, times
                 counts: Counter = Counter()
                 for words, held in zip(b.documents(), b.held, strict=True):
                     if held:
@@ -161,8 +183,8 @@ def requests(packed: DataFrame, buckets: int) -> DataFrame:
                 parts = [(o1[c1[k]:c1[k + 1]], o2[c2[k]:c2[k + 1]]) for k in range(buckets)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(buckets), pa.int32()), pa.array([b.block] * buckets, pa.int64()),
-                     pa.array([strings[s].tobytes() for s, _ in parts], pa.binary()), pa.array([trained[s].tobytes() for s, _ in parts], pa.binary()),
-                     pa.array([words[w].tobytes() for _, w in parts], pa.binary()), pa.array([word_times[w].tobytes() for _, w in parts], pa.binary())],
+                     pa.array([pack_sorted(strings[s]) for s, _ in parts], pa.binary()), pa.array([pack(trained[s]) for s, _ in parts], pa.binary()),
+                     pa.array([pack_sorted(words[w]) for _, w in parts], pa.binary()), pa.array([pack(word_times[w]) for _, w in parts], pa.binary())],
                     ["bucket", "block", "strings", "times", "words", "word_times"])
 
     return packed.mapInArrow(run, "bucket int, block long, strings binary, times binary, words binary, word_times binary")
@@ -175,6 +197,7 @@ _ANSWERS = "kind int, block long, bucket int, a binary, b binary"
 
 
 def _sums(runs: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the key of each element of the runs, and the keys' sums."""
     keys, at = np.unique(np.concatenate(runs), return_inverse=True)
     return keys, at, np.bincount(at, weights=np.concatenate(times), minlength=len(keys))
 
@@ -185,27 +208,27 @@ def answer(table: pa.Table) -> pa.Table:
     OPEN rows a block's open strings; the TOTAL row training words and distinct ones."""
     rows = table.to_pylist()
     bucket = rows[0]["bucket"]
-    runs = [np.frombuffer(r["strings"], np.uint64) for r in rows]
-    keys, at, counts = _sums(runs, [np.frombuffer(r["times"], np.uint32) for r in rows])
+    runs = [unpack_sorted(r["strings"]) for r in rows]
+    keys, at, counts = _sums(runs, [unpack(r["times"], np.uint32) for r in rows])
     logs = np.full(len(keys), np.nan, np.float32)
     met = counts > 0
     if met.any():
         context, group = np.unique(keys[met] >> np.uint64(8), return_inverse=True)
         total = np.bincount(group, weights=counts[met]) + np.bincount(group)  # total + distinct
         logs[met] = np.log10(counts[met] / total[group])
-    word_runs = [np.frombuffer(r["words"], np.uint64) for r in rows]
-    words, word_at, word_counts = _sums(word_runs, [np.frombuffer(r["word_times"], np.uint32) for r in rows])
+    word_runs = [unpack_sorted(r["words"]) for r in rows]
+    words, word_at, word_counts = _sums(word_runs, [unpack(r["word_times"], np.uint32) for r in rows])
     word_counts = word_counts.astype(np.uint64)
-    out = [(TRIE, None, keys[met].tobytes(), counts[met].astype(np.int64).tobytes()),
+    out = [(TRIE, None, pack_sorted(keys[met]), pack(counts[met].astype(np.int64))),
            (TOTAL, None, None, np.array([word_counts.sum(), (word_counts > 0).sum()], np.int64).tobytes())]
     a = b = 0
     for r, run, word_run in zip(rows, runs, word_runs, strict=True):
         mine, mine_words = at[a: a + len(run)], word_at[b: b + len(word_run)]
         a, b = a + len(run), b + len(word_run)
-        out.append((ANSWER, r["block"], logs[mine].tobytes(), word_counts[mine_words].tobytes()))
+        out.append((ANSWER, r["block"], pack(logs[mine]), pack(word_counts[mine_words])))
         still = run[~met[mine]]
         if len(still):
-            out.append((OPEN, r["block"], still.tobytes(), None))
+            out.append((OPEN, r["block"], pack_sorted(still), None))
     kind, block, first, second = zip(*out, strict=True)
     return pa.table([pa.array(kind, pa.int32()), pa.array(block, pa.int64()), pa.array([bucket] * len(out), pa.int32()),
                      pa.array(first, pa.binary()), pa.array(second, pa.binary())], ["kind", "block", "bucket", "a", "b"])
@@ -217,8 +240,8 @@ def _unpacked(answers: DataFrame, kind: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                g = np.frombuffer(r["a"], np.int64)
-                c = np.frombuffer(r["b"], np.int64) if r["b"] else np.zeros(len(g), np.int64)
+                g = unpack_sorted(r["a"]).view(np.int64)
+                c = unpack(r["b"], np.int64) if r["b"] else np.zeros(len(g), np.int64)
                 for k in range(0, len(g), 1 << 18):
                     piece = slice(k, k + (1 << 18))
                     yield pa.RecordBatch.from_arrays([pa.array([r["block"]] * len(g[piece]), pa.int64()), pa.array(g[piece]), pa.array(c[piece])], ["block", "g", "c"])
@@ -302,8 +325,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             counts = np.zeros(len(index))
             for r in replies:
                 k = r["bucket"]
-                logs[order[cuts[k]:cuts[k + 1]]] = np.frombuffer(r["a"], np.float32)
-                counts[by_key[word_order[word_cuts[k]:word_cuts[k + 1]]]] = np.frombuffer(r["b"], np.uint64)
+                logs[order[cuts[k]:cuts[k + 1]]] = unpack(r["a"], np.float32)
+                counts[by_key[word_order[word_cuts[k]:word_cuts[k + 1]]]] = unpack(r["b"], np.uint64)
             if lower.num_rows:
                 logs[np.searchsorted(strings, np.asarray(lower.column("g")).view(np.uint64))] = np.asarray(lower.column("lp"))
             word_logs = np.log10((counts + 1) / floor)
