@@ -42,3 +42,14 @@ def word_count(text) -> F.Column:
     """Number of words of a text column (null: 0), without a Python stage."""
     text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def sample_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
+    """A bounded sample to fit a model on: about ``n`` rows, those with the smallest hashes of
+    ``key``, and never more than 2 ``n`` (all rows, if there are no more than ``n``).
+
+    A threshold on the hash, not a sort: each task passes on its few rows only."""
+    total = df.count()
+    if total <= n:
+        return df
+    return df.where(F.shiftrightunsigned(F.xxhash64(key), 1) < F.lit(int(n / total * (1 << 63)))).limit(2 * n)

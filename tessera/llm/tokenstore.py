@@ -15,8 +15,8 @@ One document is read by its index entry alone: cut its frame out of the payload
 (``fetch``), decompress it with the dictionary.  A reader refuses a segment
 whose dictionary hash is not the hash of the dictionary it holds.
 
-The dictionary is fitted on a bounded sample: the ``SAMPLE_DOCS`` documents with
-the smallest hash of their id, ``SAMPLE_CHARS`` characters of each.  It only
+The dictionary is fitted on a bounded sample: about ``SAMPLE_DOCS`` documents
+(twice as many at most) by a hash of their id, ``SAMPLE_CHARS`` characters of each.  It only
 decides the compression ratio.  Everything else reads whole texts of all rows.
 
 Defined cases: null text is an empty document (the end id alone); null ids sort
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm.bpe import LETTERS, Memo, _slices, byte_symbols, is_plain
+from tessera.llm.common import sample_by_hash
 
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES, LEVEL = 500, 8_000, 64 << 10, 1
 SEGMENT_BYTES = 1 << 20
@@ -89,8 +90,7 @@ def encoder(path: str) -> Encoder:
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """Dictionary bytes from the bounded sample; empty if there is too little to learn from."""
-    sample = (docs.where(F.col("text").isNotNull()).select(F.substring("text", 1, SAMPLE_CHARS).alias("t"), F.xxhash64("doc_id").alias("h"))
-              .orderBy("h", "t").limit(SAMPLE_DOCS).collect())
+    sample = sample_by_hash(docs, "doc_id", SAMPLE_DOCS).select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).dropna().orderBy("t").collect()
     runs = [r for s in sample if (r := encoder(path).encode(s.t))]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, runs, level=LEVEL).as_bytes()
