@@ -1,6 +1,6 @@
 """Operator 7 — approximate nearest neighbours by learned partitions.
 
-On a bounded sample (``SAMPLE`` vectors with the smallest hash of their id) the
+On a bounded sample (about ``SAMPLE`` vectors, twice as many at most, by a hash of their id) the
 exact neighbour graph is built and cut into balanced parts: recursive bisection
 by the graph's slowest mode at the median, refined by swaps that lower the cut.
 A softmax classifier learns, for a vector, where its sample neighbours lie.  It
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import sample_by_hash, stored
 
 SAMPLE = 8192
 PARTS = 32
@@ -182,7 +182,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, parts: int = PARTS, target
     (a boolean Column of ``vectors``) holds."""
     spark = vectors.sparkSession
     rows = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vector_col].alias("v"), F.coalesce(is_query, F.lit(False)).alias("q")).where("id IS NOT NULL")
-    sample = rows.where(F.col("v").isNotNull()).select("v", F.xxhash64("id").alias("h")).orderBy("h").limit(SAMPLE).select("v").toArrow()
+    sample = sample_by_hash(rows.where(F.col("v").isNotNull()), "id", SAMPLE).select("id", "v").toArrow().sort_by("id")
     _, x = matrix(sample.column("v").combine_chunks())
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not len(x):
