@@ -5,8 +5,8 @@ document holds, and how they begin, hashed).  One weight vector is shared by all
 thresholds cut its score: P(grade ≥ k) = sigmoid(w·x - θ_k).  The result is the
 expected severity, the sum of these probabilities over k ≥ 1.
 
-The model is fitted on a bounded sample of labelled rows: the ``SAMPLE`` rows with
-the smallest hash of their id.  Labels that only say toxic or not are graded
+The model is fitted on a bounded sample of labelled rows: about ``SAMPLE`` rows (twice
+as many at most) by a hash of their id.  Labels that only say toxic or not are graded
 first: grade 0 is not toxic; toxic rows are ranked by the density of words that
 are much more frequent in toxic rows, and cut into ``GRADES`` - 1 equal groups.
 All documents are scored, whole texts.
@@ -15,7 +15,7 @@ Words are lower-cased (A-Z) and lose ASCII punctuation and symbols at both ends.
 
 Defined cases: null text has no words and scores like an empty one; a label of an
 unknown document, a null label and a null id are not learned from; a document
-labelled twice is learned from by its larger label; without labels of both kinds
+labelled twice is learned from by its larger label, a repeated id once; without labels of both kinds
 the weights are zero and every document gets the labels' average; repeated rows
 score alike; an empty table gives no rows; other columns are not read.
 """
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import Memo
-from tessera.llm.common import utf8
+from tessera.llm.common import sample_by_hash, utf8
 
 SAMPLE, GRADES, DIMS = 10_000, 4, 1 << 20
 BEGINNINGS = (4, 5, 6, 7)  # characters of a word's beginning that are features too
@@ -90,7 +90,7 @@ def grade(lists: list[np.ndarray], words: np.ndarray, toxic: np.ndarray, grades:
     return out
 
 
-def fit(lists: list[np.ndarray], grades: np.ndarray, count: int, steps: int = 400, l1: float = 5e-4) -> Model:
+def fit(lists: list[np.ndarray], grades: np.ndarray, count: int, steps: int = 400, l1: float = 2e-4) -> Model:
     """Proximal Adam on the cumulative-link likelihood; ``l1`` keeps the weights sparse."""
     row, col = _rows(lists)
     often = np.flatnonzero(np.bincount(col, minlength=DIMS) >= MIN_DOCS)
@@ -98,13 +98,12 @@ def fit(lists: list[np.ndarray], grades: np.ndarray, count: int, steps: int = 40
     local[often] = np.arange(len(often))
     keep = local[col] >= 0
     row, col = row[keep], local[col[keep]]
-    n, k = max(1, len(grades)), count - 1
+    n, k, f = max(1, len(grades)), count - 1, len(often)
     share = np.array([((grades >= j).sum() + 0.5) / (n + 1) for j in range(1, count)])
     start = np.log((1 - share) / share)
     # parameters: weights, first threshold, logs of the gaps
     par = np.concatenate([np.zeros(len(often)), [start[0]], np.log(np.maximum(np.diff(start), 1e-3))])
     m, v = np.zeros_like(par), np.zeros_like(par)
-    f = len(often)
     for step in range(1, steps + 1 if 0 < (grades > 0).sum() < len(grades) else 1):
         theta = par[f] + np.concatenate([[0], np.cumsum(np.exp(par[f + 1:]))])
         score = np.bincount(row, weights=par[col], minlength=n)
@@ -128,8 +127,8 @@ def fit(lists: list[np.ndarray], grades: np.ndarray, count: int, steps: int = 40
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, grades: int = GRADES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on the labelled rows of the bounded sample.  ``label_col`` holds 0 / 1, or grades 0 … ``grades`` - 1 if any is larger."""
-    chosen = (labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("int").alias("label")).dropna()
-              .groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+    known = labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("int").alias("label")).dropna()
+    chosen = sample_by_hash(known.groupBy("doc_id").agg(F.max("label").alias("label")), "doc_id", sample)
 
     def run(batches):
         memo = Memo(word_features)
@@ -140,8 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, grades: int
                  pa.array([sorted(features(t, memo)) for t in texts], pa.list_(pa.int32()))], ["doc_id", "label", "words", "features"])
 
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    # at most ``sample`` rows are broadcast, and as many come to the driver, as hashed features
-    held = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    # at most 2 ``sample`` rows are broadcast, and as many come to the driver, as hashed features
+    held = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     table = held.mapInArrow(run, f"doc_id {kind}, label int, words long, features array<int>").toArrow().sort_by("doc_id")
     label = np.asarray(table.column("label"), np.int64)
@@ -150,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, grades: int
     return fit(lists, graded, grades)
 
 
-def score(docs: DataFrame, model: Model, cut: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, cut: float = 0.4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, toxic (P(grade ≥ 1) reaches ``cut``), p_toxic, severity (expected), grade (most probable) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMS weights at most
 
