@@ -256,6 +256,12 @@ def _low(column: Column, nbytes: int) -> Column:
     return column.bitwiseAND(F.lit((1 << 8 * nbytes) - 1))
 
 
+def _few(table: DataFrame, key_bytes: int) -> DataFrame:
+    """``table`` with a broadcast hint where its key of so many bytes bounds it to 65,536 rows.
+    (All strings share the context of no bytes: dealt by it, they would meet in one task.)"""
+    return F.broadcast(table) if key_bytes <= 2 else table
+
+
 def open_scores(trie: DataFrame, strings: DataFrame) -> DataFrame:
     """(g, lp): log10 probability of strings whose last byte was never met after the others.
 
@@ -269,11 +275,12 @@ def open_scores(trie: DataFrame, strings: DataFrame) -> DataFrame:
         table = tables[k]
         context = table.groupBy(F.shiftrightunsigned("g", 8).alias("ctx")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d"))
         asked = state.withColumn("ctx", _low(F.shiftrightunsigned("g", 8), k)).withColumn("low", _low(F.col("g"), k + 1))
-        met = asked.join(context, "ctx", "left").join(table.select(F.col("g").alias("low"), "c"), "low", "left")
+        met = asked.join(_few(context, k), "ctx", "left").join(_few(table.select(F.col("g").alias("low"), "c"), k + 1), "low", "left")
         if k:  # what excluding this context's bytes takes from the context one byte shorter
             below = tables[k - 1].select(F.col("g").alias("low"), F.col("c").alias("c_low"))
             own = table.select(F.shiftrightunsigned("g", 8).alias("ctx"), _low(F.col("g"), k).alias("low"))
-            met = met.join(own.join(below, "low").groupBy("ctx").agg(F.sum("c_low").alias("m_low")), "ctx", "left")
+            taken = own.join(_few(below, k), "low").groupBy("ctx").agg(F.sum("c_low").alias("m_low"))
+            met = met.join(_few(taken, k), "ctx", "left")
         else:
             met = met.withColumn("m_low", F.lit(0).cast("long"))
         left, kinds = F.col("n") - F.col("m"), F.col("d") - F.col("x")
