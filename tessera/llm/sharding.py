@@ -100,6 +100,6 @@ def assign(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str =
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("shard", "bucket").orderBy("h", "doc_id", "size")
-    placed = rows.join(F.broadcast(starts), ["shard", "bucket"])  # shards x BUCKETS rows at most
+    placed = rows.join(starts, ["shard", "bucket"])  # dealt once, for the join and the window
     return placed.select("doc_id", "size", "text_crc32", "law", "shard",
                          (F.col("start") + F.row_number().over(inside) - 1).cast("long").alias("slot"), "grown_shard")
