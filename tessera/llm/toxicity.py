@@ -90,7 +90,7 @@ def grade(lists: list[np.ndarray], words: np.ndarray, toxic: np.ndarray, grades:
     return out
 
 
-def fit(lists: list[np.ndarray], grades: np.ndarray, count: int, steps: int = 400, l1: float = 2e-4) -> Model:
+def fit(lists: list[np.ndarray], grades: np.ndarray, count: int, steps: int = 200, l1: float = 2e-4) -> Model:
     """Proximal Adam on the cumulative-link likelihood; ``l1`` keeps the weights sparse."""
     row, col = _rows(lists)
     often = np.flatnonzero(np.bincount(col, minlength=DIMS) >= MIN_DOCS)
@@ -149,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, grades: int
     return fit(lists, graded, grades)
 
 
-def score(docs: DataFrame, model: Model, cut: float = 0.4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, cut: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, toxic (P(grade ≥ 1) reaches ``cut``), p_toxic, severity (expected), grade (most probable) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMS weights at most
 
