@@ -1,21 +1,21 @@
 """Operator 10 — quality rules by distribution divergence.
 
-Every language gets a reference from all its documents: the mean histogram of
-character classes, and the mean histogram of its most common words (with one bin
-for all other words).  Each document counts once, whatever its length.  A
-document is rejected when the Jensen-Shannon distance of its own histograms to
-its language's reference is above a limit; short texts have noisy histograms, so
-the limits grow with one over the root of the word count, and texts below
-``min_words`` are not judged by distance at all.  Base rules (too few words, too
-many repeated three-word windows) come first.
+Every language gets a reference from all its documents of ``min_words`` words or
+more: the mean histogram of character classes, and the mean histogram of its most
+common words (with one bin for all other words).  Each document counts once,
+whatever its length.  A document is rejected when the Jensen-Shannon distance of
+its own histograms to its language's reference is above a limit; short texts have
+noisy histograms, so the limits grow with one over the root of the word count, and
+texts below ``min_words`` are not judged by distance at all.  Base rules (too few
+words, too many repeated three-word windows) come first.
 
 Words of a histogram are lower-cased (A-Z) and lose ASCII punctuation at both ends.
 
 Defined cases: null text is empty (no words, rejected by the base rule); a
-document whose language is null or has no reference is held against the nearest
-reference; without any reference (a language needs ``min_docs`` documents) only
-the base rules decide; repeated rows are judged alike; an empty table gives no
-rows; whole texts are read.
+document whose language is null is held against the nearest reference; for a
+stated language without a reference (it needs ``min_docs`` documents), and without
+any reference, only the base rules decide; repeated rows are judged alike; an
+empty table gives no rows; whole texts are read.
 """
 
 from __future__ import annotations
@@ -111,7 +111,7 @@ def repeated(words: list[bytes]) -> int:
 
 
 def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> dict:
-    """lang → (common words, word histogram, class histogram), from all documents.
+    """lang → (common words, word histogram, class histogram), from all documents of ``min_words`` or more.
 
     Each task adds up its documents before the shuffle; weights are integers (millionths of
     a document), so the sums do not depend on their order."""
@@ -179,13 +179,13 @@ def judge(text: bytes, lang: str | None, refs: dict, rules: Rules) -> tuple:
     n, repeat = len(words), repeated(words)
     base = (n, int(counts[IN_WORD].sum()), int(counts[IS_SYMBOL].sum()), len(lines) - len(set(lines)), repeat)
     failed = n < rules.min_words or 100 * repeat > rules.max_repeat_percent * n
-    if failed or not refs:
+    if failed or not refs or (lang is not None and lang not in refs):
         return (*base, failed, None, None, not failed)
     classes = np.bincount(TABLE, weights=counts, minlength=8)[:7]
     classes /= classes.sum()
     own = common_counts(text.lower().split())
     best = None
-    for common, words_ref, classes_ref in [refs[lang]] if lang in refs else refs.values():
+    for common, words_ref, classes_ref in refs.values() if lang is None else [refs[lang]]:
         hist = np.array([own[w] for w in common], float)
         hist = np.append(hist, n - hist.sum()) / n
         found = (divergence(classes, classes_ref), divergence(hist, words_ref))

@@ -245,6 +245,19 @@ def test_quality_edges(spark, edge, nothing):
     assert all(r.kept != r.base_failed for r in quality.measure(edge, {}).collect())
 
 
+def test_rare_language_is_left_to_the_base_rules(spark):
+    docs = _docs(spark, SF_MID).select("doc_id", "text", "lang")
+    fr = docs.where("lang = 'fr'").orderBy("doc_id").select("doc_id").limit(5)
+    rare = docs.join(fr, "doc_id", "left_semi").withColumn("lang", F.lit("oc"))
+    mixed = docs.where("lang <> 'fr'").union(rare)
+    refs = quality.references(mixed)
+    rows = quality.measure(rare, refs).collect()
+    assert "oc" not in refs and refs and len(rows) == 5 and any(r.kept for r in rows)
+    assert all(r.kept != r.base_failed and r.word_distance is None for r in rows)
+    unstated = quality.measure(rare.withColumn("lang", F.lit(None).cast("string")), refs).collect()
+    assert all(r.base_failed or r.word_distance is not None for r in unstated)  # null: the nearest reference
+
+
 # -- toxicity -------------------------------------------------------------------------------
 
 
