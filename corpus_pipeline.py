@@ -27,7 +27,7 @@ from tessera.session import ship_package
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return quality.keep(docs, quality.references(docs))
+    return quality.keep(docs, quality.references(docs, distinct=True))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

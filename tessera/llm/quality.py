@@ -1,7 +1,7 @@
 """Operator 10 — quality rules by distribution divergence.
 
-Every language gets a reference from all its documents of ``min_words`` words or
-more: the mean histogram of character classes, and the mean histogram of its most
+Every language gets a reference from its documents of ``min_words`` words or more
+(as the queries call it: its distinct texts that pass the base rules): the mean histogram of character classes, and the mean histogram of its most
 common words (with one bin for all other words).  Each document counts once,
 whatever its length.  A document is rejected when the Jensen-Shannon distance of
 its own histograms to its language's reference is above a limit; short texts have
@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,7 @@ def _class_table() -> np.ndarray:
 
 TABLE = _class_table()
 IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
+FILTER_BITS = 1 << 23  # 1 MB; more copied texts than bits only send more texts through the exchange
 IN_WORD = (TABLE != 3) & (TABLE != 7)
 
 
@@ -110,9 +112,45 @@ def repeated(words: list[bytes]) -> int:
     return total
 
 
-def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> dict:
+def repetitive(words: list[bytes], repeat: int, rules: Rules) -> bool:
+    return 100 * repeat > rules.max_repeat_percent * len(words)
+
+
+def _copied(rows: DataFrame) -> np.ndarray:
+    """Bitmap over the column ``h`` modulo FILTER_BITS, with the bit of every value found at least twice set."""
+    twice = rows.groupBy("h").count().where("count > 1").select((F.pmod("h", F.lit(FILTER_BITS)) + 1).alias("b"))
+    found = (twice.groupBy(F.bitmap_bucket_number("b").alias("k"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect())  # FILTER_BITS / 32,768 rows at most
+    bits = np.zeros((FILTER_BITS >> 15, 1 << 12), np.uint8)
+    for r in found:
+        bits[r.k - 1] = np.frombuffer(bytes(r.bits), np.uint8)
+    return bits.ravel()
+
+
+def _distinct(rows: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
+    """The distinct (text, lang) of ``rows``, in two parts: texts that surely are there once stay where
+    they are, all that may have copies (by a filter of hashes) meet by an exchange."""
+    rows = rows.where(F.col("lang").isNotNull() & (F.octet_length("text") >= 2 * rules.min_words - 1)).withColumn("h", F.xxhash64("lang", "text"))
+    bits = _copied(rows)
+
+    def part(copied: bool):
+        def run(batches):
+            for batch in batches:
+                at = batch.column("h").to_numpy() & (FILTER_BITS - 1)
+                yield batch.select(["text", "lang"]).filter(pa.array((bits[at >> 3] >> (at & 7) & 1 == 1) == copied))
+
+        return rows.mapInArrow(run, "text string, lang string")
+
+    return part(False), part(True).distinct()
+
+
+def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang", distinct: bool = False) -> dict:
     """lang → (common words, word histogram, class histogram), from all documents of ``min_words`` or more.
 
+    With ``distinct`` every text of a language counts once, however many rows hold it, and
+    texts that fail the base rules do not count: a group of copies or of repetitive junk
+    does not move the reference.
+
     Each task adds up its documents before the shuffle; weights are integers (millionths of
     a document), so the sums do not depend on their order."""
 
@@ -130,6 +168,8 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
                 words = text.lower().split()
                 if lang is None or len(words) < rules.min_words:
                     continue
+                if distinct and repetitive(words, repeated(text.split()), rules):
+                    continue
                 for w, n in common_counts(words).items():
                     sums[lang, 0, w] += round(1e6 * n / len(words))
                 classes = np.bincount(TABLE, weights=class_counts(np.frombuffer(text, np.uint8)), minlength=8)[:7]
@@ -143,7 +183,8 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
             yield rows()
 
     rows = docs.select(docs[text_col].alias("text"), docs[lang_col].cast("string").alias("lang"))
-    sums = (rows.mapInArrow(partial, "lang string, kind int, key binary, weight long")
+    parts = [p.mapInArrow(partial, "lang string, kind int, key binary, weight long") for p in (_distinct(rows, rules) if distinct else [rows])]
+    sums = (reduce(DataFrame.union, parts)
             .groupBy("lang", "kind", "key").agg(F.sum("weight").alias("weight")))
     best = Window.partitionBy("lang", "kind").orderBy(F.desc("weight"), "key")
     top = (sums.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= rules.common_words)
@@ -178,7 +219,7 @@ def judge(text: bytes, lang: str | None, refs: dict, rules: Rules) -> tuple:
     lines = [line for line in text.split(b"\n") if line.strip()]
     n, repeat = len(words), repeated(words)
     base = (n, int(counts[IN_WORD].sum()), int(counts[IS_SYMBOL].sum()), len(lines) - len(set(lines)), repeat)
-    failed = n < rules.min_words or 100 * repeat > rules.max_repeat_percent * n
+    failed = n < rules.min_words or repetitive(words, repeat, rules)
     if failed or not refs or (lang is not None and lang not in refs):
         return (*base, failed, None, None, not failed)
     classes = np.bincount(TABLE, weights=counts, minlength=8)[:7]

@@ -33,7 +33,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return quality.measure(docs, quality.references(docs))
+    return quality.measure(docs, quality.references(docs, distinct=True))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

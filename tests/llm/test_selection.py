@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tessera.llm import ann, linededup, mixing, quality, queries, sharding, toxicity
 from tests.conftest import SF_MID, SF_SMALL
 
@@ -258,6 +259,33 @@ def test_rare_language_is_left_to_the_base_rules(spark):
     assert all(r.base_failed or r.word_distance is not None for r in unstated)  # null: the nearest reference
 
 
+def test_copies_do_not_move_the_reference(spark):
+    docs = _docs(spark, SF_MID)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_MID}/labels.parquet").collect()}
+    en = docs.where("lang = 'en'").orderBy("doc_id").collect()
+    poor = next(r for r in en if labels.get(r.doc_id) == 0 and not quality.judge(r.text.encode(), "en", {}, quality.Rules())[5])
+    copies = spark.range(len(en) // 2).select((F.col("id") + 10**6).alias("doc_id"), *[F.lit(poor[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns[1:]])
+    junk = copies.select((F.col("doc_id") * 2).alias("doc_id"), F.repeat(F.concat(F.lit("buy now "), F.col("doc_id").cast("string"), F.lit(" ")), 30).alias("text"), *docs.columns[2:])
+    alone, crowded = corpus_pipeline.quality_stage(spark, docs, SF_MID), corpus_pipeline.quality_stage(spark, docs.union(copies), SF_MID)
+    good = {r.doc_id for r in alone.collect() if labels.get(r.doc_id) == 1}
+    assert len(good) > 100 and good <= {r.doc_id for r in crowded.collect()}
+    plain, moved = (quality.references(d, distinct=True) for d in (docs, docs.union(copies).union(junk)))
+    assert plain.keys() == moved.keys()
+    for lang in plain:  # sums of integers: equal to the last bit
+        assert plain[lang][0] == moved[lang][0] and all((a == b).all() for a, b in zip(plain[lang][1:], moved[lang][1:]))
+
+
+@pytest.mark.parametrize("bits", [1 << 15, quality.FILTER_BITS])
+def test_distinct_references_equal_those_of_one_row_each(spark, monkeypatch, bits):
+    monkeypatch.setattr(quality, "FILTER_BITS", bits)
+    docs, rules = _docs(spark, SF_MID), quality.Rules()
+    rows = {(r.text, r.lang) for r in docs.collect() if not quality.judge((r.text or "").encode(), r.lang, {}, rules)[5]}
+    want, got = quality.references(spark.createDataFrame(list(rows), "text string, lang string")), quality.references(docs, distinct=True)
+    assert want.keys() == got.keys() and len(got) == 4
+    for lang in want:
+        assert want[lang][0] == got[lang][0] and all((a == b).all() for a, b in zip(want[lang][1:], got[lang][1:]))
+
+
 # -- toxicity -------------------------------------------------------------------------------
 
 
