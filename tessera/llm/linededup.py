@@ -8,6 +8,9 @@ the threshold get an exact distinct count.  A line on ``min_sites`` sites or mor
 is boilerplate: its first occurrence (smallest document id, then position) stays,
 every other goes.  No passage leaves the corpus altogether.
 
+With ``long_sites`` lines of more than LONG_WORDS words have a threshold of their
+own (the pipeline: LONG_SITES); without it, as REPORT_SQL has it, all lines share one.
+
 Everything is DataFrame expressions; texts meet only the positions of their own
 removed lines.
 
@@ -22,40 +25,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import stored, word_count
 
 MIN_SITES = 5
+LONG_WORDS = 50
+LONG_SITES = 2
 LG_K = 10  # 1,024 registers: a standard error of about 3 %
 BAND = 0.15  # more than four standard errors to either side count as near
 _ENDS = " \t\v\f\r"
 
 
-def lines_of(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
-    """(doc_id, text_key, site, pos, h1, h2) of every line that holds a word."""
+def lines_of(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_sites: int = MIN_SITES, long_sites: int | None = None) -> DataFrame:
+    """(doc_id, text_key, site, pos, h1, h2, need) of every line that holds a word; on ``need`` sites it is boilerplate."""
     split = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_key"), docs[site_col].cast("string").alias("site"),
                         F.posexplode(F.split(docs[text_col], "\n")).alias("pos", "line"))
     cut = split.withColumn("line", F.trim("line", F.lit(_ENDS))).where("line <> ''")
-    return cut.select("doc_id", "text_key", "site", "pos", F.xxhash64("line").alias("h1"), F.crc32(F.col("line").cast("binary")).alias("h2"))
+    need = F.lit(min_sites) if long_sites is None else F.when(word_count("line") > LONG_WORDS, long_sites).otherwise(min_sites)
+    return cut.select("doc_id", "text_key", "site", "pos", F.xxhash64("line").alias("h1"), F.crc32(F.col("line").cast("binary")).alias("h2"), need.alias("need"))
 
 
-def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """(h1, h2, first) of the lines found on ``min_sites`` sites or more."""
+def boilerplate(lines: DataFrame) -> DataFrame:
+    """(h1, h2, first) of the lines found on ``need`` sites or more."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "pos")).alias("first")
-    spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"), first)
-    low, high = min_sites * (1 - BAND) - 1, min_sites * (1 + BAND) + 1
-    spread = stored(spread.where(F.col("sites") >= low), "line-spread")
+    spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"), first,
+                                           F.max("need").alias("need"), F.count("site").alias("rows"))
+    low, high = F.col("need") * (1 - BAND) - 1, F.col("need") * (1 + BAND) + 1
+    # no line is on more sites than it has rows
+    spread = stored(spread.where((F.col("sites") >= low) & (F.col("rows") >= F.col("need"))).drop("rows"), "line-spread")
     near = spread.where(F.col("sites") < high).select("h1", "h2")
-    exact = (lines.join(near, ["h1", "h2"], "left_semi").select("h1", "h2", "site").distinct()
-             .groupBy("h1", "h2").agg(F.count("site").alias("n")).where(F.col("n") >= min_sites).select("h1", "h2"))
+    exact = (lines.join(near, ["h1", "h2"], "left_semi").select("h1", "h2", "need", "site").distinct()
+             .groupBy("h1", "h2").agg(F.count("site").alias("n"), F.max("need").alias("need")).where("n >= need").select("h1", "h2"))
     sure = spread.where(F.col("sites") >= high).select("h1", "h2", "first")
     return sure.union(spread.join(exact, ["h1", "h2"]).select("h1", "h2", "first"))
 
 
-def clean(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+def clean(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
+          long_sites: int | None = None) -> DataFrame:
     """``docs`` with the boilerplate lines taken out of the text, and ``__lines`` (with a word,
     before) and ``__removed``."""
-    lines = stored(lines_of(docs, id_col, text_col, site_col), "lines")
-    found = lines.join(boilerplate(lines, min_sites), ["h1", "h2"])
+    lines = stored(lines_of(docs, id_col, text_col, site_col, min_sites, long_sites), "lines")
+    found = lines.join(boilerplate(lines), ["h1", "h2"])
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("pos") == F.col("first.pos"))
     gone = (found.where(~stays).groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
             .agg(F.collect_set("pos").alias("__gone")))  # no longer than the document's own list of lines
@@ -75,9 +84,10 @@ def report(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id",
                        F.sha2(F.col(text_col).cast("binary"), 256).alias("clean_sha256"))
 
 
-def dedup(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+def dedup(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
+          long_sites: int | None = None) -> DataFrame:
     """``docs`` with clean texts; a document that lost every line it had goes."""
-    done = clean(docs, min_sites, id_col, text_col, site_col)
+    done = clean(docs, min_sites, id_col, text_col, site_col, long_sites)
     return done.where((F.col("__removed") == 0) | (F.col("__removed") < F.col("__lines"))).select(*docs.columns)
 
 

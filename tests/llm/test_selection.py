@@ -177,6 +177,28 @@ def test_line_threshold_is_exact(spark):
         assert got == {f"line number {k}": (1 if k + 1 >= sites else k + 2) for k in range(40)}
 
 
+def test_long_lines_have_their_own_threshold(spark):
+    rows = []
+    for line in range(12):  # line k on k + 1 sites, three times on the first; even ones have 51 words, odd ones 50
+        for site in [*range(line + 1), 0, 0]:
+            rows.append((len(rows), f"line{line} " + "w " * (50 if line % 2 == 0 else 49), f"s{site}"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for sites, long_sites in ((5, 2), (5, 4), (3, 9)):
+        got = Counter(r.text.split()[0] for r in linededup.dedup(frame, sites, long_sites=long_sites).collect())
+        assert got == {f"line{k}": (1 if k + 1 >= (sites if k % 2 else long_sites) else k + 3) for k in range(12)}
+
+
+def test_pipeline_takes_long_lines_of_few_sources(spark):
+    docs = _docs(spark, SF_MID)
+    sites = defaultdict(set)
+    for r in corpus_pipeline.line_stage(spark, docs, SF_MID).collect():
+        for line in (r.text or "").split("\n"):
+            line = line.strip(" \t\v\f\r")
+            if len(WORDS.findall(line.encode())) > 50:
+                sites[line].add(r.source)
+    assert sites and max(map(len, sites.values())) == 1
+
+
 def test_line_plan_is_native(spark):
     plan = linededup.dedup(_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
