@@ -23,7 +23,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -127,21 +126,11 @@ def _copied(rows: DataFrame) -> np.ndarray:
     return bits.ravel()
 
 
-def _distinct(rows: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
-    """The distinct (text, lang) of ``rows``, in two parts: texts that surely are there once stay where
-    they are, all that may have copies (by a filter of hashes) meet by an exchange."""
-    rows = rows.where(F.col("lang").isNotNull() & (F.octet_length("text") >= 2 * rules.min_words - 1)).withColumn("h", F.xxhash64("lang", "text"))
-    bits = _copied(rows)
-
-    def part(copied: bool):
-        def run(batches):
-            for batch in batches:
-                at = batch.column("h").to_numpy() & (FILTER_BITS - 1)
-                yield batch.select(["text", "lang"]).filter(pa.array((bits[at >> 3] >> (at & 7) & 1 == 1) == copied))
-
-        return rows.mapInArrow(run, "text string, lang string")
-
-    return part(False), part(True).distinct()
+def _part(batches: Iterator[pa.RecordBatch], bits: np.ndarray, copied: bool) -> Iterator[pa.RecordBatch]:
+    """Text and lang of the rows whose bit says that they may have copies, or of all others."""
+    for batch in batches:
+        at = batch.column("h").to_numpy() & (8 * len(bits) - 1)
+        yield batch.select(["text", "lang"]).filter(pa.array((bits[at >> 3] >> (at & 7) & 1 == 1) == copied))
 
 
 def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang", distinct: bool = False) -> dict:
@@ -183,19 +172,25 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
             yield rows()
 
     rows = docs.select(docs[text_col].alias("text"), docs[lang_col].cast("string").alias("lang"))
-    parts = [p.mapInArrow(partial, "lang string, kind int, key binary, weight long") for p in (_distinct(rows, rules) if distinct else [rows])]
-    sums = (reduce(DataFrame.union, parts)
-            .groupBy("lang", "kind", "key").agg(F.sum("weight").alias("weight")))
+    kind = "lang string, kind int, key binary, weight long"
+    if distinct:  # texts that surely are there once are added up where they are; all that may have copies meet by an exchange
+        rows = rows.where(F.col("lang").isNotNull() & (F.octet_length("text") >= 2 * rules.min_words - 1)).withColumn("h", F.xxhash64("lang", "text"))
+        bits = _copied(rows)
+        once = rows.mapInArrow(lambda batches: partial(_part(batches, bits, False)), kind)  # one Python worker a task
+        found = once.union(rows.mapInArrow(lambda batches: _part(batches, bits, True), "text string, lang string").distinct().mapInArrow(partial, kind))
+    else:
+        found = rows.mapInArrow(partial, kind)
+    sums = (found.groupBy("lang", "kind", "key").agg(F.sum("weight").alias("weight")))
     best = Window.partitionBy("lang", "kind").orderBy(F.desc("weight"), "key")
     top = (sums.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= rules.common_words)
            .limit(rules.max_languages * (rules.common_words + len(CLASSES) + 1) + 1).collect())
     if len(top) > rules.max_languages * (rules.common_words + len(CLASSES) + 1):
         raise ValueError(f"more than {rules.max_languages} languages: raise max_languages, or pass a coarser column")
-    found: dict = {}
+    by_lang: dict = {}
     for r in sorted(top, key=lambda r: (r.kind, r.rank)):
-        found.setdefault(r.lang, {}).setdefault(r.kind, []).append((bytes(r.key), r.weight / 1e6))
+        by_lang.setdefault(r.lang, {}).setdefault(r.kind, []).append((bytes(r.key), r.weight / 1e6))
     out = {}
-    for lang, parts in found.items():
+    for lang, parts in by_lang.items():
         n = parts[2][0][1] * 1e6
         if n < rules.min_docs:
             continue
