@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, bpe, linededup, mixing, ppm, quality, sharding, simhash, tokenstore, toxicity
+from tessera.llm import ann, bpe, linededup, merkle, mixing, ppm, quality, sharding, simhash, tokenstore, toxicity
 from tessera.llm.common import documents
 from tessera.session import ship_package, work_dir
 
@@ -70,6 +70,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    altered, hit = merkle.tampered(docs)
+    return merkle.manifest(docs, altered, hit)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op9_token_output": op9_token_output,
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ann": op7_ann,
     "op2_lm_score": op2_lm_score,
     "op6_toxicity": op6_toxicity,
+    "op13_merkle": op13_merkle,
 }
 ORACLES: dict[str, str] = {
     "op8_line_dedup": linededup.REPORT_SQL,
