@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, bpe, linededup, merkle, mixing, ppm, quality, sharding, simhash, tokenstore, toxicity, turntrie
+from tessera.llm import ann, bpe, linededup, merkle, mixing, ngramjoin, ppm, quality, sharding, simhash, tokenstore, toxicity, turntrie
 from tessera.llm.common import documents
 from tessera.session import ship_package, work_dir
 
@@ -70,6 +70,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.near_duplicates(documents(spark, sf_dir))
+
+
 def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return turntrie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ann": op7_ann,
     "op2_lm_score": op2_lm_score,
     "op6_toxicity": op6_toxicity,
+    "op11_ngram_join": op11_ngram_join,
     "op12_turn_trie": op12_turn_trie,
     "op13_merkle": op13_merkle,
 }
