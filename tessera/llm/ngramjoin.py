@@ -139,8 +139,9 @@ def sets_of(docs: DataFrame, keys: DataFrame, text_col: str = "text") -> DataFra
 
 
 def ordered(sets: DataFrame, like: Fraction) -> DataFrame:
-    """(key, n, common): each set's n-grams that other sets hold too, in the global order (frequency,
-    hash), for sets with enough of them.  Those that nobody else holds come before."""
+    """(key, n, common, common_by): each set's n-grams that other sets hold too, in the global order
+    (frequency, hash), for sets with enough of them, and how common they are on the whole.  Those that
+    nobody else holds come before."""
     grams = sets.select("key", "n", F.explode("grams").alias("gram"))
     shared = stored(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
     total = shared.agg(F.sum("df")).first()[0] or 0
@@ -149,7 +150,8 @@ def ordered(sets: DataFrame, like: Fraction) -> DataFrame:
     usual = grams.join(F.broadcast(hot.select("gram")), "gram", "left_anti").join(shared.where(F.col("df") <= limit), "gram")
     rows = usual.unionByName(grams.join(F.broadcast(hot), "gram"))
     whole = rows.groupBy("key").agg(F.min("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("common"))  # a set's own n-grams
-    return stored(whole.where(F.size("common") >= _least(F.col("n"), like)), "ordered")
+    enough = whole.where(F.size("common") >= _least(F.col("n"), like))
+    return stored(enough.withColumn("common_by", F.aggregate("common", F.lit(0.0), lambda a, c: a + F.log(c["df"])) / F.col("n")), "ordered")
 
 
 def segments(sets: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
@@ -173,13 +175,14 @@ def segments(sets: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, like: Fraction) -> DataFrame:
-    """(gram, key, n, rest, first, common): the n-grams by which a set can meet a partner; ``rest`` n-grams
+    """(gram, key, n, common_by, rest, first): the n-grams by which a set can meet a partner; ``rest`` n-grams
     follow from there on, ``first``: also as the shorter one."""
     both = 2 * like / (1 + like)
-    ranked = sets.select("key", "n", F.size("common").cast("long").alias("m"), (F.aggregate("common", F.lit(0.0), lambda a, c: a + F.log(c["df"])) / F.col("n")).alias("common_by"),
-                         F.posexplode(F.transform("common", lambda c: c["gram"])).alias("k", "gram"))
+    m = F.size("common").cast("long")
+    front = F.slice("common", F.lit(1), (m - _least(F.col("n"), like) + 1).cast("int"))
+    ranked = sets.select("key", "n", "common_by", m.alias("m"), F.posexplode(front).alias("k", "c"))
     rest = F.col("m") - F.col("k")
-    rows = ranked.where(rest >= _least(F.col("n"), like)).select("gram", "key", "n", rest.alias("rest"), (rest >= _least(F.col("n"), both)).alias("first"), "common_by")
+    rows = ranked.select(F.col("c.gram").alias("gram"), "key", "n", "common_by", rest.alias("rest"), (rest >= _least(F.col("n"), both)).alias("first"))
     rows = stored(rows, "prefixes")
     met = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("rows"), F.max("first").alias("any")).where("rows > 1 AND any").select("gram", "rows")
     return stored(looked_up(rows, stored(met, "met"), "gram").where("rows > 1").drop("rows"), "prefixes")
