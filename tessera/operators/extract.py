@@ -1,7 +1,7 @@
 """Model-response extraction: prompt rendering, the (pluggable) model call,
 and routing of raw responses into a valid frame and a review queue.
 
-One rule decides the route of a response, in one place (``route_of``).  A
+One rule decides the route of a response (``classify`` for tables, ``route_of`` for one).  A
 response is valid when its text is exactly one JSON object and its
 ``confidence`` is missing (0.0) or stands for a finite number (a number, a
 boolean, or text of a number).  Everything else goes to review:
@@ -30,12 +30,11 @@ import json
 import math
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.session import materialize, spread
+from tessera.session import materialize
 
 # Fixed values (must equal the reference's).
 PLACEHOLDER = "{hierarchy_text}"
@@ -113,14 +112,17 @@ def call_model(df: DataFrame, model: Callable[[list[str]], list[str]], prompt_co
                 return [one for p in prompts for one in ask([p])]
             return [(None, _storable(f"{type(exc).__name__}: {exc}"))]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            prompts = pdf[prompt_col].fillna("").tolist()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prompts = [p or "" for p in batch.column("_prompt").to_pylist()]
             found = [one for k in range(0, len(prompts), request_rows) for one in ask(prompts[k:k + request_rows])]
-            yield pdf[keys].assign(raw_output=[o for o, _ in found], error=[e for _, e in found])
+            # keys stay in Arrow: a null among them must not change the others
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keys), pa.array([o for o, _ in found], pa.string()), pa.array([e for _, e in found], pa.string())],
+                [*keys, "raw_output", "error"])
 
-    spread_out = df.select(*keys, prompt_col).repartition(tasks or df.sparkSession.sparkContext.defaultParallelism)
-    return spread_out.mapInPandas(run, schema)
+    asked = df.select(*keys, F.col(prompt_col).alias("_prompt"))
+    return asked.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, schema)
 
 
 class _Refused(Exception):
@@ -161,7 +163,8 @@ def _fields(raw) -> tuple:
 
 
 def route_of(raw) -> tuple:
-    """(route, confidence, title, n_elements, body, detail) of one response."""
+    """(route, confidence, title, n_elements, body, detail) of one response, e.g. while trying a prompt;
+    ``classify`` states the same rule for a table."""
     try:
         return ("valid", *_fields(raw), None)
     except _Refused as refused:
@@ -171,29 +174,73 @@ def route_of(raw) -> tuple:
     return route, None, None, None, None, _storable(detail)
 
 
-ROUTE_SCHEMA = T.StructType([
-    T.StructField("route", T.StringType()), T.StructField("confidence", T.DoubleType()),
-    T.StructField("title", T.StringType()), T.StructField("n_elements", T.LongType()),
-    T.StructField("body", T.StringType()), T.StructField("detail", T.StringType()),
-])
+# text that stands for a number: digits with single underscores between them, as in ``route_of``
+_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+_NUMBER = rf"(?U)^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
+# a "confidence" member whose value is no object or list
+_MEMBER = r'"confidence"\s*:\s*(?:"(?:[^"\\]|\\.)*"|[^\s,}\]\["{]+)'
+
+
+def _one_value(raw: Column) -> Column:
+    """The response as a Variant, null unless its text is exactly one JSON value.
+
+    The parser ignores what follows a value, so the text is parsed inside a list and inside an
+    object: no text can close both early, and a second value would be a second entry."""
+    listed = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    held = F.try_parse_json(F.concat(F.lit('{"v":'), raw, F.lit("}")))
+    alone = held.isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    return F.when(alone, F.try_variant_get(listed, "$[0]", "variant"))
+
+
+def _without_confidence(raw: Column) -> Column:
+    """Text of a valid response without its confidence.
+
+    The members are cut out of the text; where that changed anything else (a member of the same
+    name further down, an escaped name), the object is written anew from its other members."""
+    text = F.trim(raw, F.lit(" \t\r\n"))
+    cut = F.regexp_replace(F.regexp_replace(text, r",\s*" + _MEMBER, ""), r"^\{\s*" + _MEMBER + r"\s*,?\s*", "{")
+    rest = F.to_json(F.map_filter(F.from_json(text, "map<string,variant>"), lambda k, _: k != "confidence"))
+    return F.when(F.to_json(F.from_json(cut, "map<string,variant>")).eqNullSafe(rest), cut).otherwise(rest)
 
 
 def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None = None,
              min_confidence: float | None = None) -> DataFrame:
     """Add ``route`` / ``confidence`` / ``title`` / ``n_elements`` / ``body`` / ``detail``.
 
-    Arrow-batched ``mapInPandas``, not a scalar UDF: a later filter on the
-    route cannot be pushed below it, so each response is parsed exactly once.
-    Store the result where several consumers read it.  A call error
-    (``error_col`` not null) routes to ``call_error``."""
-    names = [f.name for f in ROUTE_SCHEMA.fields]
-
-    def run(batches):
-        for pdf in batches:
-            columns = list(zip(*map(route_of, pdf[raw_col]), strict=True)) or [[]] * len(names)
-            yield pdf.assign(**{n: pd.Series(c, index=pdf.index, dtype="object") for n, c in zip(names, columns, strict=True)})
-
-    out = spread(df).mapInPandas(run, T.StructType([*df.schema.fields, *ROUTE_SCHEMA.fields]))
+    The rule of ``route_of`` as Variant expressions: no Python stage, columns pass through untouched
+    whatever their type, and what a query does not read is not computed.  ``body`` keeps the response's
+    own text and order; a title that is no text is shown as JSON.  A call error (``error_col`` not
+    null) routes to ``call_error``.  Of repeated keys the last counts, which the session setting made
+    here allows."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    names = ["route", "confidence", "title", "n_elements", "body", "detail"]
+    raw = F.col(raw_col)
+    value = _one_value(raw)
+    carried = df.select(*[F.col(f"`{c}`") for c in df.columns], value.alias("_v"))
+    shape = F.schema_of_variant(F.col("_v"))
+    given = F.try_variant_get("_v", "$.confidence", "variant")
+    shaped = carried.select("*", shape.alias("_shape"), F.schema_of_variant(given).alias("_kind"))
+    text = F.try_variant_get("_v", "$.confidence", "string")
+    number = (F.when(F.col("_kind") == "STRING", F.when(F.regexp_like(text, F.lit(_NUMBER)), F.replace(F.trim(text), F.lit("_")).try_cast("double")))
+              .otherwise(F.try_variant_get("_v", "$.confidence", "double")))
+    known = shaped.select("*", number.alias("_number"))
+    kind, number = F.col("_kind"), F.col("_number")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+    route = (F.when(F.col("_v").isNull(), F.lit("malformed")).when(~F.startswith("_shape", F.lit("OBJECT")), F.lit("not_an_object"))
+             .when(kind.isNull(), F.lit("valid")).when((kind == "VOID") | kind.rlike("^(OBJECT|ARRAY)"), F.lit("confidence_type"))
+             .when(finite, F.lit("valid")).otherwise(F.lit("confidence_value")))
+    detail = (F.when(F.col("route") == "malformed", F.when(raw.isNull(), F.lit("no output")).otherwise(F.concat(F.lit("not exactly one JSON value: "), raw)))
+              .when(F.col("route") == "not_an_object", F.concat(F.lit("the output is "), F.lower("_shape")))
+              .when(F.col("route") != "valid", F.concat(F.lit("confidence is "), F.coalesce(text, F.lower("_kind")))))
+    ok = F.col("route") == "valid"
+    routed = known.select("*", route.alias("route"))
+    out = routed.select(
+        *[F.col(f"`{c}`") for c in df.columns if c not in names], "route",
+        F.when(ok, F.when(kind.isNull(), F.lit(DEFAULT_CONFIDENCE)).otherwise(number)).alias("confidence"),
+        F.when(ok, F.try_variant_get("_v", "$.title", "string")).alias("title"),
+        F.when(ok, F.greatest(F.coalesce(F.size(F.try_variant_get("_v", "$.elements", "array<variant>")), F.lit(0)), F.lit(0)).cast("long")).alias("n_elements"),
+        F.when(ok, F.when(kind.isNull(), F.trim(raw, F.lit(" \t\r\n"))).otherwise(_without_confidence(raw))).alias("body"),
+        detail.alias("detail"))
     if error_col is not None:
         failed = F.col(error_col).isNotNull()
         out = (out.withColumn("route", F.when(failed, F.lit("call_error")).otherwise(F.col("route")))

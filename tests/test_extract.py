@@ -160,3 +160,45 @@ def test_prompts_are_dealt_over_tasks(spark):
     df = spark.range(2000).select(F.col("id").alias("screen_id"), F.lit("r").alias("run_id"), F.lit("p").alias("prompt"))
     out = X.call_model(df.orderBy("screen_id"), lambda p: ["{}"] * len(p)).select(F.spark_partition_id().alias("p")).distinct().count()
     assert out > 1
+
+
+TRICKY = ['null', '{"a":1}]', '{"a":1}],[1', '{"a":1}}', '1,"w":2', '{"a":1},"w":2', ' {"a": 1}\n', "{'a': 1}", '{"a": 01}', '{"a": 1,}', '{"a": "\t"}', '{"a":1} ',
+          '// c\n{"a":1}', '{"confidence": "1_0"}', '{"confidence": "1__0"}', '{"confidence": "5d"}', '{"confidence": "0x10"}', '{"confidence": " .5e1 "}', '{"confidence": "-Infinity"}',
+          '{"confidence": "1e400"}', '{"confidence": 12345678901234567890123}', '{"confidence": false, "elements": {"a": 1}}', '{"elements": [1, [2], {}]}', '{"elements": null}', '""', "12", "true",
+          '{"a": {"confidence": 0.2}}', '{"\\u0063onfidence": "0.5"}', "[]", "{}", '{"confidence": ""}', '{"confidence": "."}', '{"confidence": "5."}', '{"title": "é\U0001f600", "confidence": 1}']
+
+
+def test_expressions_state_the_plain_rule(spark):
+    df = spark.createDataFrame(list(enumerate([raw for raw, _, _ in CASES] + TRICKY)), "i int, raw_output string")
+    for r in X.classify(df).collect():
+        route, confidence, title, n, _, _ = X.route_of(r.raw_output)
+        assert (r.route, r.confidence, r.n_elements, r.title) == (route, confidence, n, title), r.raw_output
+
+
+def test_body_is_the_answer_without_its_confidence(spark):
+    import json
+
+    raws = ['{"title": "a", "confidence": 0.5, "z": [1, {"confidence": 3}]}', '{"confidence": "a,}\\"b", "x": 1}', '{"confidence": 1}', '{"confidence":1,"a":2,"confidence":2}',
+            '{"\\u0063onfidence": 1, "b": "confidence"}', '{"a": {"confidence": 7}}', ' {"b": 1, "a": "\\ud800"} ', '{"confidence": true, "b": "x\\"confidence\\": 4"}']
+    raws = [x.replace('"a,}\\"b"', '"0.5"') for x in raws]
+    df = spark.createDataFrame(list(enumerate(raws)), "i int, raw_output string")
+    for r in X.classify(df).collect():
+        want = json.loads(raws[r.i])
+        want.pop("confidence", None)
+        assert r.route == "valid" and json.loads(r.body) == want, raws[r.i]
+
+
+def test_routing_has_no_python_stage_and_keeps_large_ids(spark):
+    big = 1 << 60
+    df = spark.createDataFrame([(big + 1, "r", "{}"), (None, "r", "{}"), (big + 3, None, "[1]")], "screen_id long, run_id string, raw_output string")
+    out = X.classify(df)
+    assert {(r.screen_id, r.route) for r in out.collect()} == {(big + 1, "valid"), (None, "valid"), (big + 3, "not_an_object")}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInPandas" not in plan and "MapInArrow" not in plan
+
+
+def test_call_model_keeps_large_ids_beside_null_ones(spark):
+    big = 1 << 60
+    df = spark.createDataFrame([(big + 1, "r", "a"), (None, "r", None), (big + 3, "r", "c")], "screen_id long, run_id string, prompt string").coalesce(1)
+    got = {(r.screen_id, r.raw_output) for r in X.call_model(df, lambda ps: ps, tasks=1).collect()}
+    assert got == {(big + 1, "a"), (None, ""), (big + 3, "c")}
