@@ -2,7 +2,7 @@
 
 No model weights are available offline, so two deterministic built-in
 encoders stand in for the reference's text and image models; any real
-model plugs in through ``embed_with`` (an iterator ``mapInPandas`` that
+model plugs in through ``embed_with`` (an iterator ``mapInArrow`` that
 builds the model once per task and encodes one Arrow batch per call).
 Never present the built-ins as semantic quality: they are for plumbing,
 scale and parity tests.
@@ -22,7 +22,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,7 +55,6 @@ def with_hash_vectors(df: DataFrame, text_col: str, out_col: str = "vector", dim
     Runs in ``mapInArrow`` on the flat Arrow buffers of each batch: distinct
     tokens are hashed once, then one ``bincount`` over (row · dim + bucket);
     no per-row Python objects."""
-    import pyarrow as pa
     import pyarrow.compute as pc
 
     staged = spread(df).withColumn("_tokens", tokens(F.col(text_col)))
@@ -137,15 +136,17 @@ def embed_with(df: DataFrame, input_col: str, make_encoder: Callable[[], Callabl
     key_type = df.schema[key].dataType.simpleString()
     schema = f"{key} {key_type}, vector array<float>"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = make_encoder()
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            m = np.asarray(enc(pdf[input_col].tolist()), dtype=np.float64)
+            m = np.asarray(enc(batch.column("_input").to_pylist()), dtype=np.float64)
             if normalize:
                 n = np.sqrt((m * m).sum(axis=1, keepdims=True))
                 m = np.divide(m, n, out=np.zeros_like(m), where=n > 0)
-            yield pd.DataFrame({key: pdf[key].to_numpy(), "vector": list(m.astype(np.float32))})
+            offsets = pa.array(np.arange(0, m.size + 1, m.shape[1], dtype=np.int32))
+            # keys stay in Arrow: a null among them must not change the others
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.ListArray.from_arrays(offsets, pa.array(m.astype(np.float32).reshape(-1)))], [key, "vector"])
 
-    return spread(df.select(key, input_col)).mapInPandas(run, schema)
+    return spread(df.select(F.col(key).alias("_key"), F.col(input_col).alias("_input"))).mapInArrow(run, schema)

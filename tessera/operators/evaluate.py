@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,36 +16,41 @@ from tessera.session import materialize
 
 def next_in_order(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """``(key, next_key)``: the following key in ascending order, the last
-    wrapping to the first — i.e. ``(i + 1) mod n`` over the ordered keys.
+    wrapping to the first — i.e. ``(i + 1) mod n`` over the ordered keys.  A null is no key.
 
     No single-partition window: keys are range-partitioned and sorted
     inside each partition; each task pairs neighbours in one pass, and only
     the partitions' first keys (one row per partition) cross the boundary."""
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = (df.select(F.col(key).alias("k")).distinct()
+    ids = (df.select(F.col(key).alias("k")).where("k IS NOT NULL").distinct()
            .repartitionByRange(n_parts, "k").sortWithinPartitions("k")
            .withColumn("pid", F.spark_partition_id()))
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prev = None
-        pid = None
-        first = None
-        for pdf in batches:
-            if len(pdf) == 0:
+    kind = ids.schema["k"].dataType.simpleString()
+
+    def rows(k, following, pid, first, last):
+        n = len(k)
+        return pa.RecordBatch.from_arrays([k, following, pa.array([pid] * n, pa.int32()), pa.array([first] * n, k.type), pa.array([last] * n, pa.bool_())],
+                                          ["k", "next_k", "pid", "first_k", "last"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pid = first = None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            ks = pdf["k"].tolist()
-            pid = int(pdf["pid"].iloc[0])
-            if first is None:
-                first = ks[0]
-            cur = ([prev] if prev is not None else []) + ks
-            yield pd.DataFrame({"k": cur[:-1], "next_k": cur[1:], "pid": pid, "first_k": first, "last": False})
-            prev = ks[-1]
-        if prev is not None:
-            yield pd.DataFrame({"k": [prev], "next_k": [None], "pid": [pid], "first_k": [first], "last": [True]})
+            keys = batch.column("k")
+            if held is None:
+                pid, first = batch.column("pid")[0].as_py(), keys[0].as_py()
+            else:
+                keys = pa.concat_arrays([held, keys])
+            yield rows(keys[:-1], keys[1:], pid, first, False)
+            held = keys[-1:]
+        if held is not None:
+            yield rows(held, pa.nulls(1, held.type), pid, first, True)
 
     # both readers below must see one and the same range partitioning: write it once
-    p = materialize(ids.mapInPandas(pairs, "k long, next_k long, pid int, first_k long, last boolean"), "next-in-order")
+    p = materialize(ids.mapInArrow(pairs, f"k {kind}, next_k {kind}, pid int, first_k {kind}, last boolean"), "next-in-order")
     # one row per non-empty partition: its first key; the next partition's
     # first key closes each partition's last pair (wrap to the global first)
     heads = p.where("last").select("pid", "first_k")

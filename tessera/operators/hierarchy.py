@@ -1,7 +1,7 @@
 """Widget-tree flattening: nested JSON tree → element rows → reading-order
 text.
 
-Each tree is parsed once inside ``mapInPandas`` and visited in one pass, with
+Each tree is parsed once inside ``mapInArrow`` and visited in one pass, with
 no shuffle and no per-level job; memory is one tree plus a bounded batch of
 rows.  ``screen_texts`` builds the text in that same pass, so element rows
 are shuffled only when someone asks for them (``reading_order_text``).
@@ -30,13 +30,12 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import spread
 
-ELEMENT_COLUMNS = ["screen_id", "pos", "depth", "element_type", "text", "x1", "y1", "x2", "y2"]
 ELEMENT_SCHEMA = "screen_id long, pos long, depth long, element_type string, text string, x1 long, y1 long, x2 long, y2 long"
 TEXT_SCHEMA = "screen_id long, n_elements long, text_rep string"
 BAD_SCHEMA = "screen_id long, error string, hierarchy_json string"
@@ -100,24 +99,34 @@ def read_tree(raw: str | None):
         return None, f"{type(exc).__name__}: {exc}"
 
 
-def _per_tree(trees: DataFrame, key: str, json_col: str, make, columns: list[str], schema: str, strict: bool) -> DataFrame:
-    """``make(id, raw, elements or None, error)`` rows of every tree, in bounded batches."""
+_ARROW = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _per_tree(trees: DataFrame, key: str, json_col: str, make, schema: str, strict: bool) -> DataFrame:
+    """``make(id, raw, elements or None, error)`` rows of every tree, in bounded batches.
+
+    Ids go through Arrow as whole numbers: a null one does not change the others."""
+    fields = [f.split() for f in schema.split(", ")]
+
+    def rows_of(rows: list) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list = []
-        for pdf in batches:
-            for sid, raw in zip(pdf["k"].tolist(), pdf["j"].tolist()):
+        for batch in batches:
+            for sid, raw in zip(batch.column("k").to_pylist(), batch.column("j").to_pylist(), strict=True):
                 tree, error = read_tree(raw)
                 if error and strict:
                     raise BadTree(f"screen {sid}: {error}")
                 rows.extend(make(sid, raw, None if error else walk(tree), error))
                 if len(rows) >= FLUSH_ROWS:
-                    yield pd.DataFrame(rows, columns=columns)
+                    yield rows_of(rows)
                     rows = []
         if rows:
-            yield pd.DataFrame(rows, columns=columns)
+            yield rows_of(rows)
 
-    return spread(trees.select(F.col(key).cast("long").alias("k"), F.col(json_col).alias("j"))).mapInPandas(run, schema)
+    return spread(trees.select(F.col(key).cast("long").alias("k"), F.col(json_col).alias("j"))).mapInArrow(run, schema)
 
 
 def elements(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarchy_json", strict: bool = False) -> DataFrame:
@@ -127,7 +136,7 @@ def elements(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarch
     def make(sid, raw, found, error):
         return [[sid, pos, *e] for pos, e in enumerate(found or [])]
 
-    return _per_tree(trees, key, json_col, make, ELEMENT_COLUMNS, ELEMENT_SCHEMA, strict)
+    return _per_tree(trees, key, json_col, make, ELEMENT_SCHEMA, strict)
 
 
 def screen_texts(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarchy_json", strict: bool = False) -> DataFrame:
@@ -141,7 +150,7 @@ def screen_texts(trees: DataFrame, key: str = "screen_id", json_col: str = "hier
         texts = [e[2] for e in sorted(found, key=lambda e: (e[4], e[3])) if e[2]]
         return [[sid, len(texts), " ".join(texts)]]
 
-    return _per_tree(trees, key, json_col, make, ["screen_id", "n_elements", "text_rep"], TEXT_SCHEMA, strict)
+    return _per_tree(trees, key, json_col, make, TEXT_SCHEMA, strict)
 
 
 def bad_records(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarchy_json") -> DataFrame:
@@ -150,7 +159,7 @@ def bad_records(trees: DataFrame, key: str = "screen_id", json_col: str = "hiera
     def make(sid, raw, found, error):
         return [[sid, error, raw]] if error else []
 
-    return _per_tree(trees, key, json_col, make, ["screen_id", "error", "hierarchy_json"], BAD_SCHEMA, False)
+    return _per_tree(trees, key, json_col, make, BAD_SCHEMA, False)
 
 
 def tree_status(trees: DataFrame, key: str = "screen_id", json_col: str = "hierarchy_json") -> DataFrame:
@@ -159,7 +168,7 @@ def tree_status(trees: DataFrame, key: str = "screen_id", json_col: str = "hiera
     def make(sid, raw, found, error):
         return [[sid, error is None, error, len(found or [])]]
 
-    return _per_tree(trees, key, json_col, make, ["screen_id", "ok", "error", "n_elements"], STATUS_SCHEMA, False)
+    return _per_tree(trees, key, json_col, make, STATUS_SCHEMA, False)
 
 
 def reading_order_text(elems: DataFrame, key: str = "screen_id") -> DataFrame:

@@ -261,7 +261,9 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
 
     Returns ``query_id long, id long, distance double, rank long`` with at
     most k rows per query (fewer when the table is smaller than k).
-    ``strategy``: "auto" | "broadcast" | "blocked".
+    ``strategy``: "auto" | "broadcast" | "blocked".  A row without an id is no
+    hit, and a query without one has no result: neither can be named in it.
+    (Without nulls the ids reach numpy as whole numbers, whatever their size.)
 
     ``group``: column names present in both inputs (e.g. embedding kind,
     model, version).  Each query then searches only the vectors of its own
@@ -275,9 +277,9 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
         raise ValueError("k must be positive")
     limits = limits or SearchLimits()
     group = list(group or [])
-    vec = vectors.select(_group_key(group).alias("g"), F.col(vec_id).cast("long").alias("id"),
-                         F.col(vector).alias("vector"))
-    queries = queries.select(_group_key(group).alias("g"), query_id, query_vector)
+    vec = vectors.where(F.col(vec_id).isNotNull()).select(_group_key(group).alias("g"), F.col(vec_id).cast("long").alias("id"),
+                                                          F.col(vector).alias("vector"))
+    queries = queries.where(F.col(query_id).isNotNull()).select(_group_key(group).alias("g"), query_id, query_vector)
 
     pulled = None
     if strategy in ("auto", "broadcast"):

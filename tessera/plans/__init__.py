@@ -4,6 +4,7 @@ from tessera.plans import (  # noqa: F401
     embed_eval_plans,
     extract_plans,
     hierarchy_plans,
+    large_id_plans,
     quality_plans,
     run_plans,
     search_plans,
