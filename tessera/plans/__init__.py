@@ -1,6 +1,7 @@
 """Query catalogue: importing this package registers every query."""
 
 from tessera.plans import (  # noqa: F401
+    across_plans,
     embed_eval_plans,
     extract_plans,
     hierarchy_plans,
