@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.pruned import knn_pruned
 from tessera.operators.search import knn
 from tessera.session import materialize
 
@@ -68,9 +69,12 @@ def ranked(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine
 
 
 def hits(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine", *,
-         vec_id: str = "screen_id", vector: str = "vector", group=None) -> DataFrame:
+         vec_id: str = "screen_id", vector: str = "vector", group=None, pruned: bool = False) -> DataFrame:
     """Per query: ``query_id, expected_id, hit, ranked_ids``.
 
+    ``pruned`` searches by ``pruned.knn_pruned``: the same hits, but a query set as large as the
+    index (a self-test) does not measure all pairs.  It is for one index, without ``group``.
+
     ``queries`` = (query_id, expected_id, query_vector).  Membership is a
     left-semi style test on (query, expected id); the ranked list is one
     bounded (k rows) group per query.  With ``group`` (columns of both
@@ -81,8 +85,13 @@ def hits(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
     # filter) is read by the size check, the search and the membership join:
     # evaluate it once, into the shared work folder
     queries = materialize(queries.select(*group, "query_id", "expected_id", "query_vector"), "eval-queries")
-    top = knn(queries.select(*group, "query_id", "query_vector"), vectors, k, metric, vec_id=vec_id,
-              vector=vector, group=group)
+    asked = queries.select(*group, "query_id", "query_vector")
+    if pruned:
+        if group:
+            raise ValueError("a pruned search is for one index: leave out group")
+        top, _ = knn_pruned(asked, vectors, k, metric, vec_id=vec_id, vector=vector)
+    else:
+        top = knn(asked, vectors, k, metric, vec_id=vec_id, vector=vector, group=group)
     exp = queries.select(*group, "query_id", "expected_id")
     g = top.groupBy(*group, "query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("r"))
     j = exp.join(g, [*group, "query_id"], "left")

@@ -229,7 +229,7 @@ def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None =
     route = (F.when(F.col("_v").isNull(), F.lit("malformed")).when(~F.startswith("_shape", F.lit("OBJECT")), F.lit("not_an_object"))
              .when(kind.isNull(), F.lit("valid")).when((kind == "VOID") | kind.rlike("^(OBJECT|ARRAY)"), F.lit("confidence_type"))
              .when(finite, F.lit("valid")).otherwise(F.lit("confidence_value")))
-    detail = (F.when(F.col("route") == "malformed", F.when(raw.isNull(), F.lit("no output")).otherwise(F.concat(F.lit("not exactly one JSON value: "), raw)))
+    detail = (F.when(F.col("route") == "malformed", F.when(raw.isNull(), F.lit("no output")).otherwise(F.concat(F.lit(f"{FIRST_HANDLER}: not exactly one JSON value: "), raw)))
               .when(F.col("route") == "not_an_object", F.concat(F.lit("the output is "), F.lower("_shape")))
               .when(F.col("route") != "valid", F.concat(F.lit("confidence is "), F.coalesce(text, F.lower("_kind")))))
     ok = F.col("route") == "valid"

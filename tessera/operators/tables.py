@@ -3,9 +3,8 @@ strict insert, keyed update, cascade delete, snapshot writes.
 
 Idempotency comes from anti-joins on the key, never from a unique index:
 
-* the *source* is first reduced to one row per key (``one_per_key``): a
-  narrow count finds the keys that repeat, only their rows are reduced, with
-  a plain aggregate that combines a hot key inside each task;
+* the *source* is first reduced to one row per key (``one_per_key``) in one
+  pass: a group limit reduces a hot key inside each task;
 * the reduced delta is ``left_anti``-joined against the target's keys;
 * the new table is written as a new snapshot; the path being read is never
   overwritten (single writer per table is assumed — concurrent writers are
@@ -14,7 +13,7 @@ Idempotency comes from anti-joins on the key, never from a unique index:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import broadcast_if_small
@@ -24,37 +23,27 @@ class InsertConflict(RuntimeError):
     """Strict insert found keys that already exist."""
 
 
-def _same(left: DataFrame, right: DataFrame, keys):
-    """Join condition on ``keys``; null keys are equal."""
-    cond = None
-    for k in keys:
-        one = left[k].eqNullSafe(right[f"_k_{k}"])
-        cond = one if cond is None else cond & one
-    return cond
-
-
 def one_per_key(df: DataFrame, keys, order_col: str | None = None, last: bool = False, repeated: str = "pick") -> DataFrame:
     """One row per key: the first (or last) by ``order_col``, ties broken by
     the row itself, so a recomputed task picks the same row.
 
-    Only keys that repeat are reduced: a narrow count finds them, and rows of
-    all other keys pass by without being sorted or shuffled — payloads and
-    vectors stay where they are.  ``repeated="refuse"`` makes a repeated key an
-    error at run time."""
+    One pass over ``df`` and no job of its own: ``row_number`` with a limit is
+    planned as a group limit, so every task passes on one row a key (a key with
+    any share of the rows is reduced where they lie) and the rows cross one
+    exchange, by the key that the join that follows needs as well.
+    ``repeated="refuse"`` makes a repeated key an error at run time."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    many_keys = broadcast_if_small(counted.select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
-    single = df.join(many_keys, _same(df, many_keys, keys), "left_anti")
-    many = df.join(many_keys, _same(df, many_keys, keys), "left_semi")
+    order = [c for c in ([order_col] if order_col else []) + [c for c in rest if c != order_col]]
+    # descending order turns nulls last, as the smallest
+    by = [F.col(c).desc_nulls_last() if last else F.col(c).asc_nulls_first() for c in order]
+    numbered = df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
     if repeated == "refuse":
-        told = F.raise_error(F.concat(F.lit("repeated key without an arrival column: "), F.to_json(F.struct(*keys))))
-        return single.unionByName(many.withColumn(rest[0], told.cast(df.schema[rest[0]].dataType)))
-    row, order = F.struct(*rest), F.struct(*([order_col] if order_col else []), *[c for c in rest if c != order_col])
-    picked = many.groupBy(*keys).agg((F.max_by if last else F.min_by)(row, order).alias("_row"))
-    return single.unionByName(picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]))
+        told = F.raise_error(F.concat(F.lit("repeated key without an arrival column: "), F.to_json(F.struct(*keys)))).cast("boolean")
+        return numbered.where(F.col("_nth") <= 2).where(F.when(F.col("_nth") == 1, True).otherwise(told)).drop("_nth")
+    return numbered.where(F.col("_nth") <= 1).drop("_nth")
 
 
 def first_per_key(df: DataFrame, keys, order_col: str | None = None) -> DataFrame:

@@ -153,13 +153,13 @@ res AS (SELECT coalesce(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END), 0.0) AS recall
                CAST(count_if(hit) AS BIGINT) AS hits FROM h)"""
 
 
-def _self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _self_test(spark: SparkSession, sf_dir: str, pruned: bool = False) -> DataFrame:
     v = _text_vectors(spark, sf_dir)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("screen_id"), "text")
     q = (v.join(docs, "screen_id").where(~T.is_blank("text"))
          .select(F.col("screen_id").alias("query_id"), F.col("screen_id").alias("expected_id"),
                  F.col("vector").alias("query_vector")))
-    return EV.recall(EV.hits(q, v, K_RECALL))
+    return EV.recall(EV.hits(q, v, K_RECALL, pruned=pruned))
 
 
 @register("recall_self_test", f"""
@@ -171,6 +171,14 @@ def recall_self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _self_test(spark, sf_dir)
 
 
+@register("recall_self_test_pruned", f"""
+WITH {SELF_TEST_SQL}
+SELECT recall, tested, hits FROM res""")
+def recall_self_test_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same self-test with the search that skips blocks by pivot bounds."""
+    return _self_test(spark, sf_dir, pruned=True)
+
+
 INDEX_KEY = ["embedding_kind", "model_name", "model_version"]
 
 

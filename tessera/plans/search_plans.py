@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.pruned import PruneLimits, knn_pruned
 from tessera.operators.search import knn, reciprocal_rank_fusion, search, top1_side_by_side
 from tessera.plans import fragments as Q
 from tessera.plans.registry import register
@@ -92,6 +93,35 @@ def knn_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("query_id", "rank", F.col("id").alias("screen_id"), "distance")
 
 
+@register("knn_pruned", f"""
+WITH {Q.EMB},
+t AS (SELECT screen_id, vector::DOUBLE[] AS v FROM emb WHERE embedding_kind = 'text'),
+d AS (SELECT q.screen_id AS query_id, t.screen_id, {Q.dist('cosine', 'q.v', 't.v')} AS distance FROM t q, t),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, screen_id) AS rank FROM d)
+SELECT query_id, CAST(rank AS BIGINT) AS rank, screen_id, round(distance, 6) AS distance FROM r WHERE rank <= {K}""")
+def knn_pruned_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as ``knn_batch`` by blocks that pivot bounds may skip."""
+    v = vectors_of(spark, sf_dir, "text")
+    qs = v.select(F.col("screen_id").alias("query_id"), F.col("vector").alias("query_vector"))
+    hits, _ = knn_pruned(qs, v, K, "cosine", vec_id="screen_id")
+    return hits.select("query_id", "rank", F.col("id").alias("screen_id"), "distance")
+
+
+@register("knn_pruned_clustered", f"""
+WITH v AS (SELECT vec_id AS id, list_transform(embedding::DOUBLE[], lambda x, i: x * 0.05 + CASE WHEN i = label % 32 + 1 THEN 1.0 ELSE 0.0 END) AS v FROM embeddings),
+d AS (SELECT q.id AS query_id, v.id, {Q.dist('l2', 'q.v', 'v.v')} AS distance FROM v q, v),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM d)
+SELECT query_id, id, CAST(rank AS BIGINT) AS rank, round(distance, 6) AS distance FROM r WHERE rank <= {K}""")
+def knn_pruned_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors gathered around one centre a label: most blocks are skipped (Euclidean)."""
+    e = table(spark, sf_dir, "embeddings")
+    moved = F.transform("embedding", lambda x, i: x.cast("double") * F.lit(0.05) + F.when(i == F.col("label") % 32, 1.0).otherwise(0.0))
+    v = e.select(F.col("vec_id").alias("id"), moved.alias("vector"))
+    hits, _ = knn_pruned(v.select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector")), v, K, "l2",
+                         limits=PruneLimits(block_rows=256))
+    return hits
+
+
 @register("retriever_compare", f"""
 WITH {Q.EMB},
 {Q.centroids('text', 'ct')}, {Q.centroids('image', 'ci')},
