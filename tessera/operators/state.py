@@ -57,6 +57,24 @@ def metric_rows(state: DataFrame, recorded_at) -> DataFrame:
     return QL.to_long(state, QL.METRIC_NAMES).withColumn("recorded_at", F.lit(recorded_at).cast("timestamp_ntz"))
 
 
+# what the summary texts need beside the metrics, logged like them
+COUNT_NAMES = ("meta_count", "image_count", "text_count", "extracted_count", "review_count", "total_meta", "total_image", "total_text", "emb_count")
+
+
+def log_rows(state: DataFrame, recorded_at) -> DataFrame:
+    """Metrics and counts of each run as log rows, enough to write the summary from the log alone."""
+    rows = QL.to_long(state, QL.METRIC_NAMES + COUNT_NAMES)
+    return rows.withColumn("recorded_at", F.lit(recorded_at).cast("timestamp_ntz"))
+
+
+def from_log(log: DataFrame) -> DataFrame:
+    """The state that ``summary`` reads, from the newest value of each logged name: one row a run."""
+    newest = QL.latest_per_key(log, ["run_id", "metric_name"], "metric_value", "recorded_at")
+    wide = newest.groupBy("run_id").pivot("metric_name", list(QL.METRIC_NAMES + COUNT_NAMES)).agg(F.first("metric_value"))
+    flag = F.when(F.col("final_run_status") == 1.0, F.lit(R.STATUS_SUCCESS)).otherwise(F.lit(R.STATUS_FAILED))
+    return wide.withColumns({c: F.col(c).cast("long") for c in COUNT_NAMES}).withColumn("status", flag)
+
+
 def summary(s: DataFrame) -> DataFrame:
     """Summary record per run."""
     return s.select(

@@ -13,7 +13,7 @@ Idempotency comes from anti-joins on the key, never from a unique index:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tessera.session import broadcast_if_small
@@ -172,3 +172,11 @@ def write_snapshot(df: DataFrame, base: str, version: int, partition_by=None) ->
 def append(df: DataFrame, path: str, partition_by=("run_id",)) -> None:
     """Append to a log table (audit results, metrics, review queue)."""
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
+def write_counted(df: DataFrame, path: str, partition_by=(), **counts) -> dict[str, int]:
+    """Write ``df`` and return its rows and further aggregates, taken while it is written
+    (``DataFrame.observe``): no second job, no second pass."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in counts.items()]).write.partitionBy(*partition_by).parquet(path)
+    return dict(seen.get)

@@ -11,4 +11,5 @@ from tessera.plans import (  # noqa: F401
     search_plans,
     table_plans,
 )
+from tessera.plans import maintenance_plans  # noqa: E402, F401 — restates oracles registered above
 from tessera.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -45,3 +45,12 @@ def binary_files(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(path)
+
+
+def write_parts(df: DataFrame, path: str, by: tuple[str, ...] = ("run_id",)) -> str:
+    """Store a table by run (or kind and run): a scan of one run then reads only its folder.  Rows are
+    gathered by the partition columns and a salt first, so that a run is neither thousands of small
+    files nor one task."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(8))
+    df.repartition(*by, salt).write.partitionBy(*by).parquet(path)
+    return path
