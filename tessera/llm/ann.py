@@ -1,6 +1,6 @@
 """Operator 7 — approximate nearest neighbours by learned partitions.
 
-On a bounded sample (about ``SAMPLE`` vectors, twice as many at most, by a hash of their id) the
+On a bounded sample (about ``SAMPLE`` vectors that take part, twice as many at most, by a hash) the
 exact neighbour graph is built and cut into balanced parts: recursive bisection
 by the graph's slowest mode at the median, refined by swaps that lower the cut.
 A softmax classifier learns, for a vector, where its sample neighbours lie.  It
@@ -17,8 +17,8 @@ ties by smaller id; only each query's best of a cell is shuffled.  A query whose
 parts hold too few rows is given further parts until ``k`` candidates are met.
 
 Defined cases: vectors that are null, zero, hold null or non-finite components, or
-have another length than the sample's, and rows without an id, take no part; ids
-occurring twice are one query, and never candidates of themselves; an empty table
+have another length than most, and rows without an id, take no part; ids occurring twice are
+one query (the vector with the smallest hash), and never candidates of themselves; an empty table
 gives no rows; only the id and vector columns are read.
 """
 
@@ -67,6 +67,12 @@ def matrix(column: pa.Array, dims: int | None = None) -> tuple[np.ndarray, np.nd
     return rows[good], x[good]
 
 
+def takes_part(v: F.Column) -> F.Column:
+    """The same rule as an expression (but for the length): there, finite, not zero."""
+    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
 def neighbours(x: np.ndarray, k: int) -> np.ndarray:
     """Indices of the k nearest other rows of each row."""
     k = min(k, len(x) - 1)
@@ -182,11 +188,16 @@ def search(vectors: DataFrame, is_query, k: int = 10, parts: int = PARTS, target
     (a boolean Column of ``vectors``) holds."""
     spark = vectors.sparkSession
     rows = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vector_col].alias("v"), F.coalesce(is_query, F.lit(False)).alias("q")).where("id IS NOT NULL")
-    sample = sample_by_hash(rows.where(F.col("v").isNotNull()), "id", SAMPLE).select("id", "v").toArrow().sort_by("id")
-    _, x = matrix(sample.column("v").combine_chunks())
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not len(x):
+    usable = rows.where(takes_part(F.col("v")))
+    lengths = usable.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    if lengths is None:
         return empty
+    usable = usable.where(F.size("v") == lengths.d)
+    pick = sample_by_hash(usable.withColumn("pick", F.struct("id", "v")), "pick", SAMPLE).select("id", "v").toArrow()
+    if not pick.num_rows:  # many equal rows whose hash is not among the chosen: one of them, and so one part
+        pick = usable.select("id", "v").limit(1).toArrow()
+    _, x = matrix(pick.sort_by("id").column("v").combine_chunks(), lengths.d)
     router = fit(x, parts, target)
 
     def place(batches):
@@ -224,7 +235,8 @@ def search(vectors: DataFrame, is_query, k: int = 10, parts: int = PARTS, target
             taken = batch.take(pa.array(pick, pa.int64()))
             yield pa.RecordBatch.from_arrays([taken.column("id"), taken.column("v"), pa.array(part, pa.int32()), pa.array(cell, pa.int32())], ["id", "v", "part", "cell"])
 
-    asked = placed.where("q").dropDuplicates(["id"]).select("id", "v").mapInArrow(route, f"id long, v {kind}, part int, cell int")
+    one = placed.where("q").groupBy("id").agg(F.min_by("v", F.xxhash64("v")).alias("v"))
+    asked = one.select("id", "v").mapInArrow(route, f"id long, v {kind}, part int, cell int")
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     count = F.create_map(*[F.lit(v) for p, c in cells.items() for v in (p, c)])
     held = placed.select("id", "v", "part", F.pmod(F.xxhash64("id"), count[F.col("part")]).cast("int").alias("cell"),

@@ -261,8 +261,9 @@ def _slices(batch: pa.RecordBatch, nbytes: int = 4 << 20):
         start = stop
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) of every row of ``docs``, in its partitions as they are."""
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>) of every row of ``docs``, in its partitions as they are; with
+    ``digest`` the ids are decoded again, and decoded_sha256 is the text's hash."""
 
     def run(batches):
         vocab = vocabulary(path)
@@ -270,12 +271,16 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             for part in _slices(batch):
                 runs = [vocab.encode(t or "") for t in part.column("text").to_pylist()]
                 offsets = np.cumsum([0] + [len(r) // 4 for r in runs])
-                ids = pa.array(np.frombuffer(b"".join(runs), "<i4"))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)], ["doc_id", "ids"])
+                flat = np.frombuffer(b"".join(runs), "<i4")
+                columns = [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))]
+                if digest:
+                    texts = vocab.decode(flat, offsets).cast(pa.binary()).to_pylist()
+                    columns.append(pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded_sha256"][: len(columns)])
 
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>" + (", decoded_sha256 string" if digest else ""))
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

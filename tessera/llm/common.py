@@ -53,3 +53,13 @@ def sample_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     if total <= n:
         return df
     return df.where(F.shiftrightunsigned(F.xxhash64(key), 1) < F.lit(int(n / total * (1 << 63)))).limit(2 * n)
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct column ``row``: columns of any name travel along without meeting an operator's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def docs_column(row: str, name: str) -> F.Column:
+    """A column of the rows in ``row``."""
+    return F.col(row).getField(name)

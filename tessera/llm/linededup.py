@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored, word_count
+from tessera.llm.common import docs_column, stored, whole_rows, word_count
 
 MIN_SITES = 5
 LONG_WORDS = 50
@@ -61,34 +61,36 @@ def boilerplate(lines: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
           long_sites: int | None = None) -> DataFrame:
-    """``docs`` with the boilerplate lines taken out of the text, and ``__lines`` (with a word,
-    before) and ``__removed``."""
+    """(row, text, lines, removed) of every row of ``docs``: the row as one column, its text without
+    the boilerplate lines, and how many lines with a word it had and lost."""
     lines = stored(lines_of(docs, id_col, text_col, site_col, min_sites, long_sites), "lines")
     found = lines.join(boilerplate(lines), ["h1", "h2"])
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("pos") == F.col("first.pos"))
-    gone = (found.where(~stays).groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-            .agg(F.collect_set("pos").alias("__gone")))  # no longer than the document's own list of lines
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]) & (F.xxhash64(docs[text_col]) == gone["__key"]), "left")
-    pieces = F.split(docs[text_col], "\n")
-    left = F.array_join(F.filter(pieces, lambda _, i: ~F.array_contains("__gone", i)), "\n")
+    gone = (found.where(~stays).groupBy(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
+            .agg(F.collect_set("pos").alias("gone")))  # no longer than the document's own list of lines
+    rows = whole_rows(docs)
+    own_id, own_text = docs_column("row", id_col), docs_column("row", text_col)
+    joined = rows.join(gone, own_id.eqNullSafe(F.col("gone_id")) & (F.xxhash64(own_text) == F.col("gone_key")), "left")
+    pieces = F.split(own_text, "\n")
+    left = F.array_join(F.filter(pieces, lambda _, i: ~F.array_contains("gone", i)), "\n")
     words = F.size(F.filter(pieces, lambda x: F.trim(x, F.lit(_ENDS)) != ""))
-    text = F.when(F.col("__gone").isNull(), docs[text_col]).otherwise(left)
-    return joined.select(*[(text if c == text_col else docs[c]).alias(c) for c in docs.columns],
-                         F.greatest(words, F.lit(0)).alias("__lines"), F.greatest(F.size("__gone"), F.lit(0)).alias("__removed"))
+    return joined.select("row", F.when(F.col("gone").isNull(), own_text).otherwise(left).alias("text"),
+                         F.greatest(words, F.lit(0)).alias("lines"), F.greatest(F.size("gone"), F.lit(0)).alias("removed"))
 
 
 def report(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
     """doc_id, n_lines, n_removed, clean_sha256 (null for a null text) of every row."""
     done = clean(docs.select(id_col, text_col, site_col), min_sites, id_col, text_col, site_col)
-    return done.select(F.col(id_col).alias("doc_id"), F.col("__lines").cast("long").alias("n_lines"), F.col("__removed").cast("long").alias("n_removed"),
-                       F.sha2(F.col(text_col).cast("binary"), 256).alias("clean_sha256"))
+    return done.select(docs_column("row", id_col).alias("doc_id"), F.col("lines").cast("long").alias("n_lines"), F.col("removed").cast("long").alias("n_removed"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("clean_sha256"))
 
 
 def dedup(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
           long_sites: int | None = None) -> DataFrame:
     """``docs`` with clean texts; a document that lost every line it had goes."""
     done = clean(docs, min_sites, id_col, text_col, site_col, long_sites)
-    return done.where((F.col("__removed") == 0) | (F.col("__removed") < F.col("__lines"))).select(*docs.columns)
+    left = done.where((F.col("removed") == 0) | (F.col("removed") < F.col("lines")))
+    return left.select(*[(F.col("text") if c == text_col else docs_column("row", c)).alias(c) for c in docs.columns])
 
 
 REPORT_SQL = f"""

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored, word_count
+from tessera.llm.common import docs_column, stored, whole_rows, word_count
 
 BUCKETS = 1024
 SEED = 42
@@ -159,8 +159,7 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, repetitions:
 def select_documents(docs: DataFrame, weights: list[float], id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The mixed corpus: every document as often as the mix takes it, with the columns of ``docs``."""
     mixed = mix(docs, weights, id_col=id_col, text_col=text_col, **kw)
-    picked = mixed.where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("copies").alias("__copies"))
-    picked = picked.groupBy("__id", "__key").agg(F.max("__copies").alias("__copies"))  # repeated rows have one answer
-    keyed = docs.withColumn("__text", F.xxhash64(docs[text_col]))
-    joined = keyed.join(picked, keyed[id_col].eqNullSafe(F.col("__id")) & (keyed["__text"] == F.col("__key")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    picked = mixed.where("copies > 0").groupBy("doc_id", "key").agg(F.max("copies").alias("copies"))  # repeated rows have one answer
+    rows = whole_rows(docs)  # columns of any name travel along
+    same = docs_column("row", id_col).eqNullSafe(F.col("doc_id")) & (F.xxhash64(docs_column("row", text_col)) == F.col("key"))
+    return rows.join(picked, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")

@@ -31,11 +31,11 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import stored, utf8
+from tessera.llm.common import docs_column, stored, utf8, whole_rows
 from tessera.llm.components import components
 from tessera.session import broadcast_if_small
 
@@ -252,18 +252,23 @@ def _by_fingerprint(prints: DataFrame, distance: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id."""
-    columns = docs.columns
+    """``docs`` with one document of each group: the one with the smallest id; of rows that share
+    that id and fingerprint, the one with the smallest hash of the whole row.
+
+    A row travels as one column, so its columns may have any names."""
+    carried = whole_rows(docs).select("row", docs_column("row", id_col).alias("doc_id"), docs_column("row", text_col).alias("text"))
 
     def run(batches):
         for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in utf8(batch.column(text_col))], np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], [*batch.schema.names, "__fp"])
+            found = np.array([fingerprint(t, shingle) for t in utf8(batch.column("text"))], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(found.view(np.int64))], ["row", "doc_id", "fp"])
 
-    marked = stored(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])), "marked", "zstd")
-    found = _by_fingerprint(marked.select(F.col(id_col).alias("doc_id"), F.col("__fp").alias("fp")), distance)
+    schema = T.StructType([*carried.schema.fields[:2], T.StructField("fp", T.LongType())])
+    marked = stored(carried.mapInArrow(run, schema), "marked", "zstd")
+    found = _by_fingerprint(marked.select("doc_id", "fp"), distance)
     # among a component's fingerprints whose smallest id is the component's, the smallest fingerprint
     kept = (found.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min(F.struct("fp", "least")).alias("k"))
-            .select(F.col("k.fp").alias("__kept"), F.col("k.least").alias("__least")))
-    joined = marked.join(kept, (marked["__fp"] == kept["__kept"]) & marked[id_col].eqNullSafe(kept["__least"]))
-    return joined.dropDuplicates(["__fp", id_col]).select(*columns)
+            .select(F.col("k.fp").alias("fp"), F.col("k.least").alias("least")))
+    joined = marked.join(kept, "fp").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    first = Window.partitionBy("fp").orderBy(F.xxhash64("row"), F.crc32(F.to_json("row").cast("binary")))
+    return joined.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")

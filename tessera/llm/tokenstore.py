@@ -15,9 +15,10 @@ One document is read by its index entry alone: cut its frame out of the payload
 (``fetch``), decompress it with the dictionary.  A reader refuses a segment
 whose dictionary hash is not the hash of the dictionary it holds.
 
-The dictionary is fitted on a bounded sample: about ``SAMPLE_DOCS`` documents
-(twice as many at most) by a hash of their id, ``SAMPLE_CHARS`` characters of each.  It only
-decides the compression ratio.  Everything else reads whole texts of all rows.
+The dictionary is fitted on a bounded sample: of about ``SAMPLE_DOCS`` documents (twice as
+many at most, by a hash of their id) the whole texts are cut into chunks of ``CHUNK_CHARS``
+characters, and about ``SAMPLE_CHUNKS`` of these (twice as many at most, by a hash) are taken,
+wherever in a text they stand.  It only decides the compression ratio.  Everything else reads whole texts of all rows.
 
 Defined cases: null text is an empty document (the end id alone); null ids sort
 first; rows with one id follow each other, in the order of a hash of their text;
@@ -41,7 +42,7 @@ from tokenizers import Tokenizer
 from tessera.llm.bpe import LETTERS, Memo, _slices, byte_symbols, is_plain
 from tessera.llm.common import sample_by_hash
 
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES, LEVEL = 500, 8_000, 64 << 10, 1
+SAMPLE_DOCS, SAMPLE_CHUNKS, CHUNK_CHARS, DICTIONARY_BYTES, LEVEL = 500, 2_000, 2_000, 64 << 10, 1
 SEGMENT_BYTES = 1 << 20
 PIECES = 700_000  # in one generation of a worker's memo: about 150 MB for each of two
 # fixed: the byte-level pattern of the vocabulary, for plain texts
@@ -90,7 +91,11 @@ def encoder(path: str) -> Encoder:
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """Dictionary bytes from the bounded sample; empty if there is too little to learn from."""
-    sample = sample_by_hash(docs, "doc_id", SAMPLE_DOCS).select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).dropna().orderBy("t").collect()
+    texts = sample_by_hash(docs, "doc_id", SAMPLE_DOCS).where(F.length("text") > 0)
+    last = F.floor((F.length("text") - 1) / CHUNK_CHARS)
+    chunks = texts.select("doc_id", "text", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("nth")).withColumn("chunk", F.struct("doc_id", "nth"))
+    cut = F.substring("text", (F.col("nth") * CHUNK_CHARS + 1).cast("int"), F.lit(CHUNK_CHARS))
+    sample = sample_by_hash(chunks, "chunk", SAMPLE_CHUNKS).select(cut.alias("t")).orderBy("t").collect()
     runs = [r for s in sample if (r := encoder(path).encode(s.t))]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, runs, level=LEVEL).as_bytes()

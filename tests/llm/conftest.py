@@ -3,7 +3,9 @@ from pyspark.sql import types as T
 
 FIELDS = [("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()), ("n_chars", T.LongType())]
 # names that the operators use for columns of their own
-CLASHES = ["size", "key", "bucket", "order", "fp", "in", "pos", "site", "first", "held", "block", "copies", "shard", "n_tokens", "taken", "part", "component"]
+CLASHES = ["size", "key", "bucket", "order", "fp", "in", "pos", "site", "first", "held", "block", "copies", "shard", "n_tokens", "taken", "part", "component",
+           "row", "text_key", "gone", "gone_id", "gone_key", "lines", "removed", "nth", "least", "copy", "doc", "id", "fps", "pos_at", "grp", "digest", "gram", "class", "n", "grams",
+           "__fp", "__kept", "__least", "__gone", "__lines", "__removed", "__id", "__key", "__copies", "__text", "__copy"]
 SCHEMA = T.StructType([T.StructField(n, t) for n, t in FIELDS] + [T.StructField(n, T.StringType()) for n in CLASHES])
 
 

@@ -1,5 +1,7 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
+import hashlib
+
 import duckdb
 import numpy as np
 from tokenizers import Tokenizer
@@ -10,6 +12,7 @@ from tessera.llm.common import stored
 from tessera.llm.linededup import REPORT_SQL
 from tessera.llm.queries import MIX_WEIGHTS, WORD_BPE
 from tests.conftest import SF_SMALL
+from tests.llm.conftest import CLASHES
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
@@ -50,6 +53,8 @@ def test_every_stage(spark, tmp_path):
 
     library, texts = Tokenizer.from_file(WORD_BPE), dict(zip(mix.doc_id, mix.text))
     assert sorted(encoded.doc_id) == sorted(mix.doc_id)
+    decoded = {r.doc_id: r.decoded_sha256 for r in encoded.itertuples()}
+    assert all(decoded[i] == hashlib.sha256(library.decode(library.encode(t, add_special_tokens=False).ids, skip_special_tokens=False).encode()).hexdigest() for i, t in texts.items())
     assert all(np.array_equal(r.ids, library.encode(texts[r.doc_id], add_special_tokens=False).ids) for r in encoded.itertuples())
 
 
@@ -60,4 +65,6 @@ def test_edge_tables(spark, edge, nothing):
             assert docs.columns == edge.columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() == docs.count()
     for _, stage in corpus_pipeline.STAGES[1:-1]:  # stages after the rules take such rows too
-        assert stage(spark, edge, SF_SMALL).columns == edge.columns
+        kept = stage(spark, edge, SF_SMALL)
+        assert kept.columns == edge.columns
+        assert {r[name] for r in kept.collect() for name in CLASHES} <= {"x"}  # no user column is written over

@@ -389,3 +389,24 @@ def test_partitions_are_balanced():
     x = np.random.default_rng(1).standard_normal((1024, 16))
     part = ann.balanced_parts(ann.neighbours(x, 10), 16)
     assert set(np.bincount(part).tolist()) == {64}
+
+
+@pytest.mark.parametrize("repeat", [False, True])
+def test_few_valid_vectors_in_a_large_table(spark, monkeypatch, repeat):
+    """The sample is drawn from vectors that take part, so a few among many others are still found."""
+    monkeypatch.setattr(ann, "SAMPLE", 50)
+    rng = np.random.default_rng(4)
+    good = [(100 * k, rng.normal(size=4).tolist()) for k in range(40)]
+    if repeat:  # one vector, many times over: the sample may hold none of its copies
+        good = [(100 * (k % 2), [1.0, 2.0, 3.0, 4.0]) for k in range(400)]
+    bad = [(7 + k, [[0.0] * 4, [float("nan")] * 4, None, [1.0, None, 1.0, 1.0], [], [float("inf"), 1.0, 1.0, 1.0]][k % 6]) for k in range(1500)]
+    frame = spark.createDataFrame(good + bad, "vec_id long, embedding array<double>")
+    got = ann.search(frame, F.pmod(frame["vec_id"], F.lit(100)) == 0, k=5).collect()
+    if repeat:
+        assert {(r.query_id, r.vec_id) for r in got} == {(0, 100), (100, 0)}
+        return
+    vectors = dict(good)
+    assert len(got) == 5 * 40
+    for r in got:
+        ranked = sorted((np.linalg.norm(np.array(v) - vectors[r.query_id]), i) for i, v in vectors.items() if i != r.query_id)
+        assert ranked[r["rank"] - 1][1] == r.vec_id
