@@ -9,7 +9,8 @@ stage to the shared folder as Parquet and reads it again for the next one.
    and documents that held nothing else;
 3. SimHash near-dedup: of each group the document with the smallest id stays;
 4. mixing: every document as often as the target mix takes it (0 to 2 times);
-5. BPE encoding: one row per document of the mix with its ids.
+5. BPE encoding and decoding: one row per document of the mix with its ids and the hash
+   of the text that they decode to.
 
 Nulls in any column, empty and very long texts, ties, repeated rows, empty tables
 and further columns have the results that the operators' docstrings define.
@@ -49,7 +50,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return bpe.encode(docs, WORD_BPE)
+    return bpe.encode(docs, WORD_BPE, digest=True)
 
 
 STAGES = [
@@ -57,7 +58,7 @@ STAGES = [
     ("line dedup", line_stage),
     ("SimHash near-dedup", simhash_stage),
     ("mixing sources", mixing_stage),
-    ("BPE encoding", encoding_stage),
+    ("BPE encoding and decoding", encoding_stage),
 ]
 
 # SQL has no SimHash, no seeded selection by these hashes and no byte-pair merges;
@@ -66,7 +67,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``: doc_id and ids of every document of the mix."""
+    """All stages over ``documents``: doc_id, ids and decoded_sha256 of every document of the mix."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
