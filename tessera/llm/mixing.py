@@ -7,9 +7,11 @@ source asks for its quota.  A min-cost flow routes words from patterns to quotas
 with the fewest repetitions.  What the flow takes from a pattern at a repetition
 is then filled with whole documents in a seeded order.
 
-Only the pattern sums reach the driver (at most ``max_patterns``; more is an
+Where every document has one source, nothing competes: targets are found by
+aggregates over the sources, however many there are.  Where sources overlap, the
+pattern sums go to the flow on the driver (at most ``max_patterns``; more is an
 error, not a cut).  Selection is distributed: each pattern is cut into hash
-buckets, bucket sums give every bucket its place in the seeded order, and the
+buckets (more, the more rows there are), bucket sums give every bucket its place in the seeded order, and the
 running sum within a bucket does the rest, so a pattern that holds a third of
 all rows is spread over all buckets.  A document enters if its middle lies
 within the quota; what that rounding leaves over or short is corrected with
@@ -27,8 +29,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import docs_column, stored, whole_rows, word_count
+from tessera.llm.order import numbered
+from tessera.session import broadcast_if_small
 
-BUCKETS = 1024
+BUCKETS, BUCKET_ROWS = 1024, 20_000  # buckets at least; rows of a bucket on average at most
 SEED = 42
 
 
@@ -41,7 +45,8 @@ def targets(sizes: dict, weights: list[float], share: float = 1.5, cap: float =
     weight = {s: weights[k % len(weights)] for k, s in enumerate(sizes)}
     open_, rest, out = set(sizes), share * (sum(sizes.values()) if total is None else total), {}
     while open_:
-        ask = {s: rest * weight[s] / sum(weight[o] for o in open_) for s in open_}
+        open_weight = sum(weight[o] for o in sizes if o in open_)
+        ask = {s: rest * weight[s] / open_weight for s in open_}
         full = {s for s in open_ if ask[s] > cap * sizes[s]}
         for s in full or open_:
             out[s] = cap * sizes[s] if full else ask[s]
@@ -98,7 +103,7 @@ def _fill(rows: DataFrame, wish: DataFrame) -> DataFrame:
     ``add``, size at most ``most``) change, in seeded order, as long as their middle lies within
     ``quota`` words of changes.  ``wish`` has one row for each pattern."""
     may = (F.col("in") != F.col("add")) & (F.col("size") > 0) & (F.col("size") <= F.col("most"))
-    open_ = rows.join(F.broadcast(wish), "pattern").withColumn("cand", F.when(may, F.col("size")).otherwise(0))
+    open_ = rows.join(broadcast_if_small(wish), "pattern").withColumn("cand", F.when(may, F.col("size")).otherwise(0))
     buckets = open_.groupBy("pattern", "bucket").agg(F.sum("cand").alias("words"))
     before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = buckets.select("pattern", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
@@ -108,51 +113,84 @@ def _fill(rows: DataFrame, wish: DataFrame) -> DataFrame:
     return open_.join(starts, ["pattern", "bucket"]).withColumn("in", F.col("in") != flip).select(*rows.columns)
 
 
+def plan_of_single_sources(sums: DataFrame, weights: list[float], share: float, cap: float) -> DataFrame:
+    """(pattern, source, source_size, target) for sources that share no document, as ``targets`` has it.
+
+    A source is full when its size for its weight lies under a mark; each round takes the rest and
+    the weights above the mark from one aggregate and raises the mark, until nothing more is full."""
+    ranked = numbered(stored(sums.withColumn("all", F.lit("")), "sources"), "all", [F.col("source").asc_nulls_last()], ["pattern", "source", "size"])
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("pos") % len(weights) + 1).cast("int"))
+    ranked = stored(ranked.withColumn("weight", weight).withColumn("ratio", F.col("size") / weight), "weighted-sources")
+    mark = 0.0
+    while True:
+        full = F.col("ratio") < mark
+        row = ranked.agg(F.sum("size").alias("total"), F.coalesce(F.sum(F.when(full, F.col("size"))), F.lit(0)).alias("closed"),
+                         F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0)).alias("open")).first()
+        rest = share * (row.total or 0) - cap * row.closed
+        higher = rest / (row.open * cap) if row.open else mark
+        if higher <= mark or ranked.where((F.col("ratio") >= mark) & (F.col("ratio") < higher)).isEmpty():
+            break
+        mark = higher
+    each = rest / row.open if row.open else 0.0
+    target = F.when(F.col("ratio") < mark, cap * F.col("size")).otherwise(F.lit(each) * F.col("weight"))
+    return ranked.select("pattern", "source", F.col("size").alias("source_size"), target.cast("double").alias("target"))
+
+
+def _plan_of_overlaps(sums: DataFrame, weights: list[float], share: float, repetitions: int, max_patterns: int) -> DataFrame:
+    """(pattern, source, source_size, target, words): the flow's words for each pattern."""
+    rows = sums.limit(max_patterns + 1).collect()
+    if len(rows) > max_patterns:
+        raise ValueError(f"more than {max_patterns} membership patterns")
+    patterns = {tuple(r.sources or ()): r.size for r in rows}
+    name = {tuple(r.sources or ()): r.pattern for r in rows}
+    sizes: dict = {}
+    for p, w in patterns.items():
+        for s in p:
+            sizes[s] = sizes.get(s, 0) + w
+    sizes = {s: sizes[s] for s in sorted(sizes, key=lambda s: (s is None, s or ""))}
+    quota = targets(sizes, weights, share, float(repetitions), sum(w for p, w in patterns.items() if p))
+    words = dict.fromkeys(patterns, 0.0)
+    for (p, _, _), n in min_cost_flow(patterns, quota, repetitions).items():
+        words[p] += n
+    out = [(name[p], p[0] if len(p) == 1 else None, int(sum(sizes[s] for s in p)), float(sum(quota[s] for s in p)), int(patterns[p]), words[p]) for p in patterns]
+    return sums.sparkSession.createDataFrame(out, "pattern string, source string, source_size long, target double, size long, words double").coalesce(1)
+
+
 def mix(docs: DataFrame, weights: list[float], share: float = 1.5, repetitions: int = 2, seed: int = SEED, corrections: int = 2,
         max_patterns: int = 20_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: doc_id, size, source (of a single membership; else null),
     source_size, target, taken, copies.
 
     ``source_col`` is one source, or an array of the sources that hold the document."""
-    spark = docs.sparkSession
     many = docs.schema[source_col].dataType.typeName() == "array"
     members = F.array_sort(F.array_distinct(docs[source_col])) if many else F.array(docs[source_col])
-    rows = docs.select(
+    rows = stored(docs.select(
         docs[id_col].alias("doc_id"), word_count(docs[text_col]).alias("size"),
         F.to_json(F.struct(members.alias("s")), {"ignoreNullFields": "false"}).alias("pattern"), members.alias("sources"),
         F.xxhash64(docs[id_col].cast("string"), F.lit(seed)).alias("order"), F.xxhash64(docs[text_col]).alias("key"),
-    ).withColumn("bucket", F.pmod(F.xxhash64("order", "key"), F.lit(BUCKETS)))
-    rows = stored(rows, "mix-sizes")  # narrow: the texts are read once
-    sums = rows.groupBy("pattern").agg(F.first("sources").alias("sources"), F.sum("size").alias("size")).limit(max_patterns + 1).collect()
-    if len(sums) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns")
-    patterns = {tuple(r.sources or ()): r.size for r in sums}
-    name = {tuple(r.sources or ()): r.pattern for r in sums}
-    sizes: dict = {}
-    for p, w in patterns.items():
-        for s in p:
-            sizes[s] = sizes.get(s, 0) + w
-    sizes = {s: sizes[s] for s in sorted(sizes, key=lambda s: (s is None, s or ""))}
-    quota = targets(sizes, weights, share, float(repetitions), sum(w for p, w in patterns.items() if p))
-    words = dict.fromkeys(patterns, 0.0)
-    for (p, _, _), n in min_cost_flow(patterns, quota, repetitions).items():
-        words[p] += n
+    ), "mix-sizes")  # narrow: the texts are read once
+    buckets = max(BUCKETS, rows.count() // BUCKET_ROWS)
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("order", "key"), F.lit(buckets)))
+    sums = rows.groupBy("pattern").agg(F.first("sources").alias("sources"), F.sum("size").alias("size"))
+    if many:
+        plan = _plan_of_overlaps(sums, weights, share, repetitions, max_patterns)
+    else:
+        single = plan_of_single_sources(sums.select("pattern", F.col("sources")[0].cast("string").alias("source"), "size"), weights, share, float(repetitions))
+        plan = single.withColumn("size", F.col("source_size")).withColumn("words", F.col("target"))
     # a pattern's repetitions fill up in order, so at most one of them is in part
-    whole = {p: int(words[p] / w + 1e-9) if w else 0 for p, w in patterns.items()}
-    part = {p: words[p] - whole[p] * w for p, w in patterns.items()}
-    taken, left, most = rows.drop("sources").withColumn("in", F.lit(False)), dict(part), dict.fromkeys(patterns, float("inf"))
+    whole = F.when(F.col("size") > 0, F.floor(F.col("words") / F.col("size") + 1e-9)).otherwise(0).cast("int")
+    plan = plan.withColumn("whole", whole).withColumn("part", F.col("words") - F.col("whole") * F.col("size"))
+    plan = stored(plan.select("pattern", "source", "source_size", "target", "whole", "part"), "mix-plan")
+    taken = rows.drop("sources").withColumn("in", F.lit(False))
+    left, most = plan.select("pattern", "part"), F.lit(float("inf"))
     for _ in range(1 + corrections):
-        wish = spark.createDataFrame([(name[p], abs(q), most[p], q > 0) for p, q in left.items()],
-                                     "pattern string, quota double, most double, add boolean").coalesce(1)
+        wish = left.select("pattern", F.abs("part").alias("quota"), most.alias("most"), (F.col("part") > 0).alias("add"))
         taken = stored(_fill(taken, wish), "mix-pass")
-        got = {r.pattern: r.n for r in taken.where("in").groupBy("pattern").agg(F.sum("size").alias("n")).collect()}
-        left = {p: part[p] - got.get(name[p], 0) for p in patterns}
-        most = {p: abs(q) for p, q in left.items()}
-    about = spark.createDataFrame(
-        [(name[p], p[0] if len(p) == 1 else None, int(sum(sizes[s] for s in p)), float(sum(quota[s] for s in p)), whole[p]) for p in patterns],
-        "pattern string, source string, source_size long, target double, whole int").coalesce(1)
+        got = taken.where("in").groupBy("pattern").agg(F.sum("size").alias("n"))
+        left = stored(plan.select("pattern", "part").join(got, "pattern", "left").select("pattern", (F.col("part") - F.coalesce("n", F.lit(0))).alias("part")), "mix-left")
+        most = F.abs("part")
     copies = F.when(F.col("size") > 0, F.col("whole") + F.col("in").cast("int")).otherwise(0)
-    return (taken.join(F.broadcast(about), "pattern").withColumn("copies", copies)
+    return (taken.join(broadcast_if_small(plan.drop("part")), "pattern").withColumn("copies", copies)
             .select("doc_id", "size", "source", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "key"))
 
 

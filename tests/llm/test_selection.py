@@ -410,3 +410,25 @@ def test_few_valid_vectors_in_a_large_table(spark, monkeypatch, repeat):
     for r in got:
         ranked = sorted((np.linalg.norm(np.array(v) - vectors[r.query_id]), i) for i, v in vectors.items() if i != r.query_id)
         assert ranked[r["rank"] - 1][1] == r.vec_id
+
+
+def test_fifty_thousand_sources(spark):
+    """More sources than the driver's flow would take: targets by aggregates, as the plain rule has them."""
+    rng = random.Random(3)
+    sizes = {f"s{k:05d}": rng.choice([0, 1, 3, 20, 400]) for k in range(50_000)}
+    frame = spark.createDataFrame([(s, s, n) for s, n in sizes.items()] + [("null", None, 7)], "pattern string, source string, size long")
+    want = mixing.targets(sizes | {None: 7}, queries.MIX_WEIGHTS)
+    got = {r.source: r.target for r in mixing.plan_of_single_sources(frame, queries.MIX_WEIGHTS, 1.5, 2.0).collect()}
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s], rel=1e-9) for s in want)
+
+
+def test_mix_of_many_sources(spark):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 13).cast("int")).alias("text"), F.concat(F.lit("d"), F.col("id") % 21_000).alias("source"))
+    rows = mixing.mix(docs, queries.MIX_WEIGHTS).collect()
+    assert len(rows) == 30_000 and all(r.taken == r.size * r.copies and r.copies <= 2 for r in rows)
+    taken, target, largest = Counter(), {}, Counter()
+    for r in rows:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        largest[r.source] = max(largest[r.source], r.size)
+    assert all(abs(taken[s] - t) <= max(largest[s] / 2, 1e-6) + 1e-6 for s, t in target.items())
