@@ -1,21 +1,20 @@
 """Operator 3 — SimHash near-duplicates by anchor-point covering.
 
-Fingerprints of 64 bits link at ``distance`` = 4 or fewer differing bits.  The
-bits are cut into segments of 22, 22 and 20 bits with thresholds 1, 1 and 0: two
-fingerprints at distance 4 are within the threshold in at least one segment
-(beyond it everywhere, they would differ in 2 + 2 + 1 = 5 bits).  Within a
-segment the anchors are a covering code: the 15-bit Hamming code (covering
-radius 1) beside the segment's other bits as they are.  A fingerprint's home is
-its anchor within the radius; it is replicated to every anchor within radius
-plus threshold, so whatever links to it in that segment meets it at its home.
-That makes 33 rows for a fingerprint; a home meets 16 of 2^18 anchors' guests.
-A covering code over all 64 bits would need tens of thousands of anchors for
-each fingerprint at this distance; segments keep the method's guarantee.
-
-Equal fingerprints are one before all this.  Per anchor, homes are compared
-with guests by vectorised popcounts; only a spanning forest of the links leaves
-a task.  An anchor with more than ``BLOCK`` fingerprints is cut into blocks whose
-pairs are compared in tasks of their own, so no group is larger than two blocks.
+Fingerprints of 64 bits link at ``distance`` = 4 or fewer differing bits.  The bits are cut
+into two segments of 32 with thresholds 2 and 1: two fingerprints at distance 4 are within the
+threshold in one of them (beyond it in both, they would differ in 3 + 2 = 5 bits).  In both
+segments the anchors are a covering code: the 31-bit Hamming code (covering radius 1) beside
+one free bit, 2^27 anchors.  A fingerprint is replicated to every anchor within the covering
+radius plus the half of the threshold that is its own: two fingerprints within the threshold
+have a point between them, no more than that half from either, and meet at the anchor that
+covers it.  That makes some 34 rows for a fingerprint.  (With the whole threshold on one side,
+the other staying at its nearest anchor, it would be 190 rows.)  A covering code over all 64
+bits would need tens of thousands of anchors for each fingerprint at this distance.
+
+Equal fingerprints are one before all this.  Per anchor, all that meet are compared by
+vectorised popcounts; only a spanning forest of the links leaves a task.  An anchor with more
+than ``BLOCK`` fingerprints is cut into blocks whose pairs are compared in tasks of their own,
+so no group is larger than two blocks.
 
 Defined cases: null and wordless texts have fingerprint zero and link like any
 other; a document with fewer than four words has one shingle, all its words; a
@@ -27,6 +26,7 @@ table gives no rows; whole texts are read.
 from __future__ import annotations
 
 from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +42,8 @@ from tessera.session import broadcast_if_small
 SEED = 42
 BLOCK = 20_000
 PAIRS = 4_000_000  # comparisons held at once by a task
-SEGMENTS = ((0, 22, 1), (22, 22, 1), (44, 20, 0))  # first bit, bits, threshold
-CODE_BITS = 15
+SEGMENTS = ((0, 32, 2), (32, 32, 1))  # first bit, bits, threshold
+CODE_BITS, RADIUS = 31, 1  # the Hamming code and its covering radius
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 
 
@@ -80,68 +80,55 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
 # -- anchors ------------------------------------------------------------------------------------
 
 
-def _syndromes() -> np.ndarray:
-    """Hamming syndrome of every 15-bit word: the XOR of its set positions, counted from 1."""
-    words, out = np.arange(1 << CODE_BITS), np.zeros(1 << CODE_BITS, np.uint8)
+def _syndrome(words: np.ndarray) -> np.ndarray:
+    """Hamming syndrome of words of ``CODE_BITS`` bits: the XOR of their set positions, counted from 1."""
+    out = np.zeros(len(words), np.int64)
     for k in range(CODE_BITS):
-        out ^= np.where(words >> k & 1, k + 1, 0).astype(np.uint8)
+        out ^= np.where(words >> k & 1, k + 1, 0)
     return out
 
 
-def _masks(bits: int, reach: int, syndrome: int) -> list[tuple[int, bool]]:
-    """What to flip in a segment value with this syndrome to reach each anchor within ``reach``,
-    and whether that anchor is its home."""
-    errors = [(0, 0)] + [(1 << i, 1) for i in range(CODE_BITS)] + [(1 << i | 1 << j, 2) for i in range(CODE_BITS) for j in range(i)]
-    table = _SYNDROMES
-    codes = [(e, w) for e, w in errors if table[e] == syndrome]
-    near = min(w for _, w in codes)
-    free = range(CODE_BITS, bits)
-    flips = [(0, 0)] + [(1 << i, 1) for i in free] + [(1 << i | 1 << j, 2) for i in free for j in free if j < i]
-    return [(e | f, w == near and not f) for e, w in codes for f, v in flips if w + v <= reach]
+def _masks(bits: int, reach: int) -> list[np.ndarray]:
+    """For each syndrome, what to flip in a segment value to get to every anchor within ``reach``."""
+    tables: list[list[int]] = [[] for _ in range(CODE_BITS + 1)]
+    for w in range(reach + 1):
+        for flips in combinations(range(bits), w):
+            syndrome = 0
+            for k in flips:
+                syndrome ^= k + 1 if k < CODE_BITS else 0
+            tables[syndrome].append(sum(1 << k for k in flips))
+    return [np.array(t, np.int64) for t in tables]
 
 
-_SYNDROMES = _syndromes()
-
-
-def _anchor_tables(bits: int, threshold: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    tables = []
-    for s in range(CODE_BITS + 1):
-        masks = _masks(bits, 1 + threshold, s)
-        tables.append((np.array([m for m, _ in masks], np.int64), np.array([h for _, h in masks])))
-    return tables
-
-
-_TABLES = {k: _anchor_tables(bits, t) for k, (_, bits, t) in enumerate(SEGMENTS) if t}
+_TABLES = [_masks(bits, RADIUS + (threshold + 1) // 2) for _, bits, threshold in SEGMENTS]
 
 
 def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, position in ``fps``, home) of every replica."""
-    out = []
-    for k, (first, bits, threshold) in enumerate(SEGMENTS):
+    """(anchor, position in ``fps``, compared) of every replica; all are compared."""
+    found, at = [], []
+    for k, (first, bits, _) in enumerate(SEGMENTS):
         value = (fps >> np.uint64(first) & np.uint64((1 << bits) - 1)).astype(np.int64)
-        base = k << 24
-        if not threshold:
-            out.append((base | value, np.arange(len(fps)), np.ones(len(fps), bool)))
-            continue
-        syndrome = _SYNDROMES[value & ((1 << CODE_BITS) - 1)]
-        for s, (masks, home) in enumerate(_TABLES[k]):
-            at = np.flatnonzero(syndrome == s)
-            out.append(((base | (value[at][:, None] ^ masks)).ravel(), np.repeat(at, len(masks)), np.tile(home, len(at))))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        syndrome = _syndrome(value & ((1 << CODE_BITS) - 1))
+        for s, masks in enumerate(_TABLES[k]):
+            rows = np.flatnonzero(syndrome == s)
+            found.append((k << 32 | (value[rows][:, None] ^ masks)).ravel())
+            at.append(np.repeat(rows, len(masks)))
+    anchor, at = np.concatenate(found), np.concatenate(at)
+    return anchor, at, np.ones(len(anchor), bool)
 
 
 def _replicas(distinct: DataFrame) -> DataFrame:
-    """(anchor, fp, home) rows of every fingerprint."""
+    """(anchor, fp) rows of every fingerprint."""
 
     def run(batches):
         for batch in batches:
             fps = np.asarray(batch.column("fp")).view(np.uint64)
             for k in range(0, len(fps), 4096):
                 part = fps[k: k + 4096]
-                anchor, at, home = anchors(part)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.astype(np.int32)), pa.array(part[at].view(np.int64)), pa.array(home)], ["anchor", "fp", "home"])
+                anchor, at, _ = anchors(part)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(part[at].view(np.int64))], ["anchor", "fp"])
 
-    return distinct.select("fp").mapInArrow(run, "anchor int, fp long, home boolean")
+    return distinct.select("fp").mapInArrow(run, "anchor long, fp long")
 
 
 # -- links --------------------------------------------------------------------------------------
@@ -165,12 +152,12 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[keep], nodes[label[keep]]
 
 
-def links_of_groups(group: np.ndarray, fps: np.ndarray, home: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Forest of the links between homes and guests of equal ``group`` (sorted by group)."""
+def links_of_groups(group: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Forest of the links between fingerprints of equal ``group`` (sorted by group)."""
     cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     size = np.diff(np.append(cut, len(group)))
     start, count = np.repeat(cut, size), np.repeat(size, size)
-    at = np.flatnonzero(home & (count > 1))
+    at = np.flatnonzero(count > 1)
     found_a, found_b = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     ends = np.cumsum(count[at])
     done = 0
@@ -202,28 +189,28 @@ def links(distinct: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFra
         own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
         pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1), lambda j: F.least(own, j) * F.lit(1 << 20) + F.greatest(own, j))
         rows = rows.join(broadcast_if_small(hot), "anchor", "left").select(
-            "anchor", "fp", "home", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("pair"))
+            "anchor", "fp", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("pair"))
 
     def run(batches):
-        keys, fps, homes = [], [], []
+        keys, fps = [], []
 
         def flush(last: bool):
             """Compare whole groups; what may go on in the next batch stays."""
-            key, fp, home = np.concatenate(keys), np.concatenate(fps), np.concatenate(homes)
+            key, fp = np.concatenate(keys), np.concatenate(fps)
             stop = len(key) if last else int(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))[-1])
-            keys[:], fps[:], homes[:] = [key[stop:]], [fp[stop:]], [home[stop:]]
+            keys[:], fps[:] = [key[stop:]], [fp[stop:]]
             if stop:
-                u, v = links_of_groups(key[:stop], fp[:stop], home[:stop], distance)
+                u, v = links_of_groups(key[:stop], fp[:stop], distance)
                 if len(u):
                     yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
         held = 0
         for batch in batches:
-            # anchor (26 bits) and block pair in one number; equal in a group, different between neighbours
-            key = np.asarray(batch.column("anchor")).astype(np.int64) * 1_000_003 ^ np.asarray(batch.column("pair")) << 1
+            # anchor (33 bits) and block pair in one number, equal in a group; should two neighbours ever
+            # have the same, they are compared as one group, which loses nothing
+            key = np.asarray(batch.column("anchor")) * 1_000_003 ^ np.asarray(batch.column("pair")) << 1
             keys.append(key)
             fps.append(np.asarray(batch.column("fp")).view(np.uint64))
-            homes.append(batch.column("home").to_numpy(zero_copy_only=False))
             held += len(key)
             if held > 300_000:
                 yield from flush(False)
