@@ -215,15 +215,19 @@ def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None =
     df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     names = ["route", "confidence", "title", "n_elements", "body", "detail"]
     raw = F.col(raw_col)
-    value = _one_value(raw)
-    carried = df.select(*[F.col(f"`{c}`") for c in df.columns], value.alias("_v"))
-    shape = F.schema_of_variant(F.col("_v"))
+
+    def with_columns(frame: DataFrame, **columns: Column) -> DataFrame:
+        """Columns made once a row: a filter on a later column is not pushed below, where it would
+        repeat the parse for every use of it."""
+        return frame.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+    carried = with_columns(df.select(*[F.col(f"`{c}`") for c in df.columns]), _v=_one_value(raw))
     given = F.try_variant_get("_v", "$.confidence", "variant")
-    shaped = carried.select("*", shape.alias("_shape"), F.schema_of_variant(given).alias("_kind"))
-    text = F.try_variant_get("_v", "$.confidence", "string")
+    shaped = with_columns(carried, _shape=F.schema_of_variant(F.col("_v")), _kind=F.schema_of_variant(given), _text=F.try_variant_get("_v", "$.confidence", "string"))
+    text = F.col("_text")
     number = (F.when(F.col("_kind") == "STRING", F.when(F.regexp_like(text, F.lit(_NUMBER)), F.replace(F.trim(text), F.lit("_")).try_cast("double")))
               .otherwise(F.try_variant_get("_v", "$.confidence", "double")))
-    known = shaped.select("*", number.alias("_number"))
+    known = with_columns(shaped, _number=number)
     kind, number = F.col("_kind"), F.col("_number")
     finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
     route = (F.when(F.col("_v").isNull(), F.lit("malformed")).when(~F.startswith("_shape", F.lit("OBJECT")), F.lit("not_an_object"))
@@ -233,7 +237,7 @@ def classify(df: DataFrame, raw_col: str = "raw_output", error_col: str | None =
               .when(F.col("route") == "not_an_object", F.concat(F.lit("the output is "), F.lower("_shape")))
               .when(F.col("route") != "valid", F.concat(F.lit("confidence is "), F.coalesce(text, F.lower("_kind")))))
     ok = F.col("route") == "valid"
-    routed = known.select("*", route.alias("route"))
+    routed = with_columns(known.drop("route"), route=route)
     out = routed.select(
         *[F.col(f"`{c}`") for c in df.columns if c not in names], "route",
         F.when(ok, F.when(kind.isNull(), F.lit(DEFAULT_CONFIDENCE)).otherwise(number)).alias("confidence"),

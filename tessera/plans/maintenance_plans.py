@@ -187,9 +187,9 @@ def _metrics_log(spark, sf_dir) -> DataFrame:
     path = work_dir(spark, "metrics-log")
     rows = ST.log_rows(run_state(spark, sf_dir), None)
     late = materialize(rows.drop("recorded_at"), "metric-rows")
-    TB.append(late.withColumn("metric_value", F.lit(0.0)).withColumn("recorded_at", _at(EARLY)).repartition("run_id"), path)
-    TB.append(late.withColumn("recorded_at", _at(LATE)).repartition("run_id"), path)
-    return spark.read.schema("metric_name string, metric_value double, recorded_at timestamp_ntz, run_id string").parquet(path)
+    TB.append(late.withColumn("metric_value", F.lit(0.0)).withColumn("recorded_at", _at(EARLY)), path, partition_by=())
+    TB.append(late.withColumn("recorded_at", _at(LATE)), path, partition_by=())
+    return spark.read.parquet(path)
 
 
 @register("metrics_latest_stored", f"""
