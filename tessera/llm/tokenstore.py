@@ -5,7 +5,8 @@ zstandard and one shared dictionary, and the frames are written in ascending
 document order.  A store is a folder with two tables:
 
 * ``dictionary``: one row (dict_sha256, dictionary) — the bytes every frame needs;
-* ``segments``: rows of about one megabyte: ``part`` and ``seq`` give the order,
+* ``segments``: rows of about one megabyte: ``part`` and ``seq`` give the order, ``first_id``
+  and ``last_id`` the smallest and largest id (a null id comes first),
   ``part_start`` the ids before the segment in its part, ``doc_ids``,
   ``n_tokens`` and ``offsets`` (one more than documents) index the frames in
   ``payload``, ``id_bytes`` is the width of a serialised id, ``dict_sha256``
@@ -128,8 +129,8 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "d
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([start], pa.int64()),
                  pa.array([ids], pa.list_(id_type)), pa.array([counts], pa.list_(pa.int64())), pa.array([offsets], pa.list_(pa.int64())),
-                 pa.array([width], pa.int32()), pa.array([sha]), pa.array([b"".join(frames)], pa.binary())],
-                ["part", "seq", "part_start", "doc_ids", "n_tokens", "offsets", "id_bytes", "dict_sha256", "payload"])
+                 pa.array([width], pa.int32()), pa.array([sha]), pa.array([b"".join(frames)], pa.binary()), pa.array([ids[0]], id_type), pa.array([ids[-1]], id_type)],
+                ["part", "seq", "part_start", "doc_ids", "n_tokens", "offsets", "id_bytes", "dict_sha256", "payload", "first_id", "last_id"])
 
         size = 0
         for batch in batches:
@@ -153,22 +154,28 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "d
     order = ["doc_id", F.xxhash64("text")]
     (rows.repartitionByRange(*order).sortWithinPartitions(*order)
      .mapInArrow(run, f"part int, seq int, part_start long, doc_ids array<{kind}>, n_tokens array<long>, offsets array<long>, "
-                      "id_bytes int, dict_sha256 string, payload binary")
+                      f"id_bytes int, dict_sha256 string, payload binary, first_id {kind}, last_id {kind}")
      .write.option("compression", "none").parquet(f"{folder}/segments"))
 
 
-def _open(spark: SparkSession, folder: str) -> tuple[DataFrame, object, str]:
-    """Segments with the ids before their part (``part_base``), the broadcast dictionary, its hash."""
+def _dictionary_of(spark: SparkSession, folder: str) -> tuple[object, str]:
+    """The broadcast dictionary and its hash."""
     row = spark.read.parquet(f"{folder}/dictionary").first()
     if hashlib.sha256(row.dictionary).hexdigest() != row.dict_sha256:
         raise ValueError("the dictionary is damaged")
-    segments = spark.read.parquet(f"{folder}/segments")
+    return spark.sparkContext.broadcast(bytes(row.dictionary)), row.dict_sha256
+
+
+def _open(spark: SparkSession, folder: str) -> tuple[DataFrame, object, str]:
+    """Segments with the ids before their part (``part_base``), the broadcast dictionary, its hash."""
+    shared, sha = _dictionary_of(spark, folder)
+    segments = spark.read.parquet(f"{folder}/segments").drop("first_id", "last_id")
     total = F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x)
     parts = segments.select("part", total.alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_base"))
     # one row for each part that was written: a few hundred thousand at most
-    return segments.join(F.broadcast(base), "part"), spark.sparkContext.broadcast(bytes(row.dictionary)), row.dict_sha256
+    return segments.join(F.broadcast(base), "part"), shared, sha
 
 
 def _presser(shared, sha: str, batch: pa.RecordBatch):
@@ -211,8 +218,14 @@ def _read(spark: SparkSession, folder: str, out: tuple) -> DataFrame:
 
 
 def fetch(spark: SparkSession, folder: str, doc_ids: list) -> DataFrame:
-    """(doc_id, ids binary) of a few documents: only their frames leave the segments."""
-    segments, shared, sha = _open(spark, folder)
+    """(doc_id, ids binary) of a few documents: only segments whose range holds one of the ids are
+    read (a filter that reaches the file statistics), and only their frames leave the segments."""
+    shared, sha = _dictionary_of(spark, folder)
+    segments = spark.read.parquet(f"{folder}/segments")
+    within = F.lit(False)
+    for d in doc_ids:
+        within = within | ((F.col("first_id").isNull() | (F.col("first_id") <= F.lit(d))) & (F.col("last_id") >= F.lit(d)))
+    segments = segments.where(within)
     index = F.explode(F.arrays_zip("doc_ids", "n_tokens", F.slice("offsets", 1, F.size("doc_ids")).alias("a"),
                                    F.slice("offsets", 2, F.size("doc_ids")).alias("b")))
     frames = (segments.where(F.arrays_overlap("doc_ids", F.array(*[F.lit(d) for d in doc_ids])))

@@ -120,3 +120,15 @@ def test_foreign_dictionary_is_refused(spark, edge, tmp_path):
     spark.read.parquet(f"{folder}/segments").write.parquet(f"{other}/segments")
     with pytest.raises(Exception, match="another dictionary"):
         tokenstore.read(spark, other).collect()
+
+
+def test_fetch_reads_the_segments_in_range_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokenstore, "SEGMENT_BYTES", 64)
+    docs = spark.range(200).selectExpr("id AS doc_id", "concat('text number ', id, ' of some') AS text")
+    folder = str(tmp_path / "store")
+    tokenstore.write(docs, folder, BYTE_BPE, end_id=0)
+    whole = {r.doc_id: bytes(r.ids) for r in tokenstore.read(spark, folder).collect()}
+    found = tokenstore.fetch(spark, folder, [3, 150, 999])
+    assert {r.doc_id: bytes(r.ids) for r in found.collect()} == {3: whole[3], 150: whole[150]}
+    scan = next(line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert "first_id" in scan.split("DataFilters")[1] or "first_id" in scan.split("PushedFilters")[1]
