@@ -7,11 +7,13 @@ A softmax classifier learns, for a vector, where its sample neighbours lie.  It
 places every row of the table in its most probable part and routes a query to
 several most probable parts; how many is the smallest number that reaches
 ``TARGET`` recall on the sample (sparser than the table, so neighbours are farther
-and the figure errs to the safe side).
+and the figure errs to the safe side).  The parts grow with the rows: as many as leave
+``PART_SAMPLE`` sample vectors each, ``PARTS`` at most.
 
 All rows are indexed.  Parts are cut into cells of bounded size by a hash of the
-id, so a part (or a vector that a third of the rows share) is spread over many
-tasks; queries go to all cells of their parts, in blocks of bounded size.  Within
+id and the row's place in its task, so a part (or a vector or an id that a third of the
+rows share) is spread over many tasks; queries go to all cells of their parts, packed by
+part in blocks of bounded size, so rows are copied for queries that ask their part only.  Within
 a cell candidates are ranked by the exact Euclidean distance in double precision,
 ties by smaller id; only each query's best of a cell is shuffled.  A query whose
 parts hold too few rows is given further parts until ``k`` candidates are met.
@@ -35,9 +37,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import sample_by_hash, stored
 
 SAMPLE = 8192
-PARTS = 32
-TARGET = 0.97
-CELL, QUERIES = 25_000, 2_000  # rows and queries met in one task's group
+PARTS, PART_SAMPLE = 512, 4
+TARGET = 0.94
+CELL, QUERIES = 20_000, 10_000  # rows and queries met in one task's group
 GRAPH_K = 10
 
 
@@ -133,7 +135,7 @@ def balanced_parts(graph: np.ndarray, parts: int, seed: int = 0) -> np.ndarray:
 def fit(x: np.ndarray, parts: int = PARTS, target: float = TARGET, k: int = GRAPH_K, seed: int = 0) -> Router:
     """Router from sample vectors."""
     n, dims = x.shape
-    while parts > 1 and n < 32 * parts:
+    while parts > 1 and n < PART_SAMPLE * parts:
         parts //= 2
     if parts <= 1 or n <= k:
         return Router(np.zeros((dims + 1, 1)), 1, dims)
@@ -142,16 +144,19 @@ def fit(x: np.ndarray, parts: int = PARTS, target: float = TARGET, k: int = GRAP
     wanted = np.zeros((n, parts))  # half its own part, half its neighbours'
     np.add.at(wanted, (np.repeat(np.arange(n), graph.shape[1]), part[graph].ravel()), 0.5 / graph.shape[1])
     wanted[np.arange(n), part] += 0.5
-    unit = np.hstack([x / np.linalg.norm(x, axis=1, keepdims=True), np.ones((n, 1))])
-    w, m, v = (np.zeros((dims + 1, parts)) for _ in range(3))
+    unit = np.hstack([x / np.linalg.norm(x, axis=1, keepdims=True), np.ones((n, 1))]).astype(np.float32)
+    wanted = wanted.astype(np.float32)
+    w, m, v = (np.zeros((dims + 1, parts), np.float32) for _ in range(3))
     for step in range(1, 301):  # Adam on the cross-entropy
-        z = unit @ w
-        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p = unit @ w
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
         p /= p.sum(axis=1, keepdims=True)
-        g = unit.T @ (p - wanted) / n + 1e-5 * w
+        p -= wanted
+        g = unit.T @ p / n + 1e-5 * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
-    router = Router(w, 1, dims)
+    router = Router(w.astype(float), 1, dims)
     scores = router.scores(x)
     placed = scores.argmax(axis=1)
     rank = (-scores).argsort(axis=1).argsort(axis=1)  # place of each part in each row's order
@@ -201,46 +206,43 @@ def search(vectors: DataFrame, is_query, k: int = 10, parts: int = PARTS, target
     router = fit(x, parts, target)
 
     def place(batches):
+        seen = 0
         for batch in batches:
             at, x = matrix(batch.column("v"), router.dims)
             if len(at):
                 part = router.scores(x).argmax(axis=1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(at)), batch.column("v").take(pa.array(at)),
-                     batch.column("q").take(pa.array(at)), pa.array(part)], ["id", "v", "q", "part"])
+                rows = batch.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(part), pa.array(np.arange(seen, seen + len(at)))], ["id", "v", "q", "part", "nth"])
+                seen += len(at)
 
     kind = rows.schema["v"].dataType.simpleString()
-    placed = stored(rows.mapInArrow(place, f"id long, v {kind}, q boolean, part int"), "placed")
-    sizes = {r.part: (r.n, r.q) for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("q").cast("long")).alias("q")).collect()}
-    queries = sum(q for _, q in sizes.values())
-    if not queries:
-        return empty
-    cells = {p: -(-n // CELL) for p, (n, _) in sizes.items()}
-    blocks = -(-queries // QUERIES)  # any part may be probed by all queries
+    placed = stored(rows.mapInArrow(place, f"id long, v {kind}, q boolean, part int, nth long"), "placed")
+    sizes = {r.part: r.n for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each part
 
     def route(batches):
         for batch in batches:
-            at, x = matrix(batch.column("v"), router.dims)
-            order = (-router.scores(x)).argsort(axis=1, kind="stable") if len(at) else []
-            pick, part, cell = [], [], []
-            for i, parts_by_odds in enumerate(order):
-                met = 0
-                for depth, p in enumerate(parts_by_odds.tolist()):
-                    if depth >= router.probes and met > k:
-                        break
-                    met += sizes.get(p, (0, 0))[0]
-                    pick += [at[i]] * cells.get(p, 0)
-                    part += [p] * cells.get(p, 0)
-                    cell += range(cells.get(p, 0))
-            taken = batch.take(pa.array(pick, pa.int64()))
-            yield pa.RecordBatch.from_arrays([taken.column("id"), taken.column("v"), pa.array(part, pa.int32()), pa.array(cell, pa.int32())], ["id", "v", "part", "cell"])
+            _, x = matrix(batch.column("v"), router.dims)  # all of them take part
+            parts = []
+            for by_odds in (-router.scores(x)).argsort(axis=1, kind="stable").tolist() if len(x) else []:
+                met = np.cumsum([sizes.get(p, 0) for p in by_odds])
+                depth = max(router.probes, int(np.searchsorted(met, k, side="right")) + 1)
+                parts.append([p for p in by_odds[:depth] if p in sizes])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(parts, pa.list_(pa.int32()))], ["id", "v", "parts"])
 
     one = placed.where("q").groupBy("id").agg(F.min_by("v", F.xxhash64("v")).alias("v"))
-    asked = one.select("id", "v").mapInArrow(route, f"id long, v {kind}, part int, cell int")
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    count = F.create_map(*[F.lit(v) for p, c in cells.items() for v in (p, c)])
-    held = placed.select("id", "v", "part", F.pmod(F.xxhash64("id"), count[F.col("part")]).cast("int").alias("cell"),
-                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    routed = stored(one.select("id", "v").mapInArrow(route, f"id long, v {kind}, parts array<int>"), "routed")
+    asking = routed.select(F.explode("parts").alias("part")).groupBy("part").count().collect()  # a row for each part
+    if not asking:
+        return empty
+    layout = F.broadcast(spark.createDataFrame([(r.part, -(-sizes[r.part] // CELL), -(-r["count"] // QUERIES)) for r in asking], "part int, cells int, blocks int"))
+
+    def each(n: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    asked = (routed.select("id", "v", F.explode("parts").alias("part")).join(layout, "part")
+             .select("id", "v", "part", F.pmod(F.xxhash64("id", "part"), F.col("blocks")).cast("int").alias("block"), each("cells").alias("cell")))
+    held = (placed.join(layout, "part")
+            .select("id", "v", "part", F.pmod(F.xxhash64("id", "nth"), F.col("cells")).cast("int").alias("cell"), each("blocks").alias("block")))
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
