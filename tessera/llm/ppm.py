@@ -14,7 +14,9 @@ The trie grows with the corpus and is never held in one place:
 
 * documents are packed into blocks of about 6 MB, written once;
 * a block asks for what it needs: its distinct 6-byte strings with their training
-  counts, and its distinct words likewise, cut by hash into buckets;
+  counts, and its distinct words likewise, cut by hash into buckets (their number grows
+  with the blocks; a block writes a row only for a bucket it needs something of, so the
+  rows are never more than its distinct strings and words);
 * a bucket adds up the counts of all blocks (a context is in one bucket, with all
   its bytes) and answers every block; strings never met in training are left open;
 * lower orders are sums of the counts, as tables; open strings walk down them by
@@ -149,15 +151,23 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _cut(keys: np.ndarray, bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order by (bucket, place) and the bounds of every bucket in it."""
+def _cut(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of ``keys`` by (bucket, place) and the buckets in this order."""
+    bucket = bucket_of(keys, buckets)
     order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return order, bucket[order]
+
+
+def _pieces(cut: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> list[np.ndarray]:
+    """Places of the keys of each wanted bucket (none: empty)."""
+    order, bucket = cut
+    first, end = np.searchsorted(bucket, wanted), np.searchsorted(bucket, wanted, side="right")
+    return [order[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)]
 
 
 def requests(packed: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, block, strings, times, words, word_times): what each block needs from each bucket,
-    with its own training counts."""
+    """(bucket, block, strings, times, words, word_times): what each block needs from each bucket
+    that has any of it, with its own training counts."""
 
     def run(batches):
         for batch in batches:
@@ -176,24 +186,26 @@ def requests(packed: DataFrame, buckets: int) -> DataFrame:
                 counts[END] = int((~b.held).sum())
                 words = np.fromiter(map(word_key, counts), np.uint64, len(counts))
                 word_times = np.fromiter(counts.values(), np.uint32, len(counts))
-                o1, c1 = _cut(strings, bucket_of(strings >> np.uint64(8), buckets), buckets)
                 by_key = np.argsort(words)
                 words, word_times = words[by_key], word_times[by_key]
-                o2, c2 = _cut(words, bucket_of(words, buckets), buckets)
-                parts = [(o1[c1[k]:c1[k + 1]], o2[c2[k]:c2[k + 1]]) for k in range(buckets)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(buckets), pa.int32()), pa.array([b.block] * buckets, pa.int64()),
-                     pa.array([pack_sorted(strings[s]) for s, _ in parts], pa.binary()), pa.array([pack(trained[s]) for s, _ in parts], pa.binary()),
-                     pa.array([pack_sorted(words[w]) for _, w in parts], pa.binary()), pa.array([pack(word_times[w]) for _, w in parts], pa.binary())],
-                    ["bucket", "block", "strings", "times", "words", "word_times"])
+                cuts = _cut(strings >> np.uint64(8), buckets), _cut(words, buckets)
+                needed = np.union1d(cuts[0][1], cuts[1][1])
+                for at in range(0, len(needed), 4096):
+                    some = needed[at: at + 4096]
+                    parts = list(zip(*(_pieces(cut, some) for cut in cuts), strict=True))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(some, pa.int64()), pa.array([b.block] * len(some), pa.int64()),
+                         pa.array([pack_sorted(strings[s]) for s, _ in parts], pa.binary()), pa.array([pack(trained[s]) for s, _ in parts], pa.binary()),
+                         pa.array([pack_sorted(words[w]) for _, w in parts], pa.binary()), pa.array([pack(word_times[w]) for _, w in parts], pa.binary())],
+                        ["bucket", "block", "strings", "times", "words", "word_times"])
 
-    return packed.mapInArrow(run, "bucket int, block long, strings binary, times binary, words binary, word_times binary")
+    return packed.mapInArrow(run, "bucket long, block long, strings binary, times binary, words binary, word_times binary")
 
 
 # -- buckets ------------------------------------------------------------------------------------
 
 ANSWER, TRIE, OPEN, TOTAL = range(4)
-_ANSWERS = "kind int, block long, bucket int, a binary, b binary"
+_ANSWERS = "kind int, block long, bucket long, a binary, b binary"
 
 
 def _sums(runs: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -230,10 +242,17 @@ def answer(table: pa.Table) -> pa.Table:
         if len(still):
             out.append((OPEN, r["block"], pack_sorted(still), None))
     kind, block, first, second = zip(*out, strict=True)
-    return pa.table([pa.array(kind, pa.int32()), pa.array(block, pa.int64()), pa.array([bucket] * len(out), pa.int32()),
+    return pa.table([pa.array(kind, pa.int32()), pa.array(block, pa.int64()), pa.array([bucket] * len(out), pa.int64()),
                      pa.array(first, pa.binary()), pa.array(second, pa.binary())], ["kind", "block", "bucket", "a", "b"])
 
 
+def _totals(batches):
+    """(n, v) of each TOTAL row."""
+    for batch in batches:
+        both = np.frombuffer(b"".join(batch.column("b").to_pylist()), np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["n", "v"])
+
+
 def _unpacked(answers: DataFrame, kind: int) -> DataFrame:
     """(block, g, c) rows of packed TRIE or OPEN rows."""
 
@@ -297,21 +316,21 @@ def open_scores(trie: DataFrame, strings: DataFrame) -> DataFrame:
 # -- scores -------------------------------------------------------------------------------------
 
 
-def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; the model
-    learns from the rows where ``held_out`` (a boolean Column of ``docs``) does not hold."""
+    learns from the rows where ``held_out`` (a boolean Column of ``docs``) does not hold.  ``buckets``
+    is half the number of blocks unless given; it does not change the scores."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     packed = stored(blocks(rows), "blocks")
-    buckets = min(1 << 17, max(16, packed.count() // 2))
+    buckets = buckets or max(16, packed.count() // 2)
     asked = stored(requests(packed, buckets), "requests")
     answers = stored(asked.groupBy("bucket").applyInArrow(answer, _ANSWERS), "answers")
-    total = answers.where(F.col("kind") == TOTAL).select("b").toArrow().column("b").to_pylist()  # two numbers for each bucket
-    n, v = np.sum([np.frombuffer(t, np.int64) for t in total] or [[0, 0]], axis=0).tolist()
+    n, v = answers.where(F.col("kind") == TOTAL).select("b").mapInArrow(_totals, "n long, v long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     still = stored(_unpacked(answers, OPEN).select("block", "g"), "open")
     lows = open_scores(stored(_unpacked(answers, TRIE).select("g", "c"), "trie"), still.select("g").distinct())
     found = still.join(lows, "g")
     right = answers.where(F.col("kind") == ANSWER).select("block", "bucket", "a", "b", F.lit(None).cast("long").alias("g"), F.lit(None).cast("double").alias("lp"))
-    right = right.union(found.select("block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("a"),
+    right = right.union(found.select("block", F.lit(None).cast("long").alias("bucket"), F.lit(None).cast("binary").alias("a"),
                                      F.lit(None).cast("binary").alias("b"), "g", "lp"))
     floor = n + v + 1
 
@@ -323,17 +342,15 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             lower = right.filter(pc.is_valid(right.column("g")))
             strings, at, document, times = b.strings()
             logs, word_logs = np.empty(len(strings)), {}
-            order, cuts = _cut(strings, bucket_of(strings >> np.uint64(8), buckets), buckets)
             texts = b.documents()
             index = {w: k for k, w in enumerate(dict.fromkeys(chain([END], *texts)))}
             keys = np.fromiter(map(word_key, index), np.uint64, len(index))
             by_key = np.argsort(keys)
-            word_order, word_cuts = _cut(keys[by_key], bucket_of(keys[by_key], buckets), buckets)
+            asked = np.array([r["bucket"] for r in replies], np.int64)
             counts = np.zeros(len(index))
-            for r in replies:
-                k = r["bucket"]
-                logs[order[cuts[k]:cuts[k + 1]]] = unpack(r["a"], np.float32)
-                counts[by_key[word_order[word_cuts[k]:word_cuts[k + 1]]]] = unpack(r["b"], np.uint64)
+            for r, mine, mine_words in zip(replies, _pieces(_cut(strings >> np.uint64(8), buckets), asked), _pieces(_cut(keys[by_key], buckets), asked), strict=True):
+                logs[mine] = unpack(r["a"], np.float32)
+                counts[by_key[mine_words]] = unpack(r["b"], np.uint64)
             if lower.num_rows:
                 logs[np.searchsorted(strings, np.asarray(lower.column("g")).view(np.uint64))] = np.asarray(lower.column("lp"))
             word_logs = np.log10((counts + 1) / floor)

@@ -81,3 +81,28 @@ def test_probabilities_sum_to_one():
     plain = Plain([b"the cat sat on the mat".split(), b"a cat and a hat".split()])
     for context in (b"e cat", b"zzzcat"[1:], b"zzzzz", b"\n\n\n\n\n"):
         assert sum(10 ** plain.one(context, s) for s in range(256)) == pytest.approx(1)
+
+
+def _some(spark, n):
+    texts = [f"tale {k} of the {k * k % 101} ships, sailing past {k % 17} isles" for k in range(n)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), [(k, t.lower().encode().split()) for k, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 3000])
+def test_number_of_buckets_does_not_change_the_scores(spark, monkeypatch, buckets):
+    monkeypatch.setattr(ppm, "BLOCK_DOCS", 9)
+    docs, texts = _some(spark, 60)
+    _check(ppm.score(docs, F.col("doc_id") % 4 == 1, buckets=buckets).collect(), texts, lambda i: i % 4 == 1)
+
+
+def test_requests_are_bounded_by_strings_and_words(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "BLOCK_DOCS", 9)
+    written = []
+    for n in (60, 120, 240):
+        docs, _ = _some(spark, n)
+        packed = ppm.blocks(docs.coalesce(1).withColumn("held", F.lit(False)))
+        needs = sum(len(b.strings()[0]) + len({w for d in b.documents() for w in d}) + 1 for b in map(ppm.Block, (r.asDict() for r in packed.collect())))
+        rows = ppm.requests(packed, 10**7 * n)  # far more buckets than strings
+        assert rows.select("block", "bucket").distinct().count() == rows.count() <= needs
+        written.append(rows.count())
+    assert written[1] <= 2.1 * written[0] and written[2] <= 2.1 * written[1]
