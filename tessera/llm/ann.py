@@ -8,7 +8,7 @@ places every row of the table in its most probable part and routes a query to
 several most probable parts; how many is the smallest number that reaches
 ``TARGET`` recall on the sample (sparser than the table, so neighbours are farther
 and the figure errs to the safe side).  The parts grow with the rows: as many as leave
-``PART_SAMPLE`` sample vectors each, ``PARTS`` at most.
+``PART_SAMPLE`` sample vectors each, ``PARTS`` at most (one part below ``LEAST`` vectors).
 
 All rows are indexed.  Parts are cut into cells of bounded size by a hash of the
 id and the row's place in its task, so a part (or a vector or an id that a third of the
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import sample_by_hash, stored
 
 SAMPLE = 8192
-PARTS, PART_SAMPLE = 512, 4
+PARTS, PART_SAMPLE, LEAST = 512, 4, 64
 TARGET = 0.94
 CELL, QUERIES = 20_000, 10_000  # rows and queries met in one task's group
 GRAPH_K = 10
@@ -135,7 +135,7 @@ def balanced_parts(graph: np.ndarray, parts: int, seed: int = 0) -> np.ndarray:
 def fit(x: np.ndarray, parts: int = PARTS, target: float = TARGET, k: int = GRAPH_K, seed: int = 0) -> Router:
     """Router from sample vectors."""
     n, dims = x.shape
-    while parts > 1 and n < PART_SAMPLE * parts:
+    while parts > 1 and n < max(LEAST, PART_SAMPLE * parts):
         parts //= 2
     if parts <= 1 or n <= k:
         return Router(np.zeros((dims + 1, 1)), 1, dims)
