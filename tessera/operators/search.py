@@ -122,7 +122,7 @@ def _proposed(metric: str, q: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np
     return order, np.full((len(q), 1), eps)
 
 
-DIST_BUDGET = 4 * 1024 * 1024      # distance entries per block (32 MB of float64)
+DIST_BUDGET = 1024 * 1024          # distance entries per block (8 MB of float64)
 
 
 def _empty_best(nq: int):
@@ -173,6 +173,129 @@ def _block_topk(metric: str, q: np.ndarray, mat: np.ndarray, vid: np.ndarray, kk
     return cls, out, ids
 
 
+def _usual(metric: str, squares: np.ndarray) -> np.ndarray:
+    """Rows whose distances a scaled single-precision product can bound: finite, with a direction
+    where that counts, and far from the ends of double precision."""
+    some = (squares > 1e-200) & (squares < 1e200)
+    return some if metric == "cosine" else some | (squares == 0)
+
+
+def _lost(metric: str, squares: np.ndarray) -> np.ndarray:
+    """Rows that have no distance to any other: NaN among their components, or no direction under cosine."""
+    return np.isnan(squares) | (squares == 0) if metric == "cosine" else np.isnan(squares)
+
+
+def _first_of_equals(mat: np.ndarray, k: int) -> np.ndarray:
+    """Row numbers, ascending, of the first k of each set of equal rows (the others are no hit: equal
+    vectors have equal distances, and smaller ids go first)."""
+    if not mat.size:
+        return np.arange(len(mat))
+    bits = np.ascontiguousarray(mat).view(np.uint64)
+    odd = np.random.default_rng(0).integers(0, 1 << 63, bits.shape[1], dtype=np.uint64) * 2 + 1
+    _, first, group, size = np.unique((bits * odd).sum(1), return_index=True, return_inverse=True, return_counts=True)
+    if size.max() <= k:
+        return np.arange(len(mat))
+    order = np.argsort(group, kind="stable")
+    place = np.arange(len(mat)) - np.repeat(np.cumsum(size) - size, size)
+    large = np.flatnonzero(size[group] > k)
+    mixed = np.zeros(len(size), dtype=bool)     # groups whose rows share the sum only: kept whole
+    mixed[group[large[(bits[large] != bits[first[group[large]]]).any(1)]]] = True
+    late = order[place >= k]
+    late = late[~mixed[group[late]]]
+    return np.setdiff1d(np.arange(len(mat)), late, assume_unique=True)
+
+
+class _Bound:
+    """Bounds of the distances of some queries to some vectors from one single-precision product.
+
+    Rows are scaled in double precision first (unit length for cosine and the queries of the inner
+    product, else the longest row to 1), so nothing overflows and the rounding is at most ``eps``
+    times the product of the lengths."""
+
+    def __init__(self, metric: str, q: np.ndarray, mat: np.ndarray):
+        self.metric = metric
+        self.qn = np.sqrt((q * q).sum(1))
+        vn = np.sqrt((mat * mat).sum(1))
+        self.eps = 2.0 * (mat.shape[1] + 8) * float(np.finfo(np.float32).eps)
+        most = float(vn.max(initial=0.0)) or 1.0
+        if metric == "l2":
+            self.scale = 1.0 / max(most, float(self.qn.max(initial=0.0)))
+            v = mat * self.scale
+            self.v = np.concatenate([v, (v * v).sum(1, keepdims=True)], axis=1).astype(np.float32)
+            self.q = np.concatenate([q * (-2.0 * self.scale), np.ones((len(q), 1))], axis=1).astype(np.float32)
+        else:
+            self.scale = 1.0 / most
+            unit = np.divide(q, -self.qn[:, None], out=np.zeros_like(q), where=self.qn[:, None] > 0)
+            self.q = unit.astype(np.float32)
+            self.v = (mat / vn[:, None] if metric == "cosine" else mat * self.scale).astype(np.float32)
+
+    def nearer(self, a: int, b: int, lo: int, hi: int, kth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, column) of every pair of queries a..b and vectors lo..hi that may be as near as ``kth``."""
+        n = self.qn[a:b]
+        if self.metric == "l2":
+            n = n * self.scale
+            most = (kth * self.scale) ** 2 - n * n + 2.0 * self.eps * (n * n + 1.0)
+        elif self.metric == "cosine":
+            most = kth - 1.0 + self.eps
+        else:
+            most = np.divide(kth * self.scale, n, out=np.zeros_like(kth), where=n > 0) + self.eps
+        # the bound itself may be rounded down on its way to single precision
+        most = np.nextafter(most.astype(np.float32), np.float32(np.inf))
+        near = self.q[a:b] @ self.v[lo:hi].T <= most[:, None]
+        return np.divmod(np.flatnonzero(near), hi - lo)
+
+
+def _better(metric: str, best, q: np.ndarray, mat: np.ndarray, vid: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> None:
+    """Measure the pairs (rows, cols) exactly and put those that belong there into ``best`` (k full columns)."""
+    k = best[0].shape[1]
+    step = max(1, DIST_BUDGET // max(1, mat.shape[1]))
+    for s in range(0, len(rows), step):
+        r, c = rows[s:s + step], cols[s:s + step]
+        d = _exact(metric, q[r], mat[c])
+        in_ = ~(d > best[1][r, -1])
+        r, c, d = r[in_], c[in_], d[in_]
+        if not len(r):
+            continue
+        hit, at = np.unique(r, return_inverse=True)
+        row = np.concatenate([np.repeat(np.arange(len(hit)), k), at])
+        cls = np.concatenate([best[0][hit].ravel(), np.isnan(d).astype(np.int8)])
+        dist = np.concatenate([best[1][hit].ravel(), d])
+        ids = np.concatenate([best[2][hit].ravel(), vid[c]])
+        order = np.lexsort((ids, np.where(cls == 0, dist, 0.0), cls, row))
+        count = np.bincount(row, minlength=len(hit))
+        place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        order = order[place < k]
+        for have, new in zip(best, (cls, dist, ids), strict=True):
+            have[hit] = new[order].reshape(-1, k)
+
+
+FIRST_PIECE = 256                  # vectors that give the first k-th distances; every next piece is twice as long
+
+
+def _piece_topk(metric: str, k: int, q: np.ndarray, mat: np.ndarray, vid: np.ndarray, best):
+    """``best`` of usual queries after some usual vectors (``vid`` ascending).
+
+    The first piece is ranked as a whole; of the following ones only the pairs are measured that the
+    product cannot show to be farther than the k-th neighbour so far."""
+    bound, lo, size = None, 0, FIRST_PIECE
+    while lo < len(vid):
+        hi = min(len(vid), lo + size)
+        step = max(1, DIST_BUDGET // (hi - lo))
+        if best[0].shape[1] < k or (best[0][:, -1] != 0).any():
+            kk = min(k, hi - lo)
+            parts = [_block_topk(metric, q[i:i + step], mat[lo:hi], vid[lo:hi], kk) for i in range(0, len(q), step)]
+            best = _merge(best, tuple(np.concatenate([p[j] for p in parts], axis=0) for j in range(3)), k)
+        else:
+            bound = bound or _Bound(metric, q, mat)
+            for i in range(0, len(q), step):
+                j = min(len(q), i + step)
+                rows, cols = bound.nearer(i, j, lo, hi, best[1][i:j, -1])
+                if len(rows):
+                    _better(metric, best, q, mat, vid, rows + i, cols + lo)
+        lo, size = hi, 2 * size
+    return best
+
+
 def _local_topk(metric: str, k: int, q: np.ndarray, ids: np.ndarray, vecs: pd.Series, chunk_rows: int,
                 dim: int | None, best=None):
     """Running top-k of every query row of ``q`` against a bunch of vectors.
@@ -187,17 +310,23 @@ def _local_topk(metric: str, k: int, q: np.ndarray, ids: np.ndarray, vecs: pd.Se
     order = np.argsort(ids, kind="stable")
     ids = ids[order]
     vecs = vecs.iloc[order]
+    with np.errstate(over="ignore", invalid="ignore"):
+        qq = (q * q).sum(1)
+    plain = _usual(metric, qq)
     for start in range(0, len(ids), chunk_rows):
         c_ids = ids[start:start + chunk_rows]
         mat, valid, _ = _stack(vecs.iloc[start:start + chunk_rows], dim)
         vid = c_ids[valid]
-        m = len(vid)
-        if m:
-            kk = min(k, m)
-            step = max(1, DIST_BUDGET // m)
-            parts = [_block_topk(metric, q[i:i + step], mat, vid, kk) for i in range(0, nq, step)]
-            cand = tuple(np.concatenate([p[j] for p in parts], axis=0) for j in range(3))
-            best = _merge(best, cand, k)
+        if len(vid):
+            with np.errstate(over="ignore", invalid="ignore"):
+                vv = (mat * mat).sum(1)
+            usual = _usual(metric, vv)
+            lost = _lost(metric, vv)
+            lost[np.flatnonzero(lost)[:k]] = False  # no number away from every query: only their first k can be hits
+            mat, vid, usual = mat[~lost], vid[~lost], usual[~lost]
+            kept = _first_of_equals(mat, k)
+            mat, vid, usual = mat[kept], vid[kept], usual[kept]
+            best = _chunk_topk(metric, k, q, qq, plain, mat, vid, usual, best)
         if (~valid).any():
             # null vectors rank after everything; only the k smallest ids can matter
             nid = c_ids[~valid][:k]
@@ -207,6 +336,37 @@ def _local_topk(metric: str, k: int, q: np.ndarray, ids: np.ndarray, vecs: pd.Se
     return best
 
 
+def _chunk_topk(metric: str, k: int, q: np.ndarray, qq: np.ndarray, plain: np.ndarray, mat: np.ndarray, vid: np.ndarray, usual: np.ndarray, best):
+    """``best`` after one chunk: usual pairs by bounds, all others by ``_block_topk``."""
+    def whole(queries, m, v):
+        step = max(1, DIST_BUDGET // len(v))
+        parts = [_block_topk(metric, queries[i:i + step], m, v, min(k, len(v))) for i in range(0, len(queries), step)]
+        return tuple(np.concatenate([p[j] for p in parts], axis=0) for j in range(3))
+
+    def among(rows):
+        return tuple(b[rows] for b in best)
+
+    if plain.all():
+        out = _piece_topk(metric, k, q, mat[usual], vid[usual], best) if usual.any() else best
+        return out if usual.all() else _merge(out, whole(q, mat[~usual], vid[~usual]), k)
+    # each kind of query by itself; rows of all are as wide as the widest, filled up with nothing
+    found = []
+    if plain.any():
+        found.append((plain, _chunk_topk(metric, k, q[plain], qq[plain], plain[plain], mat, vid, usual, among(plain))))
+    lost = _lost(metric, qq)
+    if lost.any():  # no number away from every vector: the first ids are the hits
+        found.append((lost, _merge(among(lost), whole(q[lost], mat[:k], vid[:k]), k)))
+    odd = ~plain & ~lost
+    if odd.any():
+        found.append((odd, _merge(among(odd), whole(q[odd], mat, vid), k)))
+    width = found[0][1][0].shape[1]
+    out = (np.zeros((len(q), width), np.int8), np.zeros((len(q), width)), np.zeros((len(q), width), np.int64))
+    for rows, part in found:
+        for have, new in zip(out, part, strict=True):
+            have[rows] = new
+    return out
+
+
 def _best_frame(qids: np.ndarray, best, g: str = "") -> pd.DataFrame:
     cls, dist, ids = best
     n = cls.shape[1]
@@ -339,7 +499,10 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
         best = _local_topk(metric, k, qm, vpdf["id"].to_numpy(dtype=np.int64), vpdf["vector"], chunk, dim)
         return _best_frame(qids, best, qpdf["g"].iloc[0])
 
+    # the number of cells grows with the product of both sides: so do the tasks, or each of them would
     keys = ["g", "qb", "vb"]
+    tasks = 3 * bq * bv
+    qs, vs = qs.repartition(tasks, *keys), vs.repartition(tasks, *keys)
     partial = qs.groupBy(*keys).cogroup(vs.groupBy(*keys)).applyInPandas(block, PARTIAL_SCHEMA)
     return _with_group(_final_rank(partial, k), group, vectors)
 
