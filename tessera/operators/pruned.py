@@ -39,6 +39,7 @@ from tessera.session import materialize, spread
 SAMPLE, PIVOTS = 2_048, 16
 MAX_SUMMARY_BYTES = 64 << 20
 MARGIN = 1e-9
+BOUNDS, ASK_ROWS = 262_144, 8_192   # entries of a table of bounds, asks (each with its vector) in one batch
 
 
 @dataclass(frozen=True)
@@ -152,7 +153,7 @@ def _asks(queries: DataFrame, space: _Space, first: bool) -> DataFrame:
 
     def ask(batches):
         s = shared.value
-        step = max(1, 4_000_000 // max(1, len(s.low)))
+        step = max(1, BOUNDS // max(1, len(s.low)))
         for whole in batches:
             for k in range(0, whole.num_rows, step):
                 batch = whole.slice(k, step)
@@ -164,9 +165,9 @@ def _asks(queries: DataFrame, space: _Space, first: bool) -> DataFrame:
                     wanted = ~(bounds > s.reach(np.where(np.isnan(kth), np.inf, kth))[:, None]) & ~np.isinf(bounds)
                     wanted[np.arange(len(bounds)), batch.column("block").to_numpy()] = False
                     at, block = np.nonzero(wanted)
-                if len(at):
-                    took = pa.array(at)
-                    yield pa.RecordBatch.from_arrays([batch.column("query_id").take(took), batch.column("qv").take(took), pa.array(block.astype(np.int64))],
+                for a in range(0, len(at), ASK_ROWS):  # a query may ask every block: its vector is copied for a few at a time
+                    took = pa.array(at[a:a + ASK_ROWS])
+                    yield pa.RecordBatch.from_arrays([batch.column("query_id").take(took), batch.column("qv").take(took), pa.array(block[a:a + ASK_ROWS].astype(np.int64))],
                                                      ["query_id", "qv", "block"])
 
     return queries.mapInArrow(ask, f"query_id long, qv {queries.schema['qv'].dataType.simpleString()}, block long")
