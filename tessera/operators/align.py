@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.embed import TEXT_DIMS, bucket, embed_with
+from tessera.operators.embed import TEXT_DIMS, Buckets, embed_with
 from tessera.operators.search import SearchLimits, search
 
 MAX_SUMS = 4_000_000  # numbers that the driver adds up and solves for (32 MB)
@@ -91,15 +91,10 @@ def fit(pairs: DataFrame, x: str, y: str, ridge: float = 1.0) -> LinearMap:
 def hashing_encoder(dim: int = TEXT_DIMS) -> Callable[[], Callable[[list], np.ndarray]]:
     """The built-in text encoder for ``embed_with``, on token lists (``embed.tokens``)."""
     def make():
-        known: dict[str, int] = {}
+        known = Buckets(dim)
 
         def encode(lists: list) -> np.ndarray:
-            counts = np.zeros((len(lists), dim))
-            for row, found in zip(counts, lists, strict=True):
-                for t in found or ():
-                    if t not in known:
-                        known[t] = bucket(t, dim)
-                    row[known[t]] += 1
+            counts = known.counted(lists)
             norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
             return np.divide(counts, norms, out=np.zeros_like(counts), where=norms > 0).astype(np.float32)
 

@@ -40,11 +40,62 @@ TEXT_MODEL = ("hash-text", "v1")
 BYTES_MODEL = ("nibble-hist", "v1")
 
 
+PART_VALUES, PART_ROWS = 262_144, 1_024        # tokens (or bytes) and rows that an encoder holds at once, as Python objects
+FLAT_VALUES, FLAT_ROWS = 1_048_576, 4_096      # the same as flat arrays
+
+
+def _parts(column: pa.Array, values: int = PART_VALUES, rows: int = PART_ROWS) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of consecutive parts of a column, bounded in rows and, for lists, texts and bytes,
+    in values: an Arrow batch is bounded in rows only, whatever the length of its texts.  A longer row is a part by itself."""
+    import pyarrow.compute as pc
+
+    kind = column.type
+    if pa.types.is_list(kind):
+        lengths = pc.list_value_length(column)
+    elif pa.types.is_string(kind) or pa.types.is_binary(kind):
+        lengths = pc.binary_length(column)
+    else:
+        lengths = pa.array(np.zeros(len(column), np.int64))
+    ends = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        used = ends[at - 1] if at else 0
+        end = max(at + 1, min(at + rows, int(np.searchsorted(ends, used + values, side="right"))))
+        end = min(end, len(column))
+        yield at, end - at
+        at = end
+
+
 def tokens(text: Column) -> Column:
     """Tokens of a text, in order."""
     return F.array_remove(F.split(F.lower(text), TOKEN_SPLIT), "")
 
 
+KNOWN_TOKENS = 1 << 16
+
+
+class Buckets(dict):
+    """Bucket by token for one task: it keeps ``KNOWN_TOKENS`` tokens at most, not all that the task meets."""
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= KNOWN_TOKENS:
+            self.clear()
+        self[token] = found = bucket(token, self.dim)
+        return found
+
+    def counted(self, lists: list) -> np.ndarray:
+        """Counts per bucket (columns) of each list of tokens (rows); null counts as empty."""
+        out = np.zeros((len(lists), self.dim))
+        for row, found in zip(out, lists, strict=True):
+            if found:
+                row[:] = np.bincount([self[t] for t in found], minlength=self.dim)
+        return out
+
+
 def bucket(token: str, dim: int) -> int:
     return int(hashlib.md5(token.encode(), usedforsecurity=False).hexdigest()[:HASH_HEX_DIGITS], 16) % dim
 
@@ -63,12 +114,13 @@ def with_hash_vectors(df: DataFrame, text_col: str, out_col: str = "vector", dim
     names = [f.name for f in keep]
 
     def run(batches):
-        for rb in batches:
+        known = Buckets(dim)
+        for rb in (whole.slice(at, n) for whole in batches for at, n in _parts(whole.column(whole.schema.get_field_index("_tokens")), FLAT_VALUES, FLAT_ROWS)):
             b = rb.column(rb.schema.get_field_index("_tokens"))
             n = rb.num_rows
             lens = pc.fill_null(pc.list_value_length(b), 0).to_numpy().astype(np.int64)
             coded = pc.list_flatten(b).dictionary_encode()
-            buckets = np.array([bucket(t, dim) for t in coded.dictionary.to_pylist()], dtype=np.int64)
+            buckets = np.array([known[t] for t in coded.dictionary.to_pylist()], dtype=np.int64)
             flat = buckets[coded.indices.to_numpy(zero_copy_only=False)] if len(buckets) else np.zeros(0, dtype=np.int64)
             rows = np.repeat(np.arange(n, dtype=np.int64), lens)
             m = np.bincount(rows * dim + flat, minlength=n * dim).reshape(n, dim).astype(np.float64)
@@ -130,17 +182,15 @@ def embed_binary(df: DataFrame, bytes_col: str, run_id: str, key: str = "screen_
 def embed_with(df: DataFrame, input_col: str, make_encoder: Callable[[], Callable[[list], np.ndarray]],
                key: str = "screen_id", normalize: bool = True) -> DataFrame:
     """Pluggable encoder: ``make_encoder()`` runs once per task (model load),
-    the returned callable encodes one Arrow batch (one forward pass) and
-    returns a (rows × dim) array.  Keys stay beside their vectors, so no
+    the returned callable encodes a bounded part of an Arrow batch (one forward
+    pass, see ``_parts``) and returns a (rows × dim) array.  Keys stay beside their vectors, so no
     positional pairing is needed."""
     key_type = df.schema[key].dataType.simpleString()
     schema = f"{key} {key_type}, vector array<float>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = make_encoder()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (whole.slice(at, n) for whole in batches for at, n in _parts(whole.column("_input"))):
             m = np.asarray(enc(batch.column("_input").to_pylist()), dtype=np.float64)
             if normalize:
                 n = np.sqrt((m * m).sum(axis=1, keepdims=True))

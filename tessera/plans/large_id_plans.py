@@ -6,7 +6,6 @@ takes it to pandas would round them for the same reason."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,18 +97,7 @@ def embed_large_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = docs.select(large(F.col("doc_id"), F.col("n_chars")).alias("doc_id"), E.tokens(F.col("text")).alias("tokens"))
 
     def make():
-        known: dict = {}
-
-        def encode(lists):
-            out = np.zeros((len(lists), E.TEXT_DIMS))
-            for row, tokens in zip(out, lists, strict=True):
-                for t in tokens or []:
-                    if t not in known:
-                        known[t] = E.bucket(t, E.TEXT_DIMS)
-                    row[known[t]] += 1
-            return out
-
-        return encode
+        return E.Buckets(E.TEXT_DIMS).counted
 
     return E.embed_with(keyed, "tokens", make, key="doc_id").select(F.col("doc_id").cast("string").alias("doc_id"), *_summary(F.col("vector")))
 
