@@ -167,14 +167,21 @@ def inserted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- payload files -------------------------------------------------------------------------------
 
 
+PAYLOAD_SHARDS = 256
+
+
 @register("binary_payloads", """
 SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length, sha256(html || chr(10)) AS payload_sha256, url FROM pages""")
 def binary_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payload files read back as a blob source: glob, key taken from the path, joined to their rows."""
+    """Payload files read back as a blob source: glob, key taken from the path, joined to their rows.
+
+    One file a page.  Creating them is the work, so all cores share it however few files hold the pages; tasks put
+    them in place themselves (committer version 2), which the driver would do one by one; shards are listed by one task each."""
     pages = table(spark, sf_dir, "pages")
     folder = work_dir(spark, "payloads")
-    pages.select("page_id", "html").write.partitionBy("page_id").text(folder)  # one file a page
-    blobs = binary_files(spark, f"{folder}/page_id=*", "*.txt")
+    sharded = pages.select(F.pmod(F.xxhash64("page_id"), F.lit(PAYLOAD_SHARDS)).alias("shard"), "page_id", "html").repartition(PAYLOAD_SHARDS, "shard")
+    sharded.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("shard", "page_id").text(folder)
+    blobs = binary_files(spark, f"{folder}/shard=*", "*.txt", recursive=True)
     keyed = blobs.select(F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("long").alias("page_id"), "length", F.sha2("content", 256).alias("payload_sha256"))
     return keyed.join(pages.select("page_id", "url"), "page_id").select("page_id", "length", "payload_sha256", "url")
 

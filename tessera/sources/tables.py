@@ -39,9 +39,14 @@ def _id_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where((v != "") & ~F.col("value").startswith("#"))
 
 
-def binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Blob store as a table: path, modificationTime, length, content."""
+def binary_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """Blob store as a table: path, modificationTime, length, content.
+
+    ``recursive``: the files of all folders below, whatever their names (no partition columns).  The folders that
+    ``path`` matches are listed by one task each, so a store of many small folders is best given as some large ones."""
     r = spark.read.format("binaryFile")
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(path)
