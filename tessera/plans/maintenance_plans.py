@@ -19,7 +19,7 @@ from tessera.plans.run_plans import run_state
 from tessera.plans.table_plans import RETENTION_CUTOFF
 from tessera.session import materialize, work_dir
 from tessera.sources import standins
-from tessera.sources.tables import binary_files, table, write_parts
+from tessera.sources.tables import binary_files, table, write_parts, write_texts
 from tessera.streaming.gate import run_gate
 from tessera.streaming.keyed import run_keyed_ingest
 
@@ -167,7 +167,20 @@ def inserted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- payload files -------------------------------------------------------------------------------
 
 
-PAYLOAD_SHARDS = 256
+PAYLOADS_LISTED = 65_536  # files that the driver lists at a time
+
+
+def _lots(files: dict[int, int], most: int) -> list[list[int]]:
+    """Shards in lots of ``most`` files at most, a larger shard alone."""
+    lots: list[list[int]] = []
+    room = 0
+    for shard, n in sorted(files.items()):
+        if n > room:
+            lots.append([])
+            room = most
+        lots[-1].append(shard)
+        room -= n
+    return lots
 
 
 @register("binary_payloads", """
@@ -175,15 +188,15 @@ SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length, sha256(html || chr(1
 def binary_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload files read back as a blob source: glob, key taken from the path, joined to their rows.
 
-    One file a page.  Creating them is the work, so all cores share it however few files hold the pages; tasks put
-    them in place themselves (committer version 2), which the driver would do one by one; shards are listed by one task each."""
+    One file a page.  Creating them is the work, so all cores share it however few files hold the pages.  They are read back
+    some shards at a time, because the driver lists every file, and in one task a shard, because Spark would make one for a few files."""
     pages = table(spark, sf_dir, "pages")
-    folder = work_dir(spark, "payloads")
-    sharded = pages.select(F.pmod(F.xxhash64("page_id"), F.lit(PAYLOAD_SHARDS)).alias("shard"), "page_id", "html").repartition(PAYLOAD_SHARDS, "shard")
-    sharded.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("shard", "page_id").text(folder)
-    blobs = binary_files(spark, f"{folder}/shard=*", "*.txt", recursive=True)
-    keyed = blobs.select(F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("long").alias("page_id"), "length", F.sha2("content", 256).alias("payload_sha256"))
-    return keyed.join(pages.select("page_id", "url"), "page_id").select("page_id", "length", "payload_sha256", "url")
+    folder, digests = work_dir(spark, "payloads"), work_dir(spark, "digests")
+    for lot in _lots(write_texts(pages, folder, "page_id", "html"), PAYLOADS_LISTED):
+        blobs = binary_files(spark, f"{folder}/shard={{{','.join(map(str, lot))}}}", "*.txt", recursive=True)
+        keyed = blobs.select(F.regexp_extract("path", r"page_id=(\d+)[/.]", 1).cast("long").alias("page_id"), "length", F.sha2("content", 256).alias("payload_sha256"))
+        keyed.coalesce(max(len(lot), 2 * spark.sparkContext.defaultParallelism)).write.mode("append").parquet(digests)
+    return spark.read.parquet(digests).join(pages.select("page_id", "url"), "page_id").select("page_id", "length", "payload_sha256", "url")
 
 
 # -- the metrics log -----------------------------------------------------------------------------
