@@ -66,7 +66,7 @@ def write_texts(df: DataFrame, path: str, key: str, text: str) -> dict[int, int]
 
     On a file system mounted everywhere (``file:``) the tasks create the files themselves: Hadoop's local file system starts a process
     (``chmod``) for each file, checksum file and folder, which takes longer than all else.  A file gets its name when it is
-    whole, and a repeated attempt replaces it by the same bytes.  Texts are shuffled only where ``_gathers`` says so."""
+    whole, and a repeated attempt replaces it by one of the same lines.  Texts are shuffled only where ``_gathers`` says so."""
     spark = df.sparkSession
     gathers, rows = _gathers(df.select(key), key)
     folders = min(FOLDERS, max(2 * spark.sparkContext.defaultParallelism, -(-rows // FOLDER_FILES)))
